@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from quire.llm import url_cascade
+from quire.llm import curriculum, url_cascade
 
 QUERIES = {
+    "op3_mix_sources": curriculum.op3_mix_sources,
     "op6_url_filter": url_cascade.op6_url_filter,
 }
 SQL = {
+    "op3_mix_sources": curriculum.SQL,
     "op6_url_filter": url_cascade.SQL,
 }
