@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quire.llm import curriculum, licence_scan, url_cascade
+from quire.llm import curriculum, licence_scan, quality_ftrl, url_cascade
 
 QUERIES = {
     "op3_mix_sources": curriculum.op3_mix_sources,
     "op6_url_filter": url_cascade.op6_url_filter,
     "op7_licence_scan": licence_scan.op7_licence_scan,
+    "op8_quality": quality_ftrl.op8_quality,
 }
 SQL = {
     "op3_mix_sources": curriculum.SQL,
