@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quire.llm import curriculum, licence_scan, quality_ftrl, token_counts, url_cascade
+from quire.llm import curriculum, licence_scan, quality_ftrl, simhash_dedup, token_counts, url_cascade
 
 QUERIES = {
     "op3_mix_sources": curriculum.op3_mix_sources,
+    "op4_simhash_dedup": simhash_dedup.op4_simhash_dedup,
     "op6_url_filter": url_cascade.op6_url_filter,
     "op7_licence_scan": licence_scan.op7_licence_scan,
     "op8_quality": quality_ftrl.op8_quality,
