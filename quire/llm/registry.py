@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import curriculum, licence_scan, quality_ftrl, simhash_dedup, token_counts, url_cascade
+from quire.llm import curriculum, licence_scan, nra_topk, quality_ftrl, simhash_dedup, token_counts, url_cascade
 
 QUERIES = {
     "op3_mix_sources": curriculum.op3_mix_sources,
@@ -10,9 +10,11 @@ QUERIES = {
     "op6_url_filter": url_cascade.op6_url_filter,
     "op7_licence_scan": licence_scan.op7_licence_scan,
     "op8_quality": quality_ftrl.op8_quality,
+    "op9_topk": nra_topk.op9_topk,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 SQL = {
     "op3_mix_sources": curriculum.SQL,
     "op6_url_filter": url_cascade.SQL,
+    "op9_topk": nra_topk.SQL,
 }
