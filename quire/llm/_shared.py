@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Rows in one Arrow batch handed to Python; documents are long, so it is far below Spark's 10,000.
 ARROW_ROWS = 512
@@ -75,3 +76,19 @@ def ascii_lower(c: Column) -> Column:
 def remainder(c: Column, by: int) -> Column:
     """crc32 of a column's text, modulo by; null stays null."""
     return F.crc32(c.cast("string").cast("binary")) % by
+
+
+def labelled_sample(docs: DataFrame, known: DataFrame, per_label: int) -> list[dict]:
+    """At most per_label texts for each label of known(doc_id, label), drawn by hash over all rows, as the driver's rows in hash order.
+
+    The choice is made on ids (each once, with its smallest label), so that its ranking moves no text and each
+    task passes on per_label rows of a label at most; the chosen ids, bounded like the result, are broadcast to
+    fetch docs(doc_id, text). Rows with a null id or label take no part; of rows that repeat an id, the
+    smallest text is taken.
+    """
+    once = known.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.min("label").alias("label"))
+    order = Window.partitionBy("label").orderBy(F.xxhash64(F.col("doc_id"), F.lit(8)), "doc_id")
+    chosen = once.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_label)
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = texts.groupBy("doc_id", "label", "nth").agg(F.min("text").alias("text")).toArrow().to_pylist()
+    return sorted(rows, key=lambda r: (r["nth"], r["label"]))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quire.llm import curriculum, licence_scan, media_chunks, nra_topk, quality_ftrl, simhash_dedup, token_counts, url_cascade
+from quire.llm import curriculum, language_gru, licence_scan, media_chunks, nra_topk, quality_ftrl, simhash_dedup, token_counts, url_cascade
 
 QUERIES = {
     "op1_media_chunks": media_chunks.op1_media_chunks,
+    "op2_language_id": language_gru.op2_language_id,
     "op3_mix_sources": curriculum.op3_mix_sources,
     "op4_simhash_dedup": simhash_dedup.op4_simhash_dedup,
     "op6_url_filter": url_cascade.op6_url_filter,
