@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from quire.llm import curriculum, language_gru, licence_scan, media_chunks, nra_topk, quality_ftrl, simhash_dedup, token_counts, url_cascade
+from quire.llm import curriculum, language_gru, licence_scan, media_chunks, nra_topk, piece_sampling, quality_ftrl, simhash_dedup, token_counts, url_cascade
 
 QUERIES = {
     "op1_media_chunks": media_chunks.op1_media_chunks,
     "op2_language_id": language_gru.op2_language_id,
     "op3_mix_sources": curriculum.op3_mix_sources,
     "op4_simhash_dedup": simhash_dedup.op4_simhash_dedup,
+    "op5_sentencepiece": piece_sampling.op5_sentencepiece,
     "op6_url_filter": url_cascade.op6_url_filter,
     "op7_licence_scan": licence_scan.op7_licence_scan,
     "op8_quality": quality_ftrl.op8_quality,
