@@ -84,8 +84,12 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     The tables are joined on (segment number, segment value); a bucket's rows share the segment, and
     each pair is verified in full. A pair that both segments find comes once.
     """
-    asked = F.explode(F.flatten(F.array(*[F.transform(ball(segment(F.col("fp"), k), SEGMENT_BITS, radius // SEGMENTS), lambda v, k=k: F.struct(F.lit(k).alias("k"), v.alias("v"))) for k in range(SEGMENTS)])))
-    held = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), segment(F.col("fp"), k).alias("v")) for k in range(SEGMENTS)]))
+
+    def keys(k: int, values: Column) -> Column:
+        return F.transform(values, lambda v: F.struct(F.lit(k).alias("k"), v.alias("v")))
+
+    asked = F.explode(F.concat(*[keys(k, ball(segment(F.col("fp"), k), SEGMENT_BITS, radius // SEGMENTS)) for k in range(SEGMENTS)]))
+    held = F.explode(F.concat(*[keys(k, F.array(segment(F.col("fp"), k))) for k in range(SEGMENTS)]))
     probes = nodes.select(F.col("fp").alias("a"), asked.alias("key")).select("a", "key.k", "key.v")
     index = nodes.select(F.col("fp").alias("b"), held.alias("key")).select("b", "key.k", "key.v")
     close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
