@@ -81,14 +81,18 @@ def remainder(c: Column, by: int) -> Column:
 def labelled_sample(docs: DataFrame, known: DataFrame, per_label: int) -> list[dict]:
     """At most per_label texts for each label of known(doc_id, label), drawn by hash over all rows, as the driver's rows in hash order.
 
-    The choice is made on ids (each once, with its smallest label), so that its ranking moves no text and each
-    task passes on per_label rows of a label at most; the chosen ids, bounded like the result, are broadcast to
-    fetch docs(doc_id, text). Rows with a null id or label take no part; of rows that repeat an id, the
-    smallest text is taken.
+    The choice is made on ids (each once, with its smallest label), so that it moves no text. A label's count
+    sets how small a hash must be for about twice per_label rows to have such; only those are ranked. Counts
+    and chosen ids, bounded like the result, are broadcast, the ids to fetch docs(doc_id, text). Rows with a null id or label take no
+    part; of rows that repeat an id, the smallest text is taken.
     """
     once = known.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.min("label").alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64(F.col("doc_id"), F.lit(8)), "doc_id")
-    chosen = once.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_label)
+    once = once.withColumn("hash", F.xxhash64(F.col("doc_id"), F.lit(8)))
+    counts = once.groupBy("label").agg(F.count("*").alias("of_label"))
+    share = F.pmod("hash", F.lit(1 << 40)) / float(1 << 40)
+    few = once.join(F.broadcast(counts), "label").where(share <= (2 * per_label + 100) / F.col("of_label"))
+    order = Window.partitionBy("label").orderBy(share, "doc_id")
+    chosen = few.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_label).select("doc_id", "label", "nth")
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = texts.groupBy("doc_id", "label", "nth").agg(F.min("text").alias("text")).toArrow().to_pylist()
     return sorted(rows, key=lambda r: (r["nth"], r["label"]))

@@ -16,17 +16,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from quire.llm._shared import free_name, remainder, small_batches, table
+from quire.llm._shared import free_name, labelled_sample, remainder, small_batches, table
 
 BITS = 18
-#: Most labelled rows per class that are fitted, and characters of each that are read in training.
+#: Most labelled rows per class that are fitted.
 SAMPLE_PER_CLASS = 1500
 ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 0.3, 1.0, 4
 TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^\x00-\x200-9A-Za-z\x7f-\xff]+")
-#: Tokens hashed at a time, so that a very long text does not need arrays of its length.
-BLOCK = 1 << 16
 
 
 def token_hashes(text: str | None) -> np.ndarray:
@@ -90,23 +87,11 @@ def score(text: str | None, weights: np.ndarray) -> float:
     return float(1.0 / (1.0 + np.exp(-(dot + bias))))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """At most per_class texts of each label, those of the smallest hashes over the whole table, in hash order.
-
-    Only rows whose crc32(doc_id as text) mod 3 is not 1 count; rows with a null id or label do not.
-    The choice is made on ids alone; texts are then fetched for the chosen.
-    """
-    known = labels.select("doc_id", "quality").where("doc_id is not null and quality in (0, 1)").where(remainder(F.col("doc_id"), 3) != 1)
-    order = F.xxhash64(F.col("doc_id"), F.lit(8))
-    rank = F.row_number().over(Window.partitionBy("quality").orderBy(order, "doc_id"))
-    chosen = known.dropDuplicates(["doc_id"]).withColumn("n", rank).where(F.col("n") <= per_class)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality", "n")
-
-
-def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> np.ndarray:
-    rows = training_sample(docs, labels, per_class).toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["n"], r["quality"], r["doc_id"], r["text"] or ""))
-    return fit([r["text"] for r in rows], [r["quality"] for r in rows])
+def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, fold: int = 1) -> np.ndarray:
+    """Fit on at most per_class rows of each quality, of ids whose crc32 as text mod 3 is not fold."""
+    known = labels.where("quality in (0, 1)").where(remainder(F.col("doc_id"), 3) != fold).select("doc_id", F.col("quality").alias("label"))
+    rows = labelled_sample(docs, known, per_class)
+    return fit([r["text"] for r in rows], [r["label"] for r in rows])
 
 
 def scores(docs: DataFrame, weights: np.ndarray, into: str = "score", text_column: str = "text") -> DataFrame:
