@@ -146,14 +146,14 @@ def curriculum(docs: DataFrame, weights=WEIGHTS, most_passes: int = MOST_PASSES,
     range-sorted by position; passes is an array of (pass, words, position) structs. Documents of a
     source are taken in order of md5(doc_id), whole passes first, the last pass until the target's
     whole words are taken; so a source takes floor(target) words and no document more than most_passes
-    times its size. Documents that the mix does not take have a null position and come last.
+    times its size. Documents that the mix does not take have a null position and come last, by id.
 
     Null texts count as empty, a null source is a source of its own, null ids are kept and are ordered
     last; repeated rows are documents of their own. Columns other than the three named are left out.
     An empty table gives an empty one.
     """
     plan = _plan(docs, weights, most_passes, schedules, id_column, text_column, source_column)
-    return plan.select("doc_id", "size", "source_size", "target", "taken", "position", "passes").orderBy(F.col("position").asc_nulls_last())
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "position", "passes").orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, most_passes: int = MOST_PASSES, schedules=SCHEDULES, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
