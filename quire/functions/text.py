@@ -18,7 +18,8 @@ JOINERS = "\u200c\u200d\u200e\u200f"
 BYTE_ORDER = "\ufeff"
 LETTERS_FROM, LETTERS_TO = "أإآٱىیةک", "اااايي" + "هك"
 DIGITS_FROM, DIGITS_TO = "٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹", "01234567890123456789"
-ARABIC = "ء-غف-ي"
+ARABIC = "\u0621-\u064a\u0671-\u06d3"
+PUNCTUATION = r"\-–—•·*_|.:،؛,;!?؟«»()\[\]{}\"'/\\"
 #: What Python calls white space, for Java's regular expressions.
 ANY_SPACE = "[\\s\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\\x1c-\\x1f]"
 
@@ -141,10 +142,10 @@ def trimmed_span(text: Column, start: Column, end: Column) -> Column:
     return F.struct((start + left).alias("char_start"), F.greatest(start + left, end - right).alias("char_end"))
 
 
-def standalone(before: Column, after: Column, digits: bool = False, punctuation: str = r"\p{P}\p{S}") -> Column:
+def standalone(before: Column, after: Column, digits: bool = False, punctuation: str = PUNCTUATION) -> Column:
     """Whether the rest of the line around a span is white space and punctuation only (and digits, if allowed)."""
     return ~F.concat(before, after).rlike(rf"[^\s{punctuation}{r'\p{N}' if digits else ''}]")
 
 
-def at_line_edge(before: Column, after: Column, punctuation: str = r"\p{P}\p{S}") -> Column:
+def at_line_edge(before: Column, after: Column, punctuation: str = PUNCTUATION) -> Column:
     return ~before.rlike(rf"[^\s{punctuation}]") | ~after.rlike(rf"[^\s{punctuation}]")

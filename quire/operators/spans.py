@@ -90,14 +90,14 @@ def overlay(spans: DataFrame, keys: list[str], start: str, end: str, layer: list
     covers it. Nothing is expanded to characters.
     """
     spans = spans.where(F.col(start) < F.col(end))
-    points = spans.select(*keys, F.explode(F.array(start, end)).alias("a")).distinct()
-    cells = points.withColumn("b", F.lead("a").over(Window.partitionBy(*keys).orderBy("a"))).where("b is not null")
-    painted = cells.join(spans, keys).where((F.col(start) <= F.col("a")) & (F.col("b") <= F.col(end)))
-    top = painted.groupBy(*keys, "a", "b").agg(F.max_by(label, F.struct(*layer)).alias(label))
-    by = Window.partitionBy(*keys).orderBy("a")
-    joins = (F.lag("b").over(by) == F.col("a")) & F.lag(label).over(by).eqNullSafe(F.col(label))
+    points = spans.select(*keys, F.explode(F.array(start, end)).alias("_a")).distinct()
+    cells = points.withColumn("_b", F.lead("_a").over(Window.partitionBy(*keys).orderBy("_a"))).where("_b is not null")
+    painted = cells.join(spans, keys).where((F.col(start) <= F.col("_a")) & (F.col("_b") <= F.col(end)))
+    top = painted.groupBy(*keys, "_a", "_b").agg(F.max_by(label, F.struct(*layer)).alias(label))
+    by = Window.partitionBy(*keys).orderBy("_a")
+    joins = (F.lag("_b").over(by) == F.col("_a")) & F.lag(label).over(by).eqNullSafe(F.col(label))
     marked = top.withColumn("_new", F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1)).withColumn("_run", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.groupBy(*keys, "_run", label).agg(F.min("a").alias("char_start"), F.max("b").alias("char_end")).drop("_run")
+    return marked.groupBy(*keys, "_run", label).agg(F.min("_a").alias("char_start"), F.max("_b").alias("char_end")).drop("_run")
 
 
 def extents(rows: DataFrame, keys: list[str], order: str, start: str, last_end: Column, name: str = "end") -> DataFrame:

@@ -12,9 +12,12 @@ from pyspark.sql.window import Window
 
 from quire.functions import text as T
 from quire.operators import constraints as C
+from quire.operators import knowledge as N
 from quire.operators import matching as M
+from quire.operators import pages as P
 from quire.operators import records as R
 from quire.operators import spans as S
+from quire.operators import structure as B
 from quire.sources import files
 
 FLAGSHIP = "repeated_lines"
@@ -22,6 +25,7 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 MARKED = "àâäáãéèêëíìîïñóòôöõúùûüçßÀÂÄÁÉÈÊËÍÌÎÏÑÓÒÔÖÚÙÛÜÇ"
 LETTER = r"\p{L}"
+VISIBLE = r"\p{P}\p{S}"
 
 
 def query(sql: str):
@@ -33,6 +37,12 @@ def query(sql: str):
     return register
 
 
+def unchecked(f):
+    """Register a query that SQL cannot express; tests hold its operator against small books."""
+    QUERIES[f.__name__] = f
+    return f
+
+
 def read(spark: SparkSession, sf_dir: str, *names: str):
     found = [spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names]
     return found[0] if len(found) == 1 else found
@@ -187,7 +197,7 @@ def span_on_its_line(spark, sf_dir) -> DataFrame:
     found = read(spark, sf_dir, "documents").withColumn("char_start", F.instr("text", "license") - 1).where("char_start >= 0")
     before = F.regexp_extract(F.substr("text", F.lit(1), F.col("char_start")), r"[^\n]*$", 0)
     after = F.regexp_extract(F.substr("text", F.col("char_start") + 8), r"^[^\n]*", 0)
-    return found.select("doc_id", "char_start", T.standalone(before, after).alias("alone"), T.at_line_edge(before, after).alias("at_edge"))
+    return found.select("doc_id", "char_start", T.standalone(before, after, punctuation=VISIBLE).alias("alone"), T.at_line_edge(before, after, punctuation=VISIBLE).alias("at_edge"))
 
 
 # --- spans
@@ -665,3 +675,42 @@ def set_difference(spark, sf_dir) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem")
     pick = lambda where: lines.where(where).select(F.col("l_returnflag").alias("flag"), F.col("l_linenumber").alias("n"))
     return R.set_difference(pick("l_quantity > 25"), pick("l_discount < 0.001 and l_tax < 0.001 and l_quantity < 3"))
+
+
+# --- folds over books
+
+
+def books(spark, sf_dir) -> DataFrame:
+    """Documents as books: their second and fifth lines are headings, a line that opens several documents a running header."""
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), "text", F.split("text", "\n").alias("lines"))
+    heads = F.filter(F.array(F.get("lines", F.lit(1)), F.get("lines", F.lit(4))), lambda x: x.isNotNull() & (F.trim(x) != ""))
+    config = F.to_json(F.struct(F.lit("body").alias("body_role"), heads.alias("unit_headings"), F.array(F.get("lines", F.lit(0))).alias("running_headers")))
+    return docs.select("book_id", "text", config.alias("config"), F.lit(None).cast("string").alias("overrides"))
+
+
+@unchecked
+def structure_units(spark, sf_dir) -> DataFrame:
+    """Every document folded into segments, units and issues."""
+    return B.build_books(books(spark, sf_dir)).drop("note")
+
+
+@unchecked
+def page_alignment(spark, sf_dir) -> DataFrame:
+    """G1: where the thirds of every passage begin in it."""
+    items = read(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("book_id"), "text")
+    third = F.floor(F.length("text") / 3).cast("int")
+    pages = items.select("book_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: F.struct((i + 1).alias("page_index"), F.substr("text", i * third + 1, third).alias("text")))).alias("p")).select("book_id", "p.page_index", "p.text")
+    return P.align(items, pages)
+
+
+@unchecked
+def knowledge_check(spark, sf_dir) -> DataFrame:
+    """Every turn stated with the turn before as evidence, and what speaks against it."""
+    turns = read(spark, sf_dir, "conversations").withColumn("unit_id", F.col("conv_id").cast("string"))
+    pieces = turns.select("unit_id", F.col("turn").cast("string").alias("piece_id"), F.when(F.col("role") == "user", "author").otherwise("editor").alias("by"), "text")
+    before = F.lag("turn").over(Window.partitionBy("unit_id").orderBy("turn")).cast("string")
+    quote = F.substring("text", 1, 30)
+    objects = turns.select("unit_id", F.col("turn").cast("int").alias("object"), F.col("role").alias("type"), F.col("text").alias("statement"), F.struct(F.when(F.col("role") == "user", "author").otherwise("editor").alias("kind"), F.lit("").alias("name_in_text")).alias("said_by"), F.lit("explicit").alias("basis"), F.lit("").alias("inference_reason"), F.array(F.struct(F.coalesce(before, F.col("turn").cast("string")).alias("piece"), quote.alias("quote"))).alias("evidence"))
+    types = spark.createDataFrame([("user",), ("assistant",)], "type string")
+    checked_ = N.check_objects(objects, pieces, types, letter=r"\p{L}")
+    return checked_.select("unit_id", "object", F.array_join("reasons", ",").alias("reasons"))
