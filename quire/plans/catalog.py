@@ -18,6 +18,7 @@ from quire.operators import pages as P
 from quire.operators import records as R
 from quire.operators import spans as S
 from quire.operators import structure as B
+from quire.operators import validate as V
 from quire.sources import files
 
 FLAGSHIP = "repeated_lines"
@@ -714,3 +715,10 @@ def knowledge_check(spark, sf_dir) -> DataFrame:
     types = spark.createDataFrame([("user",), ("assistant",)], "type string")
     checked_ = N.check_objects(objects, pieces, types, letter=r"\p{L}")
     return checked_.select("unit_id", "object", F.array_join("reasons", ",").alias("reasons"))
+
+
+@unchecked
+def structure_report(spark, sf_dir) -> DataFrame:
+    """The constraints over every built document, counted, with examples."""
+    source = books(spark, sf_dir)
+    return C.report(V.violations(B.build_books(source), source)).withColumn("examples", F.array_join("examples", "; "))

@@ -121,3 +121,30 @@ def test_drafts_and_acceptance(spark):
     checked = spark.createDataFrame([("u1", i, s, b, w) for i, (s, b, w) in enumerate([("قول", "explicit", []), ("قَوْل", "inferred", []), ("خطأ", "explicit", ["E_TYPE"])])], "unit_id string, object int, statement string, basis string, reasons array<string>")
     got = [(r["id"], r["confidence"], r["repeat"]) for r in N.accept(checked, spark.createDataFrame([("u1", 0.7)], "unit_id string, confidence double")).orderBy("id").collect()]
     assert got == [("ko_u1_01", 0.7, False), ("ko_u1_02", 0.6, True)]
+
+
+def test_built_books_have_no_errors(spark):
+    from quire.operators import constraints as C
+    from quire.operators import validate as V
+
+    books = spark.createDataFrame([("1", TEXT, json.dumps(CONFIG), None), ("2", "بلا عناوين", None, None)], "book_id string, text string, config string, overrides string")
+    built = B.build_books(books).cache()
+    assert C.report(V.violations(built, books)).where("severity = 'error' and check <> 'unowned'").count() == 0
+    row = {r["book_id"]: r for r in V.summary(built, books).collect()}
+    assert row["1"]["covered"] == row["1"]["visible"] and row["1"]["deepest"] == 1 and row["1"]["units"] == 2
+
+
+def test_planted_violations_are_found(spark):
+    from quire.operators import constraints as C
+    from quire.operators import validate as V
+
+    books = spark.createDataFrame([("1", "abcdefghij" * 10)], "book_id string, text string")
+    seg = lambda *x: ("1", "segment", *x)
+    rows = [
+        seg("unit", "unit_001", "body", 0, 40, "in_span", 0.85, None), seg("unit", "unit_001", "body", 0, 40, "in_span", 0.85, None), seg("unit", "unit_009", "body", 50, 60, "displaced", 0.95, None),
+        seg("noise", "x", "", 20, 95, None, 1.5, None), seg("unit", "unit_001", "x", 99, 120, "in_span", None, None),
+        ("1", "unit", "unit", "unit_001", "standalone", 0, 50, None, 0.9, None), ("1", "unit", "unit", "unit_003", "standalone", 40, 90, None, 0.9, None),
+        ("1", "issue", "thing", "", "grave", -1, -1, None, None, None), ("1", "issue", "other", "", "high", 5, 6, None, None, None),
+    ]
+    found = {r["check"] for r in C.report(V.violations(spark.createDataFrame(rows, B.SEGMENTS), books)).collect()}
+    assert {"offset_range", "schema", "duplicate_segment", "refs", "overlap", "coverage_overlap", "noise_too_long", "confidence", "numbering", "issue_location"} <= found
