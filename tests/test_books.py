@@ -148,3 +148,30 @@ def test_planted_violations_are_found(spark):
     ]
     found = {r["check"] for r in C.report(V.violations(spark.createDataFrame(rows, B.SEGMENTS), books)).collect()}
     assert {"offset_range", "schema", "duplicate_segment", "refs", "overlap", "coverage_overlap", "noise_too_long", "confidence", "numbering", "issue_location"} <= found
+
+
+NOTES = "باب أول\nقال المصنف كلاما عن الصبر (1) وعن الحلم (2)\n(1) رواه مسلم في صحيحه\nوهو في السنن أيضا 12\n(2) أخرجه أحمد، قوله الحلم: أي الأناة\nباب ثان\n(3)\nنص آخر عن الشكر\n(3) تخريج ثالث هنا\n(4) معنى الصبر: حبس النفس\n"
+
+
+def noted():
+    return built(NOTES, unit_headings=["باب أول", "باب ثان"], back_matter=[], sections=[], running_headers=[])
+
+
+def test_footnotes_are_found_split_and_owned():
+    b = noted()
+    got = [(f.marker, b.text[f.start : f.end], f.owner, f.confidence) for f in b.footnotes]
+    assert got == [(1, "(1) رواه مسلم في صحيحه\nوهو في السنن أيضا 12", 0, 0.8), (2, "(2) أخرجه أحمد، قوله الحلم: أي الأناة", 0, 0.9), (3, "(3) تخريج ثالث هنا", 0, 0.8), (4, "(4) معنى الصبر: حبس النفس", 0, 0.65)]
+    roles = {(o, r): b.text[s:e] for _, o, r, s, e, _, _ in b.segments()}
+    assert roles["unit_001", "gharib"].startswith("معنى") or roles["unit_001", "gharib"].startswith("قوله")
+    assert [(a.marker, a.unit, a.used) for a in b.anchors] == [(1, 0, True), (2, 0, True), (3, 0, True)]
+    assert sorted(i[0] for i in b.issues) == ["displaced_footnote", "displaced_footnote", "unanchored_footnote"]
+
+
+def test_footnote_characters_keep_one_owner():
+    b = noted()
+    seen = [0] * len(NOTES)
+    for _, _, _, s, e, _, _ in b.segments():
+        for p in range(s, e):
+            seen[p] += 1
+    assert all(n == 1 for n, c in zip(seen, NOTES) if not c.isspace())
+    assert any(x[5] == "displaced" for x in b.segments())
