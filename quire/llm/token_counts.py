@@ -6,7 +6,7 @@ the place before a run of spaces or around a line end: the tokens of a text are
 
 1. One pass over the texts counts pre-tokens per task, a shuffle adds the tasks' counts up, and each
    distinct pre-token is encoded once (table ``counts``).
-2. The HEAD most frequent pre-tokens with their counts are broadcast: a bound on rows, whatever the data.
+2. The most frequent pre-tokens with their counts are broadcast, HEAD at most, whatever the data.
 3. A second pass sums head counts per document where it stands, and sends only the frequencies of other
    pre-tokens through a join with ``counts``; one aggregation by row adds both.
 
@@ -93,6 +93,21 @@ def _tallied(held: Counter) -> pa.RecordBatch:
     return pa.record_batch([pa.array(list(short), pa.string()), pa.array(list(short.values()), pa.int64())], ["pre", "freq"])
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The most frequent rows of counts, most at most: all above a frequency that a histogram on a logarithmic scale gives.
+
+    The histogram has some hundred rows at any size of the data, so nothing is sorted and no task sees all rows.
+    """
+    step = F.floor(F.log2("freq") * 16).alias("step")
+    cut, total = None, 0
+    for r in sorted(counts.groupBy(step).agg(F.count("*").alias("rows")).collect(), key=lambda r: -r["step"]):
+        total += r["rows"]
+        if total > most:
+            break
+        cut = r["step"]
+    return counts.where(F.lit(False) if cut is None else step >= cut)
+
+
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Tokens of every whole text as the model's library gives them, without begin and end tokens.
 
@@ -105,7 +120,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, i
     path = path or model_path()
     docs = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     counts = write_table(distinct_counts(docs, path), "pre-token-counts")
-    head = counts.orderBy(F.desc("freq"), "pre").limit(HEAD).select("pre", "n").toArrow()
+    head = frequent(counts, HEAD).select("pre", "n").toArrow()
     known = spark.sparkContext.broadcast(dict(zip(head["pre"].to_pylist(), head["n"].to_pylist())))
 
     def spread(batches):
