@@ -10,8 +10,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quire.functions import text as T
+from quire.operators.spans import clamp_rising
 
 #: n-gram size, sampling step on pages, and fewest hits of a match: fixed values.
 GRAM, STEP, LEAST = 5, 3, 12
@@ -87,3 +89,28 @@ def align(books: DataFrame, pages: DataFrame) -> DataFrame:
     start, end = source(F.col("page.packed_start")), F.coalesce(source(F.get("pages", F.col("i") + 1)["packed_start"]), F.col("n"))
     last = F.col("i") == F.size("pages") - 1
     return each.select("book_id", "page.page_index", start.alias("char_start"), F.greatest(F.when(last, F.col("n")).otherwise(end), start + 1).alias("char_end"), F.when(F.col("page.matched"), "pdf_text_alignment").otherwise("interpolated").alias("evidence"), F.when(F.col("page.matched"), 0.75).otherwise(0.5).alias("confidence"))
+
+
+#: Reach of a mark, and confidence of a page start by evidence: fixed values.
+SNAP, CONFIRMED, LAYOUT_ONLY, WEAK, FIRST = 250, 0.85, 0.75, 0.6, 0.9
+
+
+def snap(pages: DataFrame, marks: DataFrame, window: int = SNAP) -> DataFrame:
+    """Page starts moved to the nearest mark: (book_id, page_index, char_start, evidence, confidence).
+
+    pages(book_id, page_index, char_start, confidence), marks(book_id, at, kind): running headers and page numbers in the text.
+    The nearest mark within the window wins, ties to the first, then by kind; without one a start stays and is weak. Starts
+    then rise by one or more, and the first page begins the document. Both sides meet in buckets of the window's size.
+    """
+    bucket = lambda c: F.floor(F.col(c) / window)
+    asked = pages.withColumn("_bucket", F.explode(F.array(bucket("char_start") - 1, bucket("char_start"), bucket("char_start") + 1)))
+    near = asked.join(marks.select("book_id", "at", "kind", bucket("at").alias("_bucket")), ["book_id", "_bucket"]).withColumn("_far", F.abs(F.col("at") - F.col("char_start"))).where(F.col("_far") <= window)
+    best = near.groupBy("book_id", "page_index").agg(F.min(F.struct("_far", "at", "kind")).alias("m"))
+    by = Window.partitionBy("book_id").orderBy("page_index")
+    joined = pages.join(best, ["book_id", "page_index"], "left").withColumn("_first", F.first("confidence").over(by)).withColumn("_n", F.row_number().over(by))
+    start = F.when(F.col("_n") == 1, 0).otherwise(F.coalesce("m.at", "char_start"))
+    moved = joined.withColumn("_start", start)
+    rising = clamp_rising(moved, ["book_id"], "page_index", "_start", "_rising")
+    evidence = F.when(F.col("_n") == 1, "document_start").otherwise(F.coalesce("m.kind", F.lit("alignment_only")))
+    confidence = F.when(F.col("_n") == 1, FIRST).when(F.col("m").isNotNull(), CONFIRMED).otherwise(F.least(F.lit(WEAK), F.col("_first")))
+    return rising.select("book_id", "page_index", F.col("_rising").cast("int").alias("char_start"), evidence.alias("evidence"), confidence.alias("confidence"))

@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from quire.functions import text as T
 from quire.operators import constraints as C
 from quire.operators import knowledge as N
+from quire.operators import layout as L
 from quire.operators import matching as M
 from quire.operators import pages as P
 from quire.operators import records as R
@@ -678,6 +679,21 @@ def set_difference(spark, sf_dir) -> DataFrame:
     return R.set_difference(pick("l_quantity > 25"), pick("l_discount < 0.001 and l_tax < 0.001 and l_quantity < 3"))
 
 
+@query("""
+WITH p AS (SELECT user_id, event_id AS s, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS page FROM events WHERE event_type = 'purchase'),
+m AS (SELECT user_id, event_id AS x, event_type AS kind FROM events WHERE event_type IN ('click', 'view')),
+b AS (SELECT user_id, page, x, kind FROM p JOIN m USING (user_id) WHERE abs(x - s) <= 250 QUALIFY row_number() OVER (PARTITION BY user_id, page ORDER BY abs(x - s), x, kind) = 1),
+j AS (SELECT p.user_id, p.page, CASE WHEN p.page = 1 THEN 0 ELSE coalesce(b.x, p.s) END AS v, CASE WHEN p.page = 1 THEN 'document_start' ELSE coalesce(b.kind, 'alignment_only') END AS evidence, CASE WHEN p.page = 1 THEN 0.9 WHEN b.x IS NOT NULL THEN 0.85 ELSE 0.5 END::DOUBLE AS confidence FROM p LEFT JOIN b USING (user_id, page))
+SELECT user_id AS book_id, page::INT AS page_index, (max(v - page) OVER (PARTITION BY user_id ORDER BY page) + page)::INT AS char_start, evidence, confidence FROM j
+""")
+def page_snap(spark, sf_dir) -> DataFrame:
+    """Starts moved to the nearest mark in reach, then made to rise."""
+    e = read(spark, sf_dir, "events").withColumnRenamed("user_id", "book_id")
+    number = F.row_number().over(Window.partitionBy("book_id").orderBy("event_id"))
+    pages = e.where("event_type = 'purchase'").select("book_id", number.alias("page_index"), F.col("event_id").alias("char_start"), F.lit(0.5).alias("confidence"))
+    return P.snap(pages, e.where("event_type in ('click', 'view')").select("book_id", F.col("event_id").alias("at"), F.col("event_type").alias("kind")))
+
+
 # --- folds over books
 
 
@@ -722,3 +738,13 @@ def structure_report(spark, sf_dir) -> DataFrame:
     """The constraints over every built document, counted, with examples."""
     source = books(spark, sf_dir)
     return C.report(V.violations(B.build_books(source), source)).withColumn("examples", F.array_join("examples", "; "))
+
+
+@unchecked
+def line_placement(spark, sf_dir) -> DataFrame:
+    """The sentences of every passage placed on pages of two sentences."""
+    items = read(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("book_id"), F.posexplode(F.split("text", r"(?<=[.]) ")).alias("line_no", "text"))
+    page = (F.floor(F.col("line_no") / 2) + 1).cast("int")
+    lines = items.select("book_id", "line_no", page.alias("page_index"), "text")
+    printed = lines.select("book_id", "page_index", (F.col("line_no") % 2).cast("int").alias("line"), (F.col("line_no") % 2 * 10.0).alias("y0"), F.upper("text").alias("text"))
+    return L.match_lines(lines.withColumn("text", F.lower("text")), printed.withColumn("text", F.lower("text")), LETTER)
