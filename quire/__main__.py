@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators import constraints, spans, structure, validate
-from quire.sources import files
+from quire.sources import files, scratch
 
 
 def main(args: list[str]) -> int:
@@ -39,7 +39,7 @@ def main(args: list[str]) -> int:
     if a.command == "build":
         files.write_json(built, a.out, "relation")
         return 0
-    report = constraints.report(validate.violations(built, books))
+    report = constraints.report(validate.violations(scratch.written(built, "built-books"), books))
     report.show(100, truncate=False)
     return int(report.where("severity = 'error'").count() > 0)
 

@@ -20,7 +20,7 @@ from quire.operators import records as R
 from quire.operators import spans as S
 from quire.operators import structure as B
 from quire.operators import validate as V
-from quire.sources import files
+from quire.sources import files, scratch
 
 FLAGSHIP = "repeated_lines"
 QUERIES: dict = {}
@@ -737,7 +737,7 @@ def knowledge_check(spark, sf_dir) -> DataFrame:
 def structure_report(spark, sf_dir) -> DataFrame:
     """The constraints over every built document, counted, with examples."""
     source = books(spark, sf_dir)
-    return C.report(V.violations(B.build_books(source), source)).withColumn("examples", F.array_join("examples", "; "))
+    return C.report(V.violations(scratch.written(B.build_books(source), "built-books"), source)).withColumn("examples", F.array_join("examples", "; "))
 
 
 @unchecked
