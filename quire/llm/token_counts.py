@@ -50,7 +50,7 @@ def pre_tokens(text: str) -> tuple[list[str], int]:
     return PRE_TOKEN.findall(text), text.count("\n")
 
 
-class Counter1:
+class PieceCounter:
     """Counts the pieces of pre-tokens; opened once per process."""
 
     _open: dict = {}
@@ -80,7 +80,7 @@ def distinct_counts(docs: DataFrame, path: str) -> DataFrame:
         yield _tallied(held)
 
     def encoded(batches):
-        count = Counter1(path)
+        count = PieceCounter(path)
         for b in batches:
             yield pa.record_batch([b.column(0), b.column(1), pa.array(count(b.column(0).to_pylist()), pa.int32())], ["pre", "freq", "n"])
 
@@ -128,7 +128,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, i
 
         A document's own row carries a line end and its number as pre: no pre-token is like it, and the rows spread evenly.
         """
-        count, have = Counter1(path), known.value
+        count, have = PieceCounter(path), known.value
         for b in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
 
