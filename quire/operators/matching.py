@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as ty
 from pyspark.sql.window import Window
 
 from quire.functions.text import let
@@ -70,3 +76,62 @@ def nearest_before(rows: DataFrame, others: DataFrame, keys: list[str], at: str,
     met = rows.join(others, keys)
     after = F.col(other_at) > F.col(at)
     return best_of(met, [*keys, at], [after.asc(), F.abs(F.col(other_at) - F.col(at)).asc(), F.col(other_at).asc()])
+
+
+#: White space as Java's and DuckDB's \s has it; what str.split() takes besides may be part of a term.
+SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
+#: Words whose terms one task remembers at most, and the longest of them.
+KNOWN_WORDS, KNOWN_LENGTH = 200_000, 64
+
+
+def term_shares(texts: DataFrame, items: DataFrame, item_key: str, text: str, item_text: str, least: float = 0.5) -> DataFrame:
+    """(item_key, n_docs, best): how many texts contain a share of least or more of an item's words, and the highest share.
+
+    A word counts as often as the item has it, and is contained if it occurs anywhere, also within a longer
+    word. It has no white space, so it lies within one word of the text: each text is read once, and the
+    parts of its distinct words are looked up among the words of all items. Texts stay where they are; a task
+    returns one row per item. Items must be few: they are held on the driver and sent to each task. Null
+    texts have no share, null items no row.
+    """
+    spelled: dict = {}
+    for key, line in items.where(F.col(item_text).isNotNull()).select(item_key, item_text).collect():
+        spelled.setdefault(key, []).extend(SPACE.split(line))
+    keys, sizes = list(spelled), np.array([len(x) for x in spelled.values()])
+    places: dict[str, list[int]] = {}
+    for k, terms in enumerate(spelled.values()):
+        for t in terms:
+            places.setdefault(t, []).append(k)
+    of = {t: np.array(x) for t, x in places.items()}
+    lengths = sorted({len(t) for t in of} - {0})
+
+    def parts(word: str) -> list[str]:
+        return [w for n in lengths if n <= len(word) for i in range(len(word) - n + 1) if (w := word[i : i + n]) in of]
+
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n_docs, best, n_rows, n_texts, known = np.zeros(len(keys), np.int64), np.zeros(len(keys)), 0, 0, {}
+        for batch in batches:
+            n_rows += batch.num_rows
+            for line in batch.column(0):
+                if (value := line.as_py()) is None:
+                    continue
+                n_texts += 1
+                met = {""} & of.keys()
+                for word in set(SPACE.split(value)):
+                    found = known.get(word)
+                    if found is None:
+                        found = parts(word)
+                        if len(word) <= KNOWN_LENGTH:
+                            if len(known) >= KNOWN_WORDS:
+                                known.clear()
+                            known[word] = found
+                    met.update(found)
+                if met:
+                    shares = np.bincount(np.concatenate([of[t] for t in met]), minlength=len(keys)) / sizes
+                    n_docs += shares >= least
+                    np.maximum(best, shares, out=best)
+        if n_rows and keys:
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(keys)), pa.int64()), pa.array(n_docs), pa.array(best if n_texts else [None] * len(keys), pa.float64())], ["_k", "n_docs", "best"])
+
+    found = texts.select(text).mapInArrow(share, "_k long, n_docs long, best double").groupBy("_k").agg(F.sum("n_docs").alias("n_docs"), F.max("best").alias("best"))
+    names = items.sparkSession.createDataFrame(list(enumerate(keys)), ty.StructType([ty.StructField("_k", ty.LongType()), items.schema[item_key]]))
+    return found.join(F.broadcast(names), "_k").select(item_key, "n_docs", "best")

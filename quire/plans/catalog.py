@@ -488,12 +488,9 @@ h AS (SELECT doc_id, item_id, avg(contains(d.text, t.term)::INT) AS share FROM d
 SELECT item_id, count(*) FILTER (WHERE share >= 0.5)::BIGINT AS n_docs, max(share) AS best FROM h GROUP BY item_id
 """)
 def term_share(spark, sf_dir) -> DataFrame:
-    """The share of an item's terms that a text contains; the items are few and are broadcast, texts stay."""
+    """The share of an item's terms that a text contains, over all texts and terms; the items are few, texts stay."""
     docs, items = read(spark, sf_dir, "documents", "benchmark")
-    terms = items.select("item_id", F.slice(F.split("text", r"\s+"), 1, 5).alias("terms"))
-    share = F.aggregate("terms", F.lit(0), lambda n, t: n + F.contains(F.col("text"), t).cast("int")) / F.size("terms")
-    met = docs.where("doc_id % 10 = 0").select("text").join(F.broadcast(terms), F.lit(True)).select("item_id", share.alias("share"))
-    return met.groupBy("item_id").agg(F.count_if(F.col("share") >= 0.5).alias("n_docs"), F.max("share").alias("best"))
+    return M.term_shares(docs, items, "item_id", "text", "text")
 
 
 # --- constraints
