@@ -135,3 +135,43 @@ def term_shares(texts: DataFrame, items: DataFrame, item_key: str, text: str, it
     found = texts.select(text).mapInArrow(share, "_k long, n_docs long, best double").groupBy("_k").agg(F.sum("n_docs").alias("n_docs"), F.max("best").alias("best"))
     names = items.sparkSession.createDataFrame(list(enumerate(keys)), ty.StructType([ty.StructField("_k", ty.LongType()), items.schema[item_key]]))
     return found.join(F.broadcast(names), "_k").select(item_key, "n_docs", "best")
+
+
+def pair_counts(text: str) -> np.ndarray:
+    """How often each pair of adjacent letters a-z occurs: 676 counts, aa first."""
+    c = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64) - 97
+    inside = (c >= 0) & (c < 26)
+    return np.bincount((c[:-1] * 26 + c[1:])[inside[:-1] & inside[1:]], minlength=676)
+
+
+def closest_by_pairs(rows: DataFrame, lines: DataFrame, keys: list[str], line_key: str, text: str, line: str) -> DataFrame:
+    """For each row the line with the most letter pairs a-z in common: (keys, line_key, common, score = common / row's pairs, cover = common / line's pairs).
+
+    Whole texts, lower-cased here; ties go to the higher cover, then to the smaller line_key. Rows that share no pair with any line
+    are left out; rows that repeat keys stay rows of their own. Lines must be few: their counts (676 each) are
+    held on the driver and sent to each task, and rows stay where they are.
+    """
+    known = [(k, pair_counts(t)) for k, t in lines.where(F.col(line).isNotNull()).select(line_key, F.lower(line)).collect()]
+    known = sorted(((k, c) for k, c in known if c.any()), key=lambda x: (x[1].sum(), x[0]))  # the first of the best wins its ties
+    names, table = [k for k, _ in known], np.array([c for _, c in known]).reshape(-1, 676).T.copy()
+    sizes = table.sum(axis=0)
+    out = ty.StructType([*(rows.schema[k] for k in keys), lines.schema[line_key], ty.StructField("common", ty.LongType()), ty.StructField("score", ty.DoubleType()), ty.StructField("cover", ty.DoubleType())])
+    name_type = lines.select(line_key).limit(0).toArrow().schema.field(0).type
+
+    def closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, won = [], []
+            for i, value in enumerate(batch.column(len(keys))):
+                if names and (value := value.as_py()):
+                    mine = pair_counts(value)
+                    has = np.flatnonzero(mine)
+                    common = np.minimum(table[has], mine[has, None]).sum(axis=0)
+                    k = int(common.argmax())
+                    if common[k]:
+                        at.append(i)
+                        won.append((names[k], int(common[k]), common[k] / mine.sum(), common[k] / sizes[k]))
+            taken = batch.take(pa.array(at, pa.int64()))
+            columns = [pa.array([w[j] for w in won], t) for j, t in enumerate((name_type, pa.int64(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*taken.columns[: len(keys)], *columns], out.names)
+
+    return rows.select(*keys, F.lower(text).alias("_text")).mapInArrow(closest, out)

@@ -444,15 +444,9 @@ s AS (SELECT conv_id, item_id, common::BIGINT AS common, common::DOUBLE / az.z A
 SELECT conv_id, item_id, common, score, cover FROM s QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, cover DESC, item_id) = 1
 """)
 def line_similarity_top(spark, sf_dir) -> DataFrame:
-    """The most similar line by common letter pairs."""
+    """The most similar line of every turn by common letter pairs of whole texts."""
     turns, items = read(spark, sf_dir, "conversations", "benchmark")
-
-    def pairs(df: DataFrame, key: str) -> DataFrame:
-        each = T.let(F.substring(F.lower("text"), 1, 120), lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - 1, F.lit(1))), lambda i: F.substr(t, i, F.lit(2))))
-        return df.select(key, F.explode(each).alias("pair")).where(F.col("pair").rlike("^[a-z]{2}$")).groupBy(key, "pair").agg(F.count("*").alias("n"))
-
-    s = M.multiset_similarity(pairs(turns.where("turn = 0"), "conv_id"), pairs(items, "item_id"), "conv_id", "item_id", "pair")
-    return M.best_of(s, ["conv_id"], [F.desc("score"), F.desc("cover"), F.asc("item_id")])
+    return M.closest_by_pairs(turns, items, ["conv_id", "turn"], "item_id", "text", "text")
 
 
 @query("""

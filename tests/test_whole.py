@@ -1,6 +1,8 @@
 """Registered queries answer for whole tables and whole texts: brute force over small tables of our own."""
 
+import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -32,3 +34,28 @@ def test_term_share_reads_every_text_and_term(run):
     got = run("term_share", documents=(docs, "doc_id long, text string"), benchmark=(ITEMS, "item_id long, text string"))
     assert {r["item_id"]: (r["n_docs"], r["best"]) for r in got.collect()} == want
     assert want[0] == (2, 5 / 7)
+
+
+def test_line_similarity_reads_whole_texts_of_every_turn(run):
+    r = random.Random(5)
+    line = lambda n: "".join(r.choice("abcdeABé \n-") for _ in range(n))
+    items = [(i, line(r.randint(20, 400))) for i in range(12)] + [(12, "a"), (13, None), (14, ""), (-1, "zz")]
+    items.append((20, items[3][1]))
+    turns = [(c, t, line(r.randint(0, 500))) for c in range(6) for t in range(4)] + [(7, 0, None), (7, 1, ""), (7, 2, "é"), (7, 3, "Qq"), (7, 4, "x" * 130 + "ZZ"), (7, 4, items[3][1]), (None, 0, "ab")]
+
+    def pairs(text):
+        return Counter(p for i in range(len(text or "") - 1) if re.fullmatch("[a-z]{2}", p := text.lower()[i : i + 2]))
+
+    want = []
+    for c, t, text in turns:
+        mine, met = pairs(text), []
+        for k, other in items:
+            if n := (mine & pairs(other)).total():
+                met.append((-n / mine.total(), -n / pairs(other).total(), k, n))
+        if met:
+            score, cover, k, n = min(met)
+            want.append((c, t, k, n, -score, -cover))
+    got = run("line_similarity_top", conversations=(turns, "conv_id long, turn long, text string"), benchmark=(items, "item_id long, text string"))
+    assert got.columns == ["conv_id", "turn", "item_id", "common", "score", "cover"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert (7, 4, -1, 1, 1 / 131, 1.0) in want
