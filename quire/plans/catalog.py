@@ -292,7 +292,7 @@ FROM p JOIN c ON p.user_id = c.user_id AND greatest(p.s, c.hs) < least(p.e, c.he
 def span_overlaps(spark, sf_dir) -> DataFrame:
     """Overlap, containment and the shared part."""
     hosts = read(spark, sf_dir, "events").where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("host"), F.col("event_id").alias("hs"), (F.col("event_id") + 400).alias("he"))
-    met = S.intersections(spans(spark, sf_dir).where("event_id % 5 = 0"), hosts, ["user_id"], ("s", "e"), ("hs", "he"))
+    met = S.intersections(spans(spark, sf_dir), hosts, ["user_id"], ("s", "e"), ("hs", "he"))
     return met.select("user_id", "event_id", "host", "char_start", "char_end", ((F.col("hs") <= F.col("s")) & (F.col("e") <= F.col("he"))).alias("contained"))
 
 
@@ -307,7 +307,7 @@ SELECT user_id, label, min(a)::BIGINT AS char_start, max(b)::BIGINT AS char_end
 """)
 def overlay_labels(spark, sf_dir) -> DataFrame:
     """Labels painted in layers, the top one wins."""
-    p = read(spark, sf_dir, "events").where("event_id % 4 = 0").select("user_id", F.col("event_type").alias("label"), F.col("event_id").alias("s"), (F.col("event_id") + 150).alias("e"), F.col("value").alias("layer"), F.col("event_id").alias("seq"))
+    p = read(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("label"), F.col("event_id").alias("s"), (F.col("event_id") + 150).alias("e"), F.col("value").alias("layer"), F.col("event_id").alias("seq"))
     return S.overlay(p, ["user_id"], "s", "e", ["layer", "seq"], "label")
 
 

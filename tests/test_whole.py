@@ -59,3 +59,32 @@ def test_line_similarity_reads_whole_texts_of_every_turn(run):
     assert got.columns == ["conv_id", "turn", "item_id", "common", "score", "cover"]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
     assert (7, 4, -1, 1, 1 / 131, 1.0) in want
+
+
+EVENTS = "event_id long, user_id long, event_type string, value double"
+
+
+def events(seed):
+    r = random.Random(seed)
+    return [(i, r.randint(0, 3), r.choice(["purchase", "click", "view"]), float(r.randint(0, 500))) for i in sorted(r.sample(range(2000), 160))]
+
+
+def test_span_overlaps_takes_every_span(run):
+    rows = events(6)
+    got = run("span_overlaps", events=(rows, EVENTS))
+    spans = [(u, i, i, i + 3 * int(value)) for i, u, _, value in rows]
+    hosts = [(u, i, i, i + 400) for i, u, kind, _ in rows if kind == "purchase"]
+    want = [(u, i, h, max(s, hs), min(e, he), hs <= s and e <= he) for u, i, s, e in spans for v, h, hs, he in hosts if u == v and max(s, hs) < min(e, he)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert {x[1] % 5 for x in want} == set(range(5))
+
+
+def test_overlay_labels_paints_every_event(run):
+    rows, paint = events(7), {}
+    for i, u, label, _ in sorted(rows, key=lambda x: (x[3], x[0])):
+        paint |= {(u, p): label for p in range(i, i + 150)}
+    edges = sorted(k for k in paint if paint.get((k[0], k[1] - 1)) != paint[k])
+    ends = sorted((u, p + 1) for u, p in paint if paint.get((u, p + 1)) != paint[u, p])
+    want = [(u, paint[u, a], a, b) for (u, a), (_, b) in zip(edges, ends, strict=True)]
+    got = run("overlay_labels", events=(rows, EVENTS)).select("user_id", "label", "char_start", "char_end")
+    assert sorted(map(tuple, got.collect())) == sorted(want)
