@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quire.sources import scratch
+
 
 def line_table(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, line_no, char_start, char_end, line): lines split at LF, the LF left out; null texts have none."""
@@ -166,3 +168,22 @@ def nth(rows: DataFrame, keys: list[str], order: list[str], which: int) -> DataF
 def numbered(rows: DataFrame, keys: list[str], order: list[str], pattern: str, name: str) -> DataFrame:
     """Identifiers by order, as in pattern (unit_%03d)."""
     return rows.withColumn(name, F.format_string(pattern, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))))
+
+
+def placed(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """The place of every row in one order of the whole table, from 1.
+
+    A range sort numbers the rows of each part, and the parts before it give what to add; no task sees all
+    rows. The sorted rows are written once, so that both passes see the same parts. Only a count for
+    each part goes to the driver.
+    """
+    within = (1 << 33) - 1  # monotonically_increasing_id has the part above the row's 33 bits
+    ordered = scratch.written(rows.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()), "placed")
+    counts = ordered.groupBy(F.shiftright("_id", 33).alias("_part")).agg(F.count("*").alias("n")).collect()
+    before, total = [], 0
+    for part, n in sorted(map(tuple, counts)):
+        before.append((part, total))
+        total += n
+    offsets = rows.sparkSession.createDataFrame(before, "_part long, _before long")
+    met = ordered.withColumn("_part", F.shiftright("_id", 33)).join(F.broadcast(offsets), "_part")
+    return met.withColumn(name, F.col("_before") + F.col("_id").bitwiseAND(F.lit(within)) + 1).drop("_id", "_part", "_before")

@@ -68,10 +68,9 @@ def json_fields(spark, sf_dir) -> DataFrame:
 
 @query("SELECT page_id, regexp_extract(url, '[0-9]+')  AS page_no, row_number() OVER (ORDER BY url, page_id)::INT AS place FROM pages WHERE page_id < 0 OR true QUALIFY place <= 200")
 def first_pages_by_name(spark, sf_dir) -> DataFrame:
-    """S9, 2.7: the first 200 names in order, with the first run of digits in each."""
-    pages = read(spark, sf_dir, "pages").orderBy("url", "page_id").limit(200)
-    number = F.regexp_extract("url", "[0-9]+", 0)
-    return pages.select("page_id", number.alias("page_no"), F.row_number().over(Window.orderBy("url", "page_id")).alias("place"))
+    """Every name in order, with the first run of digits in each and its place."""
+    pages = S.placed(read(spark, sf_dir, "pages").select("page_id", "url"), [F.col("url").asc_nulls_last(), F.col("page_id")], "place")
+    return pages.select("page_id", F.regexp_extract("url", "[0-9]+", 0).alias("page_no"), F.col("place").cast("int").alias("place"))
 
 
 # --- text

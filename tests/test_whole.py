@@ -5,7 +5,9 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from quire.operators import spans
 from quire.plans import catalog
 
 
@@ -72,9 +74,9 @@ def events(seed):
 def test_span_overlaps_takes_every_span(run):
     rows = events(6)
     got = run("span_overlaps", events=(rows, EVENTS))
-    spans = [(u, i, i, i + 3 * int(value)) for i, u, _, value in rows]
+    asked = [(u, i, i, i + 3 * int(value)) for i, u, _, value in rows]
     hosts = [(u, i, i, i + 400) for i, u, kind, _ in rows if kind == "purchase"]
-    want = [(u, i, h, max(s, hs), min(e, he), hs <= s and e <= he) for u, i, s, e in spans for v, h, hs, he in hosts if u == v and max(s, hs) < min(e, he)]
+    want = [(u, i, h, max(s, hs), min(e, he), hs <= s and e <= he) for u, i, s, e in asked for v, h, hs, he in hosts if u == v and max(s, hs) < min(e, he)]
     assert sorted(map(tuple, got.collect())) == sorted(want)
     assert {x[1] % 5 for x in want} == set(range(5))
 
@@ -88,3 +90,16 @@ def test_overlay_labels_paints_every_event(run):
     want = [(u, paint[u, a], a, b) for (u, a), (_, b) in zip(edges, ends, strict=True)]
     got = run("overlay_labels", events=(rows, EVENTS)).select("user_id", "label", "char_start", "char_end")
     assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_every_page_has_its_place(run):
+    r = random.Random(8)
+    pages = [(i, f"http://{r.choice('abc')}.example/{r.randint(0, 99)}{r.choice(['', '?page=2'])}") for i in range(700)] + [(700, "http://none.example/"), (701, None)]
+    r.shuffle(pages)
+    ordered = sorted(pages, key=lambda x: (x[1] is None, x[1] or "", x[0]))
+    want = [(i, None if url is None else "".join(re.findall("[0-9]+", url)[:1]), place) for place, (i, url) in enumerate(ordered, 1)]
+    got = run("first_pages_by_name", pages=(pages, "page_id long, url string"))
+    assert dict(got.dtypes)["place"] == "int"
+    assert sorted(map(tuple, got.collect()), key=lambda x: x[2]) == want
+    empty = spans.placed(got.where("false"), [F.col("page_id")], "nth")
+    assert empty.columns[-1] == "nth" and empty.count() == 0
