@@ -12,6 +12,7 @@ scanned in one pass whose memory is its tokens; files are rows, so nothing is sh
 
 from __future__ import annotations
 
+from bisect import bisect_left as bisect
 from collections import deque
 from dataclasses import dataclass, field
 
@@ -149,29 +150,58 @@ def statistics(a: Automaton, ids: list[int]):
         yield state, length
 
 
-def best_chain(matches: list[tuple[int, int, int]]) -> int:
-    """Most template tokens covered by matches (text end, template end, length) in order in both, at most MAX_GAP words apart.
+def chains(matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """For each match (text end, template end, length) the best chain that ends with it: (template tokens covered, text begin, text end).
 
-    A match may overlap its predecessor; it then counts with what lies past it in both. Only matches
+    A chain's matches are in order in both, at most MAX_GAP words apart. A match may overlap its predecessor; it
+    then counts with what lies past it in both. Of chains that cover as much the shortest is taken. Only matches
     within reach are compared, so the time grows with the text and not with its square.
     """
     reach = MAX_GAP + max((n for _, _, n in matches), default=0)
     near: deque = deque()
-    most = 0
+    out = []
     for e, p, n in sorted(set(matches)):
         while near and near[0][0] < e - reach:
             near.popleft()
-        top = n
-        for e0, p0, have in near:
+        top = (n, e - n)
+        for e0, p0, (have, begin) in near:
             if e0 < e and p0 < p and e - n - e0 <= MAX_GAP:
-                top = max(top, have + min(n, e - e0, p - p0))
+                top = max(top, (have + min(n, e - e0, p - p0), begin))
         near.append((e, p, top))
-        most = max(most, top)
-    return most
+        out.append((*top, e))
+    return out
+
+
+def covered_spans(matches: list[tuple[int, int, int]], least: float) -> list[tuple[int, int, int]]:
+    """Chains that cover least template tokens or more, the best first and none overlapping another, in text order.
+
+    What lies between accepted chains is chained again without them, until nothing more is accepted.
+    """
+    accepted, open_parts = [], [matches]
+    while open_parts:
+        part = open_parts.pop()
+        taken: list[tuple[int, int, int]] = []  # in text order
+        for have, begin, end in sorted((c for c in chains(part) if c[0] >= least), key=lambda c: (-c[0], c[2] - c[1], c[1])):
+            at = bisect(taken, begin, key=lambda c: c[1])
+            if (not at or taken[at - 1][2] <= begin) and (at == len(taken) or taken[at][1] >= end):
+                taken.insert(at, (have, begin, end))
+        if taken:
+            accepted += taken
+            rest: dict[int, list] = {}
+            for e, p, n in part:
+                at = bisect(taken, e - n, key=lambda c: c[1])
+                if (not at or taken[at - 1][2] <= e - n) and (at == len(taken) or taken[at][1] >= e):
+                    rest.setdefault(at, []).append((e, p, n))
+            open_parts += rest.values()
+    return sorted(accepted, key=lambda c: c[1])
 
 
 def scan(a: Automaton, text: str | None, min_match: int = MIN_MATCH, cover: float = COVER) -> dict:
-    """One file: number of words, places of base phrases, labels and the best cover of a template."""
+    """One file: number of words, places of base phrases, labels, the best cover of a template, and spans.
+
+    spans has every place of a base phrase and every chain that earns its template's label, as (template,
+    label, first_word, last_word, cover); templates count on from the phrases, and last_word is inclusive.
+    """
     words = words_of(text)
     n = len(words)
     ids = np.fromiter((a.vocabulary.get(w, -1) for w in words), np.int64, n)
@@ -180,25 +210,27 @@ def scan(a: Automaton, text: str | None, min_match: int = MIN_MATCH, cover: floa
     # a match lies within a run of known tokens, so shorter runs hold neither matches that count nor phrases
     fewest = min([min_match, *a.sizes[: a.n_phrases]])
     long_enough = ends - begins >= fewest
-    n_base, starts, base, found = 0, [], set(), {}
+    base, found = [], {}
     for b, e in zip(begins[long_enough].tolist(), ends[long_enough].tolist()):
         last = (0, 0, 0)
         for i, (state, length) in enumerate(statistics(a, ids[b:e].tolist()), b + 1):
             for k in a.endings[state]:
                 if a.sizes[k] <= length:
-                    n_base += 1
-                    starts.append(i - a.sizes[k])
-                    base.add(a.labels[k])
+                    base.append((k, i - a.sizes[k], i))
             if length <= last[1] and last[1] >= min_match:
                 _note(a, found, last)
             last = (state, length, i)
         if last[1] >= min_match:
             _note(a, found, last)
-    scores = {k: best_chain(m) / a.sizes[k] for k, m in found.items()}
-    labels = base | {a.labels[k] for k, s in scores.items() if s >= cover}
+    best = {k: max(have for have, _, _ in chains(m)) / a.sizes[k] for k, m in found.items()}
+    spans = {place: 1.0 for place in base}
+    for k in (k for k, x in best.items() if x >= cover):
+        spans |= {(k, begin, end): have / a.sizes[k] for have, begin, end in covered_spans(found[k], cover * a.sizes[k]) if (k, begin, end) not in spans}
+    starts = [begin for _, begin, _ in base]
     return {
-        "n_words": n, "n_base": n_base, "first_word": min(starts, default=None), "last_word": max(starts, default=None),
-        "base_labels": ",".join(sorted(base)), "labels": ",".join(sorted(labels)), "score": min(1.0, max(scores.values(), default=0.0)),
+        "n_words": n, "n_base": len(base), "first_word": min(starts, default=None), "last_word": max(starts, default=None),
+        "base_labels": ",".join(sorted({a.labels[k] for k, _, _ in base})), "labels": ",".join(sorted({a.labels[k] for k, _, _ in spans})), "score": min(1.0, max(best.values(), default=0.0)),
+        "spans": [dict(zip(SPAN, (k, a.labels[k], begin, end - 1, x))) for (k, begin, end), x in sorted(spans.items(), key=lambda y: (y[0][1], y[0]))],
     }
 
 
@@ -209,13 +241,14 @@ def _note(a: Automaton, found: dict, match: tuple[int, int, int]) -> None:
             found.setdefault(k, []).append((end, p, length))
 
 
-COLUMNS = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
+COLUMNS = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<template:int,label:string,first_word:long,last_word:long,cover:double>>"
+SPAN = {"template": pa.int32(), "label": pa.string(), "first_word": pa.int64(), "last_word": pa.int64(), "cover": pa.float64()}
 
 
 def scan_files(docs: DataFrame, automaton: Automaton | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Scan every whole text. Returns (doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score).
+    """Scan every whole text. Returns (doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans).
 
-    One row per row of docs, repeated rows and null ids included. Null and empty texts have no words,
+    spans are the accepted templates with their places, see scan(); labels are theirs. One row per row of docs, repeated rows and null ids included. Null and empty texts have no words,
     no places, empty labels and score 0. Places of one phrase may overlap and are all counted. Other
     columns are left out, so their names cannot clash. An empty table gives an empty one.
     """
@@ -226,7 +259,7 @@ def scan_files(docs: DataFrame, automaton: Automaton | None = None, id_column: s
     @F.arrow_udf(COLUMNS)
     def scanned(texts: pa.Array) -> pa.Array:
         rows = [scan(shared.value, t.as_py()) for t in texts]
-        kinds = {"n_words": pa.int64(), "n_base": pa.int64(), "first_word": pa.int64(), "last_word": pa.int64(), "score": pa.float64()}
+        kinds = {"n_words": pa.int64(), "n_base": pa.int64(), "first_word": pa.int64(), "last_word": pa.int64(), "score": pa.float64(), "spans": pa.list_(pa.struct(list(SPAN.items())))}
         names = [c.split()[0] for c in COLUMNS.split(", ")]
         return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], kinds.get(k, pa.string())) for k in names], names)
 
@@ -235,4 +268,5 @@ def scan_files(docs: DataFrame, automaton: Automaton | None = None, id_column: s
 
 
 def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_files(table(spark, sf_dir, "documents"))
+    """The contract's columns, which need no spans."""
+    return scan_files(table(spark, sf_dir, "documents")).drop("spans")
