@@ -501,5 +501,5 @@ def decode_pieces(encoded: DataFrame, path: str | None = None, ids_column: str =
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two sampled segmentations per document, by a hash of their ids."""
-    return sample_pieces(table(spark, sf_dir, "documents"), with_ids=False)
+    """Two sampled segmentations per document, with their ids."""
+    return sample_pieces(table(spark, sf_dir, "documents"))
