@@ -120,6 +120,15 @@ def components(pairs: DataFrame) -> DataFrame:
         state = now
 
 
+def _rooted(docs: DataFrame, radius: int, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) per row of docs, and (fp, first_id, root) per fingerprint: its smallest id and its component."""
+    marked = write_table(docs.select(F.col(id_column).alias("doc_id"), fingerprints(docs, text_column).alias("fp")), "fingerprints")
+    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    nodes = write_table(nodes, "fingerprint-nodes")
+    roots = components(links(nodes.select("fp"), radius))
+    return marked, nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+
+
 def classes(docs: DataFrame, radius: int = RADIUS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) per row of docs, and what classes() of it means.
 
@@ -128,36 +137,40 @@ def classes(docs: DataFrame, radius: int = RADIUS, id_column: str = "doc_id", te
     null id take part as nodes, and get the smallest id of their component, null if it has none.
     Repeated rows stay. Other columns are left out. An empty table gives an empty one.
     """
-    marked = write_table(docs.select(F.col(id_column).alias("doc_id"), fingerprints(docs, text_column).alias("fp")), "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    nodes = write_table(nodes, "fingerprint-nodes")
-    roots = components(links(nodes.select("fp"), radius))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    marked, rooted = _rooted(docs, radius, id_column, text_column)
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     lookup = rooted.join(named, "root").select("fp", "component_id")
     return marked.join(lookup, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of docs whose id is the smallest of their component, each id once; rows with a null id stay only if their component has no id, once per component.
+    """One row of docs per component: that of its smallest id and, of that id's rows in it, of the smallest fingerprint. Rows with a null id stay only if their component has no id, once per component.
 
-    The decision is made on ids and fingerprints; texts move once, to meet it, and repeated rows of a
-    kept id are thinned to one by a window over the few that there are.
+    An id that occurs with different texts may be kept once in each of their components. The decision is made
+    on ids and fingerprints; texts move once, to meet it, and only those of ids with several fingerprints are
+    marked again. Repeated rows are thinned to one by a window over the few that there are.
     """
-    found = classes(docs, radius, id_column, text_column)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("fp").alias("fp")).where("doc_id is not null")
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp"))
+    marked, rooted = _rooted(docs, radius, id_column, text_column)
+    chosen = rooted.groupBy("root").agg(F.min(F.when(F.col("first_id").isNotNull(), F.struct("first_id", "fp"))).alias("k"), F.min("fp").alias("fp"))
+    kept = chosen.where("k is not null").select(F.col("k.first_id").alias("kept_id"), F.col("k.fp").alias("kept_fp"))
+    mixed = marked.where("doc_id is not null").groupBy(F.col("doc_id").alias("kept_id")).agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a < b").select("kept_id")
+    mixed = write_table(mixed, "mixed-ids")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     whole = docs.select(F.col(id_column).alias("own_id"), F.xxhash64(F.col(text_column)).alias("content"), row)
-    one = whole.join(kept, F.col("own_id") == F.col("kept_id"))
+    one = whole.join(kept.join(mixed, "kept_id", "left_anti"), F.col("own_id") == F.col("kept_id"))
     first = F.row_number().over(Window.partitionBy("own_id").orderBy("content"))
     named = one.withColumn("nth", first).where("nth = 1").select("row")
-    nameless = whole.where("own_id is null")
-    lost = found.where("doc_id is null and component_id is null").groupBy("fp").agg(F.count("*"))
     pieces = [named.select("row.*")]
+    if not mixed.isEmpty():
+        again = whole.join(mixed, F.col("own_id") == F.col("kept_id"), "left_semi").withColumn("text", F.col(f"row.`{text_column}`"))
+        again = again.withColumn("fp", fingerprints(again)).join(kept, (F.col("own_id") == F.col("kept_id")) & (F.col("fp") == F.col("kept_fp")))
+        pieces.append(again.withColumn("nth", F.row_number().over(Window.partitionBy("own_id", "fp").orderBy("content"))).where("nth = 1").select("row.*"))
+    nameless = whole.where("own_id is null")
+    lost = chosen.where("k is null").select("fp")
     if not lost.isEmpty():
-        marked = nameless.withColumn("fp", fingerprints(nameless.withColumn("text", F.col(f"row.{text_column}")), f"row.{text_column}"))
-        pieces.append(marked.join(lost.select("fp"), "fp").withColumn("nth", F.row_number().over(Window.partitionBy("fp").orderBy("content"))).where("nth = 1").select("row.*"))
+        marked = nameless.withColumn("text", F.col(f"row.`{text_column}`"))
+        marked = marked.withColumn("fp", fingerprints(marked))
+        pieces.append(marked.join(lost, "fp").withColumn("nth", F.row_number().over(Window.partitionBy("fp").orderBy("content"))).where("nth = 1").select("row.*"))
     return reduce(DataFrame.unionByName, pieces)
 
 
