@@ -66,7 +66,7 @@ def json_fields(spark, sf_dir) -> DataFrame:
     return events.groupBy("no_key", "event_type").agg(F.count("*").alias("n"))
 
 
-@query("SELECT page_id, regexp_extract(url, '[0-9]+')  AS page_no, row_number() OVER (ORDER BY url, page_id)::INT AS place FROM pages WHERE page_id < 0 OR true QUALIFY place <= 200")
+@query("SELECT page_id, regexp_extract(url, '[0-9]+') AS page_no, row_number() OVER (ORDER BY url NULLS LAST, page_id)::INT AS place FROM pages")
 def first_pages_by_name(spark, sf_dir) -> DataFrame:
     """Every name in order, with the first run of digits in each and its place."""
     pages = S.placed(read(spark, sf_dir, "pages").select("page_id", "url"), [F.col("url").asc_nulls_last(), F.col("page_id")], "place")
@@ -286,7 +286,7 @@ def adjacent_overlap(spark, sf_dir) -> DataFrame:
 @query(f"""
 WITH p AS ({SPANS}), c AS (SELECT user_id, event_id AS host, event_id AS hs, event_id + 400 AS he FROM events WHERE event_type = 'purchase')
 SELECT p.user_id, p.event_id, c.host, greatest(p.s, c.hs)::BIGINT AS char_start, least(p.e, c.he)::BIGINT AS char_end, (c.hs <= p.s AND p.e <= c.he) AS contained
-FROM p JOIN c ON p.user_id = c.user_id AND greatest(p.s, c.hs) < least(p.e, c.he) WHERE p.event_id % 5 = 0
+FROM p JOIN c ON p.user_id = c.user_id AND greatest(p.s, c.hs) < least(p.e, c.he)
 """)
 def span_overlaps(spark, sf_dir) -> DataFrame:
     """Overlap, containment and the shared part."""
@@ -296,7 +296,7 @@ def span_overlaps(spark, sf_dir) -> DataFrame:
 
 
 @query("""
-WITH p AS (SELECT user_id, event_type AS label, event_id AS s, event_id + 150 AS e, value AS layer, event_id AS seq FROM events WHERE event_id % 4 = 0),
+WITH p AS (SELECT user_id, event_type AS label, event_id AS s, event_id + 150 AS e, value AS layer, event_id AS seq FROM events),
 a AS (SELECT DISTINCT user_id, unnest([s, e]) AS a FROM p),
 c AS (SELECT user_id, a, lead(a) OVER (PARTITION BY user_id ORDER BY a) AS b FROM a),
 t AS (SELECT c.user_id, c.a, c.b, arg_max(p.label, {'l': p.layer, 'q': p.seq}) AS label FROM c JOIN p ON p.user_id = c.user_id AND p.s <= c.a AND c.b <= p.e WHERE c.b IS NOT NULL GROUP BY ALL),
@@ -431,16 +431,18 @@ def ngram_hits(spark, sf_dir) -> DataFrame:
 
 
 PAIRS = """
-{n} AS (SELECT {k}, pair, count(*) AS n FROM (SELECT {k}, unnest(list_transform(range(1, length(t)), lambda i: substr(t, i::INT, 2))) AS pair FROM (SELECT {k}, substr(lower(text), 1, 120) AS t FROM {t})) WHERE regexp_full_match(pair, '[a-z]+') GROUP BY ALL),
+{n} AS (SELECT {k}, pair, count(*) AS n FROM (SELECT {k}, unnest(list_transform(range(1, length(t)), lambda i: substr(t, i::INT, 2))) AS pair FROM (SELECT {k}, lower(text) AS t FROM {t})) WHERE regexp_full_match(pair, '[a-z]+') GROUP BY ALL),
 {n}z AS (SELECT {k}, sum(n) AS z FROM {n} GROUP BY ALL)
 """
 
 
 @query(f"""
-WITH {PAIRS.format(n='a', k='conv_id', t='(SELECT conv_id, text FROM conversations WHERE turn = 0)')}, {PAIRS.format(n='b', k='item_id', t='benchmark')},
-c AS (SELECT conv_id, item_id, sum(least(a.n, b.n)) AS common FROM a JOIN b USING (pair) GROUP BY ALL),
-s AS (SELECT conv_id, item_id, common::BIGINT AS common, common::DOUBLE / az.z AS score, common::DOUBLE / bz.z AS cover FROM c JOIN az USING (conv_id) JOIN bz USING (item_id))
-SELECT conv_id, item_id, common, score, cover FROM s QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, cover DESC, item_id) = 1
+WITH turns AS (SELECT row_number() OVER () AS r, conv_id, turn, text FROM conversations),
+{PAIRS.format(n='a', k='r', t='turns')}, {PAIRS.format(n='b', k='item_id', t='benchmark')},
+c AS (SELECT r, item_id, sum(least(a.n, b.n)) AS common FROM a JOIN b USING (pair) GROUP BY ALL),
+s AS (SELECT r, item_id, common::BIGINT AS common, common::DOUBLE / az.z AS score, common::DOUBLE / bz.z AS cover FROM c JOIN az USING (r) JOIN bz USING (item_id)),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, cover DESC, item_id) = 1)
+SELECT conv_id, turn, item_id, common, score, cover FROM best JOIN turns USING (r)
 """)
 def line_similarity_top(spark, sf_dir) -> DataFrame:
     """The most similar line of every turn by common letter pairs of whole texts."""
@@ -476,8 +478,8 @@ def lookback_owner_score(spark, sf_dir) -> DataFrame:
 
 
 @query(r"""
-WITH t AS (SELECT item_id, unnest(string_split_regex(text, '\s+')[1:5]) AS term FROM benchmark), d AS (SELECT doc_id, text FROM documents WHERE doc_id % 10 = 0),
-h AS (SELECT doc_id, item_id, avg(contains(d.text, t.term)::INT) AS share FROM d, t GROUP BY ALL)
+WITH t AS (SELECT item_id, unnest(string_split_regex(text, '\s+')) AS term FROM benchmark),
+h AS (SELECT doc_id, item_id, avg(contains(d.text, t.term)::INT) AS share FROM documents d, t GROUP BY ALL)
 SELECT item_id, count(*) FILTER (WHERE share >= 0.5)::BIGINT AS n_docs, max(share) AS best FROM h GROUP BY item_id
 """)
 def term_share(spark, sf_dir) -> DataFrame:
