@@ -1,98 +1,155 @@
 """Exact top-k search by no-random-access aggregation.
 
-Every dimension of a block of candidates is a list sorted by value. A query reads all lists in step, from
-the end that its weight for the dimension prefers. A candidate's lower bound adds the worst entry of each
-list in which it has not been seen to what has been seen of it, its upper bound adds the entry that the
-list stands at. Reading stops when no candidate outside the k best lower bounds, and none unseen, can
-reach the k-th; the sums of those still in question are then completed.
-
-Queries and candidates meet in blocks: each cell of the grid (query block, candidate block) is one task
-with a bounded number of rows on both sides, and gives at most k rows per query. A second step keeps the
-k best per query.
+Every dimension of a block of candidates is a list sorted by value, read from the end that a query's weight
+for the dimension prefers. Reading goes in stages, all lists in step and whole ties at once. A candidate's
+lower bound adds the worst entry of each list in which it has not been seen to what has been seen of it, its
+upper bound adds the entry that the list stands at. A query stops when no candidate outside a few can reach
+the k-th lower bound; the scores of those few are then completed. What a stage has read of a list is the same
+for all queries, so the bounds of a whole batch of queries are two matrix products.
+
+Queries and candidates meet in square cells of a grid (query block, candidate block), a bounded number of
+rows on both sides each, so a row is copied once for every BLOCK rows of the other side. The cells of the first
+candidate block run first; a query's k-th score there is a floor, below which later cells drop candidates at
+once and return nothing. A last step keeps the k best per query.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.llm._shared import table
+from quire.llm._shared import table, write_table
 
 K = 10
-#: Vectors of a candidate block and of a query block.
-CANDIDATES, QUERIES = 4096, 256
-#: Entries of every list that one step reads, at first; steps double.
-STEP = 64
+#: Vectors of a candidate block at most, and of a query block; small tables are cut finer, for at least PARTS candidate blocks of LEAST rows.
+BLOCK, LEAST, PARTS = 1 << 15, 1 << 12, 16
+#: Share of every list that has been read after each stage but the last, which reads all.
+STAGES = (1 / 8, 1 / 2, 3 / 4)
 #: Reading stops early once no more than this many times k candidates are left; their scores are then completed.
 RESOLVE = 4
+#: Queries whose bounds are computed together: a task holds as many bounds of every candidate of a block.
+BATCH = 128
 SCALE = 1024
 FOUND = "query_id long, vec_id long, score long"
+_LONG = 2**63
 
 
 def integers(embeddings: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     """(vec_id, v): every vector as floor(1024 * x) per component; vectors null or with null or non-finite components left out."""
     v = F.transform(F.col(vector_column), lambda x: x.cast("double"))
     sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    rows = embeddings.select(F.col(id_column).alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & sound)
+    rows = embeddings.select(F.col(id_column).cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & sound)
     return rows.select("vec_id", F.transform("v", lambda x: F.floor(x * SCALE)).alias("v"))
 
 
 class Lists:
-    """The sorted lists of a block of candidates (rows ordered by id), to be read from either end."""
+    """The sorted lists of a block of candidates of one width."""
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         self.ids, self.values = ids, values
-        self.up = np.argsort(values, axis=0, kind="stable")
-        self.down = self.up[::-1]
-        self.rising = np.take_along_axis(values, self.up, axis=0).astype(np.float64)
-        self.falling = self.rising[::-1]
-
-    def top(self, query: np.ndarray, k: int, skip: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best candidates, ties to smaller ids; skip is an id that takes no part."""
-        n, dims = self.values.shape
-        weights = query.astype(np.float64)
-        forward = weights > 0
-        loss = weights * np.where(forward, self.falling[-1], self.rising[-1])
-        # entries still unread count as the list's worst in lower, and as the entry read last in upper
-        lower, unread = np.full(n, loss.sum()), np.ones((n, dims), bool)
-        slack = 1e-9 * float(np.abs(weights) @ np.maximum(np.abs(self.rising[0]), np.abs(self.rising[-1])))
-        alive = np.flatnonzero(self.ids != skip) if skip is not None else np.arange(n)
-        at, step = 0, STEP
-        while at < n and len(alive) > RESOLVE * k:
-            to = min(n, at + step)
-            who = np.where(forward, self.down[at:to], self.up[at:to])
-            worth = np.where(forward, self.falling[at:to], self.rising[at:to]) * weights
-            lower += np.bincount(who.ravel(), (worth - loss).ravel(), minlength=n)
-            unread.reshape(-1)[(who * dims + np.arange(dims)).ravel()] = False
-            least = lower[alive]
-            kth = np.partition(least, len(least) - k)[len(least) - k]
-            # a candidate that no list has shown yet has an upper bound too, so outsiders are covered
-            alive = alive[least + unread[alive] @ (worth[-1] - loss) >= kth - slack]
-            at, step = to, step * 2
-        scores = self.values[alive] @ query
-        best = np.lexsort((self.ids[alive], -scores))[:k]
-        return self.ids[alive][best], scores[best]
-
-
-def search_cell(candidates: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
+        self.order = np.argsort(ids, kind="stable")
+        self.own = ids[self.order]
+        self.v = values.astype(np.float64)
+        self.rising = np.sort(self.v, axis=0)
+
+    def read(self, share: float) -> tuple[np.ndarray, np.ndarray]:
+        """What bounds know when this share of the lists is read from the top and from the bottom: lower and upper, (candidates, 2 * dims).
+
+        An entry that is read counts as itself; another counts as its list's worst entry in lower, and as the entry
+        the list stands at in upper. Columns are for weights above and below zero, in this order.
+        """
+        n, last = len(self.v), int(len(self.v) * share)
+        top, bottom = self.rising[n - 1 - last], self.rising[last]
+        down, up = self.v >= top, self.v <= bottom
+        worst = np.concatenate([np.where(down, self.v, self.rising[0]), np.where(up, self.v, self.rising[-1])], axis=1)
+        return worst, np.concatenate([np.where(down, self.v, top), np.where(up, self.v, bottom)], axis=1)
+
+    def _selves(self, query_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, candidate) places of equal ids."""
+        a, b = np.searchsorted(self.own, query_ids), np.searchsorted(self.own, query_ids, side="right")
+        many = b - a
+        who = np.repeat(np.arange(len(query_ids)), many)
+        return who, self.order[np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(a, many)]
+
+    def top(self, query_ids: np.ndarray, queries: np.ndarray, k: int, floors: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query ids and scores of its k best candidates, ties to smaller ids, its own id left out; those under its floor may be left out."""
+        n = len(self.ids)
+        w = queries.astype(np.float64)
+        weights = np.concatenate([np.maximum(w, 0), np.minimum(w, 0)], axis=1)
+        # rounding of a bound; without any if all sums are whole numbers that floats hold
+        slack = 1e-9 * (np.abs(w) @ np.maximum(np.abs(self.rising[0]), np.abs(self.rising[-1])))
+        least = np.full(len(w), -np.inf) if floors is None else floors.astype(np.float64)
+        out: list = [None] * len(w)
+        open_ = np.arange(len(w))
+        for share in (*STAGES, None):
+            if not len(open_):
+                break
+            lower, upper = (self.v, None) if share is None else self.read(share)
+            left = []
+            for i in range(0, len(open_), BATCH):
+                some = open_[i : i + BATCH]
+                weight = w[some] if upper is None else weights[some]
+                low = weight @ lower.T
+                high = low if upper is None else weight @ upper.T
+                low[self._selves(query_ids[some])] = -np.inf
+                high[low == -np.inf] = -np.inf
+                if n > k:
+                    least[some] = np.maximum(least[some], np.partition(low, n - k, axis=1)[:, n - k])
+                alive = high >= (least[some] - slack[some])[:, None]
+                alive &= high > -np.inf
+                many = alive.sum(axis=1)
+                for row, q in enumerate(some.tolist()):
+                    if upper is None or many[row] <= RESOLVE * k:
+                        out[q] = self._resolve(np.flatnonzero(alive[row]), queries[q], k)
+                    else:
+                        left.append(q)
+            open_ = np.array(left, np.int64)
+        return out
+
+    def _resolve(self, who: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of some candidates by their exact scores."""
+        some = self.values[who]
+        largest = float(np.abs(some.astype(np.float64)).max(initial=0)) * float(np.abs(query.astype(np.float64)).max(initial=0)) * len(query)
+        if largest < 2**62:
+            scores = some @ query
+        else:  # beyond 64 bits: exact, then held at the ends of the type
+            exact = [sum(a * b for a, b in zip(row, query.tolist())) for row in some.tolist()]
+            scores = np.array([min(max(x, -_LONG), _LONG - 1) for x in exact], np.int64)
+        best = sorted(range(len(who)), key=lambda i: (-int(scores[i]), int(self.ids[who[i]])))[:k] if len(who) <= 256 else np.lexsort((self.ids[who], ~scores))[:k]
+        return self.ids[who][best], scores[best]
+
+
+def _by_width(rows: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows (vec_id, v, floor) by the width of v: places, ids and vectors."""
+    ids = rows["vec_id"].to_numpy().astype(np.int64)
+    v = rows["v"].combine_chunks()
+    v = v.chunk(0) if isinstance(v, pa.ChunkedArray) else v
+    offsets, flat = v.offsets.to_numpy(), v.values.to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = np.diff(offsets)
+    out = {}
+    for width in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == width)
+        out[width] = at, ids[at], flat[offsets[at][:, None] + np.arange(width)]
+    return out
+
+
+def search_cell(candidates: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     """The k best of a candidate block for every query of a query block."""
-    if not len(candidates) or not len(queries):
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-    found = []
-    widths = candidates["v"].map(len)
-    lists = {}
-    for width, block in candidates.groupby(widths):
-        block = block.sort_values("vec_id", kind="stable")
-        if width:
-            lists[width] = Lists(block["vec_id"].to_numpy(np.int64), np.stack(block["v"].to_numpy()).astype(np.int64))
-    for query_id, v in zip(queries["vec_id"].to_numpy(), queries["v"]):
-        if len(v) in lists:
-            ids, scores = lists[len(v)].top(np.asarray(v, np.int64), k, int(query_id))
-            found.append(pd.DataFrame({"query_id": np.full(len(ids), query_id, np.int64), "vec_id": ids, "score": scores}))
-    return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+    found: tuple[list, list, list] = ([], [], [])
+    if candidates.num_rows and queries.num_rows:
+        floors = queries["floor"].to_numpy(zero_copy_only=False).astype(np.float64)
+        floors = np.where(np.isnan(floors), -np.inf, floors)
+        asked = _by_width(queries)
+        for width, (_, ids, values) in _by_width(candidates).items():
+            if width in asked:
+                at, query_ids, vectors = asked[width]
+                for q, (who, scores) in zip(query_ids, Lists(ids, values).top(query_ids, vectors, k, floors[at])):
+                    for column, value in zip(found, (np.full(len(who), q), who, scores)):
+                        column.append(value)
+    return pa.table([pa.array(np.concatenate(c).astype(np.int64) if c else [], pa.int64()) for c in found], ["query_id", "vec_id", "score"])
 
 
 def top_k(embeddings: DataFrame, k: int = K, every: int = 100, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
@@ -102,25 +159,32 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = 100, id_column: str =
     from 1, ties to the smaller vec_id; fewer than k rows where there are fewer candidates. Vectors that
     are null or hold null or non-finite components take no part, nor do null ids and empty vectors;
     vectors of different lengths do not meet. Of rows that repeat an id, each is a candidate, none for
-    its own id; a repeated query is asked once, with its smallest vector. Scores must fit 64 bits.
-    Other columns are left out. An empty table gives an empty one.
+    its own id; a repeated query is asked once, with its smallest vector. Components beyond 2**63 / 1024 and
+    scores beyond 64 bits are held at the ends of the type. Other columns are left out. An empty table
+    gives an empty one.
     """
-    spark = embeddings.sparkSession
-    rows = integers(embeddings, id_column, vector_column)
-    queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
-    n, n_queries = rows.count(), queries.count()
-    across, down = max(1, -(-n // CANDIDATES)), max(1, -(-n_queries // QUERIES))
-
-    def dealt(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        """Rows with their own block, once for each block of the other side."""
-        block = F.pmod(F.xxhash64("vec_id"), F.lit(n_own)).cast("int").alias(own)
-        return df.select("vec_id", "v", block, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other))
-
-    left = dealt(rows, "c", across, "q", down).groupBy("c", "q")
-    right = dealt(queries, "q", down, "c", across).groupBy("c", "q")
-    cells = left.cogroup(right).applyInPandas(lambda a, b: search_cell(a, b, k), FOUND)
+    # blocks are dealt by a row number, so that rows of one id or one vector spread like any others; the table makes it lasting
+    rows = integers(embeddings, id_column, vector_column).withColumn("deal", F.xxhash64(F.monotonically_increasing_id()))
+    rows = write_table(rows, "top-k-vectors")
+    asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    asked = write_table(asked.withColumn("deal", F.xxhash64("vec_id")), "top-k-queries")
+    n, n_queries = rows.count(), asked.count()
+    across, down = max(1, -(-n // BLOCK), min(PARTS, n // LEAST)), max(1, -(-n_queries // BLOCK))
+
+    def cells(first: int, last: int, queries: DataFrame) -> DataFrame:
+        """What the cells of some candidate blocks find."""
+        block, q_block = F.pmod("deal", F.lit(across)).cast("int"), F.pmod("deal", F.lit(down)).cast("int")
+        left = rows.withColumn("c", block).where(F.col("c").between(first, last)).select("c", F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("q"), "vec_id", "v")
+        right = queries.select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("c"), q_block.alias("q"), "vec_id", "v", "floor")
+        return left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInArrow(lambda a, b: search_cell(a, b, k), FOUND)
+
+    found = cells(0, 0, asked.withColumn("floor", F.lit(None).cast("long")))
+    if across > 1:
+        found = write_table(found, "top-k-first")
+        floors = found.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), F.col("least").alias("floor"))
+        found = found.union(cells(1, across - 1, asked.join(floors, "vec_id", "left")))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    best = cells.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")
 
 

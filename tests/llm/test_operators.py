@@ -464,12 +464,36 @@ def test_reading_stops_early_and_stays_exact():
     r = np.random.default_rng(2)
     values = r.integers(-1000, 1000, (3000, 6))
     values[:40] *= 20
+    values[100:400] = values[100]
     lists = nra_topk.Lists(np.arange(3000), values)
-    for q in (values[0], values[77], np.zeros(6, np.int64), values[5] * 10**6):
-        ids, scores = lists.top(q, 10, 0)
-        all_ = values @ q
-        want = sorted((-int(s), i) for i, s in enumerate(all_) if i)[:10]
-        assert list(zip((-scores).tolist(), ids.tolist())) == want
+    queries = np.stack([values[0], values[77], np.zeros(6, np.int64), values[5] * 10**6, values[100]])
+    ids = np.array([0, 77, 2, 5, 100])
+    want = [sorted((-int(s), i) for i, s in enumerate(values @ q) if i != own)[:10] for own, q in zip(ids, queries)]
+    got = lists.top(ids, queries, 10)
+    assert [list(zip((-scores).tolist(), who.tolist())) for who, scores in got] == want
+    floors = np.array([float(-w[4][0]) for w in want])
+    for (who, scores), w, floor in zip(lists.top(ids, queries, 10, floors), want, floors):
+        assert list(zip((-scores).tolist(), who.tolist()))[: sum(-s >= floor for s, _ in w)] == [x for x in w if -x[0] >= floor]
+    alive = lists.read(0.75)[1]
+    weights = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1)
+    assert (weights @ alive.T >= queries @ values.T).all() and (weights @ lists.read(0.75)[0].T <= queries @ values.T).all()
+
+
+def test_top_k_in_several_cells(spark, monkeypatch):
+    monkeypatch.setattr(nra_topk, "BLOCK", 64)
+    r = np.random.default_rng(5)
+    vectors = np.floor(r.standard_normal((1000, 5)) * 64) / 1024
+    vectors[300:330] = vectors[300]
+    rows = [(int(i) % 997 * 10, v.tolist()) for i, v in enumerate(vectors)] + [(100, [1e300, -1e300, 1.0, 0.0, 0.0])]
+    got = nra_topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=50)
+    held = lambda x: max(-(2**63), min(2**63 - 1, x))
+    whole = [(i, [held(math.floor(1024 * x)) for x in v]) for i, v in rows]
+    want = []
+    for q in {i for i, _ in whole if i % 50 == 0}:
+        vector = min(v for i, v in whole if i == q)
+        best = sorted((-held(sum(a * b for a, b in zip(vector, v))), i) for i, v in whole if i != q)[:10]
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
 # --- token counts
