@@ -1,10 +1,12 @@
 """Licence scans with a generalised suffix automaton of licence tokens.
 
 The automaton holds every template once and gives, for each token streamed, the longest match that ends
-there and all its places in templates (the matching statistics). Maximal matches of MIN_MATCH tokens or
-more are chained per template, in order in both text and template; the share of a template's tokens that
-the best chain covers is its score, and COVER or more earns its label. Base phrases are templates too:
-a place of a phrase is a token at which the phrase ends inside the current match.
+there (the matching statistics); the states that its suffix links lead to give the shorter matches that end
+there in other places. A match that neither side can extend counts, if it has MIN_MATCH tokens or more, for
+each of its places, so what is found of a template does not depend on the other templates. Matches are chained
+per template, in order in both text and template; the share of a template's tokens that the best chain covers
+is its score, and COVER or more earns its label. Base phrases are templates too: a place of a phrase is a
+token at which the phrase ends inside the current match.
 
 The automaton is built from fixed texts on the driver and is broadcast (some thousand states). A file is
 scanned in one pass whose memory is its tokens; files are rows, so nothing is shuffled.
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 from bisect import bisect_left as bisect
 from collections import deque
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,8 +32,11 @@ PHRASES = (
     ("apache-2", "apache license version 2"),
     ("cc-by-nc", "cc by nc"),
 )
-#: Licence notices as their publishers word them: fixed values.
+#: Licence texts and notices as their publishers word them: fixed values.
 TEMPLATES = (
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
     ("mit", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software."),
     ("apache-2", "Licensed under the Apache License, Version 2.0."),
@@ -40,12 +46,28 @@ TEMPLATES = (
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License."),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
+    ("gpl-3", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
     ("gpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version."),
+    ("bsd", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."),
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
+    ("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""),
+    ("unlicense", """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law."""),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
-)
+)
 #: Fewest tokens of a match that counts, share of a template that its chain must cover, and most words between two matches of a chain.
 MIN_MATCH, COVER, MAX_GAP = 3, 0.8, 40
 
@@ -72,6 +94,8 @@ class Automaton:
     ends: list = field(default_factory=list)
     n_phrases: int = 0
     endings: list = field(default_factory=list)
+    words: list = field(default_factory=list)
+    shorter: list = field(default_factory=list)
 
     def _state(self, longest: int, step: dict) -> int:
         self.step.append(step)
@@ -110,23 +134,35 @@ class Automaton:
         which, state = len(self.sizes), 0
         self.labels.append(label)
         self.sizes.append(len(words))
-        for i, w in enumerate(words):
-            state = self._extend(state, self.vocabulary.setdefault(w, len(self.vocabulary)))
-            self.places[state].add((which, i + 1))
+        self.words.append([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words])
+        for i, token in enumerate(self.words[-1], 1):
+            state = self._extend(state, token)
+            self.places[state].add((which, i))
         self.ends.append(state)
 
     def finish(self) -> Automaton:
-        """Hand every state's places on to its shorter matches, and list the phrases that end a match of a state."""
+        """Hand every state's places on to its shorter matches, and list by state the phrases that end in its match and the places of its shorter matches alone."""
         by_length = sorted(range(1, len(self.step)), key=self.longest.__getitem__)
         for s in reversed(by_length):
             if self.link[s] > 0:
                 self.places[self.link[s]] |= self.places[s]
-        self.endings = [[] for _ in self.step]
+        self.endings, self.shorter = ([[] for _ in self.step] for _ in range(2))
         for s in by_length:
-            self.endings[s] = [k for k in range(self.n_phrases) if self.ends[k] == s] + self.endings[self.link[s]]
+            link = self.link[s]
+            self.endings[s] = [k for k in range(self.n_phrases) if self.ends[k] == s] + self.endings[link]
+            self.shorter[s] = [(k, p, self.longest[link]) for k, p in sorted(self.places[link] - self.places[s])] + self.shorter[link] if link > 0 else []
         self.places = [sorted(p) for p in self.places]
         return self
 
+    def matches(self, state: int, length: int, following: int | None) -> Iterator[tuple[int, int, int]]:
+        """(template, its end there, length) of every match that ends at the current token and that the following token does not extend."""
+        for k, p in self.places[state]:
+            if p == self.sizes[k] or self.words[k][p] != following:
+                yield k, p, length
+        for k, p, n in self.shorter[state]:
+            if p == self.sizes[k] or self.words[k][p] != following:
+                yield k, p, n
+
 
 def build(phrases=PHRASES, templates=TEMPLATES) -> Automaton:
     a = Automaton()
@@ -212,16 +248,15 @@ def scan(a: Automaton, text: str | None, min_match: int = MIN_MATCH, cover: floa
     long_enough = ends - begins >= fewest
     base, found = [], {}
     for b, e in zip(begins[long_enough].tolist(), ends[long_enough].tolist()):
-        last = (0, 0, 0)
-        for i, (state, length) in enumerate(statistics(a, ids[b:e].tolist()), b + 1):
+        run = ids[b:e].tolist()
+        for i, (state, length) in enumerate(statistics(a, run), 1):
             for k in a.endings[state]:
                 if a.sizes[k] <= length:
-                    base.append((k, i - a.sizes[k], i))
-            if length <= last[1] and last[1] >= min_match:
-                _note(a, found, last)
-            last = (state, length, i)
-        if last[1] >= min_match:
-            _note(a, found, last)
+                    base.append((k, b + i - a.sizes[k], b + i))
+            if length >= min_match:
+                for k, p, size in a.matches(state, length, run[i] if i < len(run) else None):
+                    if size >= min_match:
+                        found.setdefault(k, []).append((b + i, p, size))
     best = {k: max(have for have, _, _ in chains(m)) / a.sizes[k] for k, m in found.items()}
     spans = {place: 1.0 for place in base}
     for k in (k for k, x in best.items() if x >= cover):
@@ -234,13 +269,6 @@ def scan(a: Automaton, text: str | None, min_match: int = MIN_MATCH, cover: floa
     }
 
 
-def _note(a: Automaton, found: dict, match: tuple[int, int, int]) -> None:
-    state, length, end = match
-    for k, p in a.places[state]:
-        if length <= p:
-            found.setdefault(k, []).append((end, p, length))
-
-
 COLUMNS = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<template:int,label:string,first_word:long,last_word:long,cover:double>>"
 SPAN = {"template": pa.int32(), "label": pa.string(), "first_word": pa.int64(), "last_word": pa.int64(), "cover": pa.float64()}
 
@@ -248,9 +276,10 @@ SPAN = {"template": pa.int32(), "label": pa.string(), "first_word": pa.int64(),
 def scan_files(docs: DataFrame, automaton: Automaton | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Scan every whole text. Returns (doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans).
 
-    spans are the accepted templates with their places, see scan(); labels are theirs. One row per row of docs, repeated rows and null ids included. Null and empty texts have no words,
-    no places, empty labels and score 0. Places of one phrase may overlap and are all counted. Other
-    columns are left out, so their names cannot clash. An empty table gives an empty one.
+    spans are the accepted templates with their places, see scan(); labels are theirs. One row per row of docs,
+    repeated rows and null ids included. Null and empty texts have no words, no places, empty labels and score 0.
+    Places of one phrase may overlap and are all counted. A task holds one file's words at a time. Other columns
+    are left out, so their names cannot clash. An empty table gives an empty one.
     """
     spark = docs.sparkSession
     small_batches(spark)

@@ -45,3 +45,43 @@ def test_chains_are_the_best_of_all():
         assert max(have for have, _, _ in licence_scan.chains(matches)) == best
         spans = licence_scan.covered_spans(matches, 5)
         assert all(b0 <= a for (_, _, b0), (_, a, _) in zip(spans, spans[1:])) and max((x[0] for x in spans), default=best) == best
+
+
+def diagonals(text, template, least):
+    """All matches of least words or more that neither side can extend, as (text end, template end, length)."""
+    out = []
+    for i in range(len(text)):
+        for j in range(len(template)):
+            if text[i] == template[j] and (i == 0 or j == 0 or text[i - 1] != template[j - 1]):
+                n = 0
+                while i + n < len(text) and j + n < len(template) and text[i + n] == template[j + n]:
+                    n += 1
+                if n >= least:
+                    out.append((i + n, j + n, n))
+    return out
+
+
+def test_a_template_is_found_whatever_the_others_are():
+    templates = [("a", "p q r s t u v"), ("b", "z y x w s t u")]
+    for some in (templates[1:], templates):
+        got = licence_scan.scan(licence_scan.build((), some), "z y x w r s t u")
+        assert got["labels"] == "b" and got["score"] == 1.0
+
+
+def test_scores_and_labels_against_all_matches():
+    r = random.Random(12)
+    for _ in range(60):
+        templates = [(f"l{k}", " ".join(r.choice("abcdef") for _ in range(r.randint(4, 14)))) for k in range(5)]
+        pieces = [t.split() for _, t in templates]
+        text = []
+        for _ in range(8):
+            t = r.choice(pieces)
+            a = r.randint(0, len(t) - 1)
+            text += t[a : a + r.randint(1, 9)] + [r.choice("abcxyz")] * r.randint(0, 2)
+        got = licence_scan.scan(licence_scan.build((), templates), " ".join(text))
+        best = {}
+        for (label, _), words in zip(templates, pieces):
+            found = diagonals(text, words, licence_scan.MIN_MATCH)
+            best[label] = max((have for have, _, _ in licence_scan.chains(found)), default=0) / len(words)
+        assert abs(got["score"] - min(1, max(best.values()))) < 1e-12
+        assert got["labels"] == ",".join(sorted(k for k, x in best.items() if x >= licence_scan.COVER))
