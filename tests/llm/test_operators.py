@@ -115,22 +115,43 @@ def test_language_held_out(spark):
     held = [i for i, _, _ in data[:160] if zlib.crc32(str(i).encode()) % 4 == 2]
     assert np.mean([got[i]["lang_pred"] == ["en", "de"][i % 2] for i in held]) > 0.95
     assert all((got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0) for i in (900, 901, 902))
-    kept = {x["doc_id"] for x in language_gru.keep_known(docs, net, 0.3).collect()}
+    kept = {x["doc_id"] for x in language_gru.keep_known(docs, net).collect()}
     assert kept == set(range(160))
 
 
 def test_long_text_pools_every_position():
     net = language_gru.Network.fresh(["a", "b"])
-    text = "abc def " * 3000
-    cut, sizes = language_gru.windows(text.encode())
-    whole = net.label(np.ascontiguousarray(cut.T), language_gru._mask(sizes, 64))
-    want = sum(whole[:n, i].sum(axis=0) for i, n in enumerate(sizes)) / sizes.sum()
-    assert np.allclose(language_gru.pooled(net, [text, None])[0], want, atol=1e-5)
+    sizes = np.array([0, 1, 255, 256, 257, 1000])
+    owner, begin, own, stop, end = language_gru.stretches(sizes)
+    ends = np.cumsum(sizes)
+    assert [x for a, b in zip(own, stop) for x in range(a, b)] == list(range(sizes.sum()))
+    for o, a, s, t, e in zip(owner, begin, own, stop, end):
+        assert a == max(s - language_gru.CONTEXT, ends[o] - sizes[o]) and e == min(t + language_gru.CONTEXT, ends[o]) and s < t
+    text = "abc déf " * 3000
+    whole = net.label(np.frombuffer(text.encode(), np.uint8)[:, None].copy())
+    assert np.abs(language_gru.pooled(net, [text, None, "", "x"])[0] - whole.mean(axis=(0, 1))).max() < 0.02
+    alone = [language_gru.pooled(net, [t])[0] for t in (text, "", "x")]
+    assert np.allclose(language_gru.pooled(net, [text, "", "x"]), alone, atol=1e-6)
+
+
+def test_texts_in_no_learned_language_are_rejected(spark):
+    r = random.Random(4)
+    say = {"en": "the of and that with this from have which their about people would there could river garden".split(), "de": "der die und nicht über schön für auch werden einer durch haben zwischen wieder große Häuser".split()}
+    data = [(i, " ".join(r.choice(say[x]) for _ in range(80)), x) for i in range(200) for x in [["en", "de"][i % 2]]]
+    odd = ["Все люди рождаются свободными и равными в своем достоинстве", "人人生而自由在尊严和权利上一律平等", "xqzt vbnk wpqr zzkj qwxv bnmk ttrq plkj hgfd", "..! 12"]
+    short = ["the river", "durch die Häuser", "that"]
+    docs = spark.createDataFrame(data + [(1000 + i, t, None) for i, t in enumerate([*odd, *short, None])], "doc_id long, text string, lang string")
+    net = language_gru.train(docs)
+    kept = Counter(x["doc_id"] for x in language_gru.keep_known(docs.union(docs.where("doc_id = 1004")), net).collect())
+    assert set(kept) == {*range(200), 1004, 1005, 1006} and kept[1004] == 2
+    with pytest.raises(ValueError):
+        language_gru.identify(docs.withColumn("Language", docs["lang"]), net)
+    assert language_gru.identify(docs.limit(0), net).count() == 0
 
 
 def test_language_without_training_rows(spark, empty):
     net = language_gru.train(empty)
-    assert language_gru.judge(net, ["hello"]) == (["und"], [0.0])
+    assert language_gru.judge(net, ["hello"]) == (["und"], [0.0], [1.0])
 
 
 # --- mixing
