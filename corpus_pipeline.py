@@ -12,15 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from quire.llm import curriculum, language_gru, piece_sampling, quality_ftrl, simhash_dedup
 from quire.llm._shared import table, write_table
 
-#: A document stays if its best language has this pooled probability. Four languages are known here, and short
-#: clean texts with a foreign line may come near 0.4; text in none of them spreads below.
-LANGUAGE_AT_LEAST = 0.3
 QUALITY_AT_LEAST = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents without letters and those in no known language."""
-    return language_gru.keep_known(docs, language_gru.train(docs.select("doc_id", "text", "lang")), LANGUAGE_AT_LEAST)
+    """Reject documents without letters and those that are likelier in none of the known languages than in all together."""
+    return language_gru.keep_known(docs, language_gru.train(docs.select("doc_id", "text", "lang")))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
