@@ -20,10 +20,9 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -38,14 +37,14 @@ from quire.llm.token_counts import SPACE_MARK, model_path
 
 K, SEED = 2, 42
 #: Characters of text whose words share one set of lattices, and of texts that are sampled together.
-BLOCK, LOT = 6_000_000, 400_000
+BLOCK, LOT = 4_000_000, 400_000
 #: Nodes of the lattices that are built together.
 PART = 200_000
 #: Rank is shifted by this in Zipf's law.
 SHIFT = 50.0
 #: Uniform numbers have 53 bits, so a set this far below another cannot have the larger maximum.
 FAR = 40.0
-#: A set of paths is looked at at once if its prefix has at least this log-probability.
+#: A set of paths is looked at at once if its prefix has at least this log-probability; others when a maximum comes near theirs.
 NEAR = -100.0
 WORD = re.compile(r" *[^ \n]+| +|\n")
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -58,9 +57,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Numbers strictly between 0 and 1 from 64 random bits."""
+    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+
+
 def uniform(x: np.ndarray) -> np.ndarray:
     """Numbers strictly between 0 and 1 from 64-bit keys."""
-    return ((mix(x) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    return unit(mix(x))
 
 
 class Vocabulary:
@@ -150,7 +154,7 @@ def _part(words: list[str], sizes: np.ndarray, v: Vocabulary) -> tuple[np.ndarra
     ahead = np.zeros(n_nodes, np.int64)  # characters from a node to its word's end
     ahead[left] = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(text))
     at, keys, found = np.flatnonzero(left), np.zeros(len(text), np.uint64), []
-    single = np.zeros(n_nodes, bool)
+    degree = np.zeros(n_nodes, np.int64)
     for length in range(1, v.longest + 1):
         keep = ahead[at] >= length
         at, keys = at[keep], keys[keep]
@@ -159,19 +163,21 @@ def _part(words: list[str], sizes: np.ndarray, v: Vocabulary) -> tuple[np.ndarra
         keys = v.grow(keys, codes[at + length - 1])
         place = v.find(keys)
         hit = np.flatnonzero(place >= 0)
-        found.append((at[hit], np.full(len(hit), length), v.piece[place[hit]], v.log_p[place[hit]]))
-        if length == 1:
-            single[at[hit]] = True
+        here = at[hit]
+        found.append((here, np.full(len(hit), length), v.piece[place[hit]], v.log_p[place[hit]], degree[here]))
+        degree[here] += 1
         on = v.begins[keys >> np.uint64(44)]
         at, keys = at[on], keys[on]
-    bare = np.flatnonzero(left & ~single)
-    width = 1 + (codes[bare] > 0x7F) + (codes[bare] > 0x7FF) + (codes[bare] > 0xFFFF).astype(np.int64)
-    found.append((bare, np.ones(len(bare), np.int64), -codes[bare].astype(np.int64) - 1, width * v.log_byte))
-    src, length, piece, score = (np.concatenate(c) for c in zip(*found))
-    order = np.argsort(src * (v.longest + 1) + length)
-    src, length, piece, score = src[order], length[order], piece[order], score[order]
-    degree = np.bincount(src, minlength=n_nodes)
+        if length == 1:  # a character that is no piece is its bytes
+            bare = np.flatnonzero(left & (degree == 0))
+            width = 1 + (codes[bare] > 0x7F) + (codes[bare] > 0x7FF) + (codes[bare] > 0xFFFF).astype(np.int64)
+            found.append((bare, np.ones(len(bare), np.int64), -codes[bare].astype(np.int64) - 1, width * v.log_byte, degree[bare]))
+            degree[bare] = 1
     end = np.cumsum(degree)
+    node, size, one, weight, nth = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 5
+    slot = end[node] - 1 - nth  # edges of a node from the longest, which is the likeliest, to the shortest
+    src, length, piece, score = np.empty_like(node), np.empty_like(size), np.empty_like(one), np.empty(len(node))
+    src[slot], length[slot], piece[slot], score[slot] = node, size, one, weight
     begin, dst = end - degree, src + length
     # backward sums: the log mass of what leads from a node to its word's end, for all words at once by distance from it
     mass, far = np.zeros(n_nodes), int(ahead.max(initial=0))
@@ -231,12 +237,12 @@ class Lattices:
         return e
 
     def walk(self, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ancestral samples from each node to its word's end: edges of all in order, and how many each took."""
+        """Ancestral samples from each node to its word's end: edges of all in order, and how many each took. Keys are random bits."""
         taken = np.zeros(len(nodes), np.int64)
         active, rounds = np.flatnonzero(self.begin[nodes] < self.end[nodes]), []
         nodes = nodes[active]
         while len(active):
-            e = self.choose(nodes, uniform(keys[active] + np.array([len(rounds)], np.uint64) * _GOLD))
+            e = self.choose(nodes, uniform(keys[active] + np.array([len(rounds)], np.uint64) * _GOLD) if rounds else unit(keys[active]))
             rounds.append((active, e))
             taken[active] += 1
             nodes = self.dst[e]
@@ -249,45 +255,58 @@ class Lattices:
         return out, taken
 
 
+@dataclass
+class Opened:
+    """The sets that leave a path at some of its steps: prefix log-probabilities there, perturbed maxima, and edges taken out at a step beyond the path's own."""
+
+    steps: np.ndarray
+    prefix: np.ndarray
+    maxima: np.ndarray
+    shut: dict[int, list[int]]
+    #: First step that belongs to this path alone, and whether all of its steps have been looked at.
+    first: int
+    whole: bool
+
+
 class Search:
     """The samples of one text so far, and the sets of paths that are left."""
 
     def __init__(self, key: int, words: np.ndarray, lattices: Lattices):
         self.key, self.lattices, self.starts = np.uint64(key), lattices, lattices.first[words]
         self.paths: list[np.ndarray] = []
-        self.sums: list[np.ndarray] = []  # log-probability of a path's prefix before each step, and of the whole
+        self.sums: list[float] = []  # log-probability of each path
         self.best: list[float] = []  # perturbed log-probability of each path
-        self.open: list[tuple[np.ndarray, np.ndarray]] = []  # per path: steps with a set, and their maxima
-        self.shut: list[dict[int, list[int]]] = []  # per path: edges taken out at a step, beyond its own
+        self.open: list[Opened] = []
 
     def _noise(self, *counters: int) -> float:
         x = xxhash.xxh64_intdigest(repr(counters).encode(), int(self.key))
         return ((x >> 11) + 0.5) * 2.0**-53
 
     def start(self) -> tuple[np.ndarray, np.ndarray, tuple] | None:
-        """Nodes and keys to walk from for the next path, and how its prefix goes; None if there is none."""
-        rank = len(self.paths)
-        with np.errstate(over="ignore"):
-            if not rank:
-                return self.starts, self._keys(rank, 0), (np.zeros(0, np.int64), -math.log(-math.log(self._noise(0))))
-            found = self.next_best()
-            if found is None:
-                return None
-            j, i = found
-            steps, maxima = self.open[j]
-            step, bound = int(steps[i]), float(maxima[i])
-            path, out = self.paths[j], self.shut[j].setdefault(step, [])
-            taken = [int(path[step]), *out]
-            edge = self._other(taken, self._noise(rank, 1))
-            out.append(edge)
-            maxima[i] = self._rest(self.sums[j][step], [*taken, edge], bound, self._noise(rank, 2))
-            word = int(np.searchsorted(word_ends(self.lattices, path), step, side="right"))
-            nodes = np.concatenate([[self.lattices.dst[edge]], self.starts[word + 1 :]])
-            return nodes, self._keys(rank, word), (np.append(path[:step], edge), bound)
+        """Nodes and keys to walk from for the next path; its prefix, the prefix's log-probability and its bound. None if there is no path."""
+        rank, lat = len(self.paths), self.lattices
+        if not rank:
+            return self.starts, self._keys(rank, 0), (np.zeros(0, np.int64), 0.0, -math.log(-math.log(self._noise(0))))
+        found = self.next_best()
+        if found is None:
+            return None
+        j, i = found
+        opened, path = self.open[j], self.paths[j]
+        step, bound, prefix = int(opened.steps[i]), float(opened.maxima[i]), float(opened.prefix[i])
+        out = opened.shut.setdefault(step, [])
+        taken = [int(path[step]), *out]
+        edge = self._other(taken, self._noise(rank, 1))
+        out.append(edge)
+        opened.maxima[i] = self._rest(prefix, [*taken, edge], bound, self._noise(rank, 2))
+        last = lat.dst[path[:step]]
+        word = int(np.count_nonzero(lat.begin[last] == lat.end[last]))
+        nodes = np.concatenate([[lat.dst[edge]], self.starts[word + 1 :]])
+        return nodes, self._keys(rank, word), (np.append(path[:step], edge), prefix + float(lat.log_q[edge]), bound)
 
     def _keys(self, rank: int, word: int) -> np.ndarray:
         places = np.arange(word, len(self.starts), dtype=np.uint64)
-        return mix(self.key + (np.uint64(rank + 7) << np.uint64(40)) + places * _GOLD)
+        with np.errstate(over="ignore"):
+            return mix(self.key + (np.uint64(rank + 7) << np.uint64(40)) + places * _GOLD)
 
     def _left(self, taken: list[int]) -> tuple[int, list[float]]:
         """First edge of the node that the taken edges leave, and the probabilities of its edges, 0 for those taken."""
@@ -316,49 +335,69 @@ class Search:
         mass = prefix + math.log(left)
         return min(bound, mass - math.log(math.exp(mass - bound) - math.log(u)))
 
-    def emit(self, walked: np.ndarray, taken: np.ndarray, prefix: tuple) -> None:
-        """Add a path: its prefix followed by what was walked, and open the sets along what is new."""
-        head, bound = prefix
-        lat = self.lattices
-        path = np.concatenate([head, walked])
-        sums = np.zeros(len(path) + 1)
-        np.cumsum(lat.log_q[path], out=sums[1:])
-        near = self._maxima(path, sums, len(head), max(len(head), int(np.searchsorted(-sums[:-1], -NEAR, side="right"))), bound)
-        if near[1].max(initial=-np.inf) - FAR < NEAR:
-            near = self._maxima(path, sums, len(head), len(path), bound)
-        self.paths.append(path)
-        self.sums.append(sums)
-        self.best.append(bound)
-        self.open.append(near)
-        self.shut.append({})
-
-    def _maxima(self, path, sums, a: int, b: int, bound: float) -> tuple[np.ndarray, np.ndarray]:
-        """Steps a to b of a path and the perturbed maxima of the sets that leave it there."""
-        e, lat = path[a:b], self.lattices
-        rest = 1.0 - np.exp(lat.log_q[e])
-        node = lat.src[e]
-        rest[lat.end[node] - lat.begin[node] == 1] = 0.0
-        steps = np.arange(a, b)
-        with np.errstate(divide="ignore", over="ignore"):
-            mass = sums[a:b] + np.log(rest)
-            u = uniform(mix(self.key ^ (np.uint64(len(self.paths) + 3) << np.uint64(48))) + steps.astype(np.uint64) * _GOLD)
-        return steps, truncated(mass, bound, u)
+    def _widen(self) -> None:
+        """Look at the sets of all steps of all paths."""
+        for j, o in enumerate(self.open):
+            if not o.whole:
+                path, n = self.paths[j], o.first + len(o.steps)
+                log_q = self.lattices.log_q[path[n:]]
+                prefix = self.sums[j] - log_q.sum() + np.cumsum(log_q) - log_q
+                steps = np.arange(n, len(path))
+                salt = np.full(len(steps), set_salt(self.key, j), np.uint64)
+                far = maxima(self.lattices, path[n:], steps, prefix, salt, np.full(len(steps), self.best[j]))
+                o.steps, o.prefix, o.maxima, o.whole = np.append(o.steps, steps), np.append(o.prefix, prefix), np.append(o.maxima, far), True
 
     def next_best(self) -> tuple[int, int] | None:
         """The path and place in its open sets with the largest maximum."""
-        tops = [(float(m.max(initial=-np.inf)), -j) for j, (_, m) in enumerate(self.open)]
-        value, j = max(tops, default=(-np.inf, 0))
-        return None if value == -np.inf else (-j, int(self.open[-j][1].argmax()))
+        value, j = max(((float(o.maxima.max(initial=-np.inf)), -j) for j, o in enumerate(self.open)), default=(-np.inf, 0))
+        if value < NEAR + FAR and not all(o.whole for o in self.open):
+            self._widen()
+            return self.next_best()
+        return None if value == -np.inf else (-j, int(self.open[-j].maxima.argmax()))
 
     def threshold(self) -> float:
         found = self.next_best()
-        return -np.inf if found is None else float(self.open[found[0]][1][found[1]])
-
-
-def word_ends(lattices: Lattices, path: np.ndarray) -> np.ndarray:
-    """Of a path's words, the number of steps up to and with each."""
-    last = lattices.dst[path]
-    return np.flatnonzero(lattices.begin[last] == lattices.end[last]) + 1
+        return -np.inf if found is None else float(self.open[found[0]].maxima[found[1]])
+
+
+def set_salt(key: np.uint64, path: int) -> np.uint64:
+    """What the noise of the sets of a text's path starts from."""
+    return mix(np.array([key ^ (np.uint64(path + 3) << np.uint64(48))], np.uint64))[0]
+
+
+def maxima(lattices: Lattices, edges: np.ndarray, steps: np.ndarray, prefix: np.ndarray, salt: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Perturbed maxima of the sets that leave a path at each of its edges, given what bounds the path's own set."""
+    rest = 1.0 - np.exp(lattices.log_q[edges])
+    node = lattices.src[edges]
+    rest[lattices.end[node] - lattices.begin[node] == 1] = 0.0
+    with np.errstate(divide="ignore", over="ignore"):
+        return truncated(prefix + np.log(rest), bound, uniform(salt + steps.astype(np.uint64) * _GOLD))
+
+
+def emit(plans: list[tuple[Search, tuple]], lattices: Lattices, edges: np.ndarray, sizes: np.ndarray) -> None:
+    """Add a path to every search: its prefix followed by its part of the edges walked (sizes of them); and open the near sets along what is new."""
+    log_q = lattices.log_q[edges]
+    ends = np.cumsum(sizes)
+    upto = np.empty_like(log_q)
+    for (_, p), a, b in zip(plans, (ends - sizes).tolist(), ends.tolist()):  # a text's sums do not depend on its neighbours
+        np.cumsum(log_q[a:b], out=upto[a:b])
+        upto[a:b] += p[1]
+    prefix = upto - log_q
+    near = np.flatnonzero(prefix >= NEAR)
+    owner = np.searchsorted(ends, near, side="right")
+    first = np.array([len(p[0]) for _, p in plans])
+    steps = near - (ends - sizes)[owner] + first[owner]
+    salt = np.array([set_salt(s.key, len(s.paths)) for s, _ in plans], np.uint64)
+    tops = maxima(lattices, edges[near], steps, prefix[near], salt[owner], np.array([p[2] for _, p in plans])[owner])
+    many = np.bincount(owner, minlength=len(plans))
+    cut = np.cumsum(many)
+    for k, (s, (head, log_head, bound)) in enumerate(plans):
+        a, b = int(ends[k] - sizes[k]), int(ends[k])
+        i, j = int(cut[k] - many[k]), int(cut[k])
+        s.paths.append(np.concatenate([head, edges[a:b]]) if len(head) else edges[a:b])
+        s.sums.append(float(upto[b - 1]) if b > a else log_head)
+        s.best.append(bound)
+        s.open.append(Opened(steps[i:j], prefix[near[i:j]], tops[i:j], {}, int(first[k]), j - i == b - a))
 
 
 def truncated(mass: np.ndarray, bound: float, u: np.ndarray) -> np.ndarray:
@@ -395,13 +434,18 @@ def expand(lattices: Lattices, path: np.ndarray, byte_ids: np.ndarray) -> np.nda
 
 def samples(texts: list[str | None], keys: list[int], vocabulary: Vocabulary, k: int = K) -> Iterator[tuple[int, int, np.ndarray, float, float, float]]:
     """For each text up to k distinct segmentations: its place, rank, ids, log-probability, perturbed log-probability and log inclusion score."""
-    known: dict[str, int] = defaultdict(count().__next__)
-    words = []
+    found, many = [], []
     for t in texts:
-        found = WORD.findall(f" {t.replace(SPACE_MARK, ' ')}") if t else []
-        words.append(np.fromiter(map(known.__getitem__, found), np.int64, len(found)))
-    lattices = Lattices(list(known), vocabulary)
-    del known
+        own = WORD.findall(f" {t.replace(SPACE_MARK, ' ')}") if t else []
+        found += own
+        many.append(len(own))
+    coded = pa.array(found, pa.large_string()).dictionary_encode()
+    del found
+    words = np.split(coded.indices.to_numpy().astype(np.int64), np.cumsum(many)[:-1])
+    distinct = coded.dictionary.to_pylist()
+    del coded
+    lattices = Lattices(distinct, vocabulary)
+    del distinct
     lot: list[int] = []
     size = 0
     for i, t in enumerate(texts):
@@ -419,16 +463,13 @@ def _sample_lot(lot, words, keys, lattices, vocabulary, k) -> Iterator[tuple]:
         if not plans:
             break
         edges, taken = lattices.walk(np.concatenate([p[0] for _, p in plans]), np.concatenate([p[1] for _, p in plans]))
-        at = word = 0
-        for s, (nodes, _, prefix) in plans:
-            own = taken[word : word + len(nodes)]
-            n = int(own.sum())
-            s.emit(edges[at : at + n], own, prefix)
-            at, word = at + n, word + len(nodes)
+        of_plan = np.cumsum([len(p[0]) for _, p in plans])
+        upto = np.concatenate([[0], np.cumsum(taken)])[of_plan]
+        emit([(s, p[2]) for s, p in plans], lattices, edges, np.diff(upto, prepend=0))
     for i, s in searches.items():
         limit = s.threshold()
-        for rank, (path, sums, best) in enumerate(zip(s.paths, s.sums, s.best), 1):
-            yield i, rank, expand(lattices, path, vocabulary.byte_ids), float(sums[-1]), best, inclusion(float(sums[-1]), limit)
+        for rank, (path, log_p, best) in enumerate(zip(s.paths, s.sums, s.best), 1):
+            yield i, rank, expand(lattices, path, vocabulary.byte_ids), log_p, best, inclusion(log_p, limit)
 
 
 COLUMNS = "rank int, ids array<int>, log_prob double, perturbed double, log_inclusion double, round_trip boolean"
@@ -441,7 +482,9 @@ def sample_pieces(docs: DataFrame, k: int = K, seed: int = SEED, path: str | Non
     row of docs and sample, rank 1 having the largest perturbed log-probability; round_trip tells that
     decoding the ids gives the text. Without with_ids, ids is left out. The seed of a row is its id as text, of a
     null id its text; so repeated rows give the same samples again. Null and empty texts have one
-    segmentation, the empty one. Other columns are left out. An empty table gives an empty one.
+    segmentation, the empty one. Texts are cut at spaces and line ends only; a word of n characters takes n
+    short rounds (400,000 of them some seconds) and memory for its lattice, about 100 bytes a character and
+    piece. Other columns are left out. An empty table gives an empty one.
     """
     small_batches(docs.sparkSession)
     path = path or model_path()
@@ -482,7 +525,10 @@ def sample_pieces(docs: DataFrame, k: int = K, seed: int = SEED, path: str | Non
     kinds = (id_kind, pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.float64(), pa.bool_(), pa.int64(), pa.int64())
 
     def batch(rows):
-        return pa.record_batch([pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], list(names))
+        columns = [None if c == 2 else pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)]
+        ends = np.cumsum([0, *(r[7] for r in rows)], dtype=np.int32)
+        columns[2] = pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int32), *(r[2] for r in rows)])) if with_ids else pa.nulls(len(rows), kinds[2])
+        return pa.record_batch(columns, list(names))
 
     out = docs.mapInArrow(sampled, f"doc_id {id_type.simpleString()}, {COLUMNS}, n_pieces long, ids_hash long")
     return out if with_ids else out.drop("ids")
