@@ -3,11 +3,13 @@
 A cascade answers membership exactly for every key of a universe known in advance: level 0 encodes
 the listed keys, level 1 the unlisted keys that level 0 lets through, level 2 the listed keys that
 level 1 lets through, and so on until none is left. The first level that refuses a key decides.
-The universe here holds every host of the pages and every parent domain of it, so a host is judged
-without a join: its suffixes are tested against a few broadcast bit arrays.
+The universe here holds every host of the pages and every parent domain of it that has no more labels than
+the longest listed domain, so a host is judged without a join: its suffixes are tested against bit arrays.
 
-Bits are set by ``groupBy(word).agg(bit_or)``, so no task holds more than the words it reduces. The
-bit arrays are broadcast only up to MAX_BITS; a larger listing is answered by a semi join instead.
+Bits are set by ``groupBy(word).agg(bit_or)``, so no task holds more than the words it reduces. Keys are
+dealt to shards by their hash, as many as keep the bit arrays of one shard under SHARD_BITS; each shard has a
+cascade of its own, and they are broadcast and asked one after the other, so what a task holds is
+bounded at any size of listing and universe.
 """
 
 from __future__ import annotations
@@ -32,9 +34,10 @@ RULES = (
 LISTED_NAMES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 LISTED_UNDER = ("example.com", "example.net", "example.org")
 LISTED = tuple(f"{n}.{d}" for n in LISTED_NAMES for d in LISTED_UNDER)
-#: Bits that a cascade may broadcast in all (64 MB); beyond it the listing is joined.
-MAX_BITS = 64 * 8 * 1024 * 1024
-MAX_LEVELS = 40
+#: Bits of the cascade of one shard, about (64 MB).
+SHARD_BITS = 64 * 8 * 1024 * 1024
+#: About two keys in a hundred pass a level that does not hold them, so this many levels are left only by keys with equal hashes.
+MAX_LEVELS = 64
 BITS_PER_KEY, PROBES = 10, 6
 ADDRESS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -49,10 +52,10 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, ADDRESS, 2), F.lit(""))
 
 
-def suffixes(host: Column) -> Column:
-    """A host and its parent domains, as an array."""
-    parts = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+def suffixes(parts: Column, most: int) -> Column:
+    """A host, given by its labels, and its parent domains that have most labels or fewer, as an array; a long host costs no more than a short one."""
+    n = F.size(parts)
+    return F.transform(F.sequence(F.greatest(F.lit(1), n - most + 1), n), lambda i: F.array_join(F.slice(parts, i, n), "."))
 
 
 def hashes(key: Column) -> Column:
@@ -89,7 +92,7 @@ def positions(h: np.ndarray, level: int, n_bits: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Cascade:
-    """Bit arrays by level. Exact for keys of the universe it was built over."""
+    """Bit arrays by level. Exact for keys of the universe it was built over; of no level, it holds nothing."""
 
     levels: tuple[np.ndarray, ...]
 
@@ -113,11 +116,10 @@ def _hash_matrix(col: pa.Array) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, 2)
 
 
-def build(universe: DataFrame) -> Cascade | None:
-    """Build over universe(h array<bigint>, listed boolean), one row per key; None if it would exceed MAX_BITS."""
+def build(universe: DataFrame) -> Cascade:
+    """Build over universe(h array<bigint>, listed boolean), one row per key."""
     spark = universe.sparkSession
     levels: list[np.ndarray] = []
-    bits = 0
     while len(levels) < MAX_LEVELS:
         level, done = len(levels), spark.sparkContext.broadcast(tuple(levels))
 
@@ -133,9 +135,6 @@ def build(universe: DataFrame) -> Cascade | None:
         if not n:
             return Cascade(tuple(levels))
         n_bits = 64 * max(2, -(-n * BITS_PER_KEY // 64))
-        bits += n_bits
-        if bits > MAX_BITS:
-            return None
 
         def marks(batches, level=level, n_bits=n_bits):
             for b in batches:
@@ -146,7 +145,43 @@ def build(universe: DataFrame) -> Cascade | None:
         found = left.mapInArrow(marks, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
         words[found["word"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
         levels.append(words)
-    return None
+    raise ValueError("a listed and an unlisted key have equal hashes")
+
+
+def _asks(shared, k: int, n_shards: int):
+    """A function of hash lists: whether shard k's cascade holds any of a row's keys that are its own."""
+
+    @F.arrow_udf("boolean")
+    def on_list(h: pa.Array) -> pa.Array:
+        matrix = _hash_matrix(h.flatten())
+        own = matrix[:, 0] % n_shards == k
+        inside = np.zeros(len(matrix), bool)
+        inside[own] = shared.value.contains(matrix[own])
+        owner = np.repeat(np.arange(len(h)), np.diff(h.offsets.to_numpy()))
+        return pa.array(np.bincount(owner, weights=inside, minlength=len(h)) > 0)
+
+    return on_list
+
+
+def covered(hosts: DataFrame, listed: DataFrame) -> DataFrame:
+    """hosts(row, host) with the column listed: whether a domain of listed(key) is the host or a parent of it."""
+    spark = hosts.sparkSession
+    most = listed.agg(F.max(F.size(F.split("key", r"\.")))).first()[0] or 1
+    hosts = hosts.withColumn("parts", F.split("host", r"\.")).withColumn("h", F.transform(suffixes(F.col("parts"), most), hashes)).drop("parts")
+    keys = hosts.select(F.explode("h").alias("h")).distinct()
+    names = listed.select(hashes(F.col("key")).alias("h")).distinct().withColumn("on_list", F.lit(True))
+    universe = write_table(keys.join(names, "h", "left").select("h", F.coalesce("on_list", F.lit(False)).alias("listed")), "url-universe")
+    # unlisted keys that pass level 0 fill the odd levels; all levels together hold a few listed keys' worth more
+    n_listed, n = universe.where("listed").count(), universe.count()
+    n_shards = max(1, -(-int((n_listed + 0.02 * n) * 1.1 * BITS_PER_KEY) // SHARD_BITS))
+    shard = F.pmod(F.col("h")[0], F.lit(n_shards))
+    out = hosts.withColumn("listed", F.lit(False))
+    for k in range(n_shards):
+        shared = spark.sparkContext.broadcast(build(universe.where(shard == k).select("h", "listed")))
+        out = out.withColumn("listed", F.col("listed") | _asks(shared, k, n_shards)("h"))
+        if n_shards > 1:  # one shard's bit arrays in a task at a time
+            out = write_table(out, "url-shard")
+    return out.drop("h")
 
 
 def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES, id_column: str = "page_id", url_column: str = "url") -> DataFrame:
@@ -155,33 +190,14 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES, id_column: str
     pages needs id_column and url_column; other columns are left out, so their names cannot clash.
     listed has one column of domains; null and repeated ones are ignored. Returns (page_id, host, path,
     rule, verdict, listed), one row per row of pages, repeated rows included. Null urls and urls without
-    :// have empty host and path and are allowed. An empty table gives an empty one; an empty listing
-    blocks by rules alone.
+    :// have empty host and path and are allowed, as are those whose host is longer than any listed one unless a
+    listed domain ends it; ties between rules go to the longer host. An empty table gives an empty one; an empty
+    listing blocks by rules alone.
     """
-    spark = pages.sparkSession
     url = F.col(url_column)
     base = pages.select(F.col(id_column).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     names = listed.select(ascii_lower(F.col(listed.columns[0])).alias("key")).where("key is not null and key <> ''").distinct()
-    hosts = base.select("host").distinct()
-    keys = hosts.select(F.explode(suffixes(F.col("host"))).alias("key")).distinct()
-    universe = keys.join(names.withColumn("on_list", F.lit(True)), "key", "left").select("key", hashes(F.col("key")).alias("h"), F.coalesce("on_list", F.lit(False)).alias("listed"))
-    universe = write_table(universe, "url-universe")
-    cascade = build(universe.select("h", "listed"))
-    if cascade is None:
-        bad = hosts.select("host", F.explode(suffixes(F.col("host"))).alias("key")).join(names, "key", "left_semi").select(F.col("host").alias("bad_host")).distinct()
-        marked = base.join(bad, F.col("host") == F.col("bad_host"), "left").withColumn("listed", F.col("bad_host").isNotNull())
-    else:
-        shared = spark.sparkContext.broadcast(cascade)
-
-        @F.arrow_udf("boolean")
-        def on_list(h: pa.Array) -> pa.Array:
-            flat = h.flatten()
-            inside = shared.value.contains(_hash_matrix(flat)) if len(flat) else np.zeros(0, bool)
-            sizes = np.diff(h.offsets.to_numpy())
-            owner = np.repeat(np.arange(len(h)), sizes)
-            return pa.array(np.bincount(owner, weights=inside, minlength=len(h)) > 0)
-
-        marked = base.withColumn("listed", on_list(F.transform(suffixes(F.col("host")), hashes)))
+    marked = covered(base, names)
     rule = rule_of(F.col("host"), F.col("path"), rules)
     verdict = F.coalesce(rule["verdict"], F.when(F.col("listed"), "block").otherwise("allow"))
     return marked.select("page_id", "host", "path", rule["rule"].alias("rule"), verdict.alias("verdict"), "listed")

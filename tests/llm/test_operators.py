@@ -379,11 +379,17 @@ def test_cascade_is_exact(spark):
     assert (cascade.contains(np.stack(all_["h"].to_numpy())) == all_["listed"].to_numpy()).all()
 
 
-def test_large_listings_are_joined(spark, monkeypatch):
-    monkeypatch.setattr(url_cascade, "MAX_BITS", 1)
-    pages = spark.createDataFrame([(1, "http://a.spam-farm.example.org/"), (2, "http://b.example.org/")], "page_id long, url string")
-    got = {r["page_id"]: r["verdict"] for r in url_cascade.judge_urls(pages, spark.createDataFrame([("spam-farm.example.org",)], "d string")).collect()}
-    assert got == {1: "block", 2: "allow"}
+def test_shards_of_a_cascade_answer_alike(spark, monkeypatch):
+    r = random.Random(11)
+    hosts = [".".join(r.choice("abcdefgh") * r.randint(1, 2) for _ in range(r.randint(1, 6))) for _ in range(400)] + ["x" + ".a" * 3000, "a." * 5 + "b", ""]
+    listed = r.sample(hosts[:400], 25) + ["a.a.a", "A.B"]
+    pages = spark.createDataFrame([(i, f"http://{h}/") for i, h in enumerate(hosts)], "page_id long, url string")
+    names = spark.createDataFrame([(d,) for d in listed], "d string")
+    lower = [d.lower() for d in listed]
+    want = {i: any(h == d or h.endswith("." + d) for d in lower) for i, h in enumerate(hosts)}
+    assert {x["page_id"]: x["listed"] for x in url_cascade.judge_urls(pages, names).collect()} == want
+    monkeypatch.setattr(url_cascade, "SHARD_BITS", 200)
+    assert {x["page_id"]: x["listed"] for x in url_cascade.judge_urls(pages, names).collect()} == want
 
 
 # --- licences
