@@ -1,20 +1,30 @@
-"""The constraints of a built book, over the relations that build_books yields, as one long table of violations.
+"""The constraints of built books, over the relations that build_books yields, as one long table of violations.
 
-Each check is a filter, an anti-join or a window keyed by book, so a corpus of books is checked in one plan.
+Each check is a filter, an anti-join or a window keyed by book, so a corpus of books is checked in one plan. Where a
+check needs the text of spans, the spans of a book travel to its text as one list, so that a text moves once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quire.functions import text as T
 from quire.operators import constraints as C
 from quire.operators import spans as S
 
-#: Longest noise that is not marked by hand, highest confidence of displaced text and of units with grave issues: fixed values.
-LONGEST_NOISE, DISPLACED, GRAVE = 60, 0.8, 0.8
+#: Longest noise that is not marked by hand, highest confidence of units with displaced text or grave issues, share of one general role, and how far a sure page start may be from a mark: fixed values.
+LONGEST_NOISE, DISPLACED, GRAVE, GENERAL_SHARE, SURE_PAGE, MARK_REACH = 60, 0.8, 0.8, 0.5, 0.8, 80
 SEVERITIES = ("low", "medium", "high")
+NOTE_ROLES = ("footnote", "takhrij", "gharib")
+GENERAL_ROLE = "body"
+#: Issues that need no place; noise that may look like text, and what looks like it: fixed values.
+PLACELESS = ("page_boundary_unknown", "possibly_missing_component")
+TEXT_LIKE_KINDS = ("displaced_heading", "running_header")
+TEXT_LIKE = "«|»|رواه|رَوَاهُ|ﷺ"
+LETTER_RUNS, FEWEST_RUNS = "[ء-ي]{2,}", 4
+FORBIDDEN_KEYS = ("cs", "ce", "start", "end")
 KEYS = ["book_id"]
 
 
@@ -22,63 +32,228 @@ def relation(built: DataFrame, name: str) -> DataFrame:
     return built.where(F.col("relation") == name).drop("relation")
 
 
+def sized(books: DataFrame) -> DataFrame:
+    """(book_id, n): the length of every book."""
+    return books.select(F.col("book_id").cast("string").alias("book_id"), F.length(F.coalesce("text", F.lit(""))).alias("n"))
+
+
+def seen(text: Column) -> Column:
+    """How many visible characters a text has."""
+    return F.length(F.regexp_replace(text, T.ANY_SPACE, ""))
+
+
 def with_text(rows: DataFrame, books: DataFrame) -> DataFrame:
-    """Rows with the length of their book and the text of their span."""
-    text = books.select(F.col("book_id").cast("string").alias("book_id"), F.coalesce("text", F.lit("")).alias("_text"))
-    size = F.col("char_end") - F.col("char_start")
-    return rows.join(text, "book_id").withColumn("n", F.length("_text")).withColumn("span_text", F.substr("_text", F.col("char_start") + 1, size)).drop("_text")
+    """Rows with the text of their span as span_text; rows of other books and spans that leave their text are left out."""
+    columns = [c for c in rows.columns if c != "book_id"]
+    lists = rows.groupBy("book_id").agg(F.collect_list(F.struct(*columns)).alias("_rows"))
+    met = lists.join(books.select(F.col("book_id").cast("string").alias("book_id"), F.coalesce("text", F.lit("")).alias("_text")), "book_id")
+    inside = F.filter("_rows", lambda x: (x["char_start"] >= 0) & (x["char_start"] <= x["char_end"]) & (x["char_end"] <= F.length("_text")))
+    cut = F.transform(inside, lambda x: F.struct(*[x[c].alias(c) for c in columns], F.substr("_text", x["char_start"] + 1, x["char_end"] - x["char_start"]).alias("span_text")))
+    return met.select("book_id", F.inline(cut))
+
+
+def claims(built: DataFrame) -> DataFrame:
+    """(book_id, claim, char_start, char_end): what segments and noise claim, joined to the longest ranges of one claim."""
+    segments, noise = relation(built, "segment"), relation(built, "noise")
+    rows = segments.select("book_id", F.concat_ws(":", "kind", "owner", "role").alias("claim"), "char_start", "char_end").unionByName(noise.select("book_id", F.concat_ws(":", "kind", "id").alias("claim"), "char_start", "char_end"))
+    by = Window.partitionBy("book_id", "claim").orderBy("char_start", "char_end")
+    reach = F.max("char_end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    runs = rows.where("char_start < char_end").withColumn("_new", F.when(F.col("char_start") > F.coalesce(reach, F.lit(-1)), 1).otherwise(0)).withColumn("_run", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy("book_id", "claim", "_run").agg(F.min("char_start").alias("char_start"), F.max("char_end").alias("char_end")).drop("_run")
+
+
+def coverage(built: DataFrame, books: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gaps, overlaps): spans with visible text that nothing claims, with it as span_text; and spans that two claims share, with both."""
+    by = Window.partitionBy("book_id").orderBy("char_start", "char_end")
+    ahead = F.max(F.struct("char_end", "claim")).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    own = claims(built)
+    shared = own.withColumn("_ahead", ahead).where(F.col("_ahead.char_end") > F.col("char_start"))
+    overlaps = shared.select("book_id", "claim", F.col("_ahead.claim").alias("other"), "char_start", F.least("char_end", "_ahead.char_end").alias("char_end"))
+    ends = sized(books).select("book_id", F.lit(None).cast("string").alias("claim"), F.explode(F.array(F.struct(F.lit(0).alias("s"), F.lit(0).alias("e")), F.struct(F.col("n").alias("s"), F.col("n").alias("e")))).alias("x")).select("book_id", "claim", F.col("x.s").alias("char_start"), F.col("x.e").alias("char_end"))
+    reach = F.max("char_end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    holes = own.unionByName(ends).withColumn("_from", reach).where("_from < char_start").select("book_id", F.col("_from").alias("char_start"), F.col("char_start").alias("char_end"))
+    return with_text(holes, books).where(seen(F.col("span_text")) > 0), overlaps
 
 
-def coverage_gaps(segments: DataFrame, books: DataFrame) -> DataFrame:
-    """(book_id, covered, visible, deepest): visible characters that segments cover, and how many there are."""
-    visible = books.select(F.col("book_id").cast("string").alias("book_id"), F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"(?U)[\s\x1c-\x1f]", "")).alias("visible"))
-    inside = with_text(segments, books).groupBy("book_id").agg(F.sum(F.length(F.regexp_replace("span_text", r"(?U)[\s\x1c-\x1f]", ""))).alias("covered"))
-    depth = S.coverage(segments, KEYS, "char_start", "char_end").select("book_id", "deepest")
-    return visible.join(inside, "book_id", "left").join(depth, "book_id", "left").select("book_id", F.coalesce("covered", F.lit(0)).alias("covered"), "visible", F.coalesce("deepest", F.lit(0)).alias("deepest"))
+def forbidden_keys(json: Column) -> Column:
+    """The keys of a JSON text that its schema forbids, at any depth; quotes inside strings are escaped, so they open no key."""
+    return F.array_distinct(F.regexp_extract_all(json, F.lit(rf'(?<!\\)"({"|".join(FORBIDDEN_KEYS)})"\s*:'), F.lit(1)))
+
+
+def profile_differences(stored: DataFrame, actual: DataFrame) -> DataFrame:
+    """(book_id, field) of stored profiles (book_id, sha256, n_chars, crlf) that are not what files.profile tells of the source; missing ones are all fields."""
+    fields = ("sha256", "n_chars", "crlf")
+    met = actual.select(F.col("book_id").cast("string").alias("book_id"), *[F.col(f).alias(f"_{f}") for f in fields]).join(stored.select(F.col("book_id").cast("string").alias("book_id"), *fields), "book_id", "left")
+    wrong = F.array_compact(F.array(*[F.when(~F.col(f).eqNullSafe(F.col(f"_{f}")), F.lit(f)) for f in fields]))
+    return met.select("book_id", F.explode(wrong).alias("field"))
 
 
 def violations(built: DataFrame, books: DataFrame) -> list[DataFrame]:
-    """All checks' violations; a report of them is constraints.report."""
-    segments, units, issues = relation(built, "segment"), relation(built, "unit"), relation(built, "issue")
-    texts = with_text(segments, books)
-    book, place = F.col("book_id"), F.concat_ws("-", "char_start", "char_end")
-    number = F.regexp_extract("owner", r"(\d+)$", 1).cast("int")
-    numbered = units.withColumn("ordinal", number)
-    of_unit = segments.where("kind = 'unit'")
-    covered = coverage_gaps(segments, books)
-    by = Window.partitionBy("book_id").orderBy("char_start")
-    ahead = segments.withColumn("_role", F.lag("role").over(by)).withColumn("_owner", F.lag("owner").over(by)).withColumn("_end", F.lag("char_end").over(by))
-    flagged = issues.where("role = 'high' and char_start >= 0")
-    grave = units.alias("u").join(flagged.select("book_id", F.col("char_start").alias("at")), "book_id").where("at >= char_start and at < char_end and confidence > 0.8")
+    """All checks' violations; a report of them is constraints.report.
+
+    built is what build_books yields and should be a table, as many checks read it. Books without rows, with null texts or
+    without pages are checked like others.
+    """
+    nodes, units, segments, noise, pages = (relation(built, k) for k in ("node", "unit", "segment", "noise", "page"))
+    issues, occurrences, foreign, links = (relation(built, k) for k in ("issue", "occurrence", "foreign", "unit_issue"))
+    of_unit, n = segments.where("kind = 'unit'"), sized(books)
+    book, place, owner = F.col("book_id"), F.concat_ws("-", "char_start", "char_end"), F.col("owner")
+    unit_keys = units.select("book_id", F.col("id").alias("owner"))
+    node_keys = nodes.select("book_id", F.col("id").alias("owner"))
+    unit_spans = units.select("book_id", F.col("id").alias("owner"), F.col("char_start").alias("us"), F.col("char_end").alias("ue"))
+    gaps, overlaps = coverage(built, books)
 
     def found(rows: DataFrame, check: str, severity: str, message=place) -> DataFrame:
         return C.violations(rows, check, severity, book, message)
 
-    return [
-        found(C.outside(texts, "char_start", "char_end", "n"), "offset_range", "error"),
-        found(C.missing(segments, ["kind", "char_start", "char_end", "confidence"]), "schema", "error", F.array_join("lacks", ",")),
+    def lost(rows: DataFrame, key: str, known: DataFrame) -> DataFrame:
+        """Rows whose key is not null and not among known(book_id, owner)."""
+        return rows.where(F.col(key).isNotNull()).join(known.select("book_id", F.col("owner").alias(key)).distinct(), ["book_id", key], "left_anti")
+
+    every_span = nodes.unionByName(units).unionByName(segments).unionByName(noise).unionByName(pages).unionByName(foreign).unionByName(occurrences)
+    out = [
+        found(n.join(built.select("book_id").distinct(), "book_id", "left_anti"), "files", "error", F.lit("no relations")),
+        found(C.outside(every_span.join(n, "book_id"), "char_start", "char_end", "n").where("n > 0"), "offset_range", "error"),
+        found(C.missing(nodes, ["id", "kind", "char_start", "char_end"]), "schema", "error", F.array_join("lacks", ",")),
+        found(C.missing(units, ["id", "kind", "ordinal", "owner", "char_start", "char_end", "confidence"]), "schema", "error", F.array_join("lacks", ",")),
+        found(C.missing(segments, ["kind", "owner", "role", "char_start", "char_end"]), "schema", "error", F.array_join("lacks", ",")),
+        found(C.missing(noise, ["id", "owner", "char_start", "char_end"]), "schema", "error", F.array_join("lacks", ",")),
+        found(C.missing(issues, ["id", "kind", "role", "note", "confidence"]), "schema", "error", F.array_join("lacks", ",")),
         found(issues.where(~F.coalesce(F.col("role").isin(*SEVERITIES), F.lit(False))), "schema", "error", F.col("role")),
-        found(C.duplicates(segments, ["book_id", "owner", "role", "char_start", "char_end"]), "duplicate_segment", "error"),
-        found(C.duplicates(units, ["book_id", "owner"]), "ids", "error", F.col("owner")),
-        found(C.orphans(of_unit.withColumn("_key", F.struct("book_id", "owner")), units.select(F.struct("book_id", "owner").alias("_unit")), "_key", "_unit"), "refs", "error", F.col("owner")),
-        found(S.overlapping_neighbours(units, KEYS, "char_start", "char_end", "owner"), "overlap", "error", F.col("owner")),
-        found(S.overlapping_neighbours(segments, KEYS, "char_start", "char_end", "owner"), "coverage_overlap", "error"),
-        found(covered.where("covered < visible"), "coverage_gap", "error", F.concat("covered", F.lit(" of "), "visible")),
-        found(texts.where((F.col("kind") == "noise") & (F.col("role") != "override") & (F.col("char_end") - F.col("char_start") > LONGEST_NOISE)), "noise_too_long", "warn"),
-        found(texts.where("kind = 'none'"), "unowned", "error"),
-        found(of_unit.where((F.col("placement") == "displaced") & (F.col("confidence") > DISPLACED + 0.05)), "confidence", "warn"),
-        found(segments.where("confidence < 0 or confidence > 1"), "confidence", "error"),
-        found(grave.select("book_id", "owner").distinct(), "confidence", "warn", F.col("owner")),
-        found(C.numbering(numbered, KEYS, "ordinal"), "numbering", "error", F.col("n")),
-        found(C.out_of_order(numbered, KEYS, "ordinal", "char_start"), "numbering_order", "warn", F.col("owner")),
-        found(ahead.where("_role <=> role and _owner <=> owner and kind <> 'noise'"), "fragmented_segments", "warn"),
-        found(issues.where(~F.col("kind").isin("heading_not_found", "back_matter_not_found", "section_not_found", "main_start_not_found", "override_failed", "override_without_reason") & (F.col("char_start") < 0)), "issue_location", "warn", F.col("kind")),
+        *(found(C.duplicates(rows, ["book_id", "id"]), "ids", "error", F.col("id")) for rows in (nodes, units, issues, noise)),
+        found(lost(nodes, "owner", node_keys), "tree", "error", owner),
+        found(lost(units, "owner", node_keys), "tree", "error", owner),
+        found(nodes.groupBy("book_id").agg(F.count_if(F.col("owner").isNull()).alias("roots")).where("roots <> 1"), "tree", "error", F.col("roots")),
+        found(C.duplicates(of_unit, ["book_id", "owner", "role", "char_start", "char_end"]), "duplicate_segment", "error"),
+        found(C.duplicates(foreign, ["book_id", "owner", "char_start", "char_end"]), "duplicate_segment", "error"),
+        found(lost(of_unit, "owner", unit_keys), "refs", "error", owner),
+        found(lost(foreign, "ref", unit_keys), "refs", "error", F.col("ref")),
+        found(lost(occurrences, "ref", unit_keys), "refs", "error", F.col("ref")),
+        found(lost(links, "ref", issues.select("book_id", F.col("id").alias("owner"))), "refs", "error", F.col("ref")),
+        found(occurrences.where("ref is not null").select("book_id", "owner").distinct().join(links.select("book_id", F.col("ref").alias("owner")), KEYS + ["owner"], "left_anti"), "refs", "warn", owner),
+        found(S.overlapping_neighbours(units, KEYS, "char_start", "char_end", "id"), "overlap", "error", F.col("id")),
+        found(S.overlapping_neighbours(foreign, ["book_id", "owner"], "char_start", "char_end", "ref"), "overlap", "error"),
+        found(S.overlapping_neighbours(pages, KEYS, "char_start", "char_end", "id"), "pages", "error", F.col("id")),
+        found(pages.where("char_start is null or char_end is null"), "pages", "error", F.col("id")),
+        found(n.join(pages.select("book_id").distinct(), "book_id", "left_anti"), "pages", "warn", F.lit("no page model")),
+        found(segments.where("page is not null").join(pages.select("book_id", "page").distinct(), ["book_id", "page"], "left_anti"), "pages", "error", F.col("page")),
+        found(gaps, "coverage_gap", "error", T.snippet(F.col("span_text"))),
+        found(overlaps, "coverage_overlap", "error", F.concat_ws(" ", "claim", "other")),
+        found(with_text(noise.where("role <> 'override'"), books).where(F.length("span_text") > LONGEST_NOISE), "noise_too_long", "warn", T.snippet(F.col("span_text"))),
+        found(with_text(noise.where((F.col("role") != "override") & ~F.col("owner").isin(*TEXT_LIKE_KINDS)), books).where(F.col("span_text").rlike(TEXT_LIKE) | (F.regexp_count("span_text", F.lit(LETTER_RUNS)) >= FEWEST_RUNS)), "noise_content", "warn", T.snippet(F.col("span_text"))),
     ]
+    out += [*_of_units(found, units, of_unit, foreign, unit_spans, nodes, issues, links), *_of_issues(found, issues, occurrences, of_unit, foreign, units, n), *_of_notes(found, of_unit, occurrences), *_of_pages(found, pages, noise)]
+    headings = with_text(of_unit.where("role = 'heading'"), books).groupBy("book_id", "owner").agg(F.min_by("span_text", "char_start").alias("title"))
+    titled = headings.join(units.select("book_id", F.col("id").alias("owner"), "note"), KEYS + ["owner"])
+    out.append(found(titled.where(~F.startswith(F.col("note"), F.col("title"))), "offset_text", "error", owner))
+    by = Window.partitionBy("book_id", "owner").orderBy("char_start")
+    same = [F.lag(c).over(by).eqNullSafe(F.col(c)) for c in ("role", "ref", "placement")]
+    split = of_unit.withColumn("_same", same[0] & same[1] & same[2]).withColumn("_end", F.lag("char_end").over(by)).where("_same and _end is not null and _end <= char_start")
+    between = with_text(split.select("book_id", "owner", F.col("_end").alias("char_start"), F.col("char_start").alias("char_end")), books)
+    out.append(found(between.where(seen(F.col("span_text")) == 0), "fragmented_segments", "warn"))
+    return out
+
+
+def _of_units(found, units, of_unit, foreign, unit_spans, nodes, issues, links) -> list[DataFrame]:
+    """Placement, mirrors, roles, numbering and confidence of units."""
+    book_owner = ["book_id", "owner"]
+    held = of_unit.join(unit_spans, book_owner)
+    inside = (F.col("us") <= F.col("char_start")) & (F.col("char_end") <= F.col("ue"))
+    misplaced = held.where(F.when(inside, "in_span").otherwise("displaced") != F.coalesce("placement", F.lit("")))
+    away = held.where(~inside).select("book_id", F.col("owner").alias("ref"), "char_start", "char_end")
+    hosts = unit_spans.withColumnRenamed("owner", "host")
+    hosted = away.join(hosts, "book_id").where((F.col("us") <= F.col("char_start")) & (F.col("char_end") <= F.col("ue"))).select("book_id", F.col("host").alias("owner"), "ref", "char_start", "char_end")
+    mirror = ["book_id", "owner", "ref", "char_start", "char_end"]
+    unmirrored = hosted.join(foreign.select(*mirror), mirror, "left_anti")
+    baseless = foreign.select(*mirror).join(of_unit.select("book_id", F.col("owner").alias("ref"), "char_start", "char_end"), ["book_id", "ref", "char_start", "char_end"], "left_anti")
+    roles = of_unit.groupBy(*book_owner).agg(F.max((F.col("role") == "heading").cast("int")).alias("headed"))
+    as_owner = units.withColumnRenamed("owner", "parent").withColumnRenamed("id", "owner")
+    unheaded = as_owner.join(roles, book_owner, "left").where("coalesce(headed, 0) = 0 and note <> ''")
+    general = of_unit.groupBy("book_id").agg(F.avg((F.col("role") == GENERAL_ROLE).cast("int")).alias("share")).where(F.col("share") > GENERAL_SHARE)
+    group = ["book_id", "owner", "kind"]
+    above = units.join(nodes.select("book_id", F.col("id").alias("owner"), F.col("confidence").alias("_parent")), book_owner).where("confidence > _parent + 1e-9")
+    moved = of_unit.where("placement = 'displaced'").select(*book_owner).unionByName(foreign.select(*book_owner)).distinct()
+    grave = links.join(issues.where("role = 'high'").select("book_id", F.col("id").alias("ref")), ["book_id", "ref"]).select(*book_owner).distinct()
+    alike = units.groupBy("book_id").agg(F.count("*").alias("n"), F.countDistinct("confidence").alias("kinds")).where("n > 3 and kinds = 1")
+    owner = F.col("owner")
+    return [
+        found(misplaced, "placement", "error"),
+        found(unmirrored, "foreign_mirror", "error"),
+        found(baseless, "foreign_mirror", "error"),
+        found(unheaded, "roles", "warn", owner),
+        found(general, "roles", "warn", F.col("share")),
+        found(C.numbering(units, group, "ordinal"), "numbering", "error", F.col("n")),
+        found(C.out_of_order(units.where("ordinal is not null"), group, "ordinal", "char_start"), "numbering", "warn", F.col("id")),
+        found(units.where("confidence is null or confidence < 0 or confidence > 1"), "confidence", "error", F.col("id")),
+        found(issues.where("confidence is null or confidence < 0 or confidence > 1"), "confidence", "error", F.col("id")),
+        found(above, "confidence", "error", F.col("id")),
+        found(as_owner.where(F.col("confidence") > DISPLACED).join(moved, book_owner, "left_semi"), "confidence", "error", owner),
+        found(as_owner.where(F.col("confidence") > GRAVE).join(grave, book_owner, "left_semi"), "confidence", "warn", owner),
+        found(alike, "confidence", "warn", F.col("n")),
+    ]
+
+
+def _of_issues(found, issues, occurrences, of_unit, foreign, units, n) -> list[DataFrame]:
+    """Places of issues: there is one, it touches the unit that it names, and it ends with a segment it begins with."""
+    placed = occurrences.select("book_id", F.col("owner").alias("id")).distinct()
+    placeless = issues.where(~F.col("kind").isin(*PLACELESS)).join(placed, ["book_id", "id"], "left_anti")
+    named = occurrences.where("ref is not null")
+    parts = of_unit.select("book_id", F.col("owner").alias("ref"), "char_start", "char_end").unionByName(foreign.select("book_id", F.col("owner").alias("ref"), "char_start", "char_end"))
+    whole = units.select("book_id", F.col("id").alias("ref"), "char_start", "char_end")
+    apart = _untouched(named, parts.unionByName(whole))
+    same_start = named.join(parts.select("book_id", "ref", "char_start").distinct(), ["book_id", "ref", "char_start"], "left_semi")
+    exact = ["book_id", "ref", "char_start", "char_end"]
+    inexact = same_start.join(parts.select(*exact).distinct(), exact, "left_anti").join(whole, exact, "left_anti")
+    return [found(placeless, "issue_location", "warn", F.col("kind")), found(apart, "issue_location", "error"), found(inexact, "offset_consistency", "error")]
+
+
+def _untouched(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """Rows (book_id, ref, span) that share no character with any of the others of the same book and ref."""
+    b = others.select(F.col("book_id").alias("_b"), F.col("ref").alias("_r"), F.col("char_start").alias("_s"), F.col("char_end").alias("_e"))
+    return rows.join(b, (F.col("book_id") == F.col("_b")) & (F.col("ref") == F.col("_r")) & (F.col("char_start") < F.col("_e")) & (F.col("_s") < F.col("char_end")), "left_anti")
+
+
+def _of_notes(found, of_unit, occurrences) -> list[DataFrame]:
+    """Footnotes have markers and ids, and an anchor each or an issue that says so; anchors have footnotes or an issue."""
+    book_owner = ["book_id", "owner"]
+    notes, anchors = of_unit.where(F.col("role").isin(*NOTE_ROLES)), of_unit.where("role = 'anchor'")
+    unmarked = notes.where("coalesce(note, '') = ''")
+    nameless = notes.groupBy(*book_owner).agg(F.count_if(F.col("ref").isNotNull()).alias("named")).where("named = 0")
+    shared = C.duplicates(anchors.where("ref is not null"), ["book_id", "owner", "ref"])
+    first = notes.where("ref is not null").groupBy("book_id", "owner", "ref").agg(F.min_by(F.struct("char_start", "char_end"), "char_start").alias("x")).select("book_id", "owner", F.col("ref").alias("fn"), "x.char_start", "x.char_end")
+    bare = first.join(anchors.where("ref is not null").select("book_id", "owner", F.col("ref").alias("fn")).distinct(), ["book_id", "owner", "fn"], "left_anti")
+
+    def unflagged(rows: DataFrame, kind: str) -> DataFrame:
+        return _untouched(rows.withColumn("ref", F.col("owner")), occurrences.where(F.col("kind") == kind).where("ref is not null"))
+
+    return [
+        found(unmarked, "footnote_marker", "warn"),
+        found(nameless, "footnote_ids", "warn", F.col("owner")),
+        found(shared, "footnote_pairing", "error", F.col("ref")),
+        found(unflagged(bare, "unanchored_footnote"), "footnote_pairing", "error", F.col("fn")),
+        found(unflagged(anchors.where("ref is null"), "orphan_anchor"), "footnote_pairing", "warn"),
+    ]
+
+
+def _of_pages(found, pages, noise) -> list[DataFrame]:
+    """Sure page starts are near a running header or behind a page number; the nearest mark on either side comes from one ordered pass."""
+    marks = noise.where("owner in ('running_header', 'page_number')").select("book_id", F.when(F.col("owner") == "page_number", F.col("char_end")).otherwise(F.col("char_start")).alias("at"))
+    first = F.row_number().over(Window.partitionBy("book_id").orderBy("char_start", "id")) == 1
+    sure = pages.withColumn("_first", first).where(~F.col("_first") & (F.coalesce("confidence", F.lit(0.0)) >= SURE_PAGE)).select("book_id", "id", F.col("char_start").alias("at"))
+    both = sure.withColumn("mark", F.lit(None).cast("int")).unionByName(marks.select("book_id", F.lit(None).cast("string").alias("id"), "at", F.col("at").alias("mark")))
+    by = Window.partitionBy("book_id").orderBy("at")
+    near = both.withColumn("_before", F.last("mark", ignorenulls=True).over(by.rangeBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("_after", F.first("mark", ignorenulls=True).over(by.rangeBetween(Window.currentRow, Window.unboundedFollowing)))
+    far = F.least(F.col("at") - F.col("_before"), F.col("_after") - F.col("at"))
+    return [found(near.where("id is not null").withColumn("far", far).where(F.col("far") > MARK_REACH), "page_confidence", "warn", F.col("id"))]
 
 
 def summary(built: DataFrame, books: DataFrame) -> DataFrame:
-    """Per book: numbers of segments, units, issues and noise, visible and covered characters, and the share of body text."""
-    s = relation(built, "segment")
-    counts = built.groupBy("book_id").agg(*[F.count_if(F.col("relation") == k).alias(f"{k}s") for k in ("segment", "unit", "issue")], F.count_if((F.col("relation") == "segment") & (F.col("kind") == "noise")).alias("noise_spans"))
-    body = s.groupBy("book_id").agg(F.avg((F.col("role") == "body").cast("int")).alias("body_share"))
-    return coverage_gaps(s, books).join(counts, "book_id", "left").join(body, "book_id", "left")
+    """Per book: numbers of nodes, units, issues, noise spans, pages and segments by role (as JSON), visible and covered characters, and the share of the general role."""
+    names = ("node", "unit", "issue", "noise", "page", "segment")
+    counts = built.groupBy("book_id").agg(*[F.count_if(F.col("relation") == k).alias(f"{k}s") for k in names])
+    roles = relation(built, "segment").where("kind = 'unit'").groupBy("book_id", "role").agg(F.count("*").alias("m"))
+    by_role = roles.groupBy("book_id").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("role", "m"))))).alias("segment_roles"), F.round(F.sum(F.when(F.col("role") == GENERAL_ROLE, F.col("m")).otherwise(0)) / F.sum("m"), 3).alias("body_role_share"))
+    gaps, _ = coverage(built, books)
+    missed = gaps.groupBy("book_id").agg(F.sum(seen(F.col("span_text"))).alias("missed"))
+    visible = books.select(F.col("book_id").cast("string").alias("book_id"), F.length(F.coalesce("text", F.lit(""))).alias("n_chars"), seen(F.coalesce("text", F.lit(""))).alias("visible"))
+    return visible.join(missed, "book_id", "left").join(counts, "book_id", "left").join(by_role, "book_id", "left").withColumn("covered", F.col("visible") - F.coalesce("missed", F.lit(0))).drop("missed")

@@ -690,17 +690,18 @@ def page_snap(spark, sf_dir) -> DataFrame:
 
 
 def books(spark, sf_dir) -> DataFrame:
-    """Documents as books: their second and fifth lines are headings, a line that opens several documents a running header."""
+    """Documents as books: their second and fifth lines are headings, their first one a running header; short Latin words are no garbled glyphs here."""
     docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), "text", F.split("text", "\n").alias("lines"))
     heads = F.filter(F.array(F.get("lines", F.lit(1)), F.get("lines", F.lit(4))), lambda x: x.isNotNull() & (F.trim(x) != ""))
-    config = F.to_json(F.struct(F.lit("body").alias("body_role"), heads.alias("unit_headings"), F.array(F.get("lines", F.lit(0))).alias("running_headers")))
+    latin = F.struct(F.lit(0).alias("latin_max_run_in_arabic"))
+    config = F.to_json(F.struct(F.lit("text").alias("body_role"), heads.alias("unit_headings"), F.array(F.get("lines", F.lit(0))).alias("running_headers"), latin.alias("garbled")))
     return docs.select("book_id", "text", config.alias("config"), F.lit(None).cast("string").alias("overrides"))
 
 
 @unchecked
 def structure_units(spark, sf_dir) -> DataFrame:
-    """Every document folded into segments, units and issues."""
-    return B.build_books(books(spark, sf_dir)).drop("note")
+    """Every document folded into its relations."""
+    return B.build_books(books(spark, sf_dir))
 
 
 @unchecked
