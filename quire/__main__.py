@@ -1,7 +1,14 @@
-"""Command line: python -m quire discover|build|validate TEXTS [--config FILE] [--out FOLDER]
+"""Command line: python -m quire COMMAND ... on files of this machine.
 
-discover prints the most common lines of the texts; build writes their structure as JSON; validate builds, prints the
-report of the constraints and ends with 1 if there are errors, 2 if a source is no UTF-8.
+discover TEXTS                                  the most common lines of the texts
+pages TEXTS PAGES --out FOLDER                  align page texts (JSON lists of {text, height, lines} by book) and write pages.json
+build TEXTS [--config F] [--overrides F] [--pages F] --out FOLDER   write each book's profile, structure, units and issues
+validate (as build)                             build, print and write the report of the constraints
+prepare (as build) [--units a,b]                write the reading sheets of all or some units
+check DRAFTS (as prepare, TEXTS by --texts)     check drafted statements and write knowledge_objects.json
+diff (as build) --against FOLDER [--approve]    compare a build with a stored one; --approve stores it if it has no errors
+
+Ends with 0, with 1 if there are errors, rejections or differences, with 2 if a source or an input cannot be read.
 """
 
 from __future__ import annotations
@@ -10,38 +17,114 @@ import argparse
 import sys
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators import constraints, spans, structure, validate
-from quire.sources import files, scratch
+from quire.operators import compare, constraints, knowledge, layout, pages, sheets, spans, structure, validate
+from quire.sources import files, outputs, scratch
+
+
+def _text(path: str | None) -> str | None:
+    return Path(path).read_text(encoding="utf-8") if path else None
+
+
+def _discover(texts: DataFrame) -> int:
+    lines = spans.line_table(texts, "book_id", "text").withColumn("line", F.trim("line")).where("line <> ''")
+    common = lines.groupBy("line").agg(F.count("*").alias("n"), F.min(F.struct("book_id", "line_no")).alias("first_at"))
+    common.orderBy(F.desc("n"), "first_at").limit(40).where("n >= 3").show(40, truncate=False)
+    return 0
+
+
+def _pages(spark: SparkSession, texts: DataFrame, path: str, out: str) -> int:
+    """Align the pages of one book's printed lines and place its lines on them."""
+    book = texts.select("book_id").first()[0]
+    printed = files.read_pdf_lines(spark, path).select(F.lit(book).alias("book_id"), (F.col("page") + 1).alias("page_index"), "height", "line", "bbox", "text")
+    whole = printed.groupBy("book_id", "page_index").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n").alias("text"))
+    model = scratch.written(pages.align(texts, whole), "page-model")
+    lines = scratch.written(spans.line_table(texts, "book_id", "text"), "lines")
+    held = spans.containing(lines, model.select("book_id", "page_index", F.col("char_start").alias("ps"), F.col("char_end").alias("pe")), ["book_id"], "char_start", "ps", "pe", 4096)
+    placed = layout.match_lines(held.select("book_id", "line_no", "page_index", F.col("line").alias("text")), printed.select("book_id", "page_index", "line", F.col("bbox")[1].alias("y0"), "text"))
+    every = lines.drop("line").join(placed, ["book_id", "line_no"], "left")
+    outputs.write_named(outputs.pages_file(model, every, printed), out)
+    return 0
+
+
+def _check(spark: SparkSession, built: DataFrame, pieces: DataFrame, folder: str, config: dict, wanted: DataFrame | None, out: str) -> int:
+    """Gate the drafts of a folder (UNIT.json each), check their objects and write what is accepted and rejected."""
+    drafts = spark.read.text(f"{folder}/*.json", wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1).alias("unit_id"), F.col("value").alias("raw"))
+    units = validate.relation(built, "unit").select(F.col("id").alias("unit_id"), "confidence")
+    asked = units.select("unit_id") if wanted is None else wanted.toDF("unit_id")
+    gated = scratch.written(knowledge.draft_reasons(drafts, asked, units), "drafts")
+    sound = gated.where(F.size("reasons") == 0)
+    objects = sound.select("unit_id", F.posexplode("draft.objects").alias("object", "o")).select("unit_id", "object", "o.*")
+    types = spark.createDataFrame([(t["id"],) for t in config.get("types", []) if "id" in t] or [("",)], "type string")
+    checked = scratch.written(knowledge.check_objects(objects, pieces, types), "checked")
+    accepted = scratch.written(knowledge.accept(checked, units), "accepted")
+    rejected = checked.where(F.size("reasons") > 0).select("unit_id", "object", "reasons").unionByName(gated.where(F.size("reasons") > 0).select("unit_id", F.lit(None).cast("int").alias("object"), "reasons"))
+    evidence = objects.select("unit_id", "object", F.posexplode("evidence").alias("k", "e")).select("unit_id", "object", "k", "e.piece", "e.quote")
+    parts = knowledge.quoted_parts(evidence, pieces).groupBy("unit_id", "object").agg(F.array_sort(F.collect_list(F.struct("k", "char_start", "char_end", "role", "page"))).alias("evidence"))
+    whole = accepted.join(parts, ["unit_id", "object"], "left")
+    listed = lambda rows, name: rows.agg(F.array_sort(F.collect_list(F.struct(*rows.columns))).alias(name))
+    content = listed(whole, "objects").crossJoin(listed(rejected, "rejected")).select(F.to_json(F.struct(F.lit(knowledge.PROMPT_VERSION).alias("prompt_version"), "objects", "rejected")).alias("content"))
+    outputs.write_named(content.withColumn("name", F.lit("knowledge_objects.json")), out, ())
+    return int(not rejected.isEmpty())
 
 
 def main(args: list[str]) -> int:
-    parser = argparse.ArgumentParser(prog="quire")
-    parser.add_argument("command", choices=["discover", "build", "validate"])
-    parser.add_argument("texts")
-    parser.add_argument("--config")
+    parser = argparse.ArgumentParser(prog="quire", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    parser.add_argument("command", choices=["discover", "pages", "build", "validate", "prepare", "check", "diff"])
+    parser.add_argument("inputs", nargs="+")
+    for name in ("--config", "--overrides", "--pages", "--units", "--against", "--texts", "--sheet-config"):
+        parser.add_argument(name)
     parser.add_argument("--out", default="out")
+    parser.add_argument("--approve", action="store_true")
     a = parser.parse_args(args)
     spark = SparkSession.builder.appName("quire").getOrCreate()
-    texts = files.profile(files.read_texts(spark, a.texts), "book_id", F.col("content")).select("book_id", "text")
+    found = files.profile(files.read_texts(spark, a.texts or a.inputs[0]), "book_id", F.col("content"))
+    texts = found.select("book_id", "text")
     if texts.where("text is null").count():
         return 2
     if a.command == "discover":
-        lines = spans.line_table(texts, "book_id", "text").withColumn("line", F.trim("line")).where("line <> ''")
-        common = lines.groupBy("line").agg(F.count("*").alias("n"), F.min(F.struct("book_id", "line_no")).alias("first_at"))
-        common.where("n >= 3").orderBy(F.desc("n"), "first_at").limit(40).show(40, truncate=False)
-        return 0
-    config = Path(a.config).read_text(encoding="utf-8") if a.config else None
-    books = texts.select("book_id", "text", F.lit(config).cast("string").alias("config"), F.lit(None).cast("string").alias("overrides"))
-    built = structure.build_books(books)
+        return _discover(texts)
+    if a.command == "pages":
+        return _pages(spark, texts, a.inputs[1], a.out)
+    given = [F.lit(_text(path)).cast("string").alias(name) for name, path in (("config", a.config), ("overrides", a.overrides), ("pages", a.pages))]
+    books = texts.select("book_id", "text", *given)
+    built = scratch.written(structure.build_books(books), "built-books")
     if a.command == "build":
-        files.write_json(built, a.out, "relation")
+        outputs.write_named(outputs.book_files(built, found), a.out)
+        return 0
+    if a.command in ("prepare", "check"):
+        import json
+
+        config = json.loads(_text(a.sheet_config) or "{}")
+        wanted = spark.createDataFrame([(u,) for u in a.units.split(",")], "id string") if a.units else None
+        units = validate.relation(built, "unit")
+        some, unknown = sheets.chosen(units, wanted)
+        if unknown is not None and not unknown.isEmpty():
+            print("unknown unit ids:", ", ".join(sorted(r[0] for r in unknown.collect())), file=sys.stderr)
+            return 2
+        own = scratch.written(sheets.pieces(built, books, config).join(some.select("book_id", F.col("id").alias("unit_id")), ["book_id", "unit_id"], "left_semi"), "pieces")
+        if a.command == "check":
+            return _check(spark, built, own, a.inputs[0], config, wanted, a.out)
+        each = sheets.sheets(built, own).join(some.select("book_id", F.col("id").alias("unit_id")), ["book_id", "unit_id"], "left_semi")
+        for column, ending in (("json", ".json"), ("markdown", ".md")):
+            outputs.write_named(each.select("book_id", F.concat("unit_id", F.lit(ending)).alias("name"), F.col(column).alias("content")), a.out)
+        return 0
+    report = scratch.written(constraints.report(validate.violations(built, books)), "report")
+    errors = report.where("severity = 'error'")
+    if a.command == "validate":
+        report.show(100, truncate=False)
+        outputs.write_named(outputs.report_file(report), a.out, ())
+        return int(not errors.isEmpty())
+    stored = Path(a.against)
+    changed = compare.differences(spark.read.schema(built.schema).parquet(a.against), built, books) if stored.exists() else None
+    if changed is not None:
+        changed.orderBy("book_id", "what", "key").show(100, truncate=False)
+    if a.approve:
+        files.approve(built, errors, a.against)
         return 0
-    report = constraints.report(validate.violations(scratch.written(built, "built-books"), books))
-    report.show(100, truncate=False)
-    return int(report.where("severity = 'error'").count() > 0)
+    return int(changed is None or not changed.isEmpty())
 
 
 if __name__ == "__main__":

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from quire.functions import text as T
 from quire.operators import records as R
+from quire.operators.sheets import source_parts
 
 #: Limits and vocabularies: fixed values.
 MIN_QUOTE_LETTERS, MAX_STATEMENT, MAX_OBJECTS = 8, 300, 8
@@ -27,15 +28,19 @@ def letters(c: Column, letter: str = T.ARABIC) -> Column:
     return F.length(c) - F.length(F.regexp_replace(c, f"[{letter}]", ""))
 
 
-def draft_reasons(drafts: DataFrame, units: DataFrame) -> DataFrame:
+def draft_reasons(drafts: DataFrame, units: DataFrame, sheets: DataFrame | None = None) -> DataFrame:
     """Drafts by unit, a JSON text each, parsed; with the reasons against a draft as a whole.
 
-    units(unit_id); drafts(unit_id, raw). A unit without a draft and a draft that is no JSON are reasons too.
+    units(unit_id) that are asked for; drafts(unit_id, raw); sheets(unit_id), those that were prepared. A unit without a
+    sheet or a draft and a draft that is no JSON are reasons too.
     """
-    parsed = units.select("unit_id").join(drafts, "unit_id", "left").withColumn("draft", F.from_json("raw", DRAFT)).withColumn("_ok", F.try_parse_json("raw").isNotNull())
+    known = units.select("unit_id") if sheets is None else units.select("unit_id").join(sheets.select("unit_id", F.lit(True).alias("_sheet")).distinct(), "unit_id", "left")
+    if sheets is None:
+        known = known.withColumn("_sheet", F.lit(True))
+    parsed = known.join(drafts, "unit_id", "left").withColumn("draft", F.from_json("raw", DRAFT)).withColumn("_ok", F.try_parse_json("raw").isNotNull())
     n = F.coalesce(F.size("draft.objects"), F.lit(0))
     n = F.greatest(n, F.lit(0))
-    whole = F.when(F.col("raw").isNull(), F.array(F.lit("E_MISSING_DRAFT"))).when(~F.col("_ok"), F.array(F.lit("E_JSON")))
+    whole = F.when(F.col("_sheet").isNull(), F.array(F.lit("E_NO_SHEET"))).when(F.col("raw").isNull(), F.array(F.lit("E_MISSING_DRAFT"))).when(~F.col("_ok"), F.array(F.lit("E_JSON")))
     checks = R.reasons([
         ("E_UNIT", ~F.col("draft.unit_id").eqNullSafe(F.col("unit_id"))),
         ("E_PROMPT_VERSION", ~F.col("draft.prompt_version").eqNullSafe(F.lit(PROMPT_VERSION))),
@@ -54,6 +59,17 @@ def place_quotes(evidence: DataFrame, pieces: DataFrame) -> DataFrame:
     return met.withColumn("place", F.when((at > 0) & (T.QUOTE.apply(F.col("quote")) != ""), at - 1))
 
 
+def quoted_parts(evidence: DataFrame, pieces: DataFrame) -> DataFrame:
+    """evidence(unit_id, object, k, piece, quote) found in its piece, as (unit_id, object, k, char_start, char_end, role, page): the parts of the source that each quote covers.
+
+    pieces as sheets.pieces has them. Quotes that are not found have no rows; of several places the first counts.
+    """
+    met = evidence.join(pieces.select("unit_id", F.col("piece_id").alias("piece"), "text"), ["unit_id", "piece"])
+    first = F.get(T.find_all(F.col("text"), T.QUOTE.apply(F.col("quote")), T.QUOTE), F.lit(0))
+    placed = met.withColumn("_at", first).where("_at is not null").select("unit_id", "object", "k", "piece", F.col("_at.char_start").alias("from"), F.col("_at.char_end").alias("to"))
+    return source_parts(placed, pieces).drop("piece", "from", "to")
+
+
 def check_objects(objects: DataFrame, pieces: DataFrame, types: DataFrame, letter: str = T.ARABIC) -> DataFrame:
     """Every reason against every object; objects(unit_id, object, type, statement, said_by, basis, inference_reason, evidence).
 

@@ -1,7 +1,8 @@
 """The constraints of built books, over the relations that build_books yields, as one long table of violations.
 
-Each check is a filter, an anti-join or a window keyed by book, so a corpus of books is checked in one plan. Where a
-check needs the text of spans, the spans of a book travel to its text as one list, so that a text moves once.
+Rules of single rows share one pass, all references one anti-join, all neighbours one window, all repeats one
+aggregation each; the rest are joins and windows keyed by book, so a corpus of books is checked in one plan. Where
+a check needs the text of spans, the spans of a book travel to its text as one list, so that a text moves once.
 """
 
 from __future__ import annotations
@@ -88,6 +89,71 @@ def profile_differences(stored: DataFrame, actual: DataFrame) -> DataFrame:
     return met.select("book_id", F.explode(wrong).alias("field"))
 
 
+#: Relations whose rows are spans, and fields that rows must have.
+SPANS = ("node", "unit", "segment", "noise", "page", "foreign", "occurrence")
+REQUIRED = {
+    "node": ("id", "kind", "char_start", "char_end"),
+    "unit": ("id", "kind", "ordinal", "owner", "char_start", "char_end", "confidence"),
+    "segment": ("kind", "owner", "role", "char_start", "char_end"),
+    "noise": ("id", "owner", "char_start", "char_end"),
+    "page": ("char_start", "char_end"),
+    "issue": ("id", "kind", "role", "note", "confidence"),
+}
+
+
+def _of_rows(built: DataFrame, n: DataFrame) -> DataFrame:
+    """Violations of rules that a row breaks by itself: ranges, required fields, severities, confidence, markers."""
+    rel, place = F.col("relation"), F.concat_ws("-", "char_start", "char_end")
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    bounds = F.col("char_start").isNotNull() & F.col("char_end").isNotNull()
+    good = (F.col("char_start") >= 0) & (F.col("char_start") < F.col("char_end")) & (F.col("char_end") <= F.col("n"))
+    lacks = F.array_join(F.array_compact(F.array(*[F.when((rel == r) & F.col(c).isNull(), F.lit(c)) for r, fields in REQUIRED.items() for c in fields])), ",")
+    unsure = rel.isin("unit", "issue") & ~yes(F.col("confidence").between(0, 1))
+    note = (rel == "segment") & (F.col("kind") == "unit") & F.col("role").isin(*NOTE_ROLES) & (F.coalesce("note", F.lit("")) == "")
+    rules = [
+        (rel.isin(*SPANS) & bounds & ~good & (F.col("n") > 0), "offset_range", "error", place),
+        (lacks != "", "schema", "error", lacks),
+        ((rel == "issue") & ~yes(F.col("role").isin(*SEVERITIES)), "schema", "error", F.col("role")),
+        (unsure, "confidence", "error", F.col("id")),
+        (note, "footnote_marker", "warn", place),
+    ]
+    broken = F.array_compact(F.array(*[F.when(yes(bad), F.struct(F.lit(check).alias("check"), F.lit(severity).alias("severity"), message.cast("string").alias("message"))) for bad, check, severity, message in rules]))
+    return built.join(n, "book_id").select(F.col("book_id").alias("key"), F.inline(broken)).select("check", "severity", "key", "message")
+
+
+def _of_references(built: DataFrame) -> DataFrame:
+    """Violations of references: every owner, parent, unit, issue and page that a row names exists."""
+    rel = F.col("relation")
+
+    def to(rows: Column, target: str, key: Column, check: str) -> Column:
+        return F.when(rows & key.isNotNull(), F.struct(F.lit(target).alias("target"), key.cast("string").alias("wanted"), F.lit(check).alias("check")))
+
+    of_unit = (rel == "segment") & (F.col("kind") == "unit")
+    each = [to(rel.isin("node", "unit"), "node", F.col("owner"), "tree"), to(of_unit, "unit", F.col("owner"), "refs"), to(rel.isin("foreign", "occurrence"), "unit", F.col("ref"), "refs"), to(rel == "unit_issue", "issue", F.col("ref"), "refs"), to(rel == "segment", "page", F.col("page"), "pages")]
+    asked = built.select("book_id", F.inline(F.array_compact(F.array(*each))))
+    known = built.where(rel.isin("node", "unit", "issue", "page")).select("book_id", rel.alias("target"), F.col("id").alias("wanted")).distinct()
+    lost = asked.join(known, ["book_id", "target", "wanted"], "left_anti")
+    return lost.select("check", F.lit("error").alias("severity"), F.col("book_id").alias("key"), F.concat_ws(" ", "target", "wanted").alias("message"))
+
+
+def _of_repeats(built: DataFrame) -> DataFrame:
+    """Violations of uniqueness: ids, and spans of one role of a unit."""
+    by_id = F.col("relation").isin("node", "unit", "issue", "noise")
+    by_span = (F.col("relation") == "foreign") | (F.col("relation") == "segment") & (F.col("kind") == "unit")
+    same = F.when(by_id, F.struct(F.col("id").alias("a"), F.lit("").alias("b"), F.lit(0).alias("s"), F.lit(0).alias("e"))).otherwise(F.struct(F.col("owner").alias("a"), F.when(F.col("relation") == "segment", F.col("role")).alias("b"), F.col("char_start").alias("s"), F.col("char_end").alias("e")))
+    again = C.duplicates(built.where(by_id | by_span).withColumn("same", same), ["book_id", "relation", "same"])
+    check = F.when(F.col("relation").isin("foreign", "segment"), "duplicate_segment").otherwise("ids")
+    return again.select(check.alias("check"), F.lit("error").alias("severity"), F.col("book_id").alias("key"), F.concat_ws(" ", "relation", "same.a", "same.s", "same.e").alias("message"))
+
+
+def _of_neighbours(built: DataFrame) -> DataFrame:
+    """Violations of order: units, pages, and foreign spans of one unit that begin before the one ahead has ended."""
+    rows = built.where(F.col("relation").isin("unit", "page", "foreign")).withColumn("group", F.when(F.col("relation") == "foreign", F.col("owner")).otherwise(""))
+    met = S.overlapping_neighbours(rows.withColumn("tie", F.coalesce("id", "ref")), ["book_id", "relation", "group"], "char_start", "char_end", "tie")
+    check = F.when(F.col("relation") == "page", "pages").otherwise("overlap")
+    return met.select(check.alias("check"), F.lit("error").alias("severity"), F.col("book_id").alias("key"), F.concat_ws(" ", "relation", "tie").alias("message"))
+
+
 def violations(built: DataFrame, books: DataFrame) -> list[DataFrame]:
     """All checks' violations; a report of them is constraints.report.
 
@@ -98,51 +164,31 @@ def violations(built: DataFrame, books: DataFrame) -> list[DataFrame]:
     issues, occurrences, foreign, links = (relation(built, k) for k in ("issue", "occurrence", "foreign", "unit_issue"))
     of_unit, n = segments.where("kind = 'unit'"), sized(books)
     book, place, owner = F.col("book_id"), F.concat_ws("-", "char_start", "char_end"), F.col("owner")
-    unit_keys = units.select("book_id", F.col("id").alias("owner"))
-    node_keys = nodes.select("book_id", F.col("id").alias("owner"))
     unit_spans = units.select("book_id", F.col("id").alias("owner"), F.col("char_start").alias("us"), F.col("char_end").alias("ue"))
     gaps, overlaps = coverage(built, books)
 
     def found(rows: DataFrame, check: str, severity: str, message=place) -> DataFrame:
         return C.violations(rows, check, severity, book, message)
 
-    def lost(rows: DataFrame, key: str, known: DataFrame) -> DataFrame:
-        """Rows whose key is not null and not among known(book_id, owner)."""
-        return rows.where(F.col(key).isNotNull()).join(known.select("book_id", F.col("owner").alias(key)).distinct(), ["book_id", key], "left_anti")
-
-    every_span = nodes.unionByName(units).unionByName(segments).unionByName(noise).unionByName(pages).unionByName(foreign).unionByName(occurrences)
+    has = built.groupBy("book_id").agg(F.count_if((F.col("relation") == "node") & F.col("owner").isNull()).alias("roots"), F.count_if(F.col("relation") == "page").alias("pages"))
+    whole = n.join(has, "book_id", "left")
     out = [
-        found(n.join(built.select("book_id").distinct(), "book_id", "left_anti"), "files", "error", F.lit("no relations")),
-        found(C.outside(every_span.join(n, "book_id"), "char_start", "char_end", "n").where("n > 0"), "offset_range", "error"),
-        found(C.missing(nodes, ["id", "kind", "char_start", "char_end"]), "schema", "error", F.array_join("lacks", ",")),
-        found(C.missing(units, ["id", "kind", "ordinal", "owner", "char_start", "char_end", "confidence"]), "schema", "error", F.array_join("lacks", ",")),
-        found(C.missing(segments, ["kind", "owner", "role", "char_start", "char_end"]), "schema", "error", F.array_join("lacks", ",")),
-        found(C.missing(noise, ["id", "owner", "char_start", "char_end"]), "schema", "error", F.array_join("lacks", ",")),
-        found(C.missing(issues, ["id", "kind", "role", "note", "confidence"]), "schema", "error", F.array_join("lacks", ",")),
-        found(issues.where(~F.coalesce(F.col("role").isin(*SEVERITIES), F.lit(False))), "schema", "error", F.col("role")),
-        *(found(C.duplicates(rows, ["book_id", "id"]), "ids", "error", F.col("id")) for rows in (nodes, units, issues, noise)),
-        found(lost(nodes, "owner", node_keys), "tree", "error", owner),
-        found(lost(units, "owner", node_keys), "tree", "error", owner),
-        found(nodes.groupBy("book_id").agg(F.count_if(F.col("owner").isNull()).alias("roots")).where("roots <> 1"), "tree", "error", F.col("roots")),
-        found(C.duplicates(of_unit, ["book_id", "owner", "role", "char_start", "char_end"]), "duplicate_segment", "error"),
-        found(C.duplicates(foreign, ["book_id", "owner", "char_start", "char_end"]), "duplicate_segment", "error"),
-        found(lost(of_unit, "owner", unit_keys), "refs", "error", owner),
-        found(lost(foreign, "ref", unit_keys), "refs", "error", F.col("ref")),
-        found(lost(occurrences, "ref", unit_keys), "refs", "error", F.col("ref")),
-        found(lost(links, "ref", issues.select("book_id", F.col("id").alias("owner"))), "refs", "error", F.col("ref")),
+        _of_rows(built, n),
+        _of_references(built),
+        _of_repeats(built),
+        _of_neighbours(built),
+        found(whole.where("roots is null"), "files", "error", F.lit("no relations")),
+        found(whole.where("roots <> 1"), "tree", "error", F.col("roots")),
+        found(whole.where("pages = 0"), "pages", "warn", F.lit("no page model")),
         found(occurrences.where("ref is not null").select("book_id", "owner").distinct().join(links.select("book_id", F.col("ref").alias("owner")), KEYS + ["owner"], "left_anti"), "refs", "warn", owner),
-        found(S.overlapping_neighbours(units, KEYS, "char_start", "char_end", "id"), "overlap", "error", F.col("id")),
-        found(S.overlapping_neighbours(foreign, ["book_id", "owner"], "char_start", "char_end", "ref"), "overlap", "error"),
-        found(S.overlapping_neighbours(pages, KEYS, "char_start", "char_end", "id"), "pages", "error", F.col("id")),
-        found(pages.where("char_start is null or char_end is null"), "pages", "error", F.col("id")),
-        found(n.join(pages.select("book_id").distinct(), "book_id", "left_anti"), "pages", "warn", F.lit("no page model")),
-        found(segments.where("page is not null").join(pages.select("book_id", "page").distinct(), ["book_id", "page"], "left_anti"), "pages", "error", F.col("page")),
         found(gaps, "coverage_gap", "error", T.snippet(F.col("span_text"))),
         found(overlaps, "coverage_overlap", "error", F.concat_ws(" ", "claim", "other")),
-        found(with_text(noise.where("role <> 'override'"), books).where(F.length("span_text") > LONGEST_NOISE), "noise_too_long", "warn", T.snippet(F.col("span_text"))),
-        found(with_text(noise.where((F.col("role") != "override") & ~F.col("owner").isin(*TEXT_LIKE_KINDS)), books).where(F.col("span_text").rlike(TEXT_LIKE) | (F.regexp_count("span_text", F.lit(LETTER_RUNS)) >= FEWEST_RUNS)), "noise_content", "warn", T.snippet(F.col("span_text"))),
     ]
-    out += [*_of_units(found, units, of_unit, foreign, unit_spans, nodes, issues, links), *_of_issues(found, issues, occurrences, of_unit, foreign, units, n), *_of_notes(found, of_unit, occurrences), *_of_pages(found, pages, noise)]
+    own = with_text(noise.where("role <> 'override'"), books)
+    like_text = ~F.col("owner").isin(*TEXT_LIKE_KINDS) & (F.col("span_text").rlike(TEXT_LIKE) | (F.regexp_count("span_text", F.lit(LETTER_RUNS)) >= FEWEST_RUNS))
+    wrong = F.array_compact(F.array(F.when(F.length("span_text") > LONGEST_NOISE, "noise_too_long"), F.when(like_text, "noise_content")))
+    out.append(own.select(F.explode(wrong).alias("check"), F.lit("warn").alias("severity"), book.alias("key"), T.snippet(F.col("span_text")).alias("message")))
+    out += [*_of_units(found, units, of_unit, foreign, unit_spans, nodes, issues, links), *_of_issues(found, issues, occurrences, of_unit, foreign, units), *_of_notes(found, of_unit, occurrences), *_of_pages(found, pages, noise)]
     headings = with_text(of_unit.where("role = 'heading'"), books).groupBy("book_id", "owner").agg(F.min_by("span_text", "char_start").alias("title"))
     titled = headings.join(units.select("book_id", F.col("id").alias("owner"), "note"), KEYS + ["owner"])
     out.append(found(titled.where(~F.startswith(F.col("note"), F.col("title"))), "offset_text", "error", owner))
@@ -184,8 +230,6 @@ def _of_units(found, units, of_unit, foreign, unit_spans, nodes, issues, links)
         found(general, "roles", "warn", F.col("share")),
         found(C.numbering(units, group, "ordinal"), "numbering", "error", F.col("n")),
         found(C.out_of_order(units.where("ordinal is not null"), group, "ordinal", "char_start"), "numbering", "warn", F.col("id")),
-        found(units.where("confidence is null or confidence < 0 or confidence > 1"), "confidence", "error", F.col("id")),
-        found(issues.where("confidence is null or confidence < 0 or confidence > 1"), "confidence", "error", F.col("id")),
         found(above, "confidence", "error", F.col("id")),
         found(as_owner.where(F.col("confidence") > DISPLACED).join(moved, book_owner, "left_semi"), "confidence", "error", owner),
         found(as_owner.where(F.col("confidence") > GRAVE).join(grave, book_owner, "left_semi"), "confidence", "warn", owner),
@@ -193,7 +237,7 @@ def _of_units(found, units, of_unit, foreign, unit_spans, nodes, issues, links)
     ]
 
 
-def _of_issues(found, issues, occurrences, of_unit, foreign, units, n) -> list[DataFrame]:
+def _of_issues(found, issues, occurrences, of_unit, foreign, units) -> list[DataFrame]:
     """Places of issues: there is one, it touches the unit that it names, and it ends with a segment it begins with."""
     placed = occurrences.select("book_id", F.col("owner").alias("id")).distinct()
     placeless = issues.where(~F.col("kind").isin(*PLACELESS)).join(placed, ["book_id", "id"], "left_anti")
@@ -217,7 +261,6 @@ def _of_notes(found, of_unit, occurrences) -> list[DataFrame]:
     """Footnotes have markers and ids, and an anchor each or an issue that says so; anchors have footnotes or an issue."""
     book_owner = ["book_id", "owner"]
     notes, anchors = of_unit.where(F.col("role").isin(*NOTE_ROLES)), of_unit.where("role = 'anchor'")
-    unmarked = notes.where("coalesce(note, '') = ''")
     nameless = notes.groupBy(*book_owner).agg(F.count_if(F.col("ref").isNotNull()).alias("named")).where("named = 0")
     shared = C.duplicates(anchors.where("ref is not null"), ["book_id", "owner", "ref"])
     first = notes.where("ref is not null").groupBy("book_id", "owner", "ref").agg(F.min_by(F.struct("char_start", "char_end"), "char_start").alias("x")).select("book_id", "owner", F.col("ref").alias("fn"), "x.char_start", "x.char_end")
@@ -227,7 +270,6 @@ def _of_notes(found, of_unit, occurrences) -> list[DataFrame]:
         return _untouched(rows.withColumn("ref", F.col("owner")), occurrences.where(F.col("kind") == kind).where("ref is not null"))
 
     return [
-        found(unmarked, "footnote_marker", "warn"),
         found(nameless, "footnote_ids", "warn", F.col("owner")),
         found(shared, "footnote_pairing", "error", F.col("ref")),
         found(unflagged(bare, "unanchored_footnote"), "footnote_pairing", "error", F.col("fn")),

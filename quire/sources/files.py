@@ -25,13 +25,13 @@ def profile(rows: DataFrame, key: str, content: Column) -> DataFrame:
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """(path, value, problem): one document per file; problem is null, encoding, bom, or json, and value is then null but for bom."""
+    """(path, value, problem): one document per file; problem is null, encoding, bom, json, or crlf, and value is then null but for bom and crlf."""
     found = spark.read.format("binaryFile").load(path)
     text = F.col("content").cast("string")
     clean = F.regexp_replace(text, "^﻿", "")
     value = F.from_json(clean, schema)
     broken = F.try_parse_json(clean).isNull()
-    problem = F.when(~F.is_valid_utf8(text), "encoding").when(broken, "json").when(F.startswith(F.col("content"), F.lit(BOM)), "bom")
+    problem = F.when(~F.is_valid_utf8(text), "encoding").when(broken, "json").when(F.startswith(F.col("content"), F.lit(BOM)), "bom").when(F.contains(text, F.lit("\r\n")), "crlf")
     return found.select("path", F.when(F.is_valid_utf8(text) & ~broken, value).alias("value"), problem.alias("problem"))
 
 
@@ -44,10 +44,19 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pdf_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(path, page_index, height, line, bbox, text) of pre-extracted page texts, lines ordered from the top and from the right."""
-    pages = spark.read.schema(PDF_PAGE).option("multiLine", "true").json(path).select(F.input_file_name().alias("path"), F.posexplode(F.array(F.struct("height", "lines"))))
-    order = F.array_sort("col.lines", lambda a, b: F.when(a["bbox"][1] < b["bbox"][1], -1).when(a["bbox"][1] > b["bbox"][1], 1).when(a["bbox"][2] > b["bbox"][2], -1).when(a["bbox"][2] < b["bbox"][2], 1).otherwise(0))
-    return pages.select("path", "col.height", F.posexplode(order).alias("line", "l")).select("path", "height", "line", "l.bbox", "l.text")
+    """(path, page, height, line, bbox, text) of pre-extracted page texts, a list of pages per file; lines ordered from the top and from the right."""
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.posexplode(F.from_json("value", f"ARRAY<STRUCT<{PDF_PAGE}>>")).alias("page", "p"))
+    order = F.array_sort("p.lines", lambda a, b: F.when(a["bbox"][1] < b["bbox"][1], -1).when(a["bbox"][1] > b["bbox"][1], 1).when(a["bbox"][2] > b["bbox"][2], -1).when(a["bbox"][2] < b["bbox"][2], 1).otherwise(0))
+    return whole.select("path", "page", "p.height", F.posexplode(order).alias("line", "l")).select("path", "page", "height", "line", "l.bbox", "l.text")
+
+
+def listed(spark: SparkSession, folder: str, ending: str) -> DataFrame:
+    """(path, name, number, place): the files of a folder with an ending, sorted by name, with the first run of digits in each and its place."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", f"*{ending}").load(folder).select("path", F.regexp_extract("path", "([^/]+)$", 1).alias("name"))
+    from quire.operators import spans
+
+    placed = spans.placed(found, [F.col("name"), F.col("path")], "place")
+    return placed.select("path", "name", F.regexp_extract("name", "[0-9]+", 0).try_cast("int").alias("number"), F.col("place").cast("int").alias("place"))
 
 
 def write_json(df: DataFrame, path: str, partition: str | None = None) -> None:

@@ -283,20 +283,20 @@ def test_pages_snap_to_marks_and_rise():
     assert b.page_at(at - 1) == 1 and b.page_at(at) == 2 and b.page_at(at + 400) == 4
 
 
-def layout_book():
+def layout_book(front=()):
     """Two pages: text, a gap, and footnotes; the second page's zone begins with what carries on the first's last footnote."""
-    one = ["باب أول", "كلام طويل عن الصبر والحلم (1)", "وكلام آخر طويل عن الشكر", "وكلام ثالث طويل عن الورع", "(1) رواه مسلم في صحيحه عن أبيه"]
+    one = [*front, "باب أول", "كلام طويل عن الصبر والحلم (1)", "وكلام آخر طويل عن الشكر", "وكلام ثالث طويل عن الورع", "(1) رواه مسلم في صحيحه عن أبيه"]
     two = ["باب ثان", "كلام جديد عن الزهد والتقوى (1)", "وكلام بعده عن الصدق والوفاء", "وكلام أخير عن البر والصلة", "تتمة الحاشية من الصفحة الأولى", "(1) أخرجه أحمد في مسنده الكبير"]
     lines, txt, pages, at = [], [], [], 0
     for index, own in ((1, one), (2, two)):
         printed, y = [], 100.0
         for k, t in enumerate(own):
-            y += 60 if (index == 1 and k == 4 or index == 2 and k == 4) else 20
+            y += 60 if t.startswith(("(1) رواه", "تتمة")) else 20
             printed.append({"bbox": [50, y, 400, y + 12], "text": t})
             txt.append({"char_start": at, "char_end": at + len(t), "page_index": index, "line": k, "score": 1.0, "cover": 1.0, "n": 20})
             lines.append(t)
             at += len(t) + 1
-        pages.append({"page_index": index, "char_start": 0 if index == 1 else txt[5]["char_start"] + 7, "confidence": 0.75, "height": 400.0, "lines": printed})
+        pages.append({"page_index": index, "char_start": 0 if index == 1 else txt[len(one)]["char_start"] + 7, "confidence": 0.75, "height": 400.0, "lines": printed})
     return "\n".join(lines), pages, txt
 
 
