@@ -16,7 +16,7 @@ MARKS = "\u064b-\u0652\u0670\u06d6-\u06ed"
 TATWEEL = "\u0640"
 JOINERS = "\u200c\u200d\u200e\u200f"
 BYTE_ORDER = "\ufeff"
-LETTERS_FROM, LETTERS_TO = "أإآٱىیةک", "اااايي" + "هك"
+LETTERS_FROM, LETTERS_TO = "أإآٱىیةک", "ااااييهك"
 DIGITS_FROM, DIGITS_TO = "٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹", "01234567890123456789"
 ARABIC = "\u0621-\u064a\u0671-\u06d3"
 PUNCTUATION = r"\-–—•·*_|.:،؛,;!?؟«»()\[\]{}\"'/\\"
@@ -102,6 +102,15 @@ def matches_with_offsets(text: Column, pattern: str) -> Column:
     return F.aggregate(each, zero, add)["out"]
 
 
+def digits_beside(line: Column, start: Column, end: Column) -> Column:
+    """The digit runs of a line outside a span of it, as matches_with_offsets has them."""
+    return F.filter(matches_with_offsets(line, "[0-9٠-٩۰-۹]+"), lambda m: (m["char_end"] <= start) | (m["char_start"] >= end))
+
+
+def has_marks(text: Column) -> Column:
+    return text.rlike(f"[{MARKS}]")
+
+
 def count_of(text: Column, chars: str) -> Column:
     """How many characters of a class a text has."""
     return F.length(text) - F.length(F.regexp_replace(text, f"[{chars}]", ""))

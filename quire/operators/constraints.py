@@ -68,6 +68,31 @@ def unmirrored(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return left.unionByName(b.select(*keys).join(a.select(*keys), keys, "left_anti").withColumn("side", F.lit("b")))
 
 
+def inexact(places: DataFrame, parts: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """Places that begin where a part of the same keys does, but end where none does that begins there."""
+    begin = [*keys, start]
+    return places.join(parts.select(*begin).distinct(), begin, "left_semi").join(parts.select(*begin, end).distinct(), [*begin, end], "left_anti")
+
+
+def misplaced(rows: DataFrame, span: tuple[str, str], host: tuple[str, str], placement: str) -> DataFrame:
+    """Rows whose placement is not in_span where their span lies in its host's, or not displaced elsewhere."""
+    inside = (F.col(host[0]) <= F.col(span[0])) & (F.col(span[1]) <= F.col(host[1]))
+    return rows.where(F.when(inside, "in_span").otherwise("displaced") != F.coalesce(placement, F.lit("")))
+
+
+def unpaired(notes: DataFrame, anchors: DataFrame, keys: list[str]) -> DataFrame:
+    """(problem, keys): notes that several anchors share, and bare notes that no anchor leads to."""
+    shared = duplicates(anchors, keys).select(F.lit("shared").alias("problem"), *keys)
+    bare = notes.select(*keys).distinct().join(anchors.select(*keys).distinct(), keys, "left_anti")
+    return shared.unionByName(bare.select(F.lit("bare").alias("problem"), *keys))
+
+
+def all_alike(rows: DataFrame, keys: list[str], value: str, more: list[Column] = (), least: int = 3) -> DataFrame:
+    """(keys, n): groups of more than least rows that have one value only."""
+    each = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.countDistinct(value).alias("_kinds"), *more)
+    return each.where((F.col("n") > least) & (F.col("_kinds") == 1)).drop("_kinds")
+
+
 def report(found: Iterable[DataFrame], examples: int = EXAMPLES) -> DataFrame:
     """(check, severity, n, examples): counts, and the first examples in order of their keys.
 

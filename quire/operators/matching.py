@@ -71,11 +71,10 @@ def best_of(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
 
 
-def nearest_before(rows: DataFrame, others: DataFrame, keys: list[str], at: str, other_at: str) -> DataFrame:
-    """For each row the other row of the same keys that comes nearest, those before it first: by (comes after, distance, place)."""
-    met = rows.join(others, keys)
-    after = F.col(other_at) > F.col(at)
-    return best_of(met, [*keys, at], [after.asc(), F.abs(F.col(other_at) - F.col(at)).asc(), F.col(other_at).asc()])
+def multiset_lack(left: DataFrame, right: DataFrame, keys: list[str], item: str, n: str = "n") -> DataFrame:
+    """(keys, lacking): how many items of the left multiset of a key (rows of keys, item, n) the right one lacks; 0 if it holds them all."""
+    met = left.join(right.select(*keys, item, F.col(n).alias("_have")), [*keys, item], "left")
+    return met.groupBy(*keys).agg(F.sum(F.greatest(F.col(n) - F.coalesce("_have", F.lit(0)), F.lit(0))).alias("lacking"))
 
 
 #: White space as Java's and DuckDB's \s has it; what str.split() takes besides may be part of a term.

@@ -170,6 +170,25 @@ def numbered(rows: DataFrame, keys: list[str], order: list[str], pattern: str, n
     return rows.withColumn(name, F.format_string(pattern, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))))
 
 
+def far_from(places: DataFrame, marks: DataFrame, keys: list[str], at: str, reach: int) -> DataFrame:
+    """Places further than reach from every mark of their keys, with the distance as far; groups without marks have none.
+
+    One ordered pass over both carries the nearest mark before and after along, so no place meets a mark.
+    """
+    both = places.withColumn("_mark", F.lit(None).cast("long")).withColumn("_place", F.lit(True)).unionByName(marks.select(*keys, at, F.col(at).cast("long").alias("_mark")), allowMissingColumns=True)
+    by = Window.partitionBy(*keys).orderBy(at)
+    before = F.last("_mark", ignorenulls=True).over(by.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    after = F.first("_mark", ignorenulls=True).over(by.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    far = F.least(F.col(at) - before, after - F.col(at))
+    return both.withColumn("far", far).where("_place").where(F.col("far") > reach).drop("_mark", "_place")
+
+
+def trailing(rows: DataFrame, keys: list[str], mark: Column, asked: Column, start: str, end: str) -> DataFrame:
+    """Rows asked for that begin at or behind the last end of the marked rows of their group, with that end as last_end."""
+    last = F.max(F.when(mark, F.col(end))).over(Window.partitionBy(*keys))
+    return rows.withColumn("last_end", last).where(asked & (F.col(start) >= F.col("last_end")))
+
+
 def placed(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
     """The place of every row in one order of the whole table, from 1.
 

@@ -76,9 +76,9 @@ def coverage(built: DataFrame, books: DataFrame) -> tuple[DataFrame, DataFrame]:
     return with_text(holes, books).where(seen(F.col("span_text")) > 0), overlaps
 
 
-def forbidden_keys(json: Column) -> Column:
+def forbidden_keys(json: Column, keys: tuple[str, ...] = FORBIDDEN_KEYS) -> Column:
     """The keys of a JSON text that its schema forbids, at any depth; quotes inside strings are escaped, so they open no key."""
-    return F.array_distinct(F.regexp_extract_all(json, F.lit(rf'(?<!\\)"({"|".join(FORBIDDEN_KEYS)})"\s*:'), F.lit(1)))
+    return F.array_distinct(F.regexp_extract_all(json, F.lit(rf'(?<!\\)"({"|".join(keys)})"\s*:'), F.lit(1)))
 
 
 def profile_differences(stored: DataFrame, actual: DataFrame) -> DataFrame:
@@ -205,7 +205,7 @@ def _of_units(found, units, of_unit, foreign, unit_spans, nodes, issues, links)
     book_owner = ["book_id", "owner"]
     held = of_unit.join(unit_spans, book_owner)
     inside = (F.col("us") <= F.col("char_start")) & (F.col("char_end") <= F.col("ue"))
-    misplaced = held.where(F.when(inside, "in_span").otherwise("displaced") != F.coalesce("placement", F.lit("")))
+    misplaced = C.misplaced(held, ("char_start", "char_end"), ("us", "ue"), "placement")
     away = held.where(~inside).select("book_id", F.col("owner").alias("ref"), "char_start", "char_end")
     hosts = unit_spans.withColumnRenamed("owner", "host")
     hosted = away.join(hosts, "book_id").where((F.col("us") <= F.col("char_start")) & (F.col("char_end") <= F.col("ue"))).select("book_id", F.col("host").alias("owner"), "ref", "char_start", "char_end")
@@ -220,7 +220,7 @@ def _of_units(found, units, of_unit, foreign, unit_spans, nodes, issues, links)
     above = units.join(nodes.select("book_id", F.col("id").alias("owner"), F.col("confidence").alias("_parent")), book_owner).where("confidence > _parent + 1e-9")
     moved = of_unit.where("placement = 'displaced'").select(*book_owner).unionByName(foreign.select(*book_owner)).distinct()
     grave = links.join(issues.where("role = 'high'").select("book_id", F.col("id").alias("ref")), ["book_id", "ref"]).select(*book_owner).distinct()
-    alike = units.groupBy("book_id").agg(F.count("*").alias("n"), F.countDistinct("confidence").alias("kinds")).where("n > 3 and kinds = 1")
+    alike = C.all_alike(units, ["book_id"], "confidence")
     owner = F.col("owner")
     return [
         found(misplaced, "placement", "error"),
@@ -245,9 +245,8 @@ def _of_issues(found, issues, occurrences, of_unit, foreign, units) -> list[Data
     parts = of_unit.select("book_id", F.col("owner").alias("ref"), "char_start", "char_end").unionByName(foreign.select("book_id", F.col("owner").alias("ref"), "char_start", "char_end"))
     whole = units.select("book_id", F.col("id").alias("ref"), "char_start", "char_end")
     apart = _untouched(named, parts.unionByName(whole))
-    same_start = named.join(parts.select("book_id", "ref", "char_start").distinct(), ["book_id", "ref", "char_start"], "left_semi")
     exact = ["book_id", "ref", "char_start", "char_end"]
-    inexact = same_start.join(parts.select(*exact).distinct(), exact, "left_anti").join(whole, exact, "left_anti")
+    inexact = C.inexact(named, parts, ["book_id", "ref"], "char_start", "char_end").join(whole.select(*exact), exact, "left_anti")
     return [found(placeless, "issue_location", "warn", F.col("kind")), found(apart, "issue_location", "error"), found(inexact, "offset_consistency", "error")]
 
 
@@ -282,11 +281,7 @@ def _of_pages(found, pages, noise) -> list[DataFrame]:
     marks = noise.where("owner in ('running_header', 'page_number')").select("book_id", F.when(F.col("owner") == "page_number", F.col("char_end")).otherwise(F.col("char_start")).alias("at"))
     first = F.row_number().over(Window.partitionBy("book_id").orderBy("char_start", "id")) == 1
     sure = pages.withColumn("_first", first).where(~F.col("_first") & (F.coalesce("confidence", F.lit(0.0)) >= SURE_PAGE)).select("book_id", "id", F.col("char_start").alias("at"))
-    both = sure.withColumn("mark", F.lit(None).cast("int")).unionByName(marks.select("book_id", F.lit(None).cast("string").alias("id"), "at", F.col("at").alias("mark")))
-    by = Window.partitionBy("book_id").orderBy("at")
-    near = both.withColumn("_before", F.last("mark", ignorenulls=True).over(by.rangeBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("_after", F.first("mark", ignorenulls=True).over(by.rangeBetween(Window.currentRow, Window.unboundedFollowing)))
-    far = F.least(F.col("at") - F.col("_before"), F.col("_after") - F.col("at"))
-    return [found(near.where("id is not null").withColumn("far", far).where(F.col("far") > MARK_REACH), "page_confidence", "warn", F.col("id"))]
+    return [found(S.far_from(sure, marks, KEYS, "at", MARK_REACH), "page_confidence", "warn", F.col("id"))]
 
 
 def summary(built: DataFrame, books: DataFrame) -> DataFrame:

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions import text as T
+from quire.operators import compare as D
 from quire.operators import constraints as C
 from quire.operators import knowledge as N
 from quire.operators import layout as L
 from quire.operators import matching as M
 from quire.operators import pages as P
 from quire.operators import records as R
+from quire.operators import sheets as H
 from quire.operators import spans as S
 from quire.operators import structure as B
 from quire.operators import validate as V
@@ -713,14 +715,21 @@ def page_alignment(spark, sf_dir) -> DataFrame:
     return P.align(items, pages)
 
 
-@unchecked
+@query(r"""
+WITH t AS (SELECT conv_id, turn, role, text, coalesce(lag(turn) OVER (PARTITION BY conv_id ORDER BY turn), turn) AS piece, trim(regexp_replace(text, '[^\p{L}\p{N}]+', ' ', 'g')) AS said,
+  length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS letters, CASE WHEN role = 'user' THEN 'author' ELSE 'editor' END AS by FROM conversations),
+w AS (SELECT a.conv_id, a.turn, concat_ws(',', CASE WHEN a.role NOT IN ('user', 'assistant') THEN 'E_TYPE' END, CASE WHEN a.letters = 0 OR length(a.text) > 300 THEN 'E_STATEMENT' END,
+  CASE WHEN a.letters < 8 THEN 'E_QUOTE_SHORT' WHEN a.said = '' OR NOT contains(b.said, a.said) THEN 'E_QUOTE_NOT_FOUND' WHEN a.by <> b.by THEN 'E_SPEAKER_ROLE' END) AS reasons
+  FROM t a JOIN t b ON a.conv_id = b.conv_id AND a.piece = b.turn)
+SELECT conv_id::VARCHAR AS unit_id, turn::INT AS object, reasons FROM w
+""")
 def knowledge_check(spark, sf_dir) -> DataFrame:
-    """Every turn stated with the turn before as evidence, and what speaks against it."""
+    """Every turn stated with the turn before as evidence, the first with itself, and what speaks against it."""
     turns = read(spark, sf_dir, "conversations").withColumn("unit_id", F.col("conv_id").cast("string"))
-    pieces = turns.select("unit_id", F.col("turn").cast("string").alias("piece_id"), F.when(F.col("role") == "user", "author").otherwise("editor").alias("by"), "text")
-    before = F.lag("turn").over(Window.partitionBy("unit_id").orderBy("turn")).cast("string")
-    quote = F.substring("text", 1, 30)
-    objects = turns.select("unit_id", F.col("turn").cast("int").alias("object"), F.col("role").alias("type"), F.col("text").alias("statement"), F.struct(F.when(F.col("role") == "user", "author").otherwise("editor").alias("kind"), F.lit("").alias("name_in_text")).alias("said_by"), F.lit("explicit").alias("basis"), F.lit("").alias("inference_reason"), F.array(F.struct(F.coalesce(before, F.col("turn").cast("string")).alias("piece"), quote.alias("quote"))).alias("evidence"))
+    by = F.when(F.col("role") == "user", "author").otherwise("editor")
+    pieces = turns.select("unit_id", F.col("turn").cast("string").alias("piece_id"), by.alias("by"), "text")
+    before = F.coalesce(F.lag("turn").over(Window.partitionBy("unit_id").orderBy("turn")), F.col("turn")).cast("string")
+    objects = turns.select("unit_id", F.col("turn").cast("int").alias("object"), F.col("role").alias("type"), F.col("text").alias("statement"), F.struct(by.alias("kind"), F.lit("").alias("name_in_text")).alias("said_by"), F.lit("explicit").alias("basis"), F.lit("").alias("inference_reason"), F.array(F.struct(before.alias("piece"), F.col("text").alias("quote"))).alias("evidence"))
     types = spark.createDataFrame([("user",), ("assistant",)], "type string")
     checked_ = N.check_objects(objects, pieces, types, letter=r"\p{L}")
     return checked_.select("unit_id", "object", F.array_join("reasons", ",").alias("reasons"))
@@ -741,3 +750,143 @@ def line_placement(spark, sf_dir) -> DataFrame:
     lines = items.select("book_id", "line_no", page.alias("page_index"), "text")
     printed = lines.select("book_id", "page_index", (F.col("line_no") % 2).cast("int").alias("line"), (F.col("line_no") % 2 * 10.0).alias("y0"), F.upper("text").alias("text"))
     return L.match_lines(lines.withColumn("text", F.lower("text")), printed.withColumn("text", F.lower("text")), LETTER)
+
+
+# --- rules of builds and their comparison, on rows of the driver's tables
+
+
+TILES = "SELECT user_id, event_id AS s, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS e, event_type AS a, CASE WHEN value > 50 THEN event_type ELSE 'view' END AS b FROM events"
+
+
+@query(f"""
+WITH t AS ({TILES}), d AS (SELECT * FROM t WHERE e IS NOT NULL AND a <> b),
+m AS (SELECT *, CASE WHEN lag(a) OVER w = a AND lag(b) OVER w = b AND s - (lag(e) OVER w - 1) < 40 THEN 0 ELSE 1 END AS n FROM d WINDOW w AS (PARTITION BY user_id ORDER BY s)),
+r AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY s) AS run FROM m)
+SELECT user_id, a AS old, b AS new, min(s)::BIGINT AS s, max(e)::BIGINT AS e FROM r GROUP BY user_id, run, a, b
+""")
+def label_diff_runs(spark, sf_dir) -> DataFrame:
+    """Where two labellings differ, changes of one pair joined while near."""
+    by = Window.partitionBy("user_id").orderBy("event_id")
+    rows = read(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("s"), F.lead("event_id").over(by).alias("e"), "event_type", "value").where("e is not null")
+    old = rows.select("user_id", "s", "e", F.col("event_type").alias("label"))
+    new = rows.select("user_id", "s", "e", F.when(F.col("value") > 50, F.col("event_type")).otherwise("view").alias("label"))
+    return D.label_runs(D.changed_spans(old, new, ["user_id"], "label", "s", "e"), ["user_id"], "s", "e")
+
+
+@query("""
+WITH l AS (SELECT conv_id, turn, unnest(string_split(text, '')) AS c FROM conversations),
+n AS (SELECT conv_id, turn, c, count(*) AS n FROM l WHERE c <> '' GROUP BY ALL)
+SELECT a.conv_id, a.turn, sum(greatest(a.n - coalesce(b.n, 0), 0))::BIGINT AS lacking
+FROM n a LEFT JOIN n b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1 AND a.c = b.c WHERE a.turn > 0 GROUP BY ALL
+""")
+def multiset_lack(spark, sf_dir) -> DataFrame:
+    """2.8: how many characters of a turn the turn before lacks, repeats counted; 0 tells containment."""
+    turns = read(spark, sf_dir, "conversations")
+    n = turns.select("conv_id", "turn", F.explode(F.split("text", "")).alias("c")).where("c <> ''").groupBy("conv_id", "turn", "c").agg(F.count("*").alias("n"))
+    before = n.select("conv_id", (F.col("turn") + 1).alias("turn"), "c", "n")
+    return M.multiset_lack(n.where("turn > 0"), before, ["conv_id", "turn"], "c").select("conv_id", "turn", "lacking")
+
+
+@query("SELECT l_orderkey, count(*)::BIGINT AS n, min(l_discount) AS value FROM lineitem GROUP BY l_orderkey HAVING count(*) > 3 AND count(DISTINCT l_returnflag) = 1")
+def all_alike(spark, sf_dir) -> DataFrame:
+    """Groups of more than three whose rows all say the same."""
+    return C.all_alike(read(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_returnflag", [F.min("l_discount").alias("value")])
+
+
+@query(f"""
+WITH p AS ({SPANS}), k AS (SELECT p.*, event_type FROM p JOIN events USING (event_id, user_id)),
+last AS (SELECT user_id, max(e) AS last_end FROM k WHERE event_type = 'purchase' GROUP BY user_id)
+SELECT k.user_id, k.event_id, last_end FROM k JOIN last ON k.user_id = last.user_id WHERE event_type = 'view' AND s >= last_end
+""")
+def trailing_rows(spark, sf_dir) -> DataFrame:
+    """Rows that begin at or behind the last end of another kind in their group."""
+    rows = spans(spark, sf_dir).join(read(spark, sf_dir, "events").select("user_id", "event_id", "event_type"), ["user_id", "event_id"])
+    return S.trailing(rows, ["user_id"], F.col("event_type") == "purchase", F.col("event_type") == "view", "s", "e").select("user_id", "event_id", "last_end")
+
+
+@query("SELECT user_id, event_id // 100 AS visual_row, min(event_id) FILTER (WHERE event_type = 'click') AS marker FROM events GROUP BY ALL")
+def least_marker_per_row(spark, sf_dir) -> DataFrame:
+    """The lowest marker of every row, null where there is none."""
+    return read(spark, sf_dir, "events").groupBy("user_id", F.floor(F.col("event_id") / 100).alias("visual_row")).agg(F.min(F.when(F.col("event_type") == "click", F.col("event_id"))).alias("marker"))
+
+
+@query(r"""
+WITH parts AS (SELECT page_id, strpos(url, '://') + 2 AS a, regexp_extract_all(url, '[0-9]+') AS m, string_split_regex(url, '[0-9]+') AS b FROM pages),
+each AS (SELECT page_id, a, m, b, unnest(range(1, len(m) + 1)) AS k FROM parts),
+found AS (SELECT page_id, a, m[k] AS digits, (list_sum(list_transform(b[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0))::INT AS char_start FROM each)
+SELECT page_id, digits, char_start FROM found WHERE char_start + length(digits) <= a OR char_start >= a + 16
+""")
+def digits_beside(spark, sf_dir) -> DataFrame:
+    """Digit runs of a line outside a span of it."""
+    pages = read(spark, sf_dir, "pages").withColumn("a", F.instr("url", "://") + 2)
+    found = T.digits_beside(F.col("url"), F.col("a"), F.col("a") + 16)
+    return pages.select("page_id", F.explode(found).alias("m")).select("page_id", F.col("m.value").alias("digits"), "m.char_start")
+
+
+@query("SELECT c_custkey AS id, true AS known FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey % 7 = 0) UNION ALL SELECT -n.n_nationkey - 1, false FROM nation n")
+def some_units(spark, sf_dir) -> DataFrame:
+    """The units that are asked for, and what is asked for in vain."""
+    customer, orders, nation = read(spark, sf_dir, "customer", "orders", "nation")
+    asked = orders.where("o_orderkey % 7 = 0").select(F.col("o_custkey").cast("long").alias("id")).unionByName(nation.select((-F.col("n_nationkey") - 1).cast("long").alias("id")))
+    some, unknown = H.chosen(customer.select(F.col("c_custkey").cast("long").alias("id")), asked)
+    return some.select("id", F.lit(True).alias("known")).unionByName(unknown.select("id", F.lit(False).alias("known")))
+
+
+@query(r"SELECT conv_id, turn, regexp_extract(text, '^\s*(\w{1,4})\s', 1) AS marker FROM conversations")
+def sheet_markers(spark, sf_dir) -> DataFrame:
+    """the marker that opens a text, empty if there is none."""
+    return read(spark, sf_dir, "conversations").select("conv_id", "turn", H.marker_of(F.col("text"), r"^\s*(\w{1,4})\s").alias("marker"))
+
+
+@query("""SELECT event_id, array_to_string(list_sort(list_distinct(regexp_extract_all(props, '"(k|v)"\\s*:', 1))), ',') AS keys FROM events WHERE len(regexp_extract_all(props, '"(k|v)"\\s*:', 1)) > 0""".replace("\\\\", "\\"))
+def forbidden_keys(spark, sf_dir) -> DataFrame:
+    """Keys of JSON texts, at any depth, that are not allowed."""
+    events = read(spark, sf_dir, "events").select("event_id", F.array_sort(V.forbidden_keys(F.col("props"), ("k", "v"))).alias("keys"))
+    return events.where(F.size("keys") > 0).select("event_id", F.array_join("keys", ",").alias("keys"))
+
+
+@query("""
+WITH p AS (SELECT user_id, event_id AS char_start, event_id + 30 + (event_id % 3) AS char_end, event_type FROM events),
+parts AS (SELECT user_id, char_start, char_end FROM p WHERE event_type <> 'click'),
+places AS (SELECT user_id, char_start, CASE WHEN event_type = 'view' THEN char_start + 31 ELSE char_end END AS char_end FROM p)
+SELECT a.user_id, a.char_start, a.char_end FROM places a
+WHERE EXISTS (SELECT 1 FROM parts b WHERE b.user_id = a.user_id AND b.char_start = a.char_start) AND NOT EXISTS (SELECT 1 FROM parts b WHERE b.user_id = a.user_id AND b.char_start = a.char_start AND b.char_end = a.char_end)
+""")
+def inexact_places(spark, sf_dir) -> DataFrame:
+    """Places that begin with a part but end otherwise."""
+    p = read(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("char_start"), (F.col("event_id") + 30 + F.col("event_id") % 3).alias("char_end"), "event_type")
+    places = p.select("user_id", "char_start", F.when(F.col("event_type") == "view", F.col("char_start") + 31).otherwise(F.col("char_end")).alias("char_end"))
+    return C.inexact(places, p.where("event_type <> 'click'"), ["user_id"], "char_start", "char_end")
+
+
+@query("""
+WITH m AS (SELECT user_id, event_id AS mark FROM events WHERE event_type = 'click'), p AS (SELECT user_id, event_id AS place FROM events WHERE event_type = 'purchase'),
+d AS (SELECT p.user_id, place, min(abs(mark - place)) AS far FROM p JOIN m ON p.user_id = m.user_id GROUP BY ALL)
+SELECT user_id, place, far::BIGINT AS far FROM d WHERE far > 80
+""")
+def far_from_marks(spark, sf_dir) -> DataFrame:
+    """Places that no mark is near to, by one ordered pass."""
+    e = read(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("place"), "event_type")
+    return S.far_from(e.where("event_type = 'purchase'"), e.where("event_type = 'click'"), ["user_id"], "place", 80).select("user_id", "place", "far")
+
+
+@query("""
+WITH f AS (SELECT user_id, event_id % 50 AS fn, min(event_id) AS at FROM events WHERE event_type = 'purchase' GROUP BY ALL), a AS (SELECT user_id, event_id % 50 AS fn FROM events WHERE event_type = 'click'),
+c AS (SELECT user_id, fn, count(*) AS n FROM a GROUP BY ALL)
+SELECT 'shared' AS problem, user_id, fn FROM c WHERE n > 1 UNION ALL SELECT 'bare', user_id, fn FROM f WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.user_id = f.user_id AND c.fn = f.fn)
+""")
+def note_pairing(spark, sf_dir) -> DataFrame:
+    """Notes that several anchors lead to, and notes that none does."""
+    e = read(spark, sf_dir, "events").select("user_id", (F.col("event_id") % 50).alias("fn"), "event_type")
+    return C.unpaired(e.where("event_type = 'purchase'").select("user_id", "fn"), e.where("event_type = 'click'").select("user_id", "fn"), ["user_id", "fn"])
+
+
+@query("""
+WITH s AS (SELECT user_id, event_id, event_id AS s, event_id + ceil(value * 3)::BIGINT AS e, CASE WHEN event_id % 5 = 0 THEN 'displaced' ELSE 'in_span' END AS placement FROM events), h AS (SELECT user_id, min(event_id) AS us, max(event_id) AS ue FROM events GROUP BY user_id)
+SELECT s.user_id, event_id, placement FROM s JOIN h ON s.user_id = h.user_id WHERE (CASE WHEN us <= s AND e <= ue THEN 'in_span' ELSE 'displaced' END) <> placement
+""")
+def misplaced(spark, sf_dir) -> DataFrame:
+    """Parts whose placement is not what their place tells."""
+    parts = spans(spark, sf_dir).withColumn("placement", F.when(F.col("event_id") % 5 == 0, "displaced").otherwise("in_span"))
+    held = read(spark, sf_dir, "events").groupBy("user_id").agg(F.min("event_id").alias("us"), F.max("event_id").alias("ue"))
+    return C.misplaced(parts.join(held, "user_id"), ("s", "e"), ("us", "ue"), "placement").select("user_id", "event_id", "placement")

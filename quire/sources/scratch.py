@@ -5,16 +5,54 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table under spark.checkpoint.dir (a folder of our own where that is unset), reread."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="quire-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/quire/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from pyspark.sql import DataFrame, SparkSession
+
+SHARED = "spark.checkpoint.dir"
+#: Releases the shuffle files of a query as soon as it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def root(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as spark.checkpoint.dir names it; of our own where that is unset and all runs on one machine (tests)."""
+    found = spark.conf.get(SHARED, None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{SHARED} must name a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="quire-")
+        spark.conf.set(SHARED, found)
+    return found.rstrip("/")
+
+
+def path(spark: SparkSession, name: str) -> str:
+    """A fresh path for a table in the shared folder."""
+    return f"{root(spark)}/quire/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+    """Cut lineage: write df as a table in the shared folder and return its rereading.
+
+    The shuffle files of the write are released as soon as it ends; a lost executor costs nothing, since the
+    table is whole and outside of any executor.
+    """
+    spark, at = df.sparkSession, path(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", codec).parquet(at)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(at)
+    out._scratch = at
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that written() made, once nothing reads it any more."""
+    at = getattr(df, "_scratch", None)
+    if at:
+        jvm = df.sparkSession._jvm
+        place = jvm.org.apache.hadoop.fs.Path(at)
+        place.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
