@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quire.sources import scratch
+
 #: Rows in one Arrow batch handed to Python; documents are long, so it is far below Spark's 10,000.
 ARROW_ROWS = 512
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -21,39 +20,9 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="quire-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a table in the shared folder."""
-    return f"{scratch_root(spark)}/quire/{name}-{uuid.uuid4().hex}"
-
-
-def write_table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Cut lineage: write df as a table in the shared folder and return its rereading.
-
-    The shuffle files of the write are released as soon as it ends; a lost executor costs
-    nothing, since the table is whole and outside of any executor.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        df.write.option("compression", codec).parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(path)
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: df as a table in the folder that driver and executors share, reread."""
+    return scratch.written(df, name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,9 +9,11 @@ they stand. Three tables make up a store:
 * ``shared``: every chunk that occurs more often, once.
 
 Bytes of chunks that occur once never move. Which chunks those are is told by a Bloom filter over the
-digests that occur more often; its size is fixed, so it can be broadcast at any scale, and what it takes
-for shared by mistake is stored as shared and costs a move, not a wrong result. A media with shared
-chunks is put together by joins on digest; every media is verified against its digest when read.
+digests that occur more often; its size is bounded, so it can be broadcast at any scale, and what it takes
+for shared by mistake is stored as shared and costs a move, not a wrong result: where far more digests are
+shared than it has room for, every chunk moves once, as in a plain shuffle of the payloads. A media with shared
+chunks is put together by joins on digest, whose large side adaptive execution splits where one digest is
+in many media; every media is verified against its digest when read.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quire.llm._shared import scratch_path, small_batches, table, write_table
+from quire.llm._shared import small_batches, table, write_table
 
 #: Payloads are filled up with zeros to a positive multiple of this.
 UNIT = 64
@@ -39,8 +41,8 @@ HEADER = struct.Struct("<4sI4s4sIHHIIHH4sI")
 LEAST, MOST, BITS = 512, 8192, 10
 #: The gear table: 32 random bits per byte value, from a fixed seed.
 GEAR = np.random.default_rng(20240607).integers(0, 1 << 32, 256, dtype=np.uint32)
-#: Bits of the Bloom filter (8 MB at most) and probes.
-FILTER_BITS, PROBES = 1 << 26, 5
+#: Bits of the Bloom filter at most (32 MB, which is enough for some 20 million shared digests) and probes.
+FILTER_BITS, PROBES = 1 << 28, 5
 #: Digests that a task remembers so as not to send a shared chunk twice.
 REMEMBERED = 100_000
 

@@ -88,7 +88,11 @@ def score(text: str | None, weights: np.ndarray) -> float:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, fold: int = 1) -> np.ndarray:
-    """Fit on at most per_class rows of each quality, of ids whose crc32 as text mod 3 is not fold."""
+    """Fit on at most per_class rows of each quality, of ids whose crc32 as text mod 3 is not fold.
+
+    Null ids and qualities other than 0 and 1 take no part; of an id that repeats, the smallest quality and text count;
+    null texts count as empty. Without rows all weights are 0, which scores every text 0.5.
+    """
     known = labels.where("quality in (0, 1)").where(remainder(F.col("doc_id"), 3) != fold).select("doc_id", F.col("quality").alias("label"))
     rows = labelled_sample(docs, known, per_class)
     return fit([r["text"] for r in rows], [r["label"] for r in rows])
@@ -97,8 +101,11 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
 def scores(docs: DataFrame, weights: np.ndarray, into: str = "score", text_column: str = "text") -> DataFrame:
     """docs with the column into, the probability of label 1, for every row; null and empty texts get the bias alone.
 
-    All columns and rows of docs are kept; into must not be one of them. Only the text goes to Python.
+    All columns and rows of docs are kept, repeated ones included; a column of the name into is an error. Only the
+    text goes to Python. An empty table gives an empty one.
     """
+    if free_name(docs, into) != into:
+        raise ValueError(f"the table has a column {into}")
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
@@ -111,7 +118,7 @@ def scores(docs: DataFrame, weights: np.ndarray, into: str = "score", text_colum
 
 
 def keep_quality(docs: DataFrame, weights: np.ndarray, at_least: float = 0.5) -> DataFrame:
-    """The rows of docs that score at_least, with their columns."""
+    """The rows of docs that score at_least, with their columns; repeated rows stay, null and empty texts score by the bias."""
     name = free_name(docs, "quality_score")
     return scores(docs, weights, name).where(F.col(name) >= at_least).drop(name)
 

@@ -3,8 +3,9 @@
 A fingerprint is cut into SEGMENTS halves. Two fingerprints at distance RADIUS or less differ by
 RADIUS // SEGMENTS bits or less in one of them, so the table of each segment is asked for every value of
 the small Hamming ball around a fingerprint's segment; the complete distance of what it returns is
-verified. Segments of 32 bits keep buckets short at any corpus size: a bucket holds fingerprints that
-share half of their bits.
+verified. Segments of 32 bits keep buckets short: a bucket holds fingerprints that share half of their bits.
+Where many do, the other half's four bytes cut the bucket further: two halves that differ in RADIUS bits or less
+have at least one byte in common.
 
 Equal fingerprints are one node, so copies cost nothing. Links join into components by alternating
 large-star and small-star steps on tables in the shared folder; neither links nor labels ever reach
@@ -23,9 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.llm._shared import small_batches, table, write_table
+from quire.sources import scratch
 
 SEED, SHINGLE = 42, 3
 SEGMENTS, SEGMENT_BITS, RADIUS = 2, 32, 3
+#: Fingerprints of a bucket beyond which it is cut by the bytes of the other segment.
+CROWD = 512
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 14
 
@@ -81,8 +85,9 @@ def segment(fp: Column, k: int) -> Column:
 def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Pairs (a, b), a < b, of the distinct values of nodes(fp) at distance radius or less.
 
-    The tables are joined on (segment number, segment value); a bucket's rows share the segment, and
-    each pair is verified in full. A pair that both segments find comes once.
+    The tables are joined on (segment number, segment value) and, in crowded buckets, on a byte of the other
+    segment; each pair is verified in full. A pair that several keys find comes once. The radius must be less
+    than the number of such bytes.
     """
 
     def keys(k: int, values: Column) -> Column:
@@ -92,8 +97,22 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     held = F.explode(F.concat(*[keys(k, F.array(segment(F.col("fp"), k))) for k in range(SEGMENTS)]))
     probes = nodes.select(F.col("fp").alias("a"), asked.alias("key")).select("a", "key.k", "key.v")
     index = nodes.select(F.col("fp").alias("b"), held.alias("key")).select("b", "key.k", "key.v")
+    crowd = write_table(index.groupBy("k", "v").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("k", "v", F.lit(True).alias("crowded")), "crowded-buckets")
+    on = ["k", "v"]
+    if not crowd.isEmpty():
+        probes, index = (_cut(rows, crowd, fp) for rows, fp in ((probes, "a"), (index, "b")))
+        on = [*on, "byte", "value"]
     close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
-    return probes.join(index, ["k", "v"]).where(close).select("a", "b").distinct()
+    return probes.join(index, on).where(close).select("a", "b").distinct()
+
+
+def _cut(rows: DataFrame, crowd: DataFrame, fp: str) -> DataFrame:
+    """Rows (k, v, fp) with the bytes of the other segment as (byte, value), a row each, in crowded buckets; elsewhere one row as it was."""
+    other = F.when(F.col("k") == 0, segment(F.col(fp), 1)).otherwise(segment(F.col(fp), 0))
+    pieces = F.array(*[F.struct(F.lit(j).alias("byte"), F.shiftrightunsigned(other, 8 * j).bitwiseAND(F.lit(255).cast("long")).alias("value")) for j in range(SEGMENT_BITS // 8)])
+    whole = F.array(F.struct(F.lit(-1).alias("byte"), F.lit(0).cast("long").alias("value")))
+    met = rows.join(crowd, ["k", "v"], "left")
+    return met.select(fp, "k", "v", F.inline(F.when(F.col("crowded"), pieces).otherwise(whole)))
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -101,7 +120,9 @@ def components(pairs: DataFrame) -> DataFrame:
 
     Large-star joins the larger neighbours of a node to the smallest of its neighbourhood, small-star
     the smaller ones; both keep components. Rounds go on until no edge changes, which takes about the
-    logarithm of the longest chain.
+    logarithm of the longest chain. Each round is a table and the one before it is deleted; the smallest
+    neighbour of a node is a partial aggregation, and joins on a node with many neighbours are left to adaptive
+    execution to split.
     """
     edges = write_table(pairs.select("a", "b").where("a <> b").distinct(), "edges")
     if edges.isEmpty():
@@ -113,7 +134,8 @@ def components(pairs: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e")).select(F.col("e.u").alias("b"), F.col("e.m").alias("a"))
-        edges = write_table(small.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+        before, edges = edges, write_table(small.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+        scratch.discard(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
