@@ -76,11 +76,3 @@ def set_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of one side that the other lacks, each once, with side a or b."""
     left = a.distinct().join(b.distinct(), a.columns, "left_anti").withColumn("side", F.lit("a"))
     return left.unionByName(b.distinct().join(a.distinct(), a.columns, "left_anti").withColumn("side", F.lit("b")))
-
-
-def sheets(pieces_: DataFrame, title: str, number: str, label: str, text: str, keys: list[str]) -> DataFrame:
-    """Reading sheets as markdown: a title per unit, then its pieces in order, each with its number and label."""
-    order = F.array_sort(F.collect_list(F.struct(number, label, text)))
-    parts = F.transform("_p", lambda x: F.concat(F.lit("## "), x[number].cast("string"), F.lit(" "), x[label], F.lit("\n\n"), x[text], F.lit("\n")))
-    grouped = pieces_.groupBy(*keys).agg(order.alias("_p"), F.min(title).alias("_title"))
-    return grouped.select(*keys, F.concat(F.lit("# "), F.col("_title"), F.lit("\n\n"), F.array_join(parts, "\n")).alias("markdown"))
