@@ -13,6 +13,7 @@ from pyspark.sql import types as ty
 from pyspark.sql.window import Window
 
 from quire.functions.text import let
+from quire.sources import scratch
 
 
 def word_grams(text: Column, n: int) -> Column:
@@ -42,13 +43,15 @@ def quote_places(texts: DataFrame, quotes: DataFrame, text_key: str, quote_key:
 
     A quote's inner grams (those without its first and last word, which may be parts of words in the text) find
     the candidates, one equi-join instead of every text against every quote. Quotes too short to have an
-    inner gram are searched for in every text; there must be few of them.
+    inner gram are searched for in every text; there must be few of them. The candidates are written as a table, so
+    that they meet the texts by broadcast where they are few, and no text moves.
     """
     words = F.filter(F.split(F.trim(F.col(quote)), r"\s+"), lambda w: w != "")
     keyed = quotes.withColumn("_gram", F.when(F.size(words) >= n + 2, F.array_join(F.slice(words, 2, n), " ")))
     asked = keyed.where("_gram is not null").select(quote_key, quote, "_gram")
     grams = texts.select(text_key, F.explode(F.array_distinct(F.transform(word_grams(F.col(text), n), lambda g: g["gram"]))).alias("_gram"))
-    candidates = grams.join(asked, "_gram").select(text_key, quote_key, quote).join(texts.select(text_key, text), text_key)
+    few = scratch.written(grams.join(asked, "_gram").select(text_key, quote_key, quote).distinct(), "quote-candidates")
+    candidates = texts.select(text_key, text).join(few, text_key)
     short = keyed.where("_gram is null").select(quote_key, quote)
     everywhere = texts.select(text_key, text).join(short, F.contains(F.col(text), F.col(quote)))
     both = candidates.select(text_key, text, quote_key, quote).unionByName(everywhere.select(text_key, text, quote_key, quote))

@@ -84,11 +84,16 @@ def align(books: DataFrame, pages: DataFrame) -> DataFrame:
     starts = hits(books, pages).groupBy("book_id").cogroup(widths.groupBy("book")).applyInPandas(choose, STARTS)
     listed = starts.groupBy("book_id").agg(F.array_sort(F.collect_list(F.struct("page_index", "packed_start", "matched"))).alias("pages"))
     places = books.select("book_id", F.length("text").alias("n"), F.transform(T.with_offsets(F.col("text"), T.PAGES), lambda x: x["p"]).alias("places"))
-    each = listed.join(places, "book_id").select("book_id", "n", "places", "pages", F.posexplode("pages").alias("i", "page"))
     source = lambda c: F.coalesce(F.get("places", c), F.col("n"))
-    start, end = source(F.col("page.packed_start")), F.coalesce(source(F.get("pages", F.col("i") + 1)["packed_start"]), F.col("n"))
-    last = F.col("i") == F.size("pages") - 1
-    return each.select("book_id", "page.page_index", start.alias("char_start"), F.greatest(F.when(last, F.col("n")).otherwise(end), start + 1).alias("char_end"), F.when(F.col("page.matched"), "pdf_text_alignment").otherwise("interpolated").alias("evidence"), F.when(F.col("page.matched"), 0.75).otherwise(0.5).alias("confidence"))
+
+    def page(x: Column, i: Column) -> Column:
+        """A page with its place in the source, looked up in the row that has the places."""
+        start = source(x["packed_start"])
+        end = F.when(i == F.size("pages") - 1, F.col("n")).otherwise(F.coalesce(source(F.get("pages", i + 1)["packed_start"]), F.col("n")))
+        evidence, sure = F.when(x["matched"], "pdf_text_alignment").otherwise("interpolated"), F.when(x["matched"], 0.75).otherwise(0.5)
+        return F.struct(x["page_index"].alias("page_index"), start.alias("char_start"), F.greatest(end, start + 1).alias("char_end"), evidence.alias("evidence"), sure.alias("confidence"))
+
+    return listed.join(places, "book_id").select("book_id", F.inline(F.transform("pages", page)))
 
 
 #: Reach of a mark, and confidence of a page start by evidence: fixed values.

@@ -56,14 +56,22 @@ def two_sided(rows: DataFrame, keys: list[str], at: str, value: Column, name: st
 def containing(points: DataFrame, spans: DataFrame, keys: list[str], at: str, start: str, end: str, bucket: int) -> DataFrame:
     """Point in span: both sides meet on keys and on a bucket of the axis, so a long book spreads over tasks."""
     left = points.withColumn("_bucket", F.floor(F.col(at) / bucket))
-    right = spans.where(F.col(start) < F.col(end)).withColumn("_bucket", F.explode(F.sequence(F.floor(F.col(start) / bucket), F.floor((F.col(end) - 1) / bucket))))
-    return left.join(right, [*keys, "_bucket"]).where((F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))).drop("_bucket")
+    return left.join(bucketed(spans, start, end, bucket), [*keys, "_bucket"]).where((F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))).drop("_bucket")
 
 
-def intersections(a: DataFrame, b: DataFrame, keys: list[str], a_span: tuple[str, str], b_span: tuple[str, str]) -> DataFrame:
-    """Pairs of spans that overlap, with the part they share as char_start and char_end."""
+def bucketed(spans: DataFrame, start: str, end: str, bucket: int) -> DataFrame:
+    """Spans once for every stretch of the axis that they touch, named _bucket; empty spans are left out."""
+    return spans.where(F.col(start) < F.col(end)).withColumn("_bucket", F.explode(F.sequence(F.floor(F.col(start) / bucket), F.floor((F.col(end) - 1) / bucket))))
+
+
+def intersections(a: DataFrame, b: DataFrame, keys: list[str], a_span: tuple[str, str], b_span: tuple[str, str], bucket: int = 4096) -> DataFrame:
+    """Pairs of spans that overlap, with the part they share as char_start and char_end.
+
+    Both sides meet on keys and on a stretch of the axis; a pair comes from the stretch in which its shared part begins.
+    """
     lo, hi = F.greatest(a_span[0], b_span[0]), F.least(a_span[1], b_span[1])
-    return a.join(b, keys).where(lo < hi).withColumn("char_start", lo).withColumn("char_end", hi)
+    met = bucketed(a, *a_span, bucket).join(bucketed(b, *b_span, bucket), [*keys, "_bucket"]).where((lo < hi) & (F.floor(lo / bucket) == F.col("_bucket")))
+    return met.drop("_bucket").withColumn("char_start", lo).withColumn("char_end", hi)
 
 
 def overlapping_neighbours(rows: DataFrame, keys: list[str], start: str, end: str, tie: str) -> DataFrame:
@@ -85,16 +93,16 @@ def coverage(spans: DataFrame, keys: list[str], start: str, end: str) -> DataFra
     )
 
 
-def overlay(spans: DataFrame, keys: list[str], start: str, end: str, layer: list[str], label: str) -> DataFrame:
+def overlay(spans: DataFrame, keys: list[str], start: str, end: str, layer: list[str], label: str, bucket: int = 4096) -> DataFrame:
     """Paint spans over each other, later layers on top: (keys, label, char_start, char_end), neighbours of one label joined.
 
     Break points cut the axis into elementary spans; each takes the label of the highest layer that
-    covers it. Nothing is expanded to characters.
+    covers it, met on the stretch of the axis in which it begins. Nothing is expanded to characters.
     """
     spans = spans.where(F.col(start) < F.col(end))
     points = spans.select(*keys, F.explode(F.array(start, end)).alias("_a")).distinct()
     cells = points.withColumn("_b", F.lead("_a").over(Window.partitionBy(*keys).orderBy("_a"))).where("_b is not null")
-    painted = cells.join(spans, keys).where((F.col(start) <= F.col("_a")) & (F.col("_b") <= F.col(end)))
+    painted = cells.withColumn("_bucket", F.floor(F.col("_a") / bucket)).join(bucketed(spans, start, end, bucket), [*keys, "_bucket"]).where((F.col(start) <= F.col("_a")) & (F.col("_b") <= F.col(end)))
     top = painted.groupBy(*keys, "_a", "_b").agg(F.max_by(label, F.struct(*layer)).alias(label))
     by = Window.partitionBy(*keys).orderBy("_a")
     joins = (F.lag("_b").over(by) == F.col("_a")) & F.lag(label).over(by).eqNullSafe(F.col(label))

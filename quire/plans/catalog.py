@@ -30,6 +30,8 @@ SQL: dict[str, str] = {}
 MARKED = "àâäáãéèêëíìîïñóòôöõúùûüçßÀÂÄÁÉÈÊËÍÌÎÏÑÓÒÔÖÚÙÛÜÇ"
 LETTER = r"\p{L}"
 VISIBLE = r"\p{P}\p{S}"
+#: Tables whose rows are long enough to be dealt out where a file has fewer parts than there are tasks at once.
+LONG = ("documents",)
 
 
 def query(sql: str):
@@ -48,7 +50,7 @@ def unchecked(f):
 
 
 def read(spark: SparkSession, sf_dir: str, *names: str):
-    found = [spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names]
+    found = [files.spread(spark.read.parquet(f"{sf_dir}/{n}.parquet")) if n in LONG else spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names]
     return found[0] if len(found) == 1 else found
 
 

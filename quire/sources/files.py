@@ -12,6 +12,12 @@ PDF_PAGE = "text STRING, height DOUBLE, lines ARRAY<STRUCT<bbox: ARRAY<DOUBLE>,
 TXT_LINE = "char_start INT, char_end INT, page_index INT, line INT, score DOUBLE, cover DOUBLE, n INT"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt over at least as many parts as the session has tasks at once; a table with enough parts stays as it is."""
+    at_once = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= at_once else df.repartition(at_once)
+
+
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """(book_id, path, content): whole files as bytes, so that offsets count what is on disk. book_id is the file's name."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
