@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.sources import scratch
+from quire.sources import files, scratch
 
 #: Rows in one Arrow batch handed to Python; documents are long, so it is far below Spark's 10,000.
 ARROW_ROWS = 512
@@ -26,7 +26,8 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the input; one whose files have fewer parts than there are tasks at once is dealt out, since its rows are long."""
+    return files.spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def free_name(df: DataFrame, wish: str) -> str:
