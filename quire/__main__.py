@@ -1,6 +1,6 @@
 """Command line: python -m quire COMMAND ... on files of this machine.
 
-discover TEXTS                                  the most common lines of the texts
+discover TEXTS [--config F]                     common lines, heading candidates, markers, configured headings not found
 pages TEXTS PAGES --out FOLDER                  align page texts (JSON lists of {text, height, lines} by book) and write pages.json
 build TEXTS [--config F] [--overrides F] [--pages F] --out FOLDER   write each book's profile, structure, units and issues
 validate (as build)                             build, print and write the report of the constraints
@@ -20,7 +20,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators import compare, constraints, knowledge, layout, pages, sheets, spans, structure, validate
+from quire.operators import compare, constraints, discover, knowledge, layout, pages, sheets, spans, structure, validate
 from quire.sources import files, outputs, scratch
 
 
@@ -28,10 +28,15 @@ def _text(path: str | None) -> str | None:
     return Path(path).read_text(encoding="utf-8") if path else None
 
 
-def _discover(texts: DataFrame) -> int:
-    lines = spans.line_table(texts, "book_id", "text").withColumn("line", F.trim("line")).where("line <> ''")
-    common = lines.groupBy("line").agg(F.count("*").alias("n"), F.min(F.struct("book_id", "line_no")).alias("first_at"))
-    common.orderBy(F.desc("n"), "first_at").limit(40).where("n >= 3").show(40, truncate=False)
+def _discover(books: DataFrame) -> int:
+    """Print what settings could be made of the texts."""
+    lines = scratch.written(spans.line_table(books, "book_id", "text"), "lines")
+    discover.figures(lines).show(100, truncate=False)
+    discover.common_lines(lines).orderBy("book_id", F.desc("n"), "first_at").show(1000, truncate=False)
+    discover.heading_candidates(lines).orderBy("book_id", F.desc("strong"), "line_no").show(1000, truncate=False)
+    heads = F.from_json("config", "unit_headings ARRAY<STRING>")["unit_headings"]
+    named = F.transform(heads, lambda h: F.coalesce(F.get_json_object(h, "$.text"), h))
+    discover.missing_headings(books.withColumn("headings", named)).show(1000, truncate=False)
     return 0
 
 
@@ -84,12 +89,12 @@ def main(args: list[str]) -> int:
     texts = found.select("book_id", "text")
     if texts.where("text is null").count():
         return 2
-    if a.command == "discover":
-        return _discover(texts)
     if a.command == "pages":
         return _pages(spark, texts, a.inputs[1], a.out)
     given = [F.lit(_text(path)).cast("string").alias(name) for name, path in (("config", a.config), ("overrides", a.overrides), ("pages", a.pages))]
     books = texts.select("book_id", "text", *given)
+    if a.command == "discover":
+        return _discover(books)
     built = scratch.written(structure.build_books(books), "built-books")
     if a.command == "build":
         outputs.write_named(outputs.book_files(built, found), a.out)

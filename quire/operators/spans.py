@@ -14,9 +14,10 @@ from quire.sources import scratch
 
 
 def line_table(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, line_no, char_start, char_end, line): lines split at LF, the LF left out; null texts have none."""
-    lines = docs.select(key, F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
-    order = Window.partitionBy(key).orderBy("line_no")
+    """(key, line_no, char_start, char_end, line): lines split at LF, the LF left out; null texts have none, rows that repeat a key have theirs each."""
+    rows = docs.select(key, F.monotonically_increasing_id().alias("_row"), F.col(text).alias("_text"))
+    lines = rows.select(key, "_row", F.posexplode(F.split("_text", "\n")).alias("line_no", "line"))
+    order = Window.partitionBy("_row").orderBy("line_no")
     sized = lines.withColumn("size", F.length("line"))
     start = F.sum(F.col("size") + 1).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size") - 1
     return sized.select(key, "line_no", start.cast("int").alias("char_start"), (start + F.col("size")).cast("int").alias("char_end"), "line")

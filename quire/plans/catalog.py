@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from quire.functions import text as T
 from quire.operators import compare as D
 from quire.operators import constraints as C
+from quire.operators import discover as X
 from quire.operators import knowledge as N
 from quire.operators import layout as L
 from quire.operators import matching as M
@@ -205,6 +206,36 @@ def span_on_its_line(spark, sf_dir) -> DataFrame:
     return found.select("doc_id", "char_start", T.standalone(before, after, punctuation=VISIBLE).alias("alone"), T.at_line_edge(before, after, punctuation=VISIBLE).alias("at_edge"))
 
 
+#: Latin texts read by the same rules: accents are marks, a capital article is a marker.
+LATIN = X.Script(letters=LETTER, marks=MARKED, marker="The", unlike=r'[0-9:"()\[\]]')
+LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents"
+RATIO = rf"coalesce((length({{x}}) - length(regexp_replace({{x}}, '[{MARKED}]', '', 'g')))::DOUBLE / nullif(length({{x}}) - length(regexp_replace({{x}}, '[\p{{{{L}}}}]', '', 'g')), 0), 0)"
+N_WORDS = r"len(list_filter(string_split_regex({x}, '\s+'), lambda w: regexp_matches(w, '\p{{L}}')))"
+
+
+@query(rf"""
+WITH l AS ({LINES}), v AS (SELECT *, CASE WHEN {N_WORDS.format(x='line')} >= 4 THEN {RATIO.format(x='line')} END AS ratio FROM l),
+g AS (SELECT doc_id, count(*)::BIGINT AS lines, count(*) FILTER (WHERE regexp_matches(line, '^\s*The\s*\S'))::BIGINT AS footnote_start_lines, sum(len(regexp_extract_all(line, 'The')))::BIGINT AS marker_occurrences, list_sort(list(ratio) FILTER (WHERE ratio IS NOT NULL)) AS r FROM v GROUP BY doc_id)
+SELECT doc_id, lines, footnote_start_lines, marker_occurrences, CASE WHEN len(r) >= 4 THEN r[len(r) // 4 + 1] END AS q1, CASE WHEN len(r) >= 4 THEN r[2 * (len(r) // 4) + 1] END AS q2, CASE WHEN len(r) >= 4 THEN r[3 * (len(r) // 4) + 1] END AS q3 FROM g
+""")
+def discover_figures(spark, sf_dir) -> DataFrame:
+    """Lines, markers, and the quartile steps of marks of every text."""
+    found = X.figures(S.line_table(read(spark, sf_dir, "documents"), "doc_id", "text"), LATIN, "doc_id")
+    return found.select("doc_id", "lines", "footnote_start_lines", "marker_occurrences", *[F.get("quartiles", F.lit(k)).alias(f"q{k + 1}") for k in range(3)])
+
+
+@query(rf"""
+WITH l AS ({LINES}), v AS (SELECT doc_id, line_no, trim(line) AS line, {N_WORDS.format(x='line')} AS w, {RATIO.format(x='line')} AS ratio FROM l),
+a AS (SELECT *, CASE WHEN lead(w, 1) OVER d >= 1 THEN lead(ratio, 1) OVER d END AS r1, CASE WHEN lead(w, 2) OVER d >= 1 THEN lead(ratio, 2) OVER d END AS r2, CASE WHEN lead(w, 3) OVER d >= 1 THEN lead(ratio, 3) OVER d END AS r3, count(*) OVER (PARTITION BY doc_id, line) AS n FROM v WINDOW d AS (PARTITION BY doc_id ORDER BY line_no)),
+c AS (SELECT doc_id, line_no, line, round(coalesce(r1, r2, r3, 0), 2) > 0.05 AS marked FROM a WHERE w BETWEEN 1 AND 8 AND ratio < 0.05 AND NOT regexp_matches(line, '[0-9:"()\[\]]') AND n < 5)
+SELECT doc_id, line_no::INT AS line_no, line, marked FROM c QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY line_no) <= 120
+""")
+def discover_headings(spark, sf_dir) -> DataFrame:
+    """Short bare rare lines of every text, and whether marked text follows; 120 a text, as the report has them."""
+    found = X.heading_candidates(S.line_table(read(spark, sf_dir, "documents"), "doc_id", "text"), LATIN, "doc_id")
+    return found.select("doc_id", "line_no", "line", (F.col("following") > 0.05).alias("marked"))
+
+
 # --- spans
 
 
