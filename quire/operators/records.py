@@ -76,3 +76,17 @@ def set_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of one side that the other lacks, each once, with side a or b."""
     left = a.distinct().join(b.distinct(), a.columns, "left_anti").withColumn("side", F.lit("a"))
     return left.unionByName(b.distinct().join(a.distinct(), a.columns, "left_anti").withColumn("side", F.lit("b")))
+
+
+def upsert_returning(old: DataFrame, rows: DataFrame, keys: list[str], seq: list[str], id_column: str) -> DataFrame:
+    """The last write of every key with its id: the stored one, or for new keys the next ids in the order of the keys.
+
+    Places of new keys come from a range sort and counts of its parts, so that no task sees them all.
+    """
+    from quire.operators.spans import placed
+
+    last = upsert(rows, keys, seq)
+    known = last.join(old.select(*keys, id_column), keys, "left")
+    top = old.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_top"))
+    fresh = placed(known.where(F.col(id_column).isNull()).drop(id_column), [F.col(k) for k in keys], "_nth").join(top).withColumn(id_column, F.col("_top") + F.col("_nth")).drop("_top", "_nth")
+    return known.where(F.col(id_column).isNotNull()).unionByName(fresh)

@@ -923,3 +923,36 @@ def misplaced(spark, sf_dir) -> DataFrame:
     parts = spans(spark, sf_dir).withColumn("placement", F.when(F.col("event_id") % 5 == 0, "displaced").otherwise("in_span"))
     held = read(spark, sf_dir, "events").groupBy("user_id").agg(F.min("event_id").alias("us"), F.max("event_id").alias("ue"))
     return C.misplaced(parts.join(held, "user_id"), ("s", "e"), ("us", "ue"), "placement").select("user_id", "event_id", "placement")
+
+
+REST = r"[\s\-–—•·*_|.:،؛,;!?؟«»()\[\]{}\"''/\\]*"
+
+
+@query(rf"""
+WITH p AS (SELECT doc_id, text, string_split(text, 'license') AS b FROM documents WHERE contains(text, 'license')),
+k AS (SELECT *, unnest(range(1, len(b))) AS k FROM p),
+o AS (SELECT doc_id, text, (list_sum(list_transform(b[1:k], lambda x: length(x))) + 7 * (k - 1))::BIGINT AS s FROM k),
+r AS (SELECT doc_id, s, regexp_extract(substr(text, 1, s), '[^\n]*$') AS before, regexp_extract(substr(text, s + 8), '^[^\n]*') AS after FROM o),
+g AS (SELECT *, CASE WHEN regexp_full_match(before || after, '{REST}') THEN 3 WHEN regexp_full_match(regexp_replace(before || after, '[0-9]+', '', 'g'), '{REST}') THEN 2 WHEN regexp_full_match(before, '{REST}') OR regexp_full_match(after, '{REST}') THEN 1 ELSE 0 END AS grade FROM r),
+c AS (SELECT doc_id, arg_max(s - length(before), {{'g': grade, 's': s}}) AS char_start, max(grade) AS grade FROM g GROUP BY doc_id)
+SELECT doc_id::VARCHAR AS book_id, char_start::INT AS char_start, CASE grade WHEN 3 THEN 'standalone' WHEN 2 THEN 'standalone_with_page_number' ELSE 'glued' END AS stands, CASE grade WHEN 3 THEN 0.95 WHEN 2 THEN 0.85 ELSE 0.75 END::DOUBLE AS confidence FROM c
+""")
+def chosen_headings(spark, sf_dir) -> DataFrame:
+    """Of all places of a heading the one that stands best, the last of equals; where its unit begins, and how sure it is."""
+    docs = read(spark, sf_dir, "documents").where(F.contains("text", F.lit("license")))
+    config = '{"unit_headings": ["license"], "garbled": {"latin_max_run_in_arabic": 0}}'
+    built = B.build_books(docs.select(F.col("doc_id").alias("book_id"), "text", F.lit(config).alias("config"), F.lit(None).cast("string").alias("overrides")))
+    return V.relation(built, "unit").select("book_id", "char_start", F.col("role").alias("stands"), "confidence")
+
+
+@query("""
+WITH old AS (SELECT c_custkey AS id, c_name AS slug, 0::BIGINT AS v FROM customer WHERE c_custkey % 3 <> 0), new AS (SELECT c_name AS slug, c_custkey AS seq, (c_custkey * 10)::BIGINT AS v FROM customer WHERE c_custkey % 2 = 0),
+n AS (SELECT slug, v, row_number() OVER (ORDER BY slug) + (SELECT max(id) FROM old) AS fresh FROM new WHERE slug NOT IN (SELECT slug FROM old))
+SELECT new.slug, coalesce(old.id, n.fresh)::BIGINT AS id, new.v FROM new LEFT JOIN old ON new.slug = old.slug LEFT JOIN n ON n.slug = new.slug
+""")
+def upsert_returning(spark, sf_dir) -> DataFrame:
+    """K7: the ids of written rows, old ones for keys that were there and new ones behind them for others."""
+    customer = read(spark, sf_dir, "customer")
+    old = customer.where("c_custkey % 3 <> 0").select(F.col("c_custkey").cast("long").alias("id"), F.col("c_name").alias("slug"), F.lit(0).cast("long").alias("v"))
+    new = customer.where("c_custkey % 2 = 0").select(F.col("c_name").alias("slug"), F.col("c_custkey").alias("seq"), (F.col("c_custkey") * 10).cast("long").alias("v"))
+    return R.upsert_returning(old, new, ["slug"], ["seq"], "id").select("slug", "id", "v")

@@ -176,3 +176,10 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["diff", texts, *common, "--against", stored]) == 0
     assert cli.main(["diff", texts, *common[:2], "--against", stored]) == 1
     assert cli.main(["discover", texts]) == 0
+
+
+def test_databases(spark):
+    try:
+        assert files.create_database(spark, "quire_test") and not files.create_database(spark, "quire_test")
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS quire_test CASCADE")
