@@ -148,10 +148,11 @@ SELECT s.doc_id, s.line_no::INT AS line_no, s.char_start, (s.char_start + length
 FROM s JOIN c ON trim(s.line) = c.line
 """)
 def repeated_lines(spark, sf_dir) -> DataFrame:
-    """A1: lines that occur three times or more, with the place of every occurrence."""
-    lines = S.line_table(read(spark, sf_dir, "documents"), "doc_id", "text").withColumn("stripped", F.trim("line"))
-    often = lines.where("stripped <> ''").groupBy("stripped").agg(F.count("*").alias("n")).where("n >= 3")
-    return lines.join(often, "stripped").select("doc_id", "line_no", "char_start", "char_end", "n")
+    """A1: lines that occur three times or more, with the place of every occurrence; lines meet by digest, so no text moves twice."""
+    lines = S.line_table(read(spark, sf_dir, "documents"), "doc_id", "text").where(F.trim("line") != "")
+    lines = lines.select("doc_id", "line_no", "char_start", "char_end", F.unhex(F.md5(F.trim("line").cast("binary"))).alias("digest"))
+    often = lines.groupBy("digest").agg(F.count("*").alias("n")).where("n >= 3")
+    return lines.join(often, "digest").select("doc_id", "line_no", "char_start", "char_end", "n")
 
 
 @query(r"""
@@ -193,16 +194,19 @@ def heading_candidates(spark, sf_dir) -> DataFrame:
 
 
 @query(r"""
-WITH p AS (SELECT doc_id, strpos(text, 'license') - 1 AS s, text FROM documents WHERE contains(text, 'license')),
-b AS (SELECT doc_id, s, regexp_extract(substr(text, 1, s), '[^\n]*$') AS before, regexp_extract(substr(text, s + 8), '^[^\n]*') AS after FROM p)
+WITH p AS (SELECT doc_id, text, string_split(text, 'license') AS b FROM documents WHERE contains(text, 'license')),
+k AS (SELECT *, unnest(range(1, len(b))) AS k FROM p),
+o AS (SELECT doc_id, text, (list_sum(list_transform(b[1:k], lambda x: length(x))) + 7 * (k - 1))::BIGINT AS s FROM k),
+b AS (SELECT doc_id, s, regexp_extract(substr(text, 1, s), '[^\n]*$') AS before, regexp_extract(substr(text, s + 8), '^[^\n]*') AS after FROM o)
 SELECT doc_id, s::INT AS char_start, NOT regexp_matches(before || after, '[^\s\p{P}\p{S}]') AS alone,
        NOT regexp_matches(before, '[^\s\p{P}\p{S}]') OR NOT regexp_matches(after, '[^\s\p{P}\p{S}]') AS at_edge FROM b
 """)
 def span_on_its_line(spark, sf_dir) -> DataFrame:
-    """Whether a term stands alone on its line or at an edge of it."""
-    found = read(spark, sf_dir, "documents").withColumn("char_start", F.instr("text", "license") - 1).where("char_start >= 0")
+    """Whether a term stands alone on its line or at an edge of it, at every place."""
+    docs = read(spark, sf_dir, "documents").where(F.contains("text", F.lit("license")))
+    found = docs.select("doc_id", "text", F.explode(T.matches_with_offsets(F.col("text"), "license")).alias("m")).select("doc_id", "text", "m.char_start", "m.char_end")
     before = F.regexp_extract(F.substr("text", F.lit(1), F.col("char_start")), r"[^\n]*$", 0)
-    after = F.regexp_extract(F.substr("text", F.col("char_start") + 8), r"^[^\n]*", 0)
+    after = F.regexp_extract(F.substr("text", F.col("char_end") + 1), r"^[^\n]*", 0)
     return found.select("doc_id", "char_start", T.standalone(before, after, punctuation=VISIBLE).alias("alone"), T.at_line_edge(before, after, punctuation=VISIBLE).alias("at_edge"))
 
 
