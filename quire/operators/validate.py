@@ -89,6 +89,25 @@ def profile_differences(stored: DataFrame, actual: DataFrame) -> DataFrame:
     return met.select("book_id", F.explode(wrong).alias("field"))
 
 
+def source_violations(profiles: DataFrame) -> DataFrame:
+    """Violations by sources as files.profile describes them: no UTF-8 is an error, a byte order mark (it counts as a character) a warning."""
+    what = F.when(F.col("text").isNull(), F.struct(F.lit("error").alias("severity"), F.lit("not UTF-8").alias("message"))).when(F.col("bom"), F.struct(F.lit("warn").alias("severity"), F.lit("byte order mark").alias("message")))
+    return profiles.withColumn("_w", what).where("_w is not null").select(F.lit("source").alias("check"), "_w.severity", F.col("book_id").cast("string").alias("key"), "_w.message")
+
+
+def file_violations(found: DataFrame, required: DataFrame) -> DataFrame:
+    """Violations by files: found(book_id, name, content text, problem), as files.read_json tells problems; required(name) must be there for every book.
+
+    CRLF line ends are a warning; a byte order mark, broken UTF-8 or JSON, a missing file and a forbidden key are errors.
+    """
+    book = F.col("book_id").cast("string")
+    read = found.where("problem is not null").select(F.when(F.col("problem").isin("bom", "encoding"), "encoding").when(F.col("problem") == "crlf", "encoding").otherwise("json").alias("check"), F.when(F.col("problem") == "crlf", "warn").otherwise("error").alias("severity"), book.alias("key"), F.concat_ws(" ", "name", "problem").alias("message"))
+    every = found.select("book_id").distinct().join(required.select("name").distinct())
+    absent = every.join(found.select("book_id", "name"), ["book_id", "name"], "left_anti").select(F.lit("files").alias("check"), F.lit("error").alias("severity"), book.alias("key"), F.concat(F.lit("missing "), "name").alias("message"))
+    keys = found.select(book.alias("key"), "name", F.explode(forbidden_keys(F.col("content"))).alias("field")).select(F.lit("field_names").alias("check"), F.lit("error").alias("severity"), "key", F.concat_ws(" ", "name", "field").alias("message"))
+    return read.unionByName(absent).unionByName(keys)
+
+
 #: Relations whose rows are spans, and fields that rows must have.
 SPANS = ("node", "unit", "segment", "noise", "page", "foreign", "occurrence")
 REQUIRED = {

@@ -225,6 +225,20 @@ def test_forbidden_keys_and_profiles(spark):
     assert sorted(map(tuple, V.profile_differences(stored, actual).collect())) == [("1", "sha256"), ("2", "crlf"), ("2", "n_chars"), ("2", "sha256")]
 
 
+def test_sources_and_files(spark):
+    from quire.operators import validate as V
+    from quire.sources import files
+    from pyspark.sql import functions as F
+
+    raw = [("a", bytearray(b"ok")), ("b", bytearray(b"\xef\xbb\xbfok")), ("c", bytearray(b"\xff"))]
+    profiles = files.profile(spark.createDataFrame(raw, "book_id string, content binary"), "book_id", F.col("content"))
+    assert sorted((r["key"], r["severity"]) for r in V.source_violations(profiles).collect()) == [("b", "warn"), ("c", "error")]
+    found = spark.createDataFrame([("1", "units.json", '{"cs": 1}', None), ("1", "issues.json", "{", "json"), ("2", "units.json", "{}", "crlf"), ("2", "issues.json", "{}", "bom")], "book_id string, name string, content string, problem string")
+    required = spark.createDataFrame([("units.json",), ("issues.json",), ("structure.json",)], "name string")
+    got = sorted((r["key"], r["check"], r["severity"], r["message"]) for r in V.file_violations(found, required).collect())
+    assert got == [("1", "field_names", "error", "units.json cs"), ("1", "files", "error", "missing structure.json"), ("1", "json", "error", "issues.json json"), ("2", "encoding", "error", "issues.json bom"), ("2", "encoding", "warn", "units.json crlf"), ("2", "files", "error", "missing structure.json")]
+
+
 NOTES = "باب أول\nقال المصنف كلاما عن الصبر (1) وعن الحلم (2)\n(1) رواه مسلم في صحيحه\nوهو في السنن أيضا 12\n(2) أخرجه أحمد، قوله الحلم: أي الأناة\nباب ثان\n(3)\nنص آخر عن الشكر\n(3) تخريج ثالث هنا\n(4) معنى الصبر: حبس النفس\n"
 
 
