@@ -227,7 +227,7 @@ def _of_units(found, units, of_unit, foreign, unit_spans, nodes, issues, links)
     misplaced = C.misplaced(held, ("char_start", "char_end"), ("us", "ue"), "placement")
     away = held.where(~inside).select("book_id", F.col("owner").alias("ref"), "char_start", "char_end")
     hosts = unit_spans.withColumnRenamed("owner", "host")
-    hosted = away.join(hosts, "book_id").where((F.col("us") <= F.col("char_start")) & (F.col("char_end") <= F.col("ue"))).select("book_id", F.col("host").alias("owner"), "ref", "char_start", "char_end")
+    hosted = S.containing(away, hosts, ["book_id"], "char_start", "us", "ue", 4096).where(F.col("char_end") <= F.col("ue")).select("book_id", F.col("host").alias("owner"), "ref", "char_start", "char_end")
     mirror = ["book_id", "owner", "ref", "char_start", "char_end"]
     unmirrored = hosted.join(foreign.select(*mirror), mirror, "left_anti")
     baseless = foreign.select(*mirror).join(of_unit.select("book_id", F.col("owner").alias("ref"), "char_start", "char_end"), ["book_id", "ref", "char_start", "char_end"], "left_anti")
