@@ -116,7 +116,7 @@ def main(args: list[str]) -> int:
         for column, ending in (("json", ".json"), ("markdown", ".md")):
             outputs.write_named(each.select("book_id", F.concat("unit_id", F.lit(ending)).alias("name"), F.col(column).alias("content")), a.out)
         return 0
-    report = scratch.written(constraints.report([*validate.violations(built, books), validate.source_violations(found)]), "report")
+    report = scratch.written(constraints.report([constraints.gathered([*validate.violations(built, books), validate.source_violations(found)])]), "report")
     errors = report.where("severity = 'error'")
     if a.command == "validate":
         report.show(100, truncate=False)

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quire.sources import scratch
+
 VIOLATION = ("check", "severity", "key", "message")
 #: Examples that a report quotes per check.
 EXAMPLES = 40
@@ -93,6 +95,12 @@ def all_alike(rows: DataFrame, keys: list[str], value: str, more: list[Column] =
     return each.where((F.col("n") > least) & (F.col("_kinds") == 1)).drop("_kinds")
 
 
+def gathered(found: list[DataFrame], at_once: int = 5) -> DataFrame:
+    """All violations as one table, some checks at a time: the planning of a union of many joins grows faster than their number."""
+    parts = [scratch.written(reduce(DataFrame.unionByName, found[i : i + at_once]), "violations") for i in range(0, len(found), at_once)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def report(found: Iterable[DataFrame], examples: int = EXAMPLES) -> DataFrame:
     """(check, severity, n, examples): counts, and the first examples in order of their keys.
 

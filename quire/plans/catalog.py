@@ -776,7 +776,7 @@ def knowledge_check(spark, sf_dir) -> DataFrame:
 def structure_report(spark, sf_dir) -> DataFrame:
     """The constraints over every built document, counted, with examples."""
     source = books(spark, sf_dir)
-    return C.report(V.violations(scratch.written(B.build_books(source), "built-books"), source)).withColumn("examples", F.array_join("examples", "; "))
+    return C.report([C.gathered(V.violations(scratch.written(B.build_books(source), "built-books"), source))]).withColumn("examples", F.array_join("examples", "; "))
 
 
 @unchecked
