@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import curriculum, interval_overlap, language_gru, licence_scan, media_chunks, nra_topk, piece_sampling, quality_ftrl, simhash_dedup, token_counts, url_cascade
+from quire.llm import collocations, curriculum, interval_overlap, language_gru, licence_scan, media_chunks, nra_topk, piece_sampling, quality_ftrl, simhash_dedup, token_counts, url_cascade
 
 QUERIES = {
     "op1_media_chunks": media_chunks.op1_media_chunks,
@@ -15,11 +15,13 @@ QUERIES = {
     "op8_quality": quality_ftrl.op8_quality,
     "op9_topk": nra_topk.op9_topk,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_collocations": collocations.op11_collocations,
     "op12_interval_overlap": interval_overlap.op12_interval_overlap,
 }
 SQL = {
     "op3_mix_sources": curriculum.SQL,
     "op6_url_filter": url_cascade.SQL,
     "op9_topk": nra_topk.SQL,
+    "op11_collocations": collocations.SQL,
     "op12_interval_overlap": interval_overlap.SQL,
 }
