@@ -24,6 +24,8 @@ MINUTE, HOUR = 60_000_000, 3_600_000_000
 GAP, SLOT = 10 * MINUTE, HOUR
 #: Sale classes of a client for each of its salts.
 CLASSES = 2_000
+#: Parts that a client's classes are dealt over to learn whether it is hot.
+DEALS = 64
 #: The end of what is open: later than any slot of a timestamp.
 OPEN = 1 << 60
 RELATIONS = {
@@ -105,14 +107,16 @@ def overlaps(sales: DataFrame, found: DataFrame, slot: int = SLOT, classes: int
     the sum of crc32 of the sessions' first timestamps as decimal text. Sales that repeat an id add up to one;
     sales that meet no session have no row. Empty tables give an empty one.
     """
-    sales = slots(sales, slot)
+    sales = write_table(slots(sales, slot), "sale-slots")
     crc = F.crc32(F.col("first").cast("string").cast("binary"))
     right = slots(found, slot).groupBy("client_id", "begin", "end").agg(F.count("*").alias("n"), F.sum(crc).alias("crc"))
     left = write_table(sales.groupBy("client_id", "begin", "end").agg(F.count("*").alias("n_sales")), "sale-classes")
     hot = left.groupBy("client_id").agg(F.ceil(F.count("*") / classes).cast("int").alias("salts")).where("salts > 1")
-    salts = F.coalesce("salts", F.lit(1))
-    dealt = left.join(hot, "client_id", "left").select("client_id", "begin", "end", F.pmod(F.xxhash64("begin", "end"), salts).cast("int").alias("salt"))
-    copied = right.join(hot, "client_id", "left").select("client_id", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("begin").alias("s_begin"), F.col("end").alias("s_end"), "n", "crc")
+    hot = hot.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))))
+    hashed, salts = F.xxhash64("begin", "end"), F.coalesce("salts", F.lit(1))
+    deal = F.pmod(hashed, F.lit(DEALS)).cast("int").alias("deal")
+    dealt = left.select("*", deal).join(hot, ["client_id", "deal"], "left").select("client_id", "begin", "end", F.pmod(F.shiftright(hashed, 8), salts).cast("int").alias("salt"))
+    copied = right.select("*", deal).join(hot, ["client_id", "deal"], "left").select("client_id", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("begin").alias("s_begin"), F.col("end").alias("s_end"), "n", "crc")
     pairs = dealt.join(copied, ["client_id", "salt"]).where((F.col("begin") <= F.col("s_end")) & (F.col("s_begin") <= F.col("end")))
     shared = F.least("end", "s_end") - F.greatest("begin", "s_begin") + 1
     shared = F.when((F.col("end") < OPEN) | (F.col("s_end") < OPEN), shared * F.col("n"))
