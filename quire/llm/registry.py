@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import collocations, curriculum, interval_overlap, language_gru, licence_scan, media_chunks, nra_topk, piece_sampling, quality_ftrl, simhash_dedup, token_counts, url_cascade
+from quire.llm import collocations, curriculum, interval_overlap, language_gru, licence_scan, media_chunks, nra_topk, piece_sampling, quality_ftrl, simhash_dedup, suffix_repeats, token_counts, url_cascade
 
 QUERIES = {
     "op1_media_chunks": media_chunks.op1_media_chunks,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_token_counts": token_counts.op10_token_counts,
     "op11_collocations": collocations.op11_collocations,
     "op12_interval_overlap": interval_overlap.op12_interval_overlap,
+    "op13_suffix_repeats": suffix_repeats.op13_suffix_repeats,
 }
 SQL = {
     "op3_mix_sources": curriculum.SQL,
