@@ -3,11 +3,12 @@
 1. Lots of texts are cut into words once, each word coded by a dictionary of its lot (table of lots).
 2. Words are counted over all lots; the frequent ones of a language get numbers, and every lot gets the
    numbers of its own words back by a join. A rarer word breaks a piece, as no frequent phrase holds it.
-3. Every place of a lot with two or more numbers in a row gives a key: the next four numbers, six bytes each, zero where
-   the piece ends. A radix sort and a run-length count leave each key of a lot once, with its count.
-4. Keys are dealt by ranges. The limits come from a bounded sample of keys and decide balance only. Each range
-   is radix-sorted; the runs of equal first two, three and four numbers are the counts of the phrases. A range's
-   first and last runs may go on in its neighbours, so they are passed on whatever their count, and added up.
+3. Every place of a lot with two numbers in a row gives a key, six bytes a number. A radix sort and a run-length count
+   leave each key of a lot once, with its count. Keys are dealt by ranges, whose limits come from a bounded sample and
+   decide balance only. Each range is radix-sorted, its runs are the counts of pairs, and each lot hears which of its pairs are frequent.
+4. Where two frequent pairs follow each other, the next four numbers give a longer key, zero from the first rare pair on. These go
+   the same way; the runs of equal first three and four numbers are the counts of the phrases. A range's first and last runs may
+   go on in its neighbours, so they are passed on whatever their count, and added up.
 5. Cuts, containment and ranks are joins and sums over the frequent phrases.
 
 A key that is everywhere comes once from each lot, and ranges cut between any two keys, so no phrase is hot.
@@ -16,7 +17,7 @@ A key that is everywhere comes once from each lot, and ranges cut between any tw
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from quire.sources import scratch
 LEAST, LONGEST, TOP, CONTAINED, SCALE = 30, 4, 2000, 80, 2_000_000
 NONE = "und"
 #: Bytes of text of one lot, and words of one range, about.
-LOT, RANGE = 4 << 20, 1 << 20
+LOT, RANGE = 8 << 20, 1 << 19
 #: Lots and keys of each that the limits of ranges are taken from, at most.
 SAMPLED, KEYS = 64, 1024
 #: Bytes of a word's number in a key, and scores that count as one step when the best are cut off.
@@ -96,37 +97,55 @@ def radix_order(keys: np.ndarray) -> np.ndarray:
     return order
 
 
+def runs_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows of bytes, and where each distinct one begins in it."""
+    order = radix_order(keys)
+    some = keys[order]
+    return order, np.flatnonzero(np.concatenate([[True], (some[1:] != some[:-1]).any(axis=1)])) if len(some) else np.zeros(0, np.int64)
+
+
 def counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows of bytes in order, and the sum of counts of each."""
-    if not len(keys):
-        return keys, counts
-    order = radix_order(keys)
-    keys, counts = keys[order], counts[order]
-    begin = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
-    return keys[begin], np.add.reduceat(counts, begin)
+    order, begin = runs_of(keys)
+    return keys[order[begin]], np.add.reduceat(counts[order], begin) if len(begin) else counts
+
 
+def _packed(columns: list[np.ndarray]) -> np.ndarray:
+    """Numbers side by side, WIDE bytes each, the most significant first."""
+    parts = [np.ascontiguousarray(c).astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - WIDE :] for c in columns]
+    return np.ascontiguousarray(np.concatenate(parts, axis=1))
 
-def packed(ids: np.ndarray) -> np.ndarray:
-    """The keys of all places of two or more numbers in a row."""
-    n = len(ids)
-    ahead = [np.concatenate([ids[k:], np.zeros(min(k, n), np.int64)]) for k in range(LONGEST)]
-    for k in range(1, LONGEST):
-        ahead[k] = np.where(ahead[k - 1] > 0, ahead[k], 0)
-    at = np.flatnonzero(ahead[1] > 0)
-    parts = [np.ascontiguousarray(a[at]).astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - WIDE :] for a in ahead]
-    return np.ascontiguousarray(np.concatenate(parts, axis=1)) if len(at) else np.zeros((0, WIDE * LONGEST), np.uint8)
 
+def pairs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of two numbers in a row, and their keys."""
+    at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+    return at, _packed([ids[at], ids[at + 1]])
 
-def _keys(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).reshape(-1, WIDE * LONGEST)
+
+def longer(ids: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    """Keys of LONGEST numbers for the places where two pairs in a row are frequent, with zeros from the first pair on that is not.
+
+    flags tells it of each distinct pair in order.
+    """
+    at, keys = pairs(ids)
+    order, begin = runs_of(keys)
+    good = np.zeros(len(ids) + LONGEST, bool)
+    good[at[order]] = np.repeat(flags, np.diff(np.concatenate([begin, [len(at)]])))
+    padded = np.concatenate([ids, np.zeros(LONGEST, np.int64)])
+    at = np.flatnonzero(good[:-1] & good[1:])
+    columns, on = [padded[at], padded[at + 1]], np.ones(len(at), bool)
+    for k in range(2, LONGEST):
+        on = on & good[at + k - 1]
+        columns.append(np.where(on, padded[at + k], 0))
+    return _packed(columns)
 
 
 def phrases(keys: np.ndarray, counts: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Phrases of each length, as rows of bytes, and their counts, from the distinct sorted keys of one range.
+    """Phrases of three numbers or more, as rows of bytes, and their counts, from the distinct sorted keys of one range.
 
     Those under least are left out, but for the first and the last of each length: these may have more in a neighbour.
     """
-    for n in range(2, LONGEST + 1):
+    for n in range(3, LONGEST + 1):
         some = keys[:, (n - 1) * WIDE : n * WIDE].any(axis=1)
         heads, sums = keys[some][:, : n * WIDE], counts[some]
         if len(heads):
@@ -137,8 +156,8 @@ def phrases(keys: np.ndarray, counts: np.ndarray, least: int) -> Iterator[tuple[
             yield heads[begin[keep]], total[keep]
 
 
-def encoded(lots: DataFrame, known: DataFrame) -> DataFrame:
-    """(lot, ids): the numbers of the words of every lot, as 64-bit integers, 0 for rarer words and ends of pieces."""
+def encoded(lots: DataFrame, known: DataFrame, kind: str) -> DataFrame:
+    """(lot, ids): the numbers of the words of every lot, 0 for rarer words and ends of pieces."""
     each = lots.select("lot", "lang", F.posexplode("words").alias("code", "word")).where("code > 0")
     back = each.join(known.select("lang", "word", "id"), ["lang", "word"]).groupBy("lot").agg(F.collect_list(F.struct("code", "id")).alias("to"))
 
@@ -146,56 +165,99 @@ def encoded(lots: DataFrame, known: DataFrame) -> DataFrame:
         for b in batches:
             for lot, codes, to in zip(b.column(0), b.column(1), b.column(2)):
                 codes = np.frombuffer(codes.as_py(), np.int32)
-                number = np.zeros(int(codes.max(initial=0)) + 1, np.int64)
-                pairs = to.values
-                number[pairs.field("code").to_numpy()] = pairs.field("id").to_numpy()
+                number = np.zeros(int(codes.max(initial=0)) + 1, kind)
+                found = to.values
+                number[found.field("code").to_numpy()] = found.field("id").to_numpy()
                 yield pa.record_batch([pa.array([lot.as_py()], pa.int64()), pa.array([number[codes].tobytes()], pa.binary())], ["lot", "ids"])
 
     return lots.select("lot", "codes").join(back, "lot").mapInArrow(ids, "lot long, ids binary")
 
 
-def limits(ids: DataFrame, ranges: int) -> np.ndarray:
-    """Keys that cut the keys of all lots into about so many even ranges, from a bounded sample."""
+class _Ranges:
+    """Keys of a width in words, dealt by limits that a bounded sample of lots gives."""
 
-    def some(batches):
-        for b in batches:
-            for raw in b.column(0):
-                keys = packed(np.frombuffer(raw.as_py(), np.int64))
-                step = max(1, len(keys) // KEYS)
-                yield pa.record_batch([pa.array([keys[::step][:KEYS].tobytes()], pa.binary())], ["keys"])
+    def __init__(self, words_: int, of: Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]]):
+        self.size, self.of, self.limits = words_ * WIDE, of, None
 
-    few = ids.orderBy(F.xxhash64("lot")).limit(SAMPLED).select("ids").mapInArrow(some, "keys binary").collect()
-    keys = np.concatenate([_keys(r["keys"]) for r in few] or [_keys(b"")])
-    keys = np.sort(np.ascontiguousarray(keys).view(f"S{WIDE * LONGEST}").ravel())
-    return np.unique(keys[[len(keys) * i // ranges for i in range(1, ranges)]]) if len(keys) else keys
+    def rows(self, raw: bytes) -> np.ndarray:
+        return np.frombuffer(raw, np.uint8).reshape(-1, self.size)
 
+    def _ordered(self, keys: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(keys).view(f"S{self.size}").ravel()
 
-def frequent(ids: DataFrame, ranges: int, least: int) -> DataFrame:
-    """(gram, f): phrases of two or more words, as packed numbers, with at least so many places."""
-    at = limits(ids, ranges)
+    def fit(self, lots: DataFrame, ranges: int) -> None:
+        def some(batches):
+            for b in batches:
+                for _, keys in self.of(b):
+                    yield pa.record_batch([pa.array([keys[:: max(1, len(keys) // KEYS)][:KEYS].tobytes()], pa.binary())], ["keys"])
+
+        few = lots.orderBy(F.xxhash64("lot")).limit(SAMPLED).mapInArrow(some, "keys binary").collect()
+        keys = np.sort(self._ordered(np.concatenate([self.rows(r["keys"]) for r in few] or [self.rows(b"")])))
+        self.limits = np.unique(keys[[len(keys) * i // ranges for i in range(1, ranges)]]) if len(keys) else keys
 
-    def dealt(batches):
+    def deal(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The distinct keys of each lot, in order, and their counts, by range."""
         for b in batches:
-            for raw in b.column(0):
-                keys = packed(np.frombuffer(raw.as_py(), np.int64))
-                keys, counts = counted(keys, np.ones(len(keys), np.int64))
-                if not len(keys):
-                    continue
-                place = np.concatenate([[0], np.searchsorted(keys.view(f"S{WIDE * LONGEST}").ravel(), at), [len(keys)]])
+            for lot, keys in self.of(b):
+                keys, counts = counted(keys, np.ones(len(keys), np.int32))
+                place = np.concatenate([[0], np.searchsorted(self._ordered(keys), self.limits), [len(keys)]])
                 full = np.flatnonzero(np.diff(place)).tolist()
-                rows = [(keys[place[i] : place[i + 1]].tobytes(), counts[place[i] : place[i + 1]].tobytes()) for i in full]
-                yield pa.record_batch([pa.array(full, pa.int32()), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], ["range", "keys", "counts"])
+                sides = [[x[place[i] : place[i + 1]].tobytes() for i in full] for x in (keys, counts.astype(np.int32))]
+                if full:
+                    yield pa.record_batch([pa.array(full, pa.int32()), pa.array([lot] * len(full), pa.int64()), *(pa.array(x, pa.binary()) for x in sides)], ["range", "lot", "keys", "counts"])
+
+    def read(self, t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([self.rows(x.as_py()) for x in t["keys"]]), np.concatenate([np.frombuffer(x.as_py(), np.int32) for x in t["counts"]]).astype(np.int64)
+
+
+_DEALT = "range int, lot long, keys binary, counts binary"
+
+
+def frequent(ids: DataFrame, kind: str, ranges: int, least: int) -> DataFrame:
+    """(gram, f): phrases of two or more words, as packed numbers, with at least so many places."""
+
+    def numbers(raw: pa.Scalar) -> np.ndarray:
+        return np.frombuffer(raw.as_py(), kind).astype(np.int64)
+
+    two = _Ranges(2, lambda b: ((lot.as_py(), pairs(numbers(raw))[1]) for lot, raw in zip(b.column("lot"), b.column("ids"))))
+    two.fit(ids, ranges)
+
+    def met(t: pa.Table) -> pa.Table:
+        """Of a range: for each lot which of its pairs are frequent, and these pairs with their counts."""
+        keys, counts = two.read(t)
+        order, begin = runs_of(keys)
+        total = np.add.reduceat(counts[order], begin)
+        flags = np.empty(len(keys), np.uint8)
+        flags[order] = np.repeat(total >= least, np.diff(np.concatenate([begin, [len(keys)]])))
+        ends = np.cumsum([len(x.as_buffer()) // two.size for x in t["keys"]])
+        good = total >= least
+        grams = [k.tobytes() for k in keys[order[begin[good]]]]
+        n = len(t)
+        return pa.table(
+            [pa.array([*t["range"].to_pylist(), None], pa.int32()), pa.array([*t["lot"].to_pylist(), None], pa.int64()), pa.array([*(x.tobytes() for x in np.split(flags, ends[:-1])), None], pa.binary()),
+             pa.array([None] * n + [grams], pa.list_(pa.binary())), pa.array([None] * n + [total[good]], pa.list_(pa.int64()))],
+            ["range", "lot", "flags", "grams", "f"],
+        )
+
+    sent = ids.mapInArrow(two.deal, _DEALT)
+    found = write_table(sent.groupBy("range").applyInArrow(met, "range int, lot long, flags binary, grams array<binary>, f array<long>"), "frequent-pairs")
+    short = found.where("lot is null").select(F.explode(F.arrays_zip("grams", "f")).alias("g")).select(F.col("g.grams").alias("gram"), "g.f")
+    flags = found.where("lot is not null").groupBy("lot").agg(F.array_sort(F.collect_list(F.struct("range", "flags"))).alias("flags"))
+    flagged = ids.join(flags.select("lot", "flags.flags"), "lot")
+
+    def rest(b):
+        for lot, raw, parts in zip(b.column("lot"), b.column("ids"), b.column("flags")):
+            yield lot.as_py(), longer(numbers(raw), np.frombuffer(b"".join(parts.as_py()), np.uint8).astype(bool))
+
+    more = _Ranges(LONGEST, rest)
+    more.fit(flagged, ranges)
 
     def summed(t: pa.Table) -> pa.Table:
-        keys = np.concatenate([_keys(x.as_py()) for x in t["keys"]])
-        counts = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in t["counts"]])
-        found = list(phrases(*counted(keys, counts), least))
-        grams = [row.tobytes() for heads, _ in found for row in heads]
-        return pa.table([pa.array(grams, pa.binary()), pa.array(np.concatenate([c for _, c in found]), pa.int64())], ["gram", "f"])
+        out = list(phrases(*counted(*more.read(t)), least))
+        return pa.table([pa.array([row.tobytes() for heads, _ in out for row in heads], pa.binary()), pa.array(np.concatenate([c for _, c in out]), pa.int64())], ["gram", "f"])
 
-    pieces = ids.select("ids").mapInArrow(dealt, "range int, keys binary, counts binary")
-    sums = pieces.groupBy("range").applyInArrow(summed, "gram binary, f long")
-    return sums.groupBy("gram").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    sums = flagged.mapInArrow(more.deal, _DEALT).groupBy("range").applyInArrow(summed, "gram binary, f long")
+    return short.union(sums.groupBy("gram").agg(F.sum("f").alias("f")).where(F.col("f") >= least))
 
 
 def _part(first: int, many: int) -> F.Column:
@@ -239,11 +301,12 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, contained:
     totals = write_table(totals, "words-by-language")
     known = spans.placed(counts, [F.col("lang"), F.col("word")], "id")
     known = write_table(known.withColumn("key", F.unhex(F.lpad(F.hex("id"), 2 * WIDE, "0"))), "word-numbers")
-    ids = write_table(encoded(lots, known), "lots-as-numbers")
+    kind = "<u4" if known.count() < 1 << 32 else "<i8"
+    ids = write_table(encoded(lots, known, kind), "lots-as-numbers")
     scratch.discard(lots)
     total = totals.agg(F.sum("n")).first()[0] or 0
     ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE)
-    grams = write_table(frequent(ids, ranges, least), "frequent-phrases")
+    grams = write_table(frequent(ids, kind, ranges, least), "frequent-phrases")
     scratch.discard(ids)
     best = scored(grams, known, contained).withColumn("key", _part(0, 1))
     best = write_table(best.join(known.select("key", "lang"), "key").drop("key").withColumn("step", F.call_function("div", "score", F.lit(STEP).cast("long"))), "scored-phrases")
