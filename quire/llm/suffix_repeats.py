@@ -10,6 +10,7 @@ Texts lie as bytes in lots (a table). A place is known by the window of `length`
 3. Windows in a row with one hash are a string. Each lot sends a string once, with the smallest id that has it there,
    to the bucket of its hash. Where very many documents share a hash, each window goes by itself to the bucket of its
    own bytes, so no bucket grows with a common passage.
+   A string has a bounded number of windows: only a text that repeats itself has more in a row, and is cut, each part with what follows.
 4. A bucket builds the suffix array of its strings, for suffixes of length bytes or more, with the common prefixes of
    neighbours. A scan with a stack gives the tree of common-prefix intervals. An interval whose suffixes have
    different bytes on their left is a maximal repeat in its bucket. At a string's first place any left side counts as different,
@@ -37,7 +38,7 @@ from quire.sources import scratch
 LENGTH, GRAM = 50, 24
 #: Bytes of one lot about; a unit begins where this many low bits of the hash are zero.
 LOT, CUT_BITS = 4 << 20, 8
-#: Windows of one string, and documents that share a hash beyond which its windows go by themselves.
+#: Windows that begin in one string, and windows beyond its first that any suffix holds; documents that share a hash beyond which its windows go by themselves.
 STRING, CROWD = 64, 20_000
 #: A left side that differs from any other.
 ANY = 256
@@ -279,8 +280,11 @@ def _opened(b: pa.RecordBatch, length: int):
         yield lot_id.as_py(), Lot(ids, ends, body, length), begins.values.to_numpy().astype(np.int64), firsts.values.to_numpy()
 
 
-def strings(owned: DataFrame, anchors: DataFrame, buckets: int, length: int, crowd: int) -> DataFrame:
-    """Per bucket and lot the lot's strings, each once with the smallest id that has it; and per lot (bucket null) all places of its strings."""
+def strings(owned: DataFrame, anchors: DataFrame, buckets: int, length: int, crowd: int, every: bool) -> DataFrame:
+    """Per bucket and lot the lot's strings, each once with the smallest id that has it; and per lot (bucket null) all places of its strings.
+
+    With every, a string that several documents of the lot have is there again, with the largest id and a number below zero, so that they make a group.
+    """
 
     def cut(batches):
         for b in batches:
@@ -299,7 +303,8 @@ def strings(owned: DataFrame, anchors: DataFrame, buckets: int, length: int, cro
                 new |= (np.arange(len(at)) - run) % STRING == 0
                 begin = np.flatnonzero(new)
                 from_ = at[begin]
-                to = at[np.concatenate([begin[1:], [len(at)]]) - 1] + length
+                last = np.searchsorted(run[begin], run[begin], side="right")
+                to = np.minimum(at[np.concatenate([begin, [len(at)]])[last] - 1], from_ + 2 * (STRING - 1)) + length
                 raw = lot.body.tobytes()
                 known: dict[bytes, int] = {}
                 entry = np.array([known.setdefault(raw[i:j], len(known)) for i, j in zip(from_.tolist(), to.tolist())], np.int64)
@@ -309,15 +314,20 @@ def strings(owned: DataFrame, anchors: DataFrame, buckets: int, length: int, cro
                 one = np.zeros(len(known), np.int64)
                 one[entry[::-1]] = np.arange(len(entry))[::-1]
                 mixed = np.where(alone[begin[one]], hashes(lot.body, length)[from_[one]], h[begin[one]])
-                bucket = _bucket(mixed, buckets)
+                bucket, number, who = _bucket(mixed, buckets), np.arange(len(known)), least
+                if every:
+                    most = np.full(len(known), np.iinfo(np.int64).min)
+                    np.maximum.at(most, entry, ids)
+                    more = np.flatnonzero(most > least)
+                    bucket, number, who = np.concatenate([bucket, bucket[more]]), np.concatenate([number, -1 - more]), np.concatenate([least, most[more]])
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]])
                 offsets = pa.array(cuts.astype(np.int32))
                 texts = list(known)
                 rows = len(cuts) - 1
                 yield pa.record_batch(
-                    [pa.array(bucket[order][cuts[:-1]], pa.int32()), pa.array(np.full(rows, lot_id), pa.int64()), pa.ListArray.from_arrays(offsets, pa.array([texts[i] for i in order.tolist()], pa.binary())),
-                     pa.ListArray.from_arrays(offsets, pa.array(least[order])), pa.ListArray.from_arrays(offsets, pa.array(order.astype(np.int32))), pa.nulls(rows, pa.list_(pa.int32())), pa.nulls(rows, pa.list_(pa.int32()))],
+                    [pa.array(bucket[order][cuts[:-1]], pa.int32()), pa.array(np.full(rows, lot_id), pa.int64()), pa.ListArray.from_arrays(offsets, pa.array([texts[i if i >= 0 else -1 - i] for i in number[order].tolist()], pa.binary())),
+                     pa.ListArray.from_arrays(offsets, pa.array(who[order])), pa.ListArray.from_arrays(offsets, pa.array(number[order].astype(np.int32))), pa.nulls(rows, pa.list_(pa.int32())), pa.nulls(rows, pa.list_(pa.int32()))],
                     names,
                 )
                 yield pa.record_batch([pa.nulls(1, pa.int32()), pa.array([lot_id], pa.int64()), pa.nulls(1, pa.list_(pa.binary())), _longs(least), pa.array([entry], pa.list_(pa.int32())), pa.array([from_], pa.list_(pa.int32())), pa.array([to], pa.list_(pa.int32()))], names)
@@ -342,11 +352,11 @@ def suffix_array(body: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[
     return order, np.concatenate([[0], np.minimum(np.minimum(size[1:], size[:-1]), common)])
 
 
-def intervals(common: np.ndarray, left: np.ndarray, ids: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def intervals(common: np.ndarray, left: np.ndarray, ids: np.ndarray, least: int, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Maximal repeats of least bytes or more as (first, last, length, smallest id) over an enhanced suffix array.
 
     One scan with a stack: an interval is open as long as neighbours have its prefix in common. It is a repeat that
-    cannot be longer on the left if its suffixes' left sides are not all one byte.
+    cannot be longer on the left if its suffixes' left sides are not all one byte, or if it has the longest length.
     """
     out: list[tuple[int, int, int, int]] = []
     stack: list[list] = []  # depth, first, left side, smallest id, largest id
@@ -358,7 +368,7 @@ def intervals(common: np.ndarray, left: np.ndarray, ids: np.ndarray, least: int)
             top = stack.pop()
             side = side if side == top[2] != ANY else ANY
             low, high, first = min(low, top[3]), max(high, top[4]), top[1]
-            if side == ANY and low < high:
+            if (side == ANY or top[0] == longest) and low < high:
                 out.append((first, i - 1, top[0], low))
         if depth:
             if stack and stack[-1][0] == depth:
@@ -384,9 +394,9 @@ def _groups(t: pa.Table, length: int, every: bool) -> tuple[np.ndarray, ...]:
     sizes = np.fromiter((len(x.as_buffer()) for x in texts), np.int64, len(texts))
     ids = t["least"].combine_chunks().flatten().to_numpy()
     ends = np.cumsum(sizes)
-    windows = sizes - length + 1
+    windows = np.minimum(sizes - length + 1, STRING)
     string = np.repeat(np.arange(len(sizes)), windows)
-    begin = np.arange(len(string)) + np.repeat((length - 1) * np.arange(len(sizes)), windows)
+    begin = np.arange(len(string)) + np.repeat(ends - sizes - (np.cumsum(windows) - windows), windows)
     h = hashes(body, length)[begin] if len(begin) else np.zeros(0, np.uint64)
     order = np.argsort(h, kind="stable")
     start = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]])) if len(h) else np.zeros(0, np.int64)
@@ -396,7 +406,7 @@ def _groups(t: pa.Table, length: int, every: bool) -> tuple[np.ndarray, ...]:
     if not len(some):
         return empty, empty, empty, empty, []
     begin, string = begin[some], string[some]
-    end = ends[string]
+    end = np.minimum(ends[string], begin + length + STRING - 1)
     order, common = suffix_array(body, begin, end)
     begin, string = begin[order], string[order]
     offset = begin - (ends - sizes)[string]
@@ -412,13 +422,14 @@ def _groups(t: pa.Table, length: int, every: bool) -> tuple[np.ndarray, ...]:
     who = ids[string]
     least, most = np.minimum.reduceat(who, a), np.maximum.reduceat(who, a)
     same = (np.minimum.reduceat(left, a) == np.maximum.reduceat(left, a)) & (left[a] != ANY)
-    real = (b - a > 1) & (least < most) & ~same
+    longest = length + STRING - 1
+    real = (b - a > 1) & (least < most) & (~same | (high == longest))
     plain = real & (low == high)
     nodes = [np.stack([a[plain], b[plain] - 1, low[plain], least[plain]])]
     mixed = np.flatnonzero(real & ~plain)
     if len(mixed):
         at = np.concatenate([np.arange(a[k], b[k]) for k in mixed.tolist()])
-        first, last, deep, small = intervals(common[at], left[at], who[at], length)
+        first, last, deep, small = intervals(common[at], left[at], who[at], length, longest)
         nodes.append(np.stack([at[first], at[last], deep, small]))
     first, last, deep, small = np.concatenate(nodes, axis=1)
     many = last - first + 1
@@ -450,11 +461,14 @@ def groups(sent: DataFrame, length: int, every: bool) -> DataFrame:
     def scan(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         string, offset, size, _, digest = _groups(t, length, every)
+        entry = t["entry"].chunk(0).flatten().to_numpy()
+        real = np.flatnonzero(entry[string] >= 0)
+        string, offset, size, digest = string[real], offset[real], size[real], [digest[i] for i in real.tolist()] if every else digest
         offsets = t["entry"].chunk(0).offsets.to_numpy()
         row = np.searchsorted(offsets, string, side="right") - 1
         order = np.argsort(row, kind="stable")
         bounds = pa.array(np.searchsorted(row[order], np.arange(len(t) + 1)).astype(np.int32))
-        entry = t["entry"].chunk(0).flatten().to_numpy()[string[order]]
+        entry = entry[string[order]]
         lists = [pa.ListArray.from_arrays(bounds, pa.array(x.astype(np.int32))) for x in (entry, offset[order], size[order])]
         ids = pa.ListArray.from_arrays(bounds, pa.array([digest[i] for i in order.tolist()], pa.binary())) if every else pa.nulls(len(t), pa.list_(pa.binary()))
         return pa.table([t["lot"], *lists, ids], ["lot", "entry", "offset", "size", "id"])
@@ -489,7 +503,7 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, id_
     """
     stored, buckets = _prepared(docs, length, id_column, text_column)
     owned = stored.join(units(stored, buckets, length, False), "lot")
-    sent = strings(owned, shared_anchors(owned, buckets, length), buckets, length, crowd)
+    sent = strings(owned, shared_anchors(owned, buckets, length), buckets, length, crowd, True)
     found = groups(sent, length, True)
 
     def placed(batches):
@@ -518,7 +532,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, i
     stored, buckets = _prepared(docs, length, id_column, text_column)
     owners = units(stored, buckets, length, True)
     owned = stored.join(owners, "lot")
-    sent = strings(owned, shared_anchors(owned, buckets, length), buckets, length, crowd)
+    sent = strings(owned, shared_anchors(owned, buckets, length), buckets, length, crowd, False)
     found = groups(sent, length, False).drop("id")
 
     def judged(batches):

@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from datetime import datetime, timedelta
 
 import duckdb
 import numpy as np
@@ -19,6 +20,9 @@ DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long,
 LABELS = "doc_id long, quality int, toxic int, label string, hash long"
 PAGES = "page_id long, url string, html string, host string, verdict string"
 VECTORS = "vec_id long, embedding array<float>, label int, rank int, score long"
+CLICKS = "click_id long, ts timestamp_ntz, arrived_at timestamp_ntz, client_id long, kind string, value double, props string, hour long, first long, open boolean"
+SALES = "sale_id long, client_id long, status string, total double, sold_at timestamp_ntz, begin long, salt int, relation string"
+LINES = "sale_id long, line_no int, shipped_at timestamp_ntz, open boolean, client_id long"
 URLS = [None, "", "no scheme", "://", "http://A.Example.NET/en/x?y", "http://x.example.net/de", "https://b.org/fr/#a", "http://m.casino-win.example.com?x", "http://org/fr/", "http://net", "http://a..b.net/"]
 
 
@@ -29,12 +33,25 @@ def vectors():
     return out
 
 
+def shop():
+    """Clicks, sales and lines of a hot client, some others and none; with ties, repeated rows, gaps of just ten minutes, and times before 1970."""
+    r = np.random.default_rng(12)
+    at = lambda s: datetime(2024, 1, 30) + timedelta(microseconds=int(s * 1e6))
+    clicks = [(i, at(r.integers(0, 200) * 600 + i % 2 * 0.000001), None, int(c), ("view", "purchase", None)[i % 3], 0.0, "{}", 1, 2, True) for i, c in enumerate(r.choice([7, 7, 7, 1, 2, 3], 400))]
+    clicks += [*clicks[:9], (900, None, None, 7, "purchase", 0.0, "{}", 0, 0, False), (901, at(5), None, None, "view", 0.0, "{}", 0, 0, False), (902, datetime(1969, 12, 31, 23, 59, 1), None, 5, "view", 0.0, "{}", 0, 0, False)]
+    sales = [(i, int(c), "done", 1.0, at(r.integers(0, 150_000)), 1, 1, "clash") for i, c in enumerate(r.choice([7, 7, 1, 2, 4], 150))]
+    sales += [(200, None, "x", 1.0, at(5), 0, 0, ""), (201, 7, "x", 1.0, None, 0, 0, ""), (None, 7, "x", 1.0, at(9), 0, 0, ""), (203, 5, "x", 1.0, datetime(1969, 12, 31, 22), 0, 0, "")]
+    lines = [(int(i), 1, None if r.random() < 0.1 else at(r.integers(0, 400_000)), True, 1) for i in r.choice(150, 300)]
+    return clicks, sales, [*lines, *lines[:5], (None, 1, at(9_000_000), True, 7), (203, 1, datetime(1970, 1, 1, 0, 30), False, 0)]
+
+
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     """A folder of odd tables and one of empty ones."""
     odd, none = str(tmp_path_factory.mktemp("odd")), str(tmp_path_factory.mktemp("none"))
     labels = [(i, i % 2, 0, "x", 1) for i in (*range(14), *range(100, 140))] + [(None, 1, 0, "x", 1), (3, None, 0, "x", 1), (5, 1, 0, "x", 1)]
     data = {"documents": (rows(), DOCUMENTS), "labels": (labels, LABELS), "pages": ([(i % 13, u, "h", "clash", "clash") for i, u in enumerate(URLS * 2)], PAGES), "embeddings": (vectors(), VECTORS)}
+    data |= {name: (some, schema) for name, some, schema in zip(("clicks", "sales", "sale_lines"), shop(), (CLICKS, SALES, LINES))}
     for name, (some, schema) in data.items():
         spark.createDataFrame(some, schema).repartition(3).write.parquet(f"{odd}/{name}.parquet")
         spark.createDataFrame([], schema).write.parquet(f"{none}/{name}.parquet")
