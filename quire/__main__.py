@@ -8,6 +8,8 @@ prepare (as build) [--units a,b]                write the reading sheets of all
 check DRAFTS (as prepare, TEXTS by --texts)     check drafted statements and write knowledge_objects.json
 diff (as build) --against FOLDER [--approve]    compare a build with a stored one; --approve stores it if it has no errors
 
+validate, prepare, check and diff take --build FOLDER: the stored files of builds, FOLDER/BOOK/*.json, in place of a new one.
+
 Ends with 0, with 1 if there are errors, rejections or differences, with 2 if a source or an input cannot be read.
 """
 
@@ -20,7 +22,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators import compare, constraints, discover, knowledge, layout, pages, sheets, spans, structure, validate
+from quire.operators import builds, compare, constraints, discover, knowledge, layout, pages, sheets, spans, structure, validate
 from quire.sources import files, outputs, scratch
 
 
@@ -41,9 +43,11 @@ def _discover(books: DataFrame) -> int:
 
 
 def _pages(spark: SparkSession, texts: DataFrame, path: str, out: str) -> int:
-    """Align the pages of one book's printed lines and place its lines on them."""
-    book = texts.select("book_id").first()[0]
-    printed = files.read_pdf_lines(spark, path).select(F.lit(book).alias("book_id"), (F.col("page") + 1).alias("page_index"), "height", "line", "bbox", "text")
+    """Align printed lines, a file BOOK.json for each book or one file for the only book, and place the books' lines on them."""
+    named = F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1)
+    only = [r[0] for r in texts.select("book_id").limit(2).collect()]
+    book = F.lit(only[0]) if len(only) == 1 and not Path(path).is_dir() else named
+    printed = files.read_pdf_lines(spark, path).select(book.alias("book_id"), (F.col("page") + 1).alias("page_index"), "height", "line", "bbox", "text")
     whole = printed.groupBy("book_id", "page_index").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n").alias("text"))
     model = scratch.written(pages.align(texts, whole), "page-model")
     lines = scratch.written(spans.line_table(texts, "book_id", "text"), "lines")
@@ -79,7 +83,7 @@ def main(args: list[str]) -> int:
     parser = argparse.ArgumentParser(prog="quire", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("command", choices=["discover", "pages", "build", "validate", "prepare", "check", "diff"])
     parser.add_argument("inputs", nargs="+")
-    for name in ("--config", "--overrides", "--pages", "--units", "--against", "--texts", "--sheet-config"):
+    for name in ("--config", "--overrides", "--pages", "--units", "--against", "--texts", "--sheet-config", "--build"):
         parser.add_argument(name)
     parser.add_argument("--out", default="out")
     parser.add_argument("--approve", action="store_true")
@@ -95,9 +99,15 @@ def main(args: list[str]) -> int:
     books = texts.select("book_id", "text", *given)
     if a.command == "discover":
         return _discover(books)
-    built = scratch.written(structure.build_books(books), "built-books")
+    if a.build:
+        stored = scratch.written(builds.read_files(spark, a.build), "stored-files")
+        built = scratch.written(builds.relation_of(stored), "stored-builds")
+        broken = builds.stored_violations(stored, built, books, found)
+    else:
+        built = scratch.written(builds.completed(scratch.written(structure.build_books(books), "built-books"), books), "complete-builds")
+        broken = [*validate.violations(built, books), *builds.tree_violations(built)]
     if a.command == "build":
-        outputs.write_named(outputs.book_files(built, found), a.out)
+        outputs.write_named(builds.book_files(built, found), a.out)
         return 0
     if a.command in ("prepare", "check"):
         import json
@@ -116,14 +126,13 @@ def main(args: list[str]) -> int:
         for column, ending in (("json", ".json"), ("markdown", ".md")):
             outputs.write_named(each.select("book_id", F.concat("unit_id", F.lit(ending)).alias("name"), F.col(column).alias("content")), a.out)
         return 0
-    report = scratch.written(constraints.report([constraints.gathered([*validate.violations(built, books), validate.source_violations(found)])]), "report")
+    report = scratch.written(constraints.report([constraints.gathered([*broken, validate.source_violations(found)])]), "report")
     errors = report.where("severity = 'error'")
     if a.command == "validate":
         report.show(100, truncate=False)
-        outputs.write_named(outputs.report_file(report), a.out, ())
+        outputs.write_named(outputs.report_file(report, validate.summary(built, books)), a.out, ())
         return int(not errors.isEmpty())
-    stored = Path(a.against)
-    changed = compare.differences(spark.read.schema(built.schema).parquet(a.against), built, books) if stored.exists() else None
+    changed = compare.differences(spark.read.schema(built.schema).parquet(a.against), built, books) if Path(a.against).exists() else None
     if changed is not None:
         changed.orderBy("book_id", "what", "key").show(100, truncate=False)
     if a.approve:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quire.operators import spans
 from quire.sources import scratch
 
 VIOLATION = ("check", "severity", "key", "message")
@@ -70,6 +71,12 @@ def unmirrored(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return left.unionByName(b.select(*keys).join(a.select(*keys), keys, "left_anti").withColumn("side", F.lit("b")))
 
 
+def unreachable(nodes: DataFrame, roots: DataFrame, keys: list[str], key: str, parent: str) -> DataFrame:
+    """Nodes that no chain of parents leads to one of the roots: of other trees, of cycles, or below a parent that is not there."""
+    above = spans.trees(nodes, keys, key, parent)
+    return above.join(roots.select(*keys, F.col(key).alias("root")), [*keys, "root"], "left_anti")
+
+
 def inexact(places: DataFrame, parts: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
     """Places that begin where a part of the same keys does, but end where none does that begins there."""
     begin = [*keys, start]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -177,3 +178,31 @@ def closest_by_pairs(rows: DataFrame, lines: DataFrame, keys: list[str], line_ke
             yield pa.RecordBatch.from_arrays([*taken.columns[: len(keys)], *columns], out.names)
 
     return rows.select(*keys, F.lower(text).alias("_text")).mapInArrow(closest, out)
+
+
+def assigned(pairs: DataFrame, keys: list[str], asks: str, gives: str, order: list[Column]) -> DataFrame:
+    """One to one: in the order of asks, everyone takes the first of what is still free by order; (keys, asks, gives) of those that got one.
+
+    pairs(keys, asks, gives, ...) are all that may come together, each once; order, with gives as its last, ranks what one may take. The result is that of
+    going through asks one by one, yet comes in rounds of all at once: everyone names the first left to them, and whoever
+    is named by several goes to the least of them for now and is closed to all greater ones. Later rounds may give it to a lesser one still. It
+    ends when no one is named twice; each round closes pairs, so long chains of rivals take as many rounds as they have
+    links, but only keys with rivals go through them. Nulls in asks or gives take no part. An empty table gives an empty one.
+    """
+    by = Window.partitionBy(*keys, asks).orderBy(*order, gives)
+    left = pairs.where(F.col(asks).isNotNull() & F.col(gives).isNotNull()).select(*keys, asks, gives, F.row_number().over(by).alias("_rank"))
+    done: list[DataFrame] = []
+    left = scratch.written(left, "pairs-left")
+    while True:
+        # a key that has no rivals any more is finished and leaves
+        first = left.groupBy(*keys, asks).agg(F.min_by(gives, "_rank").alias(gives))
+        named = scratch.written(first.groupBy(*keys, gives).agg(F.min(asks).alias(asks), F.count("*").alias("_rivals")), "named")
+        rivals = named.where("_rivals > 1").select(*keys).distinct()
+        done.append(named.join(rivals, keys, "left_anti").select(*keys, asks, gives))
+        if rivals.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        held = named.join(rivals, keys, "left_semi").select(*keys, gives, F.col(asks).alias("_least"))
+        met = left.join(rivals, keys, "left_semi").join(held, [*keys, gives], "left")
+        after = scratch.written(met.where(F.col("_least").isNull() | (F.col(asks) <= F.col("_least"))).drop("_least"), "pairs-left")
+        scratch.discard(left)
+        left = after

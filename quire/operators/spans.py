@@ -6,8 +6,10 @@ equi-join and windows are partitioned. Starts are inclusive, ends exclusive.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 from pyspark.sql.window import Window
 
 from quire.sources import scratch
@@ -116,18 +118,67 @@ def extents(rows: DataFrame, keys: list[str], order: str, start: str, last_end:
     return rows.withColumn(name, F.coalesce(F.lead(start).over(Window.partitionBy(*keys).orderBy(order)), last_end))
 
 
-def nested(rows: DataFrame, keys: list[str], order: str, level: str, most_levels: int) -> DataFrame:
-    """Sections: end is the next section of the same or a higher rank (smaller level), parent the last one before of a smaller level.
+def nested(rows: DataFrame, keys: list[str], order: str, level: str, windows: int = 16) -> DataFrame:
+    """Sections: section_end is the next section of the same or a higher rank (smaller level), parent the last one before of a smaller level.
 
-    One window per level keeps this linear: no section meets all others.
+    At any depth; a null level holds nothing, is held by nothing and ends nothing. Few levels need a window each, so no section
+    meets all others; where the table has more than so many, a stack of open sections walks over each key's sections instead.
     """
+    levels = sorted(r[0] for r in rows.select(level).where(F.col(level).isNotNull()).distinct().limit(windows + 1).collect())
+    if len(levels) > windows:
+        return _nested_by_stack(rows, keys, order, level)
     by = Window.partitionBy(*keys).orderBy(order)
     after, before = by.rowsBetween(1, Window.unboundedFollowing), by.rowsBetween(Window.unboundedPreceding, -1)
     out = rows
-    for k in range(1, most_levels + 1):
-        out = out.withColumn(f"_next_{k}", F.min(F.when(F.col(level) <= k, F.col(order))).over(after)).withColumn(f"_prev_{k}", F.max(F.when(F.col(level) < k, F.col(order))).over(before))
-    pick = lambda side: F.coalesce(*[F.when(F.col(level) == k, F.col(f"_{side}_{k}")) for k in range(1, most_levels + 1)])
-    return out.withColumn("section_end", pick("next")).withColumn("parent", pick("prev")).drop(*[f"_{s}_{k}" for s in ("next", "prev") for k in range(1, most_levels + 1)])
+    for i, k in enumerate(levels):
+        out = out.withColumn(f"_next_{i}", F.min(F.when(F.col(level) <= k, F.col(order))).over(after)).withColumn(f"_prev_{i}", F.max(F.when(F.col(level) < k, F.col(order))).over(before))
+    pick = lambda side: F.coalesce(F.lit(None), *[F.when(F.col(level) == k, F.col(f"_{side}_{i}")) for i, k in enumerate(levels)])
+    kind = rows.schema[order].dataType
+    return out.withColumn("section_end", pick("next").cast(kind)).withColumn("parent", pick("prev").cast(kind)).drop(*[f"_{s}_{i}" for s in ("next", "prev") for i in range(len(levels))])
+
+
+def _nested_by_stack(rows: DataFrame, keys: list[str], order: str, level: str) -> DataFrame:
+    def walk(t: pa.Table) -> pa.Table:
+        t = t.sort_by(order)
+        at, levels = t[order].to_pylist(), t[level].to_pylist()
+        ends, parents, open_ = [None] * len(at), [None] * len(at), []
+        for i, k in enumerate(levels):
+            if k is None:
+                continue
+            while open_ and levels[open_[-1]] >= k:
+                ends[open_.pop()] = at[i]
+            parents[i] = at[open_[-1]] if open_ else None
+            open_.append(i)
+        kind = t.schema.field(order).type
+        return t.append_column("section_end", pa.array(ends, kind)).append_column("parent", pa.array(parents, kind))
+
+    kind = rows.schema[order].dataType
+    schema = StructType([*rows.schema.fields, StructField("section_end", kind), StructField("parent", kind)])
+    return rows.groupBy(*keys).applyInArrow(walk, schema)
+
+
+def trees(rows: DataFrame, keys: list[str], key: str, parent: str) -> DataFrame:
+    """(keys, key, root, depth): the topmost ancestor of every row, itself if it has no parent, and how far above it is.
+
+    Both are null below a parent that is not there and on and below a cycle. Paths double in every round: a row's pointer is replaced
+    by its target's, so that a depth of d takes log2(d) joins, each over a table. Ids must be unique within keys; null ids have no
+    row. An empty table gives an empty one.
+    """
+    step = [*keys, key]
+    own = rows.where(F.col(key).isNotNull()).select(*step, F.coalesce(parent, key).alias("root"), F.when(F.col(parent).isNull(), 0).otherwise(1).cast("long").alias("depth"), F.col(parent).isNull().alias("_there"))
+    now = scratch.written(own, "trees")
+    most = now.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    for _ in range(max(1, int(most)).bit_length() + 1):
+        if now.where(~F.col("_there")).isEmpty():
+            break
+        above = now.select(*keys, F.col(key).alias("root"), F.col("root").alias("_root"), F.col("depth").alias("_depth"), F.col("_there").alias("_reached"))
+        open_ = now.where(~F.col("_there")).join(above, [*keys, "root"])
+        moved = open_.select(*step, F.col("_root").alias("root"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_reached").alias("_there"))
+        after = scratch.written(now.where("_there").unionByName(moved), "trees")
+        scratch.discard(now)
+        now = after
+    found = now.where("_there").select(*step, "root", F.col("depth").cast("int").alias("depth"))
+    return rows.where(F.col(key).isNotNull()).select(*step).join(found, step, "left")
 
 
 def clamp_rising(rows: DataFrame, keys: list[str], order: str, value: str, name: str) -> DataFrame:

@@ -359,7 +359,44 @@ def section_nesting(spark, sf_dir) -> DataFrame:
     """Where a section ends and which one holds it."""
     by = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     o = read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.substring("o_orderpriority", 1, 1).cast("int").alias("level"), F.row_number().over(by).alias("place"))
-    return S.nested(o, ["o_custkey"], "place", "level", 5)
+    return S.nested(o, ["o_custkey"], "place", "level")
+
+
+TREE = """o AS (SELECT o_custkey, o_orderkey, row_number() OVER w AS k, count(*) OVER (PARTITION BY o_custkey) AS n, lag(o_orderkey, CASE WHEN o_custkey % 3 = 0 THEN 1 ELSE 2 END) OVER w AS before, last_value(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last
+  FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)),
+t AS (SELECT o_custkey, o_orderkey AS id, CASE WHEN o_custkey % 10 = 0 AND k = 1 THEN last WHEN o_custkey % 10 = 5 AND k = n THEN -1 ELSE before END AS parent FROM o)"""
+
+
+def order_tree(spark, sf_dir) -> DataFrame:
+    """(o_custkey, id, parent): every order below one before it of its customer, in chains or in two; with cycles, and parents that are not there."""
+    by = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    whole = Window.partitionBy("o_custkey")
+    key = F.col("o_custkey")
+    before = F.when(key % 3 == 0, F.lag("o_orderkey", 1).over(by)).otherwise(F.lag("o_orderkey", 2).over(by))
+    k, n = F.row_number().over(by), F.count("*").over(whole)
+    parent = F.when((key % 10 == 0) & (k == 1), F.max("o_orderkey").over(whole)).when((key % 10 == 5) & (k == n), F.lit(-1)).otherwise(before)
+    return read(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("id"), parent.cast("long").alias("parent"))
+
+
+@query(f"""
+WITH RECURSIVE {TREE},
+r AS (SELECT o_custkey, id, id AS root, 0 AS depth FROM t WHERE parent IS NULL UNION ALL SELECT t.o_custkey, t.id, r.root, r.depth + 1 FROM t JOIN r ON t.o_custkey = r.o_custkey AND t.parent = r.id)
+SELECT t.o_custkey, t.id, r.root, r.depth::INT AS depth FROM t LEFT JOIN r ON r.o_custkey = t.o_custkey AND r.id = t.id
+""")
+def tree_depths(spark, sf_dir) -> DataFrame:
+    """The root above every row and how far it is; none on and below cycles and parents that are not there."""
+    return S.trees(order_tree(spark, sf_dir), ["o_custkey"], "id", "parent")
+
+
+@query(f"""
+WITH RECURSIVE {TREE},
+r AS (SELECT o_custkey, id FROM t WHERE parent IS NULL AND id % 7 <> 0 UNION ALL SELECT t.o_custkey, t.id FROM t JOIN r ON t.o_custkey = r.o_custkey AND t.parent = r.id)
+SELECT o_custkey, id FROM t WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.o_custkey = t.o_custkey AND r.id = t.id)
+""")
+def unreachable_nodes(spark, sf_dir) -> DataFrame:
+    """V6: nodes that do not hang on a given root."""
+    nodes = order_tree(spark, sf_dir)
+    return C.unreachable(nodes, nodes.where("parent is null and id % 7 <> 0").select("o_custkey", "id"), ["o_custkey"], "id", "parent").select("o_custkey", "id")
 
 
 @query("SELECT o_custkey, o_orderkey, o_orderdate, coalesce(lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey), TIMESTAMP '2100-01-01') AS until FROM orders")
@@ -501,6 +538,26 @@ def same_key_nearest_before(spark, sf_dir) -> DataFrame:
     return near.select("user_id", F.col("event_id").alias("fn"), F.coalesce("an_before", "an_after").alias("an")).where("an is not null")
 
 
+@query("""
+WITH RECURSIVE e AS (SELECT user_id, event_id // 2000 AS page, event_id, event_type FROM events),
+a AS (SELECT user_id, page, list(event_id) AS every FROM e WHERE event_type = 'click' GROUP BY ALL),
+f AS (SELECT user_id, page, event_id, row_number() OVER (PARTITION BY user_id, page ORDER BY event_id) AS k FROM e WHERE event_type = 'purchase'),
+r AS (SELECT user_id, page, 0::BIGINT AS k, []::BIGINT[] AS used, NULL::BIGINT AS fn, NULL::BIGINT AS an FROM a
+  UNION ALL SELECT user_id, page, k, CASE WHEN an IS NULL THEN used ELSE list_append(used, an) END, fn, an
+  FROM (SELECT r.user_id, r.page, f.k, used, f.event_id AS fn,
+    list_min(list_transform(list_filter(every, lambda x: NOT list_contains(used, x)), lambda x: {'side': x > f.event_id, 'far': abs(x - f.event_id), 'x': x})).x AS an
+    FROM r JOIN a USING (user_id, page) JOIN f ON f.user_id = r.user_id AND f.page = r.page AND f.k = r.k + 1) x)
+SELECT user_id, fn, an FROM r WHERE an IS NOT NULL
+""")
+def nearest_unused(spark, sf_dir) -> DataFrame:
+    """Every footnote in turn takes the nearest free anchor of its page, those before first; an anchor serves one footnote."""
+    e = read(spark, sf_dir, "events").withColumn("page", F.floor(F.col("event_id") / 2000))
+    notes = e.where("event_type = 'purchase'").select("user_id", "page", F.col("event_id").alias("fn"))
+    anchors = e.where("event_type = 'click'").select("user_id", "page", F.col("event_id").alias("an"))
+    order = [F.col("an") > F.col("fn"), F.abs(F.col("an") - F.col("fn"))]
+    return M.assigned(notes.join(anchors, ["user_id", "page"]), ["user_id", "page"], "fn", "an", order).select("user_id", "fn", "an")
+
+
 @query("""
 WITH u AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
 s AS (SELECT f.user_id, f.event_id, c.event_id AS owner, f.k - c.k AS back, 2 * (c.event_type = f.event_type)::INT + 4 * (c.value / 100) + CASE WHEN f.k = c.k THEN 0.5 ELSE 0 END AS score FROM u f JOIN u c ON f.user_id = c.user_id AND c.k BETWEEN f.k - 2 AND f.k WHERE f.event_type = 'purchase')

@@ -30,15 +30,18 @@ def profile(rows: DataFrame, key: str, content: Column) -> DataFrame:
     return rows.select(key, text.alias("text"), F.length(text).cast("long").alias("n_chars"), F.length(content).cast("long").alias("n_bytes"), F.sha2(content, 256).alias("sha256"), F.contains(text, F.lit("\r\n")).alias("crlf"), F.startswith(content, F.lit(BOM)).alias("bom"))
 
 
+def json_problem(content: Column) -> Column:
+    """What is wrong with a JSON file's bytes: encoding, json, bom, crlf, or null."""
+    text = content.cast("string")
+    broken = F.try_parse_json(F.regexp_replace(text, "^﻿", "")).isNull()
+    return F.when(~F.is_valid_utf8(text), "encoding").when(broken, "json").when(F.startswith(content, F.lit(BOM)), "bom").when(F.contains(text, F.lit("\r\n")), "crlf")
+
+
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """(path, value, problem): one document per file; problem is null, encoding, bom, json, or crlf, and value is then null but for bom and crlf."""
-    found = spark.read.format("binaryFile").load(path)
-    text = F.col("content").cast("string")
-    clean = F.regexp_replace(text, "^﻿", "")
-    value = F.from_json(clean, schema)
-    broken = F.try_parse_json(clean).isNull()
-    problem = F.when(~F.is_valid_utf8(text), "encoding").when(broken, "json").when(F.startswith(F.col("content"), F.lit(BOM)), "bom").when(F.contains(text, F.lit("\r\n")), "crlf")
-    return found.select("path", F.when(F.is_valid_utf8(text) & ~broken, value).alias("value"), problem.alias("problem"))
+    found = spark.read.format("binaryFile").load(path).withColumn("problem", json_problem(F.col("content")))
+    value = F.from_json(F.regexp_replace(F.col("content").cast("string"), "^﻿", ""), schema)
+    return found.select("path", F.when(F.col("problem").isNull() | F.col("problem").isin("bom", "crlf"), value).alias("value"), "problem")
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators import validate as V
+from quire.operators import records
+from quire.sources import scratch
 
 #: Tables of the archive, their columns, and what must be unique: fixed values.
 TABLES = {
@@ -22,7 +23,8 @@ def create_tables(spark: SparkSession, database: str | None = None) -> list[str]
     """Create the archive's tables unless they exist; their names. Keys are checked by table_violations."""
     prefix = f"{database}." if database else ""
     for name, (columns, _, _) in TABLES.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({columns}) USING parquet")
+        parts = " PARTITIONED BY (book_id)" if name == "raw_pages" else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({columns}) USING parquet{parts}")
     return [f"{prefix}{name}" for name in TABLES]
 
 
@@ -40,47 +42,6 @@ def table_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def _listed(rows: DataFrame, name: str, fields: list[Column], order: list[str], alias: str) -> DataFrame:
-    """(book_id, alias): a book's rows of a relation as an ordered array of structs."""
-    own = V.relation(rows, name)
-    each = F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("_at"), F.struct(*fields).alias("x"))))
-    return own.groupBy("book_id").agg(F.transform(each, lambda r: r["x"]).alias(alias))
-
-
-def book_files(built: DataFrame, profiles: DataFrame) -> DataFrame:
-    """(book_id, name, content): the profile, structure, units and issues of every book.
-
-    profiles is what files.profile tells of the sources. Books without rows of a kind have an empty list of it.
-    """
-    spans = [F.col("char_start"), F.col("char_end")]
-    nodes = _listed(built, "node", [F.col("id"), F.col("kind").alias("type"), F.col("note").alias("title"), F.col("owner").alias("parent_id"), F.struct(*spans).alias("source"), F.col("confidence")], ["id"], "nodes")
-    noise = _listed(built, "noise", [F.col("id"), F.col("owner").alias("type"), *spans, F.col("role").alias("source")], ["char_start"], "noise_spans")
-    pages = _listed(built, "page", [F.col("page").alias("page_index"), F.col("ordinal").alias("printed_page_number"), *spans, F.col("kind").alias("evidence"), F.col("confidence"), F.col("note").alias("footnote_zone")], ["char_start"], "pages")
-    roots = built.select("book_id").distinct()
-    structure = roots
-    for part in (pages, noise, nodes):
-        structure = structure.join(part, "book_id", "left")
-    empty = lambda frame, name: F.coalesce(F.col(name), F.array().cast(frame.schema[name].dataType)).alias(name)
-    structure = structure.select("book_id", F.lit("structure.json").alias("name"), F.to_json(F.struct(F.lit("node_000").alias("root"), empty(pages, "pages"), empty(noise, "noise_spans"), empty(nodes, "nodes"))).alias("content"))
-    of_unit = lambda name, fields, alias: V.relation(built, name).groupBy("book_id", F.col("owner").alias("id")).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(alias))
-    segments = of_unit("segment", [*spans, F.col("role"), F.col("placement"), F.col("page").alias("page_index"), F.col("ref").alias("footnote_id"), F.col("note").alias("footnote_marker"), F.col("confidence")], "segments")
-    foreign = of_unit("foreign", [*spans, F.col("ref").alias("belongs_to")], "foreign_spans")
-    links = V.relation(built, "unit_issue").groupBy("book_id", F.col("owner").alias("id")).agg(F.array_sort(F.collect_list("ref")).alias("issue_ids"))
-    whole = V.relation(built, "unit").join(segments, ["book_id", "id"], "left").join(foreign, ["book_id", "id"], "left").join(links, ["book_id", "id"], "left")
-    unit = F.struct("id", F.col("kind").alias("type"), "ordinal", F.col("ref").alias("number_raw"), F.col("note").alias("title"), F.col("owner").alias("parent_id"), F.struct(*spans).alias("span"), empty(segments, "segments"), empty(foreign, "foreign_spans"), empty(links, "issue_ids"), "confidence")
-    units = whole.groupBy("book_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", unit.alias("x")))), lambda r: r["x"]).alias("units"))
-    places = V.relation(built, "occurrence").groupBy("book_id", F.col("owner").alias("id")).agg(F.array_sort(F.collect_list(F.struct(*spans, F.col("ref").alias("unit_id")))).alias("occurrences"))
-    listed = V.relation(built, "issue").join(places, ["book_id", "id"], "left")
-    issue = F.struct("id", F.col("kind").alias("type"), F.col("role").alias("severity"), F.col("note").alias("description"), empty(places, "occurrences"), "confidence", (F.col("placement") == "look").alias("needs_visual_check"))
-    issues = listed.groupBy("book_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("id", issue.alias("x")))), lambda r: r["x"]).alias("issues"))
-
-    def named(rows: DataFrame, column: str, name: str) -> DataFrame:
-        return roots.join(rows, "book_id", "left").select("book_id", F.lit(name).alias("name"), F.to_json(F.struct(empty(rows, column))).alias("content"))
-
-    profile = profiles.select(F.col("book_id").cast("string").alias("book_id"), F.lit("book_profile.json").alias("name"), F.to_json(F.struct(F.col("sha256").alias("source_sha256"), F.col("n_chars").alias("source_length_chars"), F.when(F.col("crlf"), "CRLF").otherwise("LF").alias("line_endings"))).alias("content"))
-    return profile.unionByName(structure).unionByName(named(units, "units", "units.json")).unionByName(named(issues, "issues", "issues.json"))
-
-
 def pages_file(pages: DataFrame, placed: DataFrame | None = None, printed: DataFrame | None = None) -> DataFrame:
     """(book_id, name, content): a page model as pages.json.
 
@@ -99,12 +60,21 @@ def pages_file(pages: DataFrame, placed: DataFrame | None = None, printed: DataF
 
 
 def report_file(report: DataFrame, stats: DataFrame | None = None) -> DataFrame:
-    """(name, content): a report of constraints as validation_report.json: status, counts, checks by severity with examples."""
+    """(name, content): a report of constraints as validation_report.json: status, counts, checks by severity with examples.
+
+    With stats, as validate.summary gives them, the report has those of every book by its id; books must then be few enough for one file.
+    """
     side = lambda s: F.filter("checks", lambda x: x["severity"] == s)
     count = lambda s: F.aggregate(side(s), F.lit(0).cast("long"), lambda a, x: a + x["n"])
     whole = report.agg(F.array_sort(F.collect_list(F.struct("severity", "check", "n", "examples"))).alias("checks"))
-    body = F.struct(F.when(count("error") > 0, "fail").otherwise("pass").alias("status"), count("error").alias("error_count"), count("warn").alias("warning_count"), side("error").alias("errors"), side("warn").alias("warnings"))
-    return whole.select(F.lit("validation_report.json").alias("name"), F.to_json(body).alias("content"))
+    fields = [F.when(count("error") > 0, "fail").otherwise("pass").alias("status"), count("error").alias("error_count"), count("warn").alias("warning_count"), side("error").alias("errors"), side("warn").alias("warnings")]
+    if stats is not None:
+        roles = F.from_json("segment_roles", "map<string, int>").alias("segment_roles")
+        each = F.struct(F.col("n_chars").alias("source_length_chars"), "nodes", "units", "issues", F.col("noises").alias("noise_spans"), "pages", roles, F.col("body_role_share"), F.col("covered").alias("covered_non_whitespace_chars"), F.col("visible").alias("non_whitespace_chars"))
+        own = stats.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("book_id", F.to_json(each).alias("x"))))).alias("by_book"))
+        whole = whole.crossJoin(own.select(F.transform_values("by_book", lambda _, x: F.from_json(x, stats.select(each.alias("x")).schema["x"].dataType)).alias("stats")))
+        fields.append(F.col("stats"))
+    return whole.select(F.lit("validation_report.json").alias("name"), F.to_json(F.struct(*fields)).alias("content"))
 
 
 def write_named(rows: DataFrame, folder: str, keys: tuple[str, ...] = ("book_id",)) -> int:
@@ -118,11 +88,42 @@ def write_named(rows: DataFrame, folder: str, keys: tuple[str, ...] = ("book_id"
     return n
 
 
+def upsert_table(rows: DataFrame, table: str, keys: list[str], seq: list[str], partition: str) -> None:
+    """Write rows into a stored table: the last row of every key, by seq, takes the place of the stored one; other stored rows stay.
+
+    The table is made, partitioned by one column, if it is not there. Only partitions that rows touch are read; what they
+    shall hold is written to the shared folder first and then takes their place in one commit, so that a failure
+    leaves the old rows. Two writers at a time must be kept apart by the caller. No rows change nothing.
+    """
+    spark = rows.sparkSession
+    latest = records.upsert(rows, keys, seq)
+    if not spark.catalog.tableExists(table):
+        latest.write.format("parquet").partitionBy(partition).saveAsTable(table)
+        return
+    columns = spark.table(table).columns
+    fresh = scratch.written(latest.select(*columns), "upserted")
+    touched = fresh.select(partition).distinct()
+    old = spark.table(table).join(touched, partition, "left_semi").join(fresh.select(*keys), keys, "left_anti").select(*columns)
+    whole = scratch.written(old.unionByName(fresh), "partitions")
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        whole.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)
+    scratch.discard(fresh)
+    scratch.discard(whole)
+
+
 def save_pages(pages: DataFrame, folder: str, table: str | None = None) -> bool:
-    """One JSON file per page of (book_id, page_number, raw_text) and, where the table can be reached, its rows; whether it could."""
-    content = pages.select("book_id", F.format_string("page_%03d.json", "page_number").alias("name"), F.to_json(F.struct(*pages.columns)).alias("content"))
+    """One JSON file per page of (book_id, page_number, raw_text) and, where the table can be reached, its row there by book and page; whether it could.
+
+    A page that is written again replaces its file and its row.
+    """
+    content = pages.select("book_id", F.format_string("page-%03d.json", "page_number").alias("name"), F.to_json(F.struct(*pages.columns)).alias("content"))
     write_named(content, folder)
     if table is None or not pages.sparkSession.catalog.tableExists(table):
         return False
-    pages.write.mode("append").format("parquet").saveAsTable(table)
+    upsert_table(pages, table, ["book_id", "page_number"], [c for c in ("created_at",) if c in pages.columns] or ["raw_text"], "book_id")
     return True

@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire import __main__ as cli
-from quire.operators import compare, knowledge, sheets
+from quire.operators import builds, compare, constraints, knowledge, sheets
 from quire.operators import structure as B
-from quire.sources import files, outputs
+from quire.sources import files, outputs, scratch
 from tests.test_books import CONFIG, NOTES, TEXT, layout_book
 
 BOOK_CONFIG = json.dumps(CONFIG, ensure_ascii=False)
@@ -106,7 +106,7 @@ def test_builds_are_compared(spark, books, built):
 
 def test_files_of_a_build(spark, books, built, tmp_path):
     profiles = files.profile(books, "book_id", F.coalesce("text", F.lit("")).cast("binary"))
-    n = outputs.write_named(outputs.book_files(built, profiles), str(tmp_path))
+    n = outputs.write_named(builds.book_files(builds.completed(built, books), profiles), str(tmp_path))
     assert n == 12
     read = {name: json.loads((tmp_path / "1" / f"{name}.json").read_text(encoding="utf-8")) for name in ("book_profile", "structure", "units", "issues")}
     assert read["book_profile"]["source_length_chars"] == len(TEXT) and read["structure"]["root"] == "node_000"
@@ -118,6 +118,100 @@ def test_files_of_a_build(spark, books, built, tmp_path):
     assert not raw.startswith(b"\xef\xbb\xbf") and "باب".encode() not in raw and "الحديث".encode() in raw
 
 
+@pytest.fixture(scope="module")
+def stored(spark, books, tmp_path_factory):
+    """The files of three books, their relation and its source."""
+    folder = tmp_path_factory.mktemp("stored")
+    profiles = files.profile(books, "book_id", F.coalesce("text", F.lit("")).cast("binary")).cache()
+    pages = json.dumps([{"page_index": k + 1, "printed_page_number": None, "char_start": at, "char_end": at + 40, "evidence": "x", "confidence": 0.5} for k, at in enumerate((0, 40))])
+    with_pages = books.withColumn("pages", F.when(F.col("book_id") == "1", pages))
+    whole = builds.completed(scratch.written(B.build_books(with_pages), "built"), books).cache()
+    outputs.write_named(builds.book_files(whole, profiles), str(folder))
+    return folder, whole, profiles
+
+
+def table_of(rows):
+    return sorted(tuple((v is None, v) for v in r) for r in rows.select(*B.NAMES).collect())
+
+
+def test_stored_builds_are_read_as_they_were(spark, stored, tmp_path):
+    folder, whole, profiles = stored
+    found = builds.read_files(spark, str(folder)).cache()
+    assert found.count() == 12 and found.where("problem is not null").count() == 0
+    again = builds.relation_of(found).cache()
+    kinds = {r["relation"] for r in again.select("relation").distinct().collect()}
+    assert {"root", "child", "raw_text", "node", "unit", "segment", "issue", "occurrence", "page", "noise"} <= kinds
+    assert table_of(again) == table_of(whole)
+    assert sorted(map(tuple, builds.stored_profiles(found).collect())) == sorted((r["book_id"], r["sha256"], r["n_chars"], r["crlf"]) for r in profiles.collect())
+    units = json.loads((folder / "1" / "units.json").read_text(encoding="utf-8"))["units"]
+    nodes = json.loads((folder / "1" / "structure.json").read_text(encoding="utf-8"))["nodes"]
+    assert all({*builds.FIELDS["units.json", "units"]} <= set(u) for u in units) and units[0]["raw_text"] == TEXT[units[0]["span"]["char_start"] : units[0]["span"]["char_end"]]
+    assert nodes[0]["children"] == ["node_001", "node_002", "node_003"] and nodes[0]["parent_id"] is None and "parent_id" in nodes[0]
+    assert nodes[2]["children"] == [u["id"] for u in units] and nodes[1]["segments"] and {"page_start", "page_end"} <= set(units[0]["span"])
+
+
+def test_stored_builds_are_checked(spark, books, stored, tmp_path):
+    """Copies of one sound build, each broken in its own way."""
+    import shutil
+
+    folder, _, profiles = stored
+    for name in ("sound", "edited", "missing", "renamed"):
+        shutil.copytree(folder / "1", tmp_path / name)
+
+    def edit(path, f):
+        value = json.loads(path.read_text(encoding="utf-8"))
+        f(value)
+        path.write_text(json.dumps(value, ensure_ascii=False), encoding="utf-8")
+
+    def units(v):
+        v["units"][0]["raw_text"] += "?"
+        del v["units"][1]["issue_ids"]
+        v["units"][0]["segments"].append({"role": "noise_ref", "noise_id": "noise_9999"})
+
+    def structure(v):
+        v["nodes"][0]["children"].append("node_999")
+        v["nodes"][1]["children"].append("node_002")
+        v["nodes"][3]["parent_id"], v["nodes"][4]["parent_id"] = v["nodes"][4]["id"], v["nodes"][3]["id"]
+
+    edit(tmp_path / "edited" / "book_profile.json", lambda v: v.update(source_sha256="x"))
+    edit(tmp_path / "edited" / "units.json", units)
+    edit(tmp_path / "edited" / "structure.json", structure)
+    (tmp_path / "missing" / "issues.json").unlink()
+    (tmp_path / "missing" / "units.json").write_bytes(b"{")
+    edit(tmp_path / "renamed" / "structure.json", lambda v: v["pages"][0].update(x={"cs": 1}))
+    found = builds.read_files(spark, str(tmp_path)).cache()
+    ids = F.explode(F.array(*map(F.lit, ("sound", "edited", "missing", "renamed"))))
+    own, sources = (x.where("book_id = '1'").withColumn("book_id", ids) for x in (books, profiles))
+    got = {x: set() for x in ("sound", "edited", "missing", "renamed")}
+    for r in constraints.gathered(builds.stored_violations(found, builds.relation_of(found).cache(), own, sources)).where("severity = 'error'").collect():
+        got[r["key"]].add((r["check"], r["message"]))
+    assert not got["sound"] and got["renamed"] == {("field_names", "structure.json cs")}
+    assert {("profile", "sha256"), ("offset_text", "unit_001"), ("schema", "unit_002 issue_ids"), ("refs", "unit_001 noise_9999"), ("tree", "node_000 node_999"), ("tree", "node_001 node_002")} <= got["edited"]
+    assert {("tree", f"not below the root: {x}") for x in ("node_003", "node_s001")} <= got["edited"]
+    assert {("files", "missing issues.json"), ("json", "units.json json")} <= got["missing"]
+
+
+def test_pages_are_upserted(spark, tmp_path):
+    name = "quire_pages"
+    page = lambda b, n, t: (b, n, t)
+    frame = lambda rows: spark.createDataFrame(rows, "book_id string, page_number int, raw_text string")
+    read = lambda: sorted(map(tuple, spark.table(name).select("book_id", "page_number", "raw_text").collect()))
+    try:
+        outputs.upsert_table(frame([page("a", 1, "x"), page("a", 2, "y"), page("b", 1, "z")]), name, ["book_id", "page_number"], ["raw_text"], "book_id")
+        files_of_b = {r[0] for r in spark.table(name).where("book_id = 'b'").select(F.input_file_name()).collect()}
+        assert outputs.save_pages(frame([page("a", 2, "later"), page("c", 1, "new"), page("a", 2, "early")]), str(tmp_path), name)
+        assert outputs.save_pages(frame([page("a", 2, "later")]), str(tmp_path), name)
+        assert read() == [("a", 1, "x"), ("a", 2, "later"), ("b", 1, "z"), ("c", 1, "new")]
+        assert {r[0] for r in spark.table(name).where("book_id = 'b'").select(F.input_file_name()).collect()} == files_of_b
+        broken = frame([page("a", 1, "never")]).withColumn("raw_text", F.when(F.lit(True), F.raise_error("lost")).cast("string"))
+        with pytest.raises(Exception, match="lost"):
+            outputs.upsert_table(broken, name, ["book_id", "page_number"], ["page_number"], "book_id")
+        outputs.upsert_table(frame([]), name, ["book_id", "page_number"], ["raw_text"], "book_id")
+        assert len(read()) == 4
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_tables_of_the_archive(spark, tmp_path):
     names = outputs.create_tables(spark)
     try:
@@ -125,14 +219,14 @@ def test_tables_of_the_archive(spark, tmp_path):
         tables = {n: spark.table(n) for n in names}
         assert outputs.table_violations(tables).count() == 0
         tables["books"] = spark.createDataFrame([(1, "a", "t", 1, None), (2, "a", "t", 1, None)], spark.table("books").schema)
-        tables["raw_pages"] = spark.createDataFrame([(1, 9, 1, None, "x", None, None, None)], spark.table("raw_pages").schema)
+        tables["raw_pages"] = spark.createDataFrame([(1, 1, None, "x", None, None, None, 9)], spark.table("raw_pages").schema)
         assert sorted((r["check"], r["key"]) for r in outputs.table_violations(tables).collect()) == [("refs", "raw_pages"), ("unique", "books")]
     finally:
         for n in names:
             spark.sql(f"DROP TABLE IF EXISTS {n}")
     pages = spark.createDataFrame([("b", 7, "نص")], "book_id string, page_number int, raw_text string")
     assert outputs.save_pages(pages, str(tmp_path), "no_such_table") is False
-    assert json.loads((tmp_path / "b" / "page_007.json").read_text(encoding="utf-8"))["raw_text"] == "نص"
+    assert json.loads((tmp_path / "b" / "page-007.json").read_text(encoding="utf-8"))["raw_text"] == "نص"
 
 
 def test_files_of_a_folder(spark, tmp_path):
