@@ -33,7 +33,7 @@ from quire.sources import scratch
 LEAST, LONGEST, TOP, CONTAINED, SCALE = 30, 4, 2000, 80, 2_000_000
 NONE = "und"
 #: Bytes of text of one lot, and words of one range, about.
-LOT, RANGE = 8 << 20, 1 << 19
+LOT, RANGE = 16 << 20, 1 << 19
 #: Lots and keys of each that the limits of ranges are taken from, at most.
 SAMPLED, KEYS = 64, 1024
 #: Bytes of a word's number in a key, and scores that count as one step when the best are cut off.
@@ -159,7 +159,7 @@ def phrases(keys: np.ndarray, counts: np.ndarray, least: int) -> Iterator[tuple[
 def encoded(lots: DataFrame, known: DataFrame, kind: str) -> DataFrame:
     """(lot, ids): the numbers of the words of every lot, 0 for rarer words and ends of pieces."""
     each = lots.select("lot", "lang", F.posexplode("words").alias("code", "word")).where("code > 0")
-    back = each.join(known.select("lang", "word", "id"), ["lang", "word"]).groupBy("lot").agg(F.collect_list(F.struct("code", "id")).alias("to"))
+    back = write_table(each.join(known.select("lang", "word", "id"), ["lang", "word"]).groupBy("lot").agg(F.collect_list(F.struct("code", "id")).alias("to")), "codes-to-numbers")
 
     def ids(batches):
         for b in batches:
@@ -170,7 +170,9 @@ def encoded(lots: DataFrame, known: DataFrame, kind: str) -> DataFrame:
                 number[found.field("code").to_numpy()] = found.field("id").to_numpy()
                 yield pa.record_batch([pa.array([lot.as_py()], pa.int64()), pa.array([number[codes].tobytes()], pa.binary())], ["lot", "ids"])
 
-    return lots.select("lot", "codes").join(back, "lot").mapInArrow(ids, "lot long, ids binary")
+    found = write_table(lots.select("lot", "codes").join(back, "lot").mapInArrow(ids, "lot long, ids binary"), "lots-as-numbers")
+    scratch.discard(back)
+    return found
 
 
 class _Ranges:
@@ -245,18 +247,22 @@ def frequent(ids: DataFrame, kind: str, ranges: int, least: int) -> DataFrame:
     flags = found.where("lot is not null").groupBy("lot").agg(F.array_sort(F.collect_list(F.struct("range", "flags"))).alias("flags"))
     flagged = ids.join(flags.select("lot", "flags.flags"), "lot")
 
-    def rest(b):
-        for lot, raw, parts in zip(b.column("lot"), b.column("ids"), b.column("flags")):
-            yield lot.as_py(), longer(numbers(raw), np.frombuffer(b"".join(parts.as_py()), np.uint8).astype(bool))
+    def rest(batches):
+        for b in batches:
+            for lot, raw, parts in zip(b.column("lot"), b.column("ids"), b.column("flags")):
+                keys = longer(numbers(raw), np.frombuffer(b"".join(parts.as_py()), np.uint8).astype(bool))
+                yield pa.record_batch([pa.array([lot.as_py()], pa.int64()), pa.array([keys.tobytes()], pa.binary())], ["lot", "keys"])
 
-    more = _Ranges(LONGEST, rest)
-    more.fit(flagged, ranges)
+    long_keys = write_table(flagged.mapInArrow(rest, "lot long, keys binary"), "longer-keys")
+    scratch.discard(ids)
+    more = _Ranges(LONGEST, lambda b: ((lot.as_py(), np.frombuffer(raw.as_py(), np.uint8).reshape(-1, LONGEST * WIDE)) for lot, raw in zip(b.column("lot"), b.column("keys"))))
+    more.fit(long_keys, ranges)
 
     def summed(t: pa.Table) -> pa.Table:
         out = list(phrases(*counted(*more.read(t)), least))
         return pa.table([pa.array([row.tobytes() for heads, _ in out for row in heads], pa.binary()), pa.array(np.concatenate([c for _, c in out]), pa.int64())], ["gram", "f"])
 
-    sums = flagged.mapInArrow(more.deal, _DEALT).groupBy("range").applyInArrow(summed, "gram binary, f long")
+    sums = long_keys.mapInArrow(more.deal, _DEALT).groupBy("range").applyInArrow(summed, "gram binary, f long")
     return short.union(sums.groupBy("gram").agg(F.sum("f").alias("f")).where(F.col("f") >= least))
 
 
@@ -302,12 +308,11 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, contained:
     known = spans.placed(counts, [F.col("lang"), F.col("word")], "id")
     known = write_table(known.withColumn("key", F.unhex(F.lpad(F.hex("id"), 2 * WIDE, "0"))), "word-numbers")
     kind = "<u4" if known.count() < 1 << 32 else "<i8"
-    ids = write_table(encoded(lots, known, kind), "lots-as-numbers")
+    ids = encoded(lots, known, kind)
     scratch.discard(lots)
     total = totals.agg(F.sum("n")).first()[0] or 0
     ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE)
     grams = write_table(frequent(ids, kind, ranges, least), "frequent-phrases")
-    scratch.discard(ids)
     best = scored(grams, known, contained).withColumn("key", _part(0, 1))
     best = write_table(best.join(known.select("key", "lang"), "key").drop("key").withColumn("step", F.call_function("div", "score", F.lit(STEP).cast("long"))), "scored-phrases")
     # the steps of scores down to that of the last phrase wanted; a language has a bounded number of steps
