@@ -3,9 +3,9 @@
 Every dimension of a block of candidates is a list sorted by value, read from the end that a query's weight
 for the dimension prefers. Reading goes in stages, all lists in step and whole ties at once. A candidate's
 lower bound adds the worst entry of each list in which it has not been seen to what has been seen of it, its
-upper bound adds the entry that the list stands at. A query stops when no candidate outside a few can reach
-the k-th lower bound; the scores of those few are then completed. What a stage has read of a list is the same
-for all queries, so the bounds of a whole batch of queries are two matrix products.
+upper bound adds the entry that the list stands at. The first stage's bounds are two matrix products for a batch of
+queries; from then on a query carries its live candidates from stage to stage and adds only what is newly read. It stops when no
+candidate outside a few can reach the k-th lower bound; the scores of those few are then completed.
 
 Queries and candidates meet in square cells of a grid (query block, candidate block), a bounded number of
 rows on both sides each, so a row is copied once for every BLOCK rows of the other side. The cells of the first
@@ -26,8 +26,8 @@ from quire.llm._shared import table, write_table
 K = 10
 #: Vectors of a candidate block at most, and of a query block; small tables are cut finer, for at least PARTS candidate blocks of LEAST rows.
 BLOCK, LEAST, PARTS = 1 << 15, 1 << 12, 16
-#: Share of every list that has been read after each stage but the last, which reads all.
-STAGES = (1 / 8, 1 / 2, 3 / 4)
+#: Share of every list that has been read after each stage. Those still open after the last have their scores completed, however many they are.
+STAGES = (27 / 32, 7 / 8, 29 / 32, 15 / 16, 31 / 32)
 #: Reading stops early once no more than this many times k candidates are left; their scores are then completed.
 RESOLVE = 4
 #: Queries whose bounds are computed together: a task holds as many bounds of every candidate of a block.
@@ -55,17 +55,10 @@ class Lists:
         self.v = values.astype(np.float64)
         self.rising = np.sort(self.v, axis=0)
 
-    def read(self, share: float) -> tuple[np.ndarray, np.ndarray]:
-        """What bounds know when this share of the lists is read from the top and from the bottom: lower and upper, (candidates, 2 * dims).
-
-        An entry that is read counts as itself; another counts as its list's worst entry in lower, and as the entry
-        the list stands at in upper. Columns are for weights above and below zero, in this order.
-        """
-        n, last = len(self.v), int(len(self.v) * share)
-        top, bottom = self.rising[n - 1 - last], self.rising[last]
-        down, up = self.v >= top, self.v <= bottom
-        worst = np.concatenate([np.where(down, self.v, self.rising[0]), np.where(up, self.v, self.rising[-1])], axis=1)
-        return worst, np.concatenate([np.where(down, self.v, top), np.where(up, self.v, bottom)], axis=1)
+    def limits(self, share: float) -> tuple[np.ndarray, np.ndarray]:
+        """Where the lists stand when this share of them is read: from the top, and from the bottom."""
+        last = int((len(self.v) - 1) * share)
+        return self.rising[len(self.v) - 1 - last], self.rising[last]
 
     def _selves(self, query_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query, candidate) places of equal ids."""
@@ -74,39 +67,64 @@ class Lists:
         who = np.repeat(np.arange(len(query_ids)), many)
         return who, self.order[np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(a, many)]
 
-    def top(self, query_ids: np.ndarray, queries: np.ndarray, k: int, floors: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each query ids and scores of its k best candidates, ties to smaller ids, its own id left out; those under its floor may be left out."""
+    def bounds(self, weights: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds (queries, candidates) of all candidates after the first share of all lists.
+
+        An entry that is read counts as itself; another counts as its list's worst entry in the lower bound, and as the
+        entry the list stands at in the upper. What is read is the same for all queries of a sign, so this is two matrix products.
+        """
+        top, bottom = self.limits(share)
+        down, up = self.v >= top, self.v <= bottom
+        both = np.maximum(weights, 0), np.minimum(weights, 0)
+        w = np.concatenate(both, axis=1)
+        low = w @ np.concatenate([np.where(down, self.v, self.rising[0]), np.where(up, self.v, self.rising[-1])], axis=1).T
+        gap = np.concatenate([both[0] * (top - self.rising[0]), both[1] * (bottom - self.rising[-1])], axis=1)
+        return low, low + gap @ np.concatenate([~down, ~up], axis=1).T.astype(np.float64)
+
+    def advance(self, weight: np.ndarray, alive: np.ndarray, low: np.ndarray, before: float, share: float) -> tuple[np.ndarray, np.ndarray]:
+        """Bounds of one query's live candidates when its lists are read on: only entries between the two depths are added."""
+        (top, bottom), (old_top, old_bottom) = self.limits(share), self.limits(before)
+        rising, scale = weight >= 0, np.abs(weight)
+        # turned, so that every list is read from its greatest entry
+        v = self.v[alive] * np.where(rising, 1.0, -1.0)
+        at, old, worst = np.where(rising, top, -bottom), np.where(rising, old_top, -old_bottom), np.where(rising, self.rising[0], -self.rising[-1])
+        low = low + np.where((v >= at) & (v < old), v - worst, 0) @ scale
+        return low, low + (v < at) @ (scale * (at - worst))
+
+    def top(self, query_ids: np.ndarray, queries: np.ndarray, k: int, floors: np.ndarray | None = None, stopped: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query ids and scores of its k best candidates, ties to smaller ids, its own id left out; those under its floor may be left out.
+
+        The first stage's bounds come for a batch of queries at once. From then on every query has its own live candidates, whose bounds
+        grow by what a stage newly reads, and it stops when few enough are left. stopped gets (share read, candidates left) of each query.
+        """
         n = len(self.ids)
         w = queries.astype(np.float64)
-        weights = np.concatenate([np.maximum(w, 0), np.minimum(w, 0)], axis=1)
         # rounding of a bound; without any if all sums are whole numbers that floats hold
         slack = 1e-9 * (np.abs(w) @ np.maximum(np.abs(self.rising[0]), np.abs(self.rising[-1])))
         least = np.full(len(w), -np.inf) if floors is None else floors.astype(np.float64)
-        out: list = [None] * len(w)
-        open_ = np.arange(len(w))
-        for share in (*STAGES, None):
-            if not len(open_):
-                break
-            lower, upper = (self.v, None) if share is None else self.read(share)
-            left = []
-            for i in range(0, len(open_), BATCH):
-                some = open_[i : i + BATCH]
-                weight = w[some] if upper is None else weights[some]
-                low = weight @ lower.T
-                high = low if upper is None else weight @ upper.T
-                low[self._selves(query_ids[some])] = -np.inf
-                high[low == -np.inf] = -np.inf
-                if n > k:
-                    least[some] = np.maximum(least[some], np.partition(low, n - k, axis=1)[:, n - k])
-                alive = high >= (least[some] - slack[some])[:, None]
-                alive &= high > -np.inf
-                many = alive.sum(axis=1)
-                for row, q in enumerate(some.tolist()):
-                    if upper is None or many[row] <= RESOLVE * k:
-                        out[q] = self._resolve(np.flatnonzero(alive[row]), queries[q], k)
-                    else:
-                        left.append(q)
-            open_ = np.array(left, np.int64)
+        out: list = []
+        for i in range(0, len(w), BATCH):
+            some = np.arange(i, min(i + BATCH, len(w)))
+            lows, highs = self.bounds(w[some], STAGES[0])
+            own = self._selves(query_ids[some])
+            lows[own] = highs[own] = -np.inf
+            if n > k:
+                least[some] = np.maximum(least[some], np.partition(lows, n - k, axis=1)[:, n - k])
+            for q, low, high in zip(some.tolist(), lows, highs):
+                alive = np.flatnonzero((high >= least[q] - slack[q]) & (high > -np.inf))
+                low, share = low[alive], STAGES[0]
+                for following in STAGES[1:]:
+                    if len(alive) <= RESOLVE * k:
+                        break
+                    low, high = self.advance(w[q], alive, low, share, following)
+                    share = following
+                    # the k-th lower bound of those alive holds for all, as the k best of all are among them
+                    least[q] = max(least[q], np.partition(low, len(low) - k)[len(low) - k])
+                    keep = high >= least[q] - slack[q]
+                    alive, low = alive[keep], low[keep]
+                if stopped is not None:
+                    stopped.append((share if len(alive) <= RESOLVE * k else 1.0, len(alive)))
+                out.append(self._resolve(alive, queries[q], k))
         return out
 
     def _resolve(self, who: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

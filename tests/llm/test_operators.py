@@ -501,9 +501,32 @@ def test_reading_stops_early_and_stays_exact():
     floors = np.array([float(-w[4][0]) for w in want])
     for (who, scores), w, floor in zip(lists.top(ids, queries, 10, floors), want, floors):
         assert list(zip((-scores).tolist(), who.tolist()))[: sum(-s >= floor for s, _ in w)] == [x for x in w if -x[0] >= floor]
-    alive = lists.read(0.75)[1]
-    weights = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1)
-    assert (weights @ alive.T >= queries @ values.T).all() and (weights @ lists.read(0.75)[0].T <= queries @ values.T).all()
+    for share in (0.1, 0.75):
+        low, high = lists.bounds(queries.astype(float), share)
+        assert (low <= queries @ values.T).all() and (high >= queries @ values.T).all()
+    low, high = lists.bounds(queries.astype(float), 0.9)
+    for q, weight in enumerate(queries.astype(float)):
+        some = np.arange(0, 3000, 7)
+        on = lists.advance(weight, some, lists.bounds(weight[None], 0.6)[0][0][some], 0.6, 0.9)
+        assert np.allclose(on[0], low[q][some]) and np.allclose(on[1], high[q][some])
+
+
+def test_queries_stop_by_their_bounds():
+    """On vectors of 64 independent dimensions no query reads its lists to the end, and few candidates are completed."""
+    r = np.random.default_rng(11)
+    values = np.floor(1024 * r.standard_normal((3000, 64)) / 8).astype(np.int64)
+    ids, stopped = np.arange(3000), []
+    got = nra_topk.Lists(ids, values).top(ids[::100], values[::100], 10, None, stopped)
+    for q, (who, scores) in zip(ids[::100], got):
+        exact = values @ values[q]
+        want = sorted((i for i in ids if i != q), key=lambda i: (-exact[i], i))[:10]
+        assert who.tolist() == want and scores.tolist() == exact[want].tolist()
+    assert max(share for share, _ in stopped) <= nra_topk.STAGES[-1] and max(n for _, n in stopped) <= nra_topk.RESOLVE * 10
+    # one dimension that outweighs all others is decided by the first stage
+    values[:, 0] *= 1000
+    stopped.clear()
+    nra_topk.Lists(ids, values).top(ids[:300:50], values[:300:50], 10, None, stopped)
+    assert {share for share, _ in stopped} == {nra_topk.STAGES[0]}
 
 
 def test_top_k_in_several_cells(spark, monkeypatch):
