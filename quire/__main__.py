@@ -89,7 +89,7 @@ def main(args: list[str]) -> int:
     parser.add_argument("--approve", action="store_true")
     a = parser.parse_args(args)
     spark = SparkSession.builder.appName("quire").getOrCreate()
-    found = files.profile(files.read_texts(spark, a.texts or a.inputs[0]), "book_id", F.col("content"))
+    found = files.profile(files.spread(files.read_texts(spark, a.texts or a.inputs[0])), "book_id", F.col("content"))
     texts = found.select("book_id", "text")
     if texts.where("text is null").count():
         return 2

@@ -177,8 +177,13 @@ def violations(built: DataFrame, books: DataFrame) -> list[DataFrame]:
     """All checks' violations; a report of them is constraints.report.
 
     built is what build_books yields and should be a table, as many checks read it. Books without rows, with null texts or
-    without pages are checked like others.
+    without pages are checked like others. An id that several books have is an error of its own, and these books are not checked
+    further, since no rule could tell their rows apart.
     """
+    twice = C.duplicates(books.select(F.col("book_id").cast("string").alias("book_id")), KEYS).select(*KEYS)
+    if not twice.isEmpty():
+        own = books.withColumn("book_id", F.col("book_id").cast("string")).join(twice, KEYS, "left_anti")
+        return [*violations(built.join(twice, KEYS, "left_anti"), own), C.violations(twice, "ids", "error", F.col("book_id"), F.lit("several books have this id"))]
     nodes, units, segments, noise, pages = (relation(built, k) for k in ("node", "unit", "segment", "noise", "page"))
     issues, occurrences, foreign, links = (relation(built, k) for k in ("issue", "occurrence", "foreign", "unit_issue"))
     of_unit, n = segments.where("kind = 'unit'"), sized(books)

@@ -14,6 +14,7 @@ from quire.functions import text as T
 from quire.operators import compare as D
 from quire.operators import constraints as C
 from quire.operators import discover as X
+from quire.operators import headings as E
 from quire.operators import knowledge as N
 from quire.operators import layout as L
 from quire.operators import matching as M
@@ -1006,6 +1007,30 @@ def chosen_headings(spark, sf_dir) -> DataFrame:
     return V.relation(built, "unit").select("book_id", "char_start", F.col("role").alias("stands"), "confidence")
 
 
+HEADINGS = ("the", "and", "of", "License", "in")
+LINED = "CASE doc_id % 4 WHEN 0 THEN replace(text, ' ', chr(10)) WHEN 1 THEN replace(replace(text, ' ', chr(10)), 'i', '7') WHEN 2 THEN replace(text, '. ', chr(10)) ELSE text END"
+
+
+@query(rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {LINED} AS text FROM documents WHERE text IS NOT NULL),
+q AS (SELECT doc_id, text, h.ordinal, h.heading, string_split(text, h.heading) AS b FROM d, (VALUES {", ".join(f"({i}, '{h}')" for i, h in enumerate(HEADINGS, 1))}) h(ordinal, heading)),
+k AS (SELECT *, unnest(range(1, len(b))) AS k FROM q),
+o AS (SELECT doc_id, ordinal, heading, text, (list_sum(list_transform(b[1:k], lambda x: length(x))) + length(heading) * (k - 1))::BIGINT AS s FROM k),
+r AS (SELECT doc_id, ordinal, s, s + length(heading) AS e, regexp_extract(substr(text, greatest(1, s - 999), least(s, 1000)), '[^\n]*$') AS before, regexp_extract(substr(text, s + length(heading) + 1, 1000), '^[^\n]*') AS after FROM o),
+g AS (SELECT doc_id, ordinal, s, e, CASE WHEN regexp_full_match(before || after, '{REST}') THEN 3 WHEN regexp_full_match(regexp_replace(before || after, '\p{{N}}+', '', 'g'), '{REST}') THEN 2 WHEN regexp_full_match(before, '{REST}') OR regexp_full_match(after, '{REST}') THEN 1 ELSE 0 END AS grade FROM r),
+a AS (SELECT doc_id, ordinal, list({{'g': grade, 's': s, 'e': e}}) AS spots FROM g GROUP BY ALL),
+w AS (SELECT doc_id, {len(HEADINGS) + 1}::BIGINT AS ordinal, 2147483647::BIGINT AS lim, NULL::STRUCT(g INT, s BIGINT, e BIGINT) AS best FROM d
+  UNION ALL SELECT doc_id, ordinal, coalesce(best.s, lim), best FROM (SELECT w.doc_id, w.ordinal - 1 AS ordinal, w.lim, list_max(list_filter(a.spots, lambda x: x.e <= w.lim)) AS best FROM w LEFT JOIN a ON a.doc_id = w.doc_id AND a.ordinal = w.ordinal - 1 WHERE w.ordinal > 1) x)
+SELECT doc_id, ordinal::INT AS ordinal, best.s::INT AS char_start, best.e::INT AS char_end, best.g::INT AS grade, CASE best.g WHEN 3 THEN 0.95 WHEN 2 THEN 0.85 ELSE 0.8 END::DOUBLE AS confidence FROM w WHERE best IS NOT NULL
+""")
+def heading_chain(spark, sf_dir) -> DataFrame:
+    """Several headings a document, each chosen from the last one back among its occurrences ahead of the next, by how they stand."""
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), F.expr(LINED.replace("chr(10)", "'\\n'")).alias("text"))
+    headings = docs.select("book_id", F.posexplode(F.array(*map(F.lit, HEADINGS))).alias("ordinal", "heading")).withColumn("ordinal", F.col("ordinal") + 1)
+    found = E.chosen(E.occurrences(docs, headings))
+    return found.select(F.col("book_id").alias("doc_id"), "ordinal", "char_start", "char_end", "grade", "confidence")
+
+
 @query("""
 WITH old AS (SELECT c_custkey AS id, c_name AS slug, 0::BIGINT AS v FROM customer WHERE c_custkey % 3 <> 0), new AS (SELECT c_name AS slug, c_custkey AS seq, (c_custkey * 10)::BIGINT AS v FROM customer WHERE c_custkey % 2 = 0),
 n AS (SELECT slug, v, row_number() OVER (ORDER BY slug) + (SELECT max(id) FROM old) AS fresh FROM new WHERE slug NOT IN (SELECT slug FROM old))

@@ -13,7 +13,10 @@ TXT_LINE = "char_start INT, char_end INT, page_index INT, line INT, score DOUBLE
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df dealt over at least as many parts as the session has tasks at once; a table with enough parts stays as it is."""
+    """df, the scan of a table, dealt over at least as many parts as the session has tasks at once; one with enough parts stays as it is.
+
+    Only for scans: their parts are known from the files, while those of other plans are known only by running them.
+    """
     at_once = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= at_once else df.repartition(at_once)
 
