@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions import text as T
+from quire.operators import spans
 from quire.operators.spans import clamp_rising
 
 #: n-gram size, sampling step on pages, and fewest hits of a match: fixed values.
@@ -96,6 +97,50 @@ def align(books: DataFrame, pages: DataFrame) -> DataFrame:
     return listed.join(places, "book_id").select("book_id", F.inline(F.transform("pages", page)))
 
 
+#: Fewest places of a cluster of hits, and confidence of a page with and without one: fixed values.
+CLUSTER, CLUSTERED, BETWEEN = 3, 0.9, 0.6
+
+
+def clusters(books: DataFrame, pages: DataFrame) -> DataFrame:
+    """(book_id, page_index, lo, hi, weight): runs of places in a book's packed text with hits of a page, not more than a gram apart."""
+    found = spans.runs_within(hits(books, pages), ["book_id", "page_index"], "p", GRAM + 1, [F.min("p").alias("lo"), F.max("p").alias("hi"), F.sum("n").alias("weight"), F.count("*").alias("_places")])
+    return found.where(F.col("_places") >= CLUSTER).select("book_id", "page_index", "lo", "hi", "weight")
+
+
+def align_clusters(books: DataFrame, pages: DataFrame) -> DataFrame:
+    """(book_id, page_index, char_start, char_end, evidence, confidence): pages placed by their heaviest cluster of hits ahead of the page before.
+
+    books(book_id, text), pages(book_id, page_index, text), as in align, whose windows this needs no page width for. In the order of
+    pages each takes the heaviest cluster that begins behind the one taken last, or else the heaviest of all, the first of equals; an aggregate over
+    the book's pages carries that place. Pages without clusters lie between their neighbours in proportion; starts do not fall.
+    Books without pages have no rows; null texts are empty.
+    """
+    ranked = clusters(books, pages).groupBy("book_id", "page_index").agg(F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("w"), F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi")))).alias("found"))
+    listed = pages.select("book_id", "page_index").join(ranked, ["book_id", "page_index"], "left").groupBy("book_id").agg(F.array_sort(F.collect_list(F.struct("page_index", "found"))).alias("pages"))
+    zero = F.struct(F.lit(0).alias("lower"), F.array().cast("array<int>").alias("at"))
+
+    def step(state: Column, page: Column) -> Column:
+        pick = F.coalesce(F.get(F.filter(page["found"], lambda c: c["lo"] >= state["lower"]), 0), F.get(page["found"], 0))
+        return F.struct(F.coalesce(F.greatest(state["lower"], pick["hi"] + 1), state["lower"]).alias("lower"), F.array_append(state["at"], pick["lo"]).alias("at"))
+
+    taken = listed.select("book_id", "pages", F.aggregate("pages", zero, step)["at"].alias("at"))
+    rows = taken.select("book_id", F.size("at").alias("n"), F.posexplode(F.arrays_zip(F.col("pages")["page_index"].alias("page_index"), F.col("at").alias("at"))).alias("k", "x"))
+    view = books.select("book_id", F.length(F.coalesce("text", F.lit(""))).alias("_end"), F.transform(T.with_offsets(F.coalesce("text", F.lit("")), T.PAGES), lambda x: x["p"]).alias("places"))
+    sized = rows.select("book_id", "n", "k", "x.page_index", "x.at").join(view.select("book_id", F.size("places").alias("total")), "book_id")
+    by = Window.partitionBy("book_id").orderBy("k")
+    known = sized.withColumn("start", F.when(F.col("k") == 0, F.coalesce("at", F.lit(0))).otherwise(F.col("at")))
+    mark = F.when(F.col("start").isNotNull(), F.struct("k", "start"))
+    known = known.withColumn("a", F.last(mark, ignorenulls=True).over(by)).withColumn("b", F.coalesce(F.first(mark, ignorenulls=True).over(by.rowsBetween(1, Window.unboundedFollowing)), F.struct(F.col("n").alias("k"), F.col("total").alias("start"))))
+    between = F.col("a.start") + F.bround((F.col("b.start") - F.col("a.start")) * (F.col("k") - F.col("a.k")) / (F.col("b.k") - F.col("a.k"))).cast("int")
+    rising = known.withColumn("start", F.max(F.coalesce("start", between)).over(by))
+    until = F.least("total", F.greatest(F.col("start") + 1, F.coalesce(F.lead("start").over(by), F.col("total"))))
+    packed = rising.withColumn("until", until).groupBy("book_id").agg(F.collect_list(F.struct("page_index", "start", "until", F.col("at").isNotNull().alias("sure"))).alias("pages"))
+    source = lambda c: F.coalesce(F.get("places", c), F.col("_end"))
+    evidence = lambda x: F.when(x["sure"], "text_layer_clusters").otherwise("interpolated")
+    page = lambda x: F.struct(x["page_index"].alias("page_index"), source(x["start"]).alias("char_start"), source(x["until"]).alias("char_end"), evidence(x).alias("evidence"), F.when(x["sure"], CLUSTERED).otherwise(BETWEEN).alias("confidence"))
+    return packed.join(view, "book_id").select("book_id", F.inline(F.transform("pages", page)))
+
+
 #: Reach of a mark, and confidence of a page start by evidence: fixed values.
 SNAP, CONFIRMED, LAYOUT_ONLY, WEAK, FIRST = 250, 0.85, 0.75, 0.6, 0.9
 

@@ -1031,6 +1031,34 @@ def heading_chain(spark, sf_dir) -> DataFrame:
     return found.select(F.col("book_id").alias("doc_id"), "ordinal", "char_start", "char_end", "grade", "confidence")
 
 
+@query(r"""
+WITH RECURSIVE b AS (SELECT item_id, text, length(text) AS n, list_filter(range(length(text)), lambda x: NOT regexp_matches(substr(text, x::INT + 1, 1), '\s')) AS src FROM benchmark),
+k AS (SELECT *, len(src) AS total, array_to_string(list_transform(src, lambda x: substr(text, x::INT + 1, 1)), '') AS pack FROM b),
+g AS (SELECT item_id, p, substr(pack, p::INT + 1, 5) AS gram FROM (SELECT item_id, pack, unnest(range(length(pack) - 4)) AS p FROM k) x),
+q AS (SELECT item_id, page, regexp_replace(substr(text, (CASE page WHEN 1 THEN 0 WHEN 2 THEN 2 ELSE item_id % 2 END * (n // 3))::INT + 1, (n // 3)::INT), '\s', '', 'g') AS own FROM b, range(1, 4) y(page)),
+a AS (SELECT item_id, page, substr(own, p::INT + 1, 5) AS gram FROM (SELECT item_id, page, own, unnest(range(0, length(own) - 4, 3)) AS p FROM q) x),
+h AS (SELECT item_id, page, p, count(*) AS m FROM a JOIN g USING (item_id, gram) GROUP BY ALL),
+r AS (SELECT *, sum(fresh) OVER (PARTITION BY item_id, page ORDER BY p) AS run FROM (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY item_id, page ORDER BY p) <= 5 THEN 0 ELSE 1 END AS fresh FROM h) x),
+c AS (SELECT item_id, page, list_sort(list({'w': -m, 'lo': lo, 'hi': hi})) AS found FROM (SELECT item_id, page, sum(m)::BIGINT AS m, min(p) AS lo, max(p) AS hi FROM r GROUP BY item_id, page, run HAVING count(*) >= 3) x GROUP BY ALL),
+w AS (SELECT item_id, 0::BIGINT AS page, 0::BIGINT AS lower, NULL::BIGINT AS lo FROM k
+  UNION ALL SELECT item_id, page, greatest(lower, coalesce(pick.hi + 1, lower)), pick.lo FROM (SELECT w.item_id, w.page + 1 AS page, w.lower, coalesce(list_filter(found, lambda x: x.lo >= w.lower)[1], found[1]) AS pick FROM w LEFT JOIN c ON c.item_id = w.item_id AND c.page = w.page + 1 WHERE w.page < 3) x),
+s AS (SELECT w.item_id, w.page, lo, total, CASE WHEN w.page = 1 THEN coalesce(lo, 0) ELSE lo END AS st FROM w JOIN k USING (item_id) WHERE w.page > 0),
+t AS (SELECT *, last_value(CASE WHEN st IS NOT NULL THEN page END IGNORE NULLS) OVER v AS ap, last_value(st IGNORE NULLS) OVER v AS ast, coalesce(first_value(CASE WHEN st IS NOT NULL THEN page END IGNORE NULLS) OVER f, 4) AS bp, coalesce(first_value(st IGNORE NULLS) OVER f, total) AS bst FROM s
+  WINDOW v AS (PARTITION BY item_id ORDER BY page), f AS (PARTITION BY item_id ORDER BY page ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+z AS (SELECT item_id, page, lo, total, max(coalesce(st, ast + round_even((bst - ast) * (page - ap) / (bp - ap), 0)::BIGINT)) OVER (PARTITION BY item_id ORDER BY page) AS st FROM t),
+y AS (SELECT *, least(total, greatest(st + 1, coalesce(lead(st) OVER (PARTITION BY item_id ORDER BY page), total))) AS un FROM z)
+SELECT item_id::VARCHAR AS book_id, page::INT AS page_index, coalesce(src[st + 1], n)::INT AS char_start, coalesce(src[un + 1], n)::INT AS char_end, CASE WHEN lo IS NULL THEN 'interpolated' ELSE 'text_layer_clusters' END AS evidence, CASE WHEN lo IS NULL THEN 0.6 ELSE 0.9 END::DOUBLE AS confidence
+FROM y JOIN k USING (item_id)
+""")
+def cluster_alignment(spark, sf_dir) -> DataFrame:
+    """Thirds of every passage out of order, placed by their heaviest clusters of hits."""
+    items = read(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("book_id"), "text", (F.col("item_id") % 2).cast("int").alias("odd"))
+    third = F.floor(F.length("text") / 3).cast("int")
+    part = lambda i, k: F.struct(F.lit(i).alias("page_index"), F.substr("text", k * third + 1, third).alias("text"))
+    pages = items.select("book_id", F.explode(F.array(part(1, F.lit(0)), part(2, F.lit(2)), part(3, F.col("odd")))).alias("p")).select("book_id", "p.page_index", "p.text")
+    return P.align_clusters(items, pages)
+
+
 @query("""
 WITH old AS (SELECT c_custkey AS id, c_name AS slug, 0::BIGINT AS v FROM customer WHERE c_custkey % 3 <> 0), new AS (SELECT c_name AS slug, c_custkey AS seq, (c_custkey * 10)::BIGINT AS v FROM customer WHERE c_custkey % 2 = 0),
 n AS (SELECT slug, v, row_number() OVER (ORDER BY slug) + (SELECT max(id) FROM old) AS fresh FROM new WHERE slug NOT IN (SELECT slug FROM old))
