@@ -193,7 +193,9 @@ class _Ranges:
                 for _, keys in self.of(b):
                     yield pa.record_batch([pa.array([keys[:: max(1, len(keys) // KEYS)][:KEYS].tobytes()], pa.binary())], ["keys"])
 
-        few = lots.orderBy(F.xxhash64("lot")).limit(SAMPLED).mapInArrow(some, "keys binary").collect()
+        # the lots are chosen by their numbers alone, so that no task gathers their contents
+        chosen = [r[0] for r in lots.select("lot").orderBy(F.xxhash64("lot")).limit(SAMPLED).collect()]
+        few = lots.where(F.col("lot").isin(chosen)).mapInArrow(some, "keys binary").collect()
         keys = np.sort(self._ordered(np.concatenate([self.rows(r["keys"]) for r in few] or [self.rows(b"")])))
         self.limits = np.unique(keys[[len(keys) * i // ranges for i in range(1, ranges)]]) if len(keys) else keys
 
