@@ -69,14 +69,9 @@ def _check(spark: SparkSession, built: DataFrame, pieces: DataFrame, folder: str
     types = spark.createDataFrame([(t["id"],) for t in config.get("types", []) if "id" in t] or [("",)], "type string")
     checked = scratch.written(knowledge.check_objects(objects, pieces, types), "checked")
     accepted = scratch.written(knowledge.accept(checked, units), "accepted")
-    rejected = checked.where(F.size("reasons") > 0).select("unit_id", "object", "reasons").unionByName(gated.where(F.size("reasons") > 0).select("unit_id", F.lit(None).cast("int").alias("object"), "reasons"))
-    evidence = objects.select("unit_id", "object", F.posexplode("evidence").alias("k", "e")).select("unit_id", "object", "k", "e.piece", "e.quote")
-    parts = knowledge.quoted_parts(evidence, pieces).groupBy("unit_id", "object").agg(F.array_sort(F.collect_list(F.struct("k", "char_start", "char_end", "role", "page"))).alias("evidence"))
-    whole = accepted.join(parts, ["unit_id", "object"], "left")
-    listed = lambda rows, name: rows.agg(F.array_sort(F.collect_list(F.struct(*rows.columns))).alias(name))
-    content = listed(whole, "objects").crossJoin(listed(rejected, "rejected")).select(F.to_json(F.struct(F.lit(knowledge.PROMPT_VERSION).alias("prompt_version"), "objects", "rejected")).alias("content"))
-    outputs.write_named(content.withColumn("name", F.lit("knowledge_objects.json")), out, ())
-    return int(not rejected.isEmpty())
+    found = scratch.written(knowledge.outcome(gated, checked, accepted, pieces), "outcome")
+    outputs.write_named(knowledge.outcome_file(found), out, ())
+    return int(not found.where(F.size("rejected") > 0).isEmpty())
 
 
 def main(args: list[str]) -> int:

@@ -110,3 +110,49 @@ def accept(checked: DataFrame, sheets: DataFrame) -> DataFrame:
     marked = R.repeats(good, ["unit_id"], ["said"], ["object"]).join(sheets.select("unit_id", F.col("confidence").alias("_sheet")), "unit_id", "left")
     number = F.format_string("ko_%s_%02d", F.col("unit_id"), F.row_number().over(order))
     return marked.select(number.alias("id"), "unit_id", "object", "statement", R.least_confidence(base, F.col("_sheet")).alias("confidence"), "repeat")
+
+
+#: What accepted objects are until someone has read them: a fixed value.
+STATUS = "experimental"
+
+
+def outcome(gated: DataFrame, checked: DataFrame, accepted: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(unit_id, info, objects, rejected): what became of every unit's draft, as the fields of knowledge_objects.json.
+
+    gated, checked and accepted are of draft_reasons, check_objects and accept. info counts what was accepted and rejected (a draft
+    that fails as a whole rejects all its objects, or itself if it has none; a missing or unreadable one has none) and has the reason for no knowledge.
+    Evidence has its quote's parts in the source and the first and last place and page. Units are rows, so no task sees them all.
+    """
+    own = gated.where(F.size("reasons") == 0).select("unit_id", F.col("draft.model_used").alias("model_used"), F.posexplode("draft.objects").alias("object", "o"))
+    quotes = own.select("unit_id", "object", F.posexplode("o.evidence").alias("k", "e")).select("unit_id", "object", "k", "e.piece", "e.quote")
+    part = F.struct("char_start", "char_end", "role", "page")
+    parts = quoted_parts(quotes, pieces).groupBy("unit_id", "object", "k").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    first, last = F.col("parts")[0], F.element_at("parts", -1)
+    one = F.struct("piece", "quote", first["char_start"].alias("char_start"), last["char_end"].alias("char_end"), first["role"].alias("role"), first["page"].alias("page"), last["page"].alias("page_end"), "parts")
+    evidence = quotes.join(parts, ["unit_id", "object", "k"], "left").groupBy("unit_id", "object").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", one.alias("x")))), lambda e: e["x"]).alias("evidence"))
+    good = accepted.join(own, ["unit_id", "object"]).join(evidence, ["unit_id", "object"], "left")
+    warnings = F.when(F.col("repeat"), F.array(F.lit("W_DUPLICATE"))).otherwise(F.array().cast("array<string>"))
+    said = F.struct(
+        "id", "unit_id", F.col("o.type").alias("type"), F.trim("statement").alias("statement"), F.col("o.said_by").alias("said_by"), F.col("o.basis").alias("basis"), F.when(F.col("o.basis") == "inferred", F.col("o.inference_reason")).alias("inference_reason"),
+        "evidence", "confidence", "model_used", F.lit(PROMPT_VERSION).alias("prompt_version"), F.lit(STATUS).alias("status"), warnings.alias("warnings"),
+    )
+    objects = good.groupBy("unit_id").agg(F.array_sort(F.collect_list(F.struct("object", said.alias("x")))).alias("objects"))
+    failed = checked.where(F.size("reasons") > 0).select("unit_id", "object", "statement", "reasons")
+    whole = gated.where(F.size("reasons") > 0).select("unit_id", F.lit(None).cast("int").alias("object"), F.lit(None).cast("string").alias("statement"), "reasons")
+    rejected = failed.unionByName(whole).groupBy("unit_id").agg(F.array_sort(F.collect_list(F.struct("object", "unit_id", "statement", "reasons"))).alias("rejected"))
+    rows = gated.join(objects, "unit_id", "left").join(rejected, "unit_id", "left")
+    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+    unread = F.arrays_overlap("reasons", F.array(F.lit("E_NO_SHEET"), F.lit("E_MISSING_DRAFT"), F.lit("E_JSON")))
+    lost = F.when(F.size("reasons") == 0, size("rejected")).when(unread, 0).otherwise(F.greatest(F.col("n_objects"), F.lit(1)))
+    info = F.struct(size("objects").alias("accepted"), lost.alias("rejected"), F.when(F.size("reasons") == 0, F.col("draft.no_knowledge_reason")).alias("no_knowledge_reason"))
+    return rows.select("unit_id", info.alias("info"), F.transform(F.coalesce("objects", F.array().cast(objects.schema["objects"].dataType)), lambda x: x["x"]).alias("objects"), F.coalesce("rejected", F.array().cast(rejected.schema["rejected"].dataType)).alias("rejected"))
+
+
+def outcome_file(found: DataFrame) -> DataFrame:
+    """(name, content): knowledge_objects.json of one book's units, which are few enough for one file."""
+    listed = F.array_sort(F.collect_list(F.struct("unit_id", "info", "objects", "rejected"))).alias("units")
+    units = found.agg(listed)
+    of = lambda c: F.flatten(F.transform("units", lambda u: u[c])).alias(c)
+    per_unit = F.map_from_entries(F.transform("units", lambda u: F.struct(u["unit_id"], u["info"]))).alias("per_unit")
+    body = F.struct(F.lit(PROMPT_VERSION).alias("prompt_version"), F.transform("units", lambda u: u["unit_id"]).alias("units_checked"), per_unit, of("objects"), of("rejected"))
+    return units.select(F.lit("knowledge_objects.json").alias("name"), F.to_json(body).alias("content"))

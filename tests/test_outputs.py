@@ -252,7 +252,8 @@ def test_command_line(spark, tmp_path, capsys):
     units = json.loads((tmp_path / "out" / "book" / "units.json").read_text(encoding="utf-8"))["units"]
     assert [u["id"] for u in units] == ["unit_001", "unit_002"] and units[0]["segments"][-1]["placement"] == "displaced"
     assert cli.main(["validate", texts, *common, "--out", out]) == 0
-    assert json.loads((tmp_path / "out" / "validation_report.json").read_text())["status"] == "pass"
+    report = json.loads((tmp_path / "out" / "validation_report.json").read_text())
+    assert report["status"] == "pass" and report["stats"]["book"]["units"] == 2 and report["stats"]["book"]["source_length_chars"] == len(text)
     assert cli.main(["prepare", texts, *common, "--units", "unit_001", "--out", out]) == 0
     assert (tmp_path / "out" / "book" / "unit_001.md").exists() and not (tmp_path / "out" / "book" / "unit_002.md").exists()
     assert cli.main(["prepare", texts, *common, "--units", "unit_077", "--out", out]) == 2
@@ -265,6 +266,12 @@ def test_command_line(spark, tmp_path, capsys):
     result = json.loads((tmp_path / "out" / "knowledge_objects.json").read_text(encoding="utf-8"))
     assert [o["id"] for o in result["objects"]] == ["ko_unit_001_01"] and text[result["objects"][0]["evidence"][0]["char_start"] :].startswith("كلام طويل عن الصبر")
     assert [(r["unit_id"], r["object"], r["reasons"]) for r in result["rejected"]] == [("unit_002", 0, ["E_QUOTE_NOT_FOUND"]), ("unit_002", 1, ["E_BASIS", "E_QUOTE_NOT_FOUND"])]
+    one = result["objects"][0]
+    assert (one["type"], one["said_by"], one["model_used"], one["prompt_version"], one["status"], one["warnings"]) == ("belief", {"kind": "author"}, "m", "ke-v1", "experimental", [])
+    assert set(one["evidence"][0]) == {"piece", "quote", "char_start", "char_end", "role", "page", "page_end", "parts"} and one["evidence"][0]["parts"][0]["char_start"] == one["evidence"][0]["char_start"]
+    assert result["units_checked"] == ["unit_001", "unit_002"] and {k: (v["accepted"], v["rejected"]) for k, v in result["per_unit"].items()} == {"unit_001": (1, 0), "unit_002": (0, 2)}
+    assert cli.main(["prepare", texts, "--build", out, "--units", "unit_002", "--out", str(tmp_path / "again")]) == 0
+    assert (tmp_path / "again" / "book" / "unit_002.md").exists()
     stored = str(tmp_path / "stored")
     assert cli.main(["diff", texts, *common, "--against", stored, "--approve"]) == 0
     assert cli.main(["diff", texts, *common, "--against", stored]) == 0
