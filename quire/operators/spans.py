@@ -6,23 +6,39 @@ equi-join and windows are partitioned. Starts are inclusive, ends exclusive.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from quire.sources import scratch
 
 
 def line_table(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, line_no, char_start, char_end, line): lines split at LF, the LF left out; null texts have none, rows that repeat a key have theirs each."""
-    rows = docs.select(key, F.monotonically_increasing_id().alias("_row"), F.col(text).alias("_text"))
-    lines = rows.select(key, "_row", F.posexplode(F.split("_text", "\n")).alias("line_no", "line"))
-    order = Window.partitionBy("_row").orderBy("line_no")
-    sized = lines.withColumn("size", F.length("line"))
-    start = F.sum(F.col("size") + 1).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size") - 1
-    return sized.select(key, "line_no", start.cast("int").alias("char_start"), (start + F.col("size")).cast("int").alias("char_end"), "line")
+    """(key, line_no, char_start, char_end, line): lines split at LF, the LF left out; null texts have none, rows that repeat a key have theirs each.
+
+    Lines, lengths and their running sums come from whole columns of a batch where the texts stand, so that nothing is shuffled.
+    """
+    rows = docs.select(key, F.col(text).cast("string").alias("_text")).where("_text is not null")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = pc.split_pattern(b.column(1), "\n")
+            lines, row = lists.flatten(), pc.list_parent_indices(lists)
+            size = pc.utf8_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
+            first = np.searchsorted(row.to_numpy(), np.arange(b.num_rows))[row.to_numpy()]
+            upto = np.cumsum(size + 1) - size - 1
+            start = upto - upto[first] if len(upto) else upto
+            ints = [pa.array(x.astype(np.int32)) for x in (np.arange(len(size)) - first, start, start + size)]
+            yield pa.record_batch([b.column(0).take(row), *ints, lines], [key, "line_no", "char_start", "char_end", "line"])
+
+    ints = [StructField(n, IntegerType()) for n in ("line_no", "char_start", "char_end")]
+    return rows.mapInArrow(cut, StructType([StructField(key, docs.schema[key].dataType), *ints, StructField("line", StringType())]))
 
 
 def runs(rows: DataFrame, keys: list[str], order: list[str], label: str, aggregates: list[Column]) -> DataFrame:
