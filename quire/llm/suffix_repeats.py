@@ -388,11 +388,28 @@ def _groups(t: pa.Table, length: int, every: bool) -> tuple[np.ndarray, ...]:
 
     Without every, only places in documents after the smallest, and of these one per reach.
     """
-    texts = t["strings"].combine_chunks().flatten() if len(t) else pa.array([], pa.binary())
-    raw = b"".join(texts.to_pylist())
-    body = np.frombuffer(raw, np.uint8)
-    sizes = np.fromiter((len(x.as_buffer()) for x in texts), np.int64, len(texts))
+    texts = t["strings"].combine_chunks().flatten().to_pylist()
     ids = t["least"].combine_chunks().flatten().to_numpy()
+    if every:
+        return _repeats(texts, ids, length, True)
+    # equal strings of several lots are one, with the smallest id; in lots with greater ones the whole string goes
+    known: dict[bytes, int] = {}
+    one = np.array([known.setdefault(x, len(known)) for x in texts], np.int64)
+    least = np.full(len(known), np.iinfo(np.int64).max)
+    np.minimum.at(least, one, ids)
+    first = np.flatnonzero(ids == least[one])
+    late = np.flatnonzero(ids > least[one])
+    string, offset, size, small, _ = _repeats(list(known), least, length, False)
+    place, answer = _expanded(one[first], string)
+    whole = np.fromiter((len(texts[i]) for i in late.tolist()), np.int64, len(late))
+    return np.concatenate([first[place], late]), np.concatenate([offset[answer], np.zeros(len(late), np.int64)]), np.concatenate([size[answer], whole]), np.concatenate([small[answer], least[one[late]]]), []
+
+
+def _repeats(texts: list[bytes], ids: np.ndarray, length: int, every: bool) -> tuple[np.ndarray, ...]:
+    """What _groups gives, of strings that all count."""
+    raw = b"".join(texts)
+    body = np.frombuffer(raw, np.uint8)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(sizes)
     windows = np.minimum(sizes - length + 1, STRING)
     string = np.repeat(np.arange(len(sizes)), windows)
