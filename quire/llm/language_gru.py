@@ -279,7 +279,10 @@ def keep_known(docs: DataFrame, net: Network) -> DataFrame:
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A language per document; a null doc_id has a null held_out, a null or letterless text und and 0."""
+    """A language per document; a null doc_id has a null held_out, a null or letterless text und and 0.
+
+    Texts of any length are read whole, in stretches; equal probabilities go to the first language by name.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = identify(docs.select("doc_id", "text"), train(docs))
     return found.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "language.lang_pred", "language.score")

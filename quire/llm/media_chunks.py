@@ -271,4 +271,5 @@ def read_media(stored: dict[str, DataFrame]) -> DataFrame:
 
 
 def op1_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's media stored and read back, as store and read_media state it; a text of any length is one payload."""
     return read_media(store(table(spark, sf_dir, "documents")))

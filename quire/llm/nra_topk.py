@@ -207,6 +207,7 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = 100, id_column: str =
 
 
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of every hundredth vector among all others, as top_k states it: equal scores go by the smaller id."""
     return top_k(table(spark, sf_dir, "embeddings"))
 
 

@@ -124,7 +124,7 @@ def keep_quality(docs: DataFrame, weights: np.ndarray, at_least: float = 0.5) ->
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A score per document. Nulls in doc_id give a null held_out; empty and null texts get the bias alone."""
+    """A score per document. Nulls in doc_id give a null held_out; empty and null texts get the bias alone, texts of any length all their words; a score of just 0.5 is a 1."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = train(docs, table(spark, sf_dir, "labels"))
     out = scores(docs, weights)

@@ -197,5 +197,6 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, id_column: str = "doc_id", t
 
 
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fingerprint and a component per document, as classes states it; a text of any length is one row's work."""
     found = classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -580,12 +580,15 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, i
                 stops = stops[np.searchsorted(stops, starts, side="right")]
                 raw = lot.body.tobytes()
                 rows = np.searchsorted(starts, np.concatenate([lot.begins, [n]]))
+                whole, left, removed = [], [], []
                 for i in range(len(lot.ends)):
                     x, y = int(lot.begins[i]), int(lot.ends[i])
                     some = slice(int(rows[i]), int(np.searchsorted(starts, y)))
                     runs = [{"start": int(s) - x, "end": int(e) - x} for s, e in zip(starts[some], stops[some])] if y > x else []
-                    kept = lot.body[x:y][~gone[x:y]].tobytes() if runs else raw[x:y]
-                    yield pa.record_batch([pa.array([int(lot.ids[i]) if lot.known[i] else None], pa.int64()), pa.array([raw[x:y]], pa.binary()), pa.array([kept], pa.binary()), pa.array([runs], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["doc_id", "text", "kept", "removed"])
+                    whole.append(raw[x:y])
+                    left.append(lot.body[x:y][~gone[x:y]].tobytes() if runs else raw[x:y])
+                    removed.append(runs)
+                yield pa.record_batch([pa.array(lot.ids, pa.int64(), mask=~lot.known), pa.array(whole, pa.binary()), pa.array(left, pa.binary()), pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["doc_id", "text", "kept", "removed"])
 
     own = sent.where("bucket is null").select("lot", F.col("entry").alias("own"), "begin", "end", "least")
     met = owned.join(own, "lot", "left").join(found, "lot", "left")

@@ -179,4 +179,5 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, i
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document, as token_counts states it."""
     return token_counts(table(spark, sf_dir, "documents"))

@@ -204,6 +204,7 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES, id_column: str
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page's url, as judge_urls states it, with LISTED as listed domains."""
     listed = spark.createDataFrame([(d,) for d in LISTED], "domain string")
     return judge_urls(table(spark, sf_dir, "pages"), listed)
 
