@@ -107,10 +107,6 @@ def digits_beside(line: Column, start: Column, end: Column) -> Column:
     return F.filter(matches_with_offsets(line, "[0-9٠-٩۰-۹]+"), lambda m: (m["char_end"] <= start) | (m["char_start"] >= end))
 
 
-def has_marks(text: Column) -> Column:
-    return text.rlike(f"[{MARKS}]")
-
-
 def count_of(text: Column, chars: str) -> Column:
     """How many characters of a class a text has."""
     return F.length(text) - F.length(F.regexp_replace(text, f"[{chars}]", ""))

@@ -36,11 +36,6 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     return child.where(F.col(child_key).isNotNull()).join(known, F.col(child_key) == F.col("_known"), "left_anti")
 
 
-def missing(rows: DataFrame, required: list[str]) -> DataFrame:
-    """Rows that lack required fields, named in lacks."""
-    return rows.withColumn("lacks", F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))).where(F.size("lacks") > 0)
-
-
 def outside(rows: DataFrame, start: str, end: str, length: str) -> DataFrame:
     """Spans that break 0 <= start < end <= length, or have a null bound."""
     good = (F.col(start) >= 0) & (F.col(start) < F.col(end)) & (F.col(end) <= F.col(length))

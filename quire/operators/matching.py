@@ -60,16 +60,6 @@ def quote_places(texts: DataFrame, quotes: DataFrame, text_key: str, quote_key:
     return both.withColumn("char_start", place).where("char_start >= 0").select(text_key, quote_key, "char_start", (F.col("char_start") + F.length(quote)).alias("char_end"))
 
 
-def multiset_similarity(left: DataFrame, right: DataFrame, left_key: str, right_key: str, item: str, n: str = "n") -> DataFrame:
-    """Common items of two multisets (rows of key, item, n): (left_key, right_key, common, score = common / left's size, cover = common / right's size)."""
-    size_a = left.groupBy(left_key).agg(F.sum(n).alias("size_a"))
-    size_b = right.groupBy(right_key).agg(F.sum(n).alias("size_b"))
-    a, b = left.select(left_key, item, F.col(n).alias("na")), right.select(right_key, item, F.col(n).alias("nb"))
-    common = a.join(b, item).groupBy(left_key, right_key).agg(F.sum(F.least("na", "nb")).alias("common"))
-    sized = common.join(size_a, left_key).join(size_b, right_key)
-    return sized.select(left_key, right_key, "common", (F.col("common") / F.col("size_a")).alias("score"), (F.col("common") / F.col("size_b")).alias("cover"))
-
-
 def best_of(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each group in a total order."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")

@@ -27,10 +27,10 @@ def packed_grams(packed: Column, step: int) -> Column:
     return F.when(n >= 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(0)), F.lit(step)), lambda i: F.struct(i.alias("p"), F.substr(packed, i + 1, F.lit(GRAM)).alias("gram"))))
 
 
-def hits(books: DataFrame, pages: DataFrame) -> DataFrame:
+def hits(books: DataFrame, pages: DataFrame, normal: T.Normalizer = T.PAGES) -> DataFrame:
     """(book_id, page_index, p, n): how often a page's sampled n-grams occur at each place of its book's packed text."""
-    text = books.select("book_id", T.PAGES.apply(F.col("text")).alias("packed")).select("book_id", F.explode(packed_grams(F.col("packed"), 1)).alias("g")).select("book_id", "g.p", "g.gram")
-    asked = pages.select("book_id", "page_index", T.PAGES.apply(F.col("text")).alias("packed")).select("book_id", "page_index", F.explode(packed_grams(F.col("packed"), STEP)).alias("g")).select("book_id", "page_index", "g.gram")
+    text = books.select("book_id", normal.apply(F.col("text")).alias("packed")).select("book_id", F.explode(packed_grams(F.col("packed"), 1)).alias("g")).select("book_id", "g.p", "g.gram")
+    asked = pages.select("book_id", "page_index", normal.apply(F.col("text")).alias("packed")).select("book_id", "page_index", F.explode(packed_grams(F.col("packed"), STEP)).alias("g")).select("book_id", "page_index", "g.gram")
     asked = asked.groupBy("book_id", "page_index", "gram").agg(F.count("*").alias("m"))
     return asked.join(text, ["book_id", "gram"]).groupBy("book_id", "page_index", "p").agg(F.sum("m").alias("n"))
 
@@ -103,7 +103,7 @@ CLUSTER, CLUSTERED, BETWEEN = 3, 0.9, 0.6
 
 def clusters(books: DataFrame, pages: DataFrame) -> DataFrame:
     """(book_id, page_index, lo, hi, weight): runs of places in a book's packed text with hits of a page, not more than a gram apart."""
-    found = spans.runs_within(hits(books, pages), ["book_id", "page_index"], "p", GRAM + 1, [F.min("p").alias("lo"), F.max("p").alias("hi"), F.sum("n").alias("weight"), F.count("*").alias("_places")])
+    found = spans.runs_within(hits(books, pages, T.LEGACY), ["book_id", "page_index"], "p", GRAM + 1, [F.min("p").alias("lo"), F.max("p").alias("hi"), F.sum("n").alias("weight"), F.count("*").alias("_places")])
     return found.where(F.col("_places") >= CLUSTER).select("book_id", "page_index", "lo", "hi", "weight")
 
 
@@ -125,7 +125,7 @@ def align_clusters(books: DataFrame, pages: DataFrame) -> DataFrame:
 
     taken = listed.select("book_id", "pages", F.aggregate("pages", zero, step)["at"].alias("at"))
     rows = taken.select("book_id", F.size("at").alias("n"), F.posexplode(F.arrays_zip(F.col("pages")["page_index"].alias("page_index"), F.col("at").alias("at"))).alias("k", "x"))
-    view = books.select("book_id", F.length(F.coalesce("text", F.lit(""))).alias("_end"), F.transform(T.with_offsets(F.coalesce("text", F.lit("")), T.PAGES), lambda x: x["p"]).alias("places"))
+    view = books.select("book_id", F.length(F.coalesce("text", F.lit(""))).alias("_end"), F.transform(T.with_offsets(F.coalesce("text", F.lit("")), T.LEGACY), lambda x: x["p"]).alias("places"))
     sized = rows.select("book_id", "n", "k", "x.page_index", "x.at").join(view.select("book_id", F.size("places").alias("total")), "book_id")
     by = Window.partitionBy("book_id").orderBy("k")
     known = sized.withColumn("start", F.when(F.col("k") == 0, F.coalesce("at", F.lit(0))).otherwise(F.col("at")))
