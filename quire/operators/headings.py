@@ -29,7 +29,7 @@ def occurrences(books: DataFrame, headings: DataFrame) -> DataFrame:
     parts = asked.select("book_id", "ordinal", "_row", F.length("heading").alias("_n"), F.posexplode(F.split("text", quoted)).alias("_k", "_part"))
     # of a part only its ends on the lines of the headings around it move on; what stands for a heading there is no white space
     has_line = F.contains("_part", F.lit("\n"))
-    tail, head = F.regexp_extract("_part", r"[^\n]*\z", 0), F.regexp_extract("_part", r"\A[^\n]*", 0)
+    tail, head = F.substring_index("_part", "\n", -1), F.substring_index("_part", "\n", 1)
     ends = parts.select("book_id", "ordinal", "_row", "_n", "_k", F.length("_part").alias("_size"), F.when(has_line | (F.col("_k") == 0), tail).otherwise(F.concat(F.lit("x"), "_part")).alias("_tail"), head.alias("_head"), has_line.alias("_line"))
     by = Window.partitionBy("_row").orderBy("_k")
     start = F.sum(F.col("_size") + F.col("_n")).over(by.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
