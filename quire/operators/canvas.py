@@ -6,6 +6,7 @@ changes of label, and lookups are bisections.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -31,11 +32,18 @@ def _ranges(chars: str) -> Iterator[int]:
 DROPPED, SPACE = np.zeros(1 << 16, bool), np.zeros(1 << 16, bool)
 DROPPED[list(_ranges(T.ENGINE.drop))] = True
 SPACE[[c for c in range(1 << 16) if chr(c).isspace()]] = True
+#: The view's character by code point: white space as a space, letters and digits folded.
+VIEW = np.arange(1 << 16, dtype="<u4")
+VIEW[list(FOLD)] = list(FOLD.values())
+VIEW[SPACE] = 32
+_DROP, _CHANGED = re.compile(f"[{T.ENGINE.drop}]"), re.compile(f"[{T.ENGINE.drop}{T.LETTERS_FROM}{T.DIGITS_FROM}]")
 
 
 def normal(text: str) -> str:
     """A needle in the form of the view: marks dropped, letters and digits folded, one space between words."""
-    return " ".join("".join(c for c in text.translate(FOLD) if ord(c) >> 16 or not DROPPED[ord(c)]).split())
+    if not text.isascii() and _CHANGED.search(text):
+        text = _DROP.sub("", text.translate(FOLD))
+    return " ".join(text.split())
 
 
 class Reading:
@@ -44,13 +52,14 @@ class Reading:
     def __init__(self, text: str):
         self.text, self.n = text, len(text)
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        low = np.minimum(codes, (1 << 16) - 1).astype(np.int64)
+        low = np.minimum(codes, (1 << 16) - 1)
         kept = np.flatnonzero(~DROPPED[low])
         blank = SPACE[low[kept]]
-        follows = np.concatenate([[False], blank[:-1]]) if len(blank) else blank
-        self.places = kept[~(blank & follows)]
-        folded = np.frombuffer(text.translate(FOLD).encode("utf-32-le", "surrogatepass"), np.uint32)[self.places]
-        self.flat = np.where(SPACE[low[self.places]], 32, folded).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        again = np.zeros(len(blank), bool)
+        again[1:] = blank[1:] & blank[:-1]
+        self.places = kept[~again]
+        codes_kept, low = codes[self.places], low[self.places]
+        self.flat = np.where(codes_kept == low, VIEW[low], codes_kept).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
         self.starts = [0, *(np.flatnonzero(codes == 10) + 1).tolist()]
 
     # --- lines
