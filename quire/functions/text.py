@@ -6,6 +6,7 @@ regexp_instr counts UTF-16 units and is never used here.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -18,10 +19,12 @@ JOINERS = "\u200c\u200d\u200e\u200f"
 BYTE_ORDER = "\ufeff"
 LETTERS_FROM, LETTERS_TO = "أإآٱىیةک", "ااااييهك"
 DIGITS_FROM, DIGITS_TO = "٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹", "01234567890123456789"
+#: A range with all characters that normalizing drops or folds; others fail it at once.
+FAR = "\u0622-\ufeff"
 ARABIC = "\u0621-\u064a\u0671-\u06d3"
 PUNCTUATION = r"\-–—•·*_|.:،؛,;!?؟«»()\[\]{}\"'/\\"
-#: What Python calls white space, for Java's regular expressions.
-ANY_SPACE = "[\\s\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\\x1c-\\x1f]"
+#: What Python calls white space, for Java's regular expressions: single characters first, the far ones behind one range that most characters fail.
+ANY_SPACE = "[\\t\\n\\x0b\\f\\r\\x1c\\x1d\\x1e\\x1f \u0085\u00a0[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]]"
 
 
 @dataclass(frozen=True)
@@ -34,9 +37,12 @@ class Normalizer:
     words: bool = False
 
     def apply(self, text: Column) -> Column:
-        out = F.regexp_replace(text, f"[{self.drop}]", "")
+        ahead = f"{FAR}&&" if re.fullmatch(f"[-{FAR}]*", self.drop) else ""
+        changed = f"[{ahead}[{self.drop}{LETTERS_FROM + DIGITS_FROM if self.fold else ''}]]"
+        out = F.regexp_replace(text, f"[{ahead}[{self.drop}]]", "")
         if self.fold:
             out = F.translate(out, LETTERS_FROM + DIGITS_FROM, LETTERS_TO + DIGITS_TO)
+        out = F.when(text.rlike(changed), out).otherwise(text)
         if self.words:
             out = F.regexp_replace(out, r"[^\p{L}\p{N}]+", " ")
         else:

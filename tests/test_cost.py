@@ -6,6 +6,7 @@ import pstats
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators import canvas
@@ -35,3 +36,21 @@ def test_garbled_latin_runs_are_whole_runs(longest):
     found = [(r["char_start"], r["char_end"]) for r in rows if r["relation"] == "noise" and r["owner"] == "garbled_glyph"]
     covered = {p for s, e in found for p in range(s, e) if not text[p].isspace()}
     assert covered == {p for m in re.finditer("[A-Za-z]+", text) if len(m[0]) <= longest for p in range(*m.span())}
+
+
+def test_white_space_and_marks_are_told_by_one_range_first(spark):
+    """Patterns meet every character of every text: each looks at one far range before its members, and stays the same set."""
+    assert T.ANY_SPACE.count("&&") == 1
+    plan = spark.createDataFrame([("a",)], "text string").select(T.ENGINE.apply(F.col("text")), T.QUOTE.apply(F.col("text")), T.PAGES.apply(F.col("text")))._jdf.queryExecution().optimizedPlan().toString()
+    assert f"[{T.ENGINE.drop}], ," not in plan and plan.count(f"[{T.FAR}&&[") >= 3
+    spaces = [chr(c) for c in range(1 << 16) if chr(c).isspace()]
+    dropped = [c for c in map(chr, range(1 << 16)) if re.match(f"[{T.ENGINE.drop}]", c)]
+    rows = [(c,) for c in map(chr, range(1, 1 << 16)) if not "\ud800" <= c <= "\udfff"]
+    found = spark.createDataFrame(rows, "c string")
+    assert sorted(r.c for r in found.where(F.col("c").rlike(T.ANY_SPACE)).collect()) == sorted(spaces)
+    vanished = found.select("c", T.ENGINE.apply(F.concat(F.lit("x"), F.col("c"), F.lit("y"))).alias("n"))
+    assert sorted(r.c for r in vanished.where("n = 'xy'").collect()) == sorted(dropped)
+    seen = {r.c: r.n for r in vanished.collect()}
+    assert all(seen[c] == f"x{canvas.normal('a' + c + 'b')[1:-1] if c not in spaces else ' '}y" for c in seen)
+    near = spark.createDataFrame([("bana na",)], "text string").select(T.Normalizer("a-b", False, "none").apply(F.col("text")).alias("t"))
+    assert near.first().t == "nn"
