@@ -19,15 +19,33 @@ from pyspark.sql.window import Window
 from quire.sources import scratch
 
 
+#: Bytes of text that one step in Python takes from a batch.
+AT_ONCE = 1 << 20
+
+
+def numbered_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, line_no, line) as line_table has them, for what needs no offsets: texts are cut in the scan itself and never go to Python."""
+    return docs.select(key, F.posexplode(F.split(F.col(text).cast("string"), "\n")).alias("line_no", "line"))
+
+
+def portions(batch: pa.RecordBatch, column: int, most: int = AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """A batch as runs of rows with some most bytes in a column, a longer row alone; so memory follows neither the rows of a batch nor their length."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    ends = [*(np.flatnonzero(np.diff(upto // most)) + 1).tolist(), batch.num_rows]
+    for start, end in zip([0, *ends], ends):
+        if start < end:
+            yield batch.slice(start, end - start)
+
+
 def line_table(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, line_no, char_start, char_end, line): lines split at LF, the LF left out; null texts have none, rows that repeat a key have theirs each.
 
-    Lines, lengths and their running sums come from whole columns of a batch where the texts stand, so that nothing is shuffled.
+    Lines, lengths and their running sums come from whole columns of a portion of a batch where the texts stand, so that nothing is shuffled.
     """
     rows = docs.select(key, F.col(text).cast("string").alias("_text")).where("_text is not null")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in portions(whole, 1)):
             lists = pc.split_pattern(b.column(1), "\n")
             lines, row = lists.flatten(), pc.list_parent_indices(lists)
             size = pc.utf8_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -163,7 +163,7 @@ SELECT line, n, first_at FROM c ORDER BY n DESC, first_at LIMIT 40
 """)
 def most_common_lines(spark, sf_dir) -> DataFrame:
     """A1: the forty most common lines, ties in first-seen order."""
-    lines = S.line_table(read(spark, sf_dir, "documents"), "doc_id", "text")
+    lines = S.numbered_lines(read(spark, sf_dir, "documents"), "doc_id", "text")
     counted = lines.groupBy(F.trim("line").alias("line")).agg(F.count("*").alias("n"), F.min(F.col("doc_id") * 1000000 + F.col("line_no")).alias("first_at"))
     return counted.orderBy(F.desc("n"), "first_at").limit(40)
 
@@ -187,7 +187,7 @@ WHERE line <> '' AND len(string_split_regex(line, '\s+')) BETWEEN 1 AND 8 AND n
 """)
 def heading_candidates(spark, sf_dir) -> DataFrame:
     """Short rare lines without digits, quotes or brackets, before a long line."""
-    lines = S.line_table(read(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "line_no", F.trim("line").alias("line"))
+    lines = S.numbered_lines(read(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "line_no", F.trim("line").alias("line"))
     following = F.lead("line").over(Window.partitionBy("doc_id").orderBy("line_no"))
     short = lines.withColumn("following", following).where((F.col("line") != "") & (F.size(F.split("line", r"\s+")) <= 8) & ~F.col("line").rlike(r'[0-9:"()\[\]]') & (F.length("following") > 100))
     often = lines.groupBy("line").agg(F.count("*").alias("n")).where("n < 5")
@@ -732,7 +732,7 @@ def accept_reject_counts(spark, sf_dir) -> DataFrame:
 @query(r"SELECT doc_id, line_no::INT AS line_no FROM (SELECT doc_id, line_no, row_number() OVER (PARTITION BY doc_id, n ORDER BY line_no) AS k FROM (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no, trim(regexp_replace(unnest(string_split(text, chr(10))), '[^\p{L}\p{N}]+', ' ', 'g')) AS n FROM documents) WHERE n <> '') WHERE k > 1")
 def duplicate_statements(spark, sf_dir) -> DataFrame:
     """Statements that a unit has said before, by their normalized words."""
-    lines = S.line_table(read(spark, sf_dir, "documents"), "doc_id", "text").withColumn("said", T.QUOTE.apply(F.col("line"))).where("said <> ''")
+    lines = S.numbered_lines(read(spark, sf_dir, "documents"), "doc_id", "text").withColumn("said", T.QUOTE.apply(F.col("line"))).where("said <> ''")
     return R.repeats(lines, ["doc_id"], ["said"], ["line_no"]).where("repeat").select("doc_id", "line_no")
 
 

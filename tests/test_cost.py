@@ -5,12 +5,15 @@ import json
 import pstats
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators import canvas
+from quire.operators import spans as S
 from quire.operators import structure as B
+from quire.plans import catalog
 
 
 def test_fold_makes_fewer_calls_than_its_text_has_words():
@@ -54,3 +57,36 @@ def test_white_space_and_marks_are_told_by_one_range_first(spark):
     assert all(seen[c] == f"x{canvas.normal('a' + c + 'b')[1:-1] if c not in spaces else ' '}y" for c in seen)
     near = spark.createDataFrame([("bana na",)], "text string").select(T.Normalizer("a-b", False, "none").apply(F.col("text")).alias("t"))
     assert near.first().t == "nn"
+
+
+def documents(spark, folder):
+    """A folder with a table documents of some odd texts."""
+    texts = ["Head line\n" + "à" * 120, "", None, "\n\n", "a\r\nb\n", "One\nTwo\nThree\n", "é\x85b c"]
+    spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(3, "again\n")], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["heading_candidates", "most_common_lines", "duplicate_statements"])
+def test_lines_without_offsets_never_go_to_python(spark, tmp_path, name):
+    assert "MapInArrow" not in plan(catalog.QUERIES[name](spark, documents(spark, tmp_path)))
+
+
+def test_numbered_lines_are_those_of_the_line_table(spark, tmp_path):
+    docs = spark.read.parquet(f"{documents(spark, tmp_path)}/documents.parquet")
+    whole = S.line_table(docs, "doc_id", "text").select("doc_id", "line_no", "line")
+    cut = S.numbered_lines(docs, "doc_id", "text")
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect()))
+    assert [f.dataType for f in cut.schema] == [f.dataType for f in whole.schema]
+
+
+def test_portions_hold_a_bounded_part_of_a_batch():
+    texts = ["x" * 10] * 1000 + ["y" * 5000, None, "", "z"]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["k", "t"])
+    parts = list(S.portions(batch, 1, 500))
+    assert [t for p in parts for t in p.column(1).to_pylist()] == texts
+    assert max(sum(len(t or "") for t in p.column(1).to_pylist()) for p in parts if "y" * 5000 not in p.column(1).to_pylist()) <= 510
+    assert list(S.portions(batch.slice(0, 0), 1)) == [] and len(list(S.portions(batch, 1))) == 1
