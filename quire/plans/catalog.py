@@ -225,7 +225,7 @@ SELECT doc_id, lines, footnote_start_lines, marker_occurrences, CASE WHEN len(r)
 """)
 def discover_figures(spark, sf_dir) -> DataFrame:
     """Lines, markers, and the quartile steps of marks of every text."""
-    found = X.figures(S.line_table(read(spark, sf_dir, "documents"), "doc_id", "text"), LATIN, "doc_id")
+    found = X.figures(S.numbered_lines(read(spark, sf_dir, "documents"), "doc_id", "text"), LATIN, "doc_id")
     return found.select("doc_id", "lines", "footnote_start_lines", "marker_occurrences", *[F.get("quartiles", F.lit(k)).alias(f"q{k + 1}") for k in range(3)])
 
 
@@ -237,7 +237,7 @@ SELECT doc_id, line_no::INT AS line_no, line, marked FROM c QUALIFY row_number()
 """)
 def discover_headings(spark, sf_dir) -> DataFrame:
     """Short bare rare lines of every text, and whether marked text follows; 120 a text, as the report has them."""
-    found = X.heading_candidates(S.line_table(read(spark, sf_dir, "documents"), "doc_id", "text"), LATIN, "doc_id")
+    found = X.heading_candidates(S.numbered_lines(read(spark, sf_dir, "documents"), "doc_id", "text"), LATIN, "doc_id")
     return found.select("doc_id", "line_no", "line", (F.col("following") > 0.05).alias("marked"))
 
 

@@ -70,7 +70,7 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["heading_candidates", "most_common_lines", "duplicate_statements"])
+@pytest.mark.parametrize("name", ["heading_candidates", "most_common_lines", "duplicate_statements", "discover_headings", "discover_figures"])
 def test_lines_without_offsets_never_go_to_python(spark, tmp_path, name):
     assert "MapInArrow" not in plan(catalog.QUERIES[name](spark, documents(spark, tmp_path)))
 
