@@ -1,12 +1,15 @@
 """The constraints of built books, over the relations that build_books yields, as one long table of violations.
 
 Rules of single rows share one pass, all references one anti-join, all neighbours one window, all repeats one
-aggregation each; the rest are joins and windows keyed by book, so a corpus of books is checked in one plan. Where
-a check needs the text of spans, the spans of a book travel to its text as one list, so that a text moves once.
+aggregation each; the rest are joins and windows keyed by book, so a corpus of books is checked in one plan. Texts are
+read twice in all: for their lengths, and where checks need the text of spans. The spans of all these checks travel to
+a book's text as one list, so that a text moves once; what they find is a table.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,6 +17,7 @@ from pyspark.sql.window import Window
 from quire.functions import text as T
 from quire.operators import constraints as C
 from quire.operators import spans as S
+from quire.sources import scratch
 
 #: Longest noise that is not marked by hand, highest confidence of units with displaced text or grave issues, share of one general role, and how far a sure page start may be from a mark: fixed values.
 LONGEST_NOISE, DISPLACED, GRAVE, GENERAL_SHARE, SURE_PAGE, MARK_REACH = 60, 0.8, 0.8, 0.5, 0.8, 80
@@ -47,8 +51,8 @@ def with_text(rows: DataFrame, books: DataFrame) -> DataFrame:
     """Rows with the text of their span as span_text; rows of other books and spans that leave their text are left out."""
     columns = [c for c in rows.columns if c != "book_id"]
     lists = rows.groupBy("book_id").agg(F.collect_list(F.struct(*columns)).alias("_rows"))
-    met = lists.join(books.select(F.col("book_id").cast("string").alias("book_id"), F.coalesce("text", F.lit("")).alias("_text")), "book_id")
-    inside = F.filter("_rows", lambda x: (x["char_start"] >= 0) & (x["char_start"] <= x["char_end"]) & (x["char_end"] <= F.length("_text")))
+    met = lists.join(books.select(F.col("book_id").cast("string").alias("book_id"), F.coalesce("text", F.lit("")).alias("_text")), "book_id").withColumn("_n", F.length("_text"))
+    inside = F.filter("_rows", lambda x: (x["char_start"] >= 0) & (x["char_start"] <= x["char_end"]) & (x["char_end"] <= F.col("_n")))
     cut = F.transform(inside, lambda x: F.struct(*[x[c].alias(c) for c in columns], F.substr("_text", x["char_start"] + 1, x["char_end"] - x["char_start"]).alias("span_text")))
     return met.select("book_id", F.inline(cut))
 
@@ -63,19 +67,34 @@ def claims(built: DataFrame) -> DataFrame:
     return runs.groupBy("book_id", "claim", "_run").agg(F.min("char_start").alias("char_start"), F.max("char_end").alias("char_end")).drop("_run")
 
 
-def coverage(built: DataFrame, books: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(gaps, overlaps): spans with visible text that nothing claims, with it as span_text; and spans that two claims share, with both."""
+def uneven(built: DataFrame, n: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(holes, overlaps): spans that nothing claims, and spans that two claims share, with both; by one window over the claims and both ends of every book of n."""
     by = Window.partitionBy("book_id").orderBy("char_start", "char_end")
     ahead = F.max(F.struct("char_end", "claim")).over(by.rowsBetween(Window.unboundedPreceding, -1))
-    own = claims(built)
-    shared = own.withColumn("_ahead", ahead).where(F.col("_ahead.char_end") > F.col("char_start"))
+    ends = n.select("book_id", F.lit(None).cast("string").alias("claim"), F.explode(F.array(F.struct(F.lit(0).alias("s"), F.lit(0).alias("e")), F.struct(F.col("n").alias("s"), F.col("n").alias("e")))).alias("x")).select("book_id", "claim", F.col("x.s").alias("char_start"), F.col("x.e").alias("char_end"))
+    met = scratch.written(claims(built).unionByName(ends).withColumn("_ahead", ahead).where(F.col("_ahead.char_end") != F.col("char_start")), "uneven-claims")
+    shared = met.where(F.col("claim").isNotNull() & (F.col("_ahead.char_end") > F.col("char_start")))
     overlaps = shared.select("book_id", "claim", F.col("_ahead.claim").alias("other"), "char_start", F.least("char_end", "_ahead.char_end").alias("char_end"))
-    ends = sized(books).select("book_id", F.lit(None).cast("string").alias("claim"), F.explode(F.array(F.struct(F.lit(0).alias("s"), F.lit(0).alias("e")), F.struct(F.col("n").alias("s"), F.col("n").alias("e")))).alias("x")).select("book_id", "claim", F.col("x.s").alias("char_start"), F.col("x.e").alias("char_end"))
-    reach = F.max("char_end").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    holes = own.unionByName(ends).withColumn("_from", reach).where("_from < char_start").select("book_id", F.col("_from").alias("char_start"), F.col("char_start").alias("char_end"))
+    holes = met.where(F.col("_ahead.char_end") < F.col("char_start")).select("book_id", F.col("_ahead.char_end").alias("char_start"), F.col("char_start").alias("char_end"))
+    return holes, overlaps
+
+
+def coverage(built: DataFrame, books: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gaps, overlaps): spans with visible text that nothing claims, with it as span_text; and spans that two claims share, with both."""
+    holes, overlaps = uneven(built, sized(books))
     return with_text(holes, books).where(seen(F.col("span_text")) > 0), overlaps
 
 
+def _texts(parts: dict[str, DataFrame], books: DataFrame) -> dict[str, DataFrame]:
+    """Every part's rows (book_id, owner if it has one, char_start, char_end) with the text of their span as span_text: gaps that show, noise and headings, and what is blank between segments."""
+    owner = lambda rows: F.col("owner") if "owner" in rows.columns else F.lit(None).cast("string").alias("owner")
+    asked = [rows.select("book_id", F.lit(part).alias("part"), owner(rows), "char_start", "char_end") for part, rows in parts.items()]
+    visible = F.when(F.col("part").isin("gap", "between"), seen(F.col("span_text")) > 0)
+    kept = with_text(reduce(DataFrame.unionByName, asked), books).where(F.when(F.col("part") == "between", ~visible).otherwise(F.coalesce(visible, F.lit(True))))
+    met = scratch.written(kept, "span-texts")
+    return {part: met.where(F.col("part") == part).drop("part") for part in parts}
+
+
 def forbidden_keys(json: Column, keys: tuple[str, ...] = FORBIDDEN_KEYS) -> Column:
     """The keys of a JSON text that its schema forbids, at any depth; quotes inside strings are escaped, so they open no key."""
     return F.array_distinct(F.regexp_extract_all(json, F.lit(rf'(?<!\\)"({"|".join(keys)})"\s*:'), F.lit(1)))
@@ -186,41 +205,41 @@ def violations(built: DataFrame, books: DataFrame) -> list[DataFrame]:
         return [*violations(built.join(twice, KEYS, "left_anti"), own), C.violations(twice, "ids", "error", F.col("book_id"), F.lit("several books have this id"))]
     nodes, units, segments, noise, pages = (relation(built, k) for k in ("node", "unit", "segment", "noise", "page"))
     issues, occurrences, foreign, links = (relation(built, k) for k in ("issue", "occurrence", "foreign", "unit_issue"))
-    of_unit, n = segments.where("kind = 'unit'"), sized(books)
+    of_unit, n = segments.where("kind = 'unit'"), scratch.written(sized(books), "book-sizes")
     book, place, owner = F.col("book_id"), F.concat_ws("-", "char_start", "char_end"), F.col("owner")
     unit_spans = units.select("book_id", F.col("id").alias("owner"), F.col("char_start").alias("us"), F.col("char_end").alias("ue"))
-    gaps, overlaps = coverage(built, books)
+    holes, overlaps = uneven(built, n)
+    by = Window.partitionBy("book_id", "owner").orderBy("char_start")
+    same = [F.lag(c).over(by).eqNullSafe(F.col(c)) for c in ("role", "ref", "placement")]
+    split = of_unit.withColumn("_same", same[0] & same[1] & same[2]).withColumn("_end", F.lag("char_end").over(by)).where("_same and _end is not null and _end <= char_start")
+    between = split.select("book_id", "owner", F.col("_end").alias("char_start"), F.col("char_start").alias("char_end"))
+    texts = _texts({"gap": holes, "noise": noise.where("role <> 'override'"), "heading": of_unit.where("role = 'heading'"), "between": between}, books)
 
     def found(rows: DataFrame, check: str, severity: str, message=place) -> DataFrame:
         return C.violations(rows, check, severity, book, message)
 
     has = built.groupBy("book_id").agg(F.count_if((F.col("relation") == "node") & F.col("owner").isNull()).alias("roots"), F.count_if(F.col("relation") == "page").alias("pages"))
     whole = n.join(has, "book_id", "left")
+    of_book = [("roots is null", "files", "error", F.lit("no relations")), ("roots <> 1", "tree", "error", F.col("roots").cast("string")), ("pages = 0", "pages", "warn", F.lit("no page model"))]
+    broken = F.array(*[F.when(F.expr(bad), F.struct(F.lit(check).alias("check"), F.lit(severity).alias("severity"), message.alias("message"))) for bad, check, severity, message in of_book])
     out = [
         _of_rows(built, n),
         _of_references(built),
         _of_repeats(built),
         _of_neighbours(built),
-        found(whole.where("roots is null"), "files", "error", F.lit("no relations")),
-        found(whole.where("roots <> 1"), "tree", "error", F.col("roots")),
-        found(whole.where("pages = 0"), "pages", "warn", F.lit("no page model")),
+        whole.select(book.alias("key"), F.inline(F.array_compact(broken))).select(*C.VIOLATION),
         found(occurrences.where("ref is not null").select("book_id", "owner").distinct().join(links.select("book_id", F.col("ref").alias("owner")), KEYS + ["owner"], "left_anti"), "refs", "warn", owner),
-        found(gaps, "coverage_gap", "error", T.snippet(F.col("span_text"))),
+        found(texts["gap"], "coverage_gap", "error", T.snippet(F.col("span_text"))),
         found(overlaps, "coverage_overlap", "error", F.concat_ws(" ", "claim", "other")),
     ]
-    own = with_text(noise.where("role <> 'override'"), books)
     like_text = ~F.col("owner").isin(*TEXT_LIKE_KINDS) & (F.col("span_text").rlike(TEXT_LIKE) | (F.regexp_count("span_text", F.lit(LETTER_RUNS)) >= FEWEST_RUNS))
     wrong = F.array_compact(F.array(F.when(F.length("span_text") > LONGEST_NOISE, "noise_too_long"), F.when(like_text, "noise_content")))
-    out.append(own.select(F.explode(wrong).alias("check"), F.lit("warn").alias("severity"), book.alias("key"), T.snippet(F.col("span_text")).alias("message")))
+    out.append(texts["noise"].select(F.explode(wrong).alias("check"), F.lit("warn").alias("severity"), book.alias("key"), T.snippet(F.col("span_text")).alias("message")))
     out += [*_of_units(found, units, of_unit, foreign, unit_spans, nodes, issues, links), *_of_issues(found, issues, occurrences, of_unit, foreign, units), *_of_notes(found, of_unit, occurrences), *_of_pages(found, pages, noise)]
-    headings = with_text(of_unit.where("role = 'heading'"), books).groupBy("book_id", "owner").agg(F.min_by("span_text", "char_start").alias("title"))
+    headings = texts["heading"].groupBy("book_id", "owner").agg(F.min_by("span_text", "char_start").alias("title"))
     titled = headings.join(units.select("book_id", F.col("id").alias("owner"), "note"), KEYS + ["owner"])
     out.append(found(titled.where(~F.startswith(F.col("note"), F.col("title"))), "offset_text", "error", owner))
-    by = Window.partitionBy("book_id", "owner").orderBy("char_start")
-    same = [F.lag(c).over(by).eqNullSafe(F.col(c)) for c in ("role", "ref", "placement")]
-    split = of_unit.withColumn("_same", same[0] & same[1] & same[2]).withColumn("_end", F.lag("char_end").over(by)).where("_same and _end is not null and _end <= char_start")
-    between = with_text(split.select("book_id", "owner", F.col("_end").alias("char_start"), F.col("char_start").alias("char_end")), books)
-    out.append(found(between.where(seen(F.col("span_text")) == 0), "fragmented_segments", "warn"))
+    out.append(found(texts["between"], "fragmented_segments", "warn"))
     return out
 
 

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators import canvas
+from quire.operators import constraints as C
 from quire.operators import spans as S
 from quire.operators import structure as B
+from quire.operators import validate as V
 from quire.plans import catalog
+from quire.sources import scratch
 
 
 def test_fold_makes_fewer_calls_than_its_text_has_words():
@@ -90,3 +93,27 @@ def test_portions_hold_a_bounded_part_of_a_batch():
     assert [t for p in parts for t in p.column(1).to_pylist()] == texts
     assert max(sum(len(t or "") for t in p.column(1).to_pylist()) for p in parts if "y" * 5000 not in p.column(1).to_pylist()) <= 510
     assert list(S.portions(batch.slice(0, 0), 1)) == [] and len(list(S.portions(batch, 1))) == 1
+
+
+def test_checks_share_one_reading_of_the_texts(spark, tmp_path):
+    folder = documents(spark, tmp_path)
+    config = F.lit(json.dumps({"unit_headings": ["Head", "Two"], "garbled": {"latin_max_run_in_arabic": 0}}))
+    books = spark.read.parquet(f"{folder}/documents.parquet").where("text <> 'again\n'").select(F.col("doc_id").alias("book_id"), "text", config.alias("config"), F.lit(None).cast("string").alias("overrides"))
+    built = scratch.written(B.build_books(books), "built")
+    found = V.violations(built, books)
+    reading = [f for f in found if any(p.startswith(f"file://{folder}") for p in f.inputFiles())]
+    assert reading == []  # lengths and texts of spans come from tables that were written once
+    assert {r.check for r in C.gathered(found).collect()} >= {"pages"}
+
+
+def test_texts_of_all_checks_by_one_join(spark):
+    """Gaps show, noise and headings are what they are, and only blank text between segments is told."""
+    books = spark.createDataFrame([("a", "ab  cd\n \nef"), ("b", None)], "book_id string, text string")
+    spans = lambda rows: spark.createDataFrame([("a", "u", s, e) for s, e in rows], "book_id string, owner string, char_start int, char_end int")
+    got = V._texts({"gap": spans([(0, 2), (2, 4), (4, 99)]).drop("owner"), "noise": spans([(2, 4)]), "heading": spans([(4, 6)]), "between": spans([(6, 9), (6, 10)])}, books)
+    assert {k: sorted((r.owner, r.char_start, r.span_text) for r in rows.collect()) for k, rows in got.items()} == {
+        "gap": [(None, 0, "ab")],
+        "noise": [("u", 2, "  ")],
+        "heading": [("u", 4, "cd")],
+        "between": [("u", 6, "\n \n")],
+    }
