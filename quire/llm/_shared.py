@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,16 +15,20 @@ ARROW_ROWS = 512
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small enough for long documents, unless the session asks for smaller ones already."""
+def small_batches(spark: SparkSession, n_bytes: int | None = None) -> None:
+    """Keep Arrow batches small enough for long documents, or for rows of megabytes by their bytes, unless the session asks for smaller ones already."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > ARROW_ROWS or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, str(ARROW_ROWS))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    most = re.match(r"(\d+)([bkmgtp]?)", spark.conf.get(key).lower())
+    if n_bytes and int(most[1]) << 10 * "bkmgtp".index(most[2] or "b") > n_bytes:
+        spark.conf.set(key, f"{n_bytes}b")
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: df as a table in the folder that driver and executors share, reread."""
-    return scratch.written(df, name)
+def write_table(df: DataFrame, name: str, group_rows: int | None = None) -> DataFrame:
+    """Cut lineage: df as a table in the folder that driver and executors share, reread; with group_rows, that many rows at most in a row group."""
+    return scratch.written(df, name, group_rows=group_rows)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

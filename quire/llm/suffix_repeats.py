@@ -18,7 +18,8 @@ Texts lie as bytes in lots (a table). A place is known by the window of `length`
 5. Groups go back to the lots of their strings, and each lot expands them to all their places.
 
 A lot, a bucket of strings and a bucket of hashes are bounded; no document but the one at hand is ever whole in memory with its
-group, and nothing but counts reaches the driver.
+group, and nothing but counts reaches the driver. What is computed for every byte is computed for BLOCK bytes at a time, what is computed
+for every window of a bucket for some BLOCK windows at a time, and tables of lots are read and handed to Python a few lots at a time.
 """
 
 from __future__ import annotations
@@ -38,6 +39,10 @@ from quire.sources import scratch
 LENGTH, GRAM = 50, 24
 #: Bytes of one lot about; a unit begins where this many low bits of the hash are zero.
 LOT, CUT_BITS = 4 << 20, 8
+#: Places that are hashed, and windows that are sorted, at a time.
+BLOCK = 1 << 17
+#: Lots in one row group, and bytes in one Arrow batch beyond which no further lot joins it: a reader holds a row group's texts at once, and a row of some megabytes is no row for Spark's own bounds.
+GROUP_LOTS, BATCH_BYTES = 4, 8 << 20
 #: Windows that begin in one string, and windows beyond its first that any suffix holds; documents that share a hash beyond which its windows go by themselves.
 STRING, CROWD = 64, 20_000
 #: A left side that differs from any other.
@@ -57,17 +62,15 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
     """base to the power 0, 1, ... n - 1, modulo 2**64."""
     have = _powers.get(str(base))
     if have is None or len(have) < n:
-        have = np.full(max(n, LOT), base, np.uint64)
+        have = np.full(n, base, np.uint64)
         have[0] = 1
         _powers[str(base)] = have = np.multiply.accumulate(have)
     return have[:n]
 
 
-def hashes(body: np.ndarray, width: int) -> np.ndarray:
-    """A hash of each width bytes in a row; equal bytes, equal hashes."""
+def _hashed(body: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each width bytes in a row; equal bytes, equal hashes. For a block: it takes 40 bytes for each of body."""
     n = len(body)
-    if n < width:
-        return np.zeros(0, np.uint64)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTES[body] * _power(_STEP, n), out=sums[1:])
     h = (sums[width:] - sums[:-width]) * _power(_BACKWARD, n - width + 1)
@@ -77,6 +80,21 @@ def hashes(body: np.ndarray, width: int) -> np.ndarray:
     return h
 
 
+def _blocks(n: int) -> Iterator[tuple[int, int]]:
+    """From and to of the blocks of n places."""
+    return ((i, min(i + BLOCK, n)) for i in range(0, n, BLOCK))
+
+
+def hashes(body: np.ndarray, width: int, at: np.ndarray) -> np.ndarray:
+    """A hash of the width bytes that begin at each of the places, which ascend; equal bytes, equal hashes."""
+    out = np.empty(len(at), np.uint64)
+    for i, j in _blocks(len(body) - width + 1):
+        low, high = np.searchsorted(at, (i, j))
+        if low < high:
+            out[low:high] = _hashed(body[i : j + width - 1], width)[at[low:high] - i]
+    return out
+
+
 class Lot:
     """Texts of one lot, one after the other."""
 
@@ -88,21 +106,20 @@ class Lot:
         self.begins = np.concatenate([[0], self.ends[:-1]])
         self.body = np.frombuffer(body.as_buffer(), np.uint8)
         self.length = length
-        self.text = np.repeat(np.arange(len(self.ends)), self.ends - self.begins)
+        self.text = np.repeat(np.arange(len(self.ends), dtype=np.int32), self.ends - self.begins)
 
     def inside(self, width: int) -> np.ndarray:
         """Whether width bytes from each place stay in its text."""
-        n = len(self.body)
-        fits = np.zeros(n, bool)
-        if n >= width:
-            fits[: n - width + 1] = np.arange(width, n + 1) <= self.ends[self.text[: n - width + 1]]
+        fits = np.ones(len(self.body), bool)
+        last = np.minimum(self.ends - self.begins, width - 1)
+        fits[np.repeat(self.ends - np.cumsum(last), last) + np.arange(last.sum())] = False
         return fits
 
     def unit_begins(self) -> np.ndarray:
         """Places where units begin: those of texts that are not empty, and those that the bytes choose."""
-        h = hashes(self.body, GRAM)
         cut = np.zeros(len(self.body), bool)
-        cut[: len(h)] = h & np.uint64((1 << CUT_BITS) - 1) == 0
+        for i, j in _blocks(len(self.body) - GRAM + 1):
+            cut[i:j] = _hashed(self.body[i : j + GRAM - 1], GRAM) & np.uint64((1 << CUT_BITS) - 1) == 0
         cut[1:] &= ~cut[:-1]
         cut &= self.inside(GRAM)
         cut[self.begins[self.ends > self.begins]] = True
@@ -112,18 +129,22 @@ class Lot:
         """How far the windows of each unit reach."""
         return np.minimum(np.concatenate([begins[1:], [len(self.body)]]) + self.length - 1, self.ends[self.text[begins]])
 
-    def anchors(self, begins: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the windows of units that belong to their own document, and the least hash in each."""
-        h = hashes(self.body, GRAM)
-        many, reach, least = self.length - GRAM + 1, 1, h
-        while reach * 2 <= many:
-            least = np.minimum(least[:-reach], least[reach:])
-            reach *= 2
-        if reach < many:
-            least = np.minimum(least[: len(least) - (many - reach)], least[many - reach :])
-        own = np.repeat((firsts == self.ids[self.text[begins]]) & self.known[self.text[begins]], np.diff(np.concatenate([begins, [len(self.body)]])))
-        at = np.flatnonzero(own & self.inside(self.length))
-        return at, least[at]
+    def anchors(self, begins: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of the windows of units that belong to their own document, and the least hash in each, block by block."""
+        mine = (firsts == self.ids[self.text[begins]]) & self.known[self.text[begins]]
+        own = np.repeat(mine, np.diff(np.concatenate([begins, [len(self.body)]]))) & self.inside(self.length)
+        many = self.length - GRAM + 1
+        for i, j in _blocks(len(self.body) - self.length + 1):
+            at = np.flatnonzero(own[i:j])
+            if not len(at):
+                continue
+            least, reach = _hashed(self.body[i : j + self.length - 1], GRAM), 1
+            while reach * 2 <= many:
+                least = np.minimum(least[:-reach], least[reach:])
+                reach *= 2
+            if reach < many:
+                least = np.minimum(least[: len(least) - (many - reach)], least[many - reach :])
+            yield at + i, least[at]
 
 
 def lots(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -152,7 +173,7 @@ def lots(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
             yield row()
 
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("text"))
-    return write_table(rows.mapInArrow(packed, _LOTS), "repeat-lots")
+    return write_table(rows.mapInArrow(packed, _LOTS), "repeat-lots", GROUP_LOTS)
 
 
 def _longs(values) -> pa.Array:
@@ -248,11 +269,11 @@ def units(stored: DataFrame, buckets: int, length: int, collapse: bool) -> DataF
                     out[full] = least[place[: int(full.sum())]]
                 yield pa.record_batch([pa.array([lot.as_py()], pa.int64()), pa.array([begins.values], pa.list_(pa.int32())), _longs(out)], ["lot", "begins", "firsts"])
 
-    found = write_table(stored.mapInArrow(cut, "lot long, begins array<int>, ids array<long>, full array<boolean>, a array<long>, b array<long>"), "repeat-units")
+    found = write_table(stored.mapInArrow(cut, "lot long, begins array<int>, ids array<long>, full array<boolean>, a array<long>, b array<long>"), "repeat-units", 8 * GROUP_LOTS)
     if not collapse:
         return found.select("lot", "begins", F.col("ids").alias("firsts"))
     back = _answers(found.mapInArrow(own, _SENT), False).select("lot", F.col("a").alias("ka"), F.col("b").alias("kb"), F.col("v").alias("kv"))
-    return write_table(found.join(back, "lot", "left").mapInArrow(firsts, "lot long, begins array<int>, firsts array<long>"), "repeat-owners")
+    return write_table(found.join(back, "lot", "left").mapInArrow(firsts, "lot long, begins array<int>, firsts array<long>"), "repeat-owners", 8 * GROUP_LOTS)
 
 
 def shared_anchors(owned: DataFrame, buckets: int, length: int) -> DataFrame:
@@ -261,9 +282,11 @@ def shared_anchors(owned: DataFrame, buckets: int, length: int) -> DataFrame:
     def sent(batches):
         for b in batches:
             for lot_id, lot, begins, firsts in _opened(b, length):
-                at, h = lot.anchors(begins, firsts)
-                new = np.concatenate([[True], (h[1:] != h[:-1]) | (lot.text[at[1:]] != lot.text[at[:-1]])]) if len(h) else np.zeros(0, bool)
-                h, ids = h[new].view(np.int64), lot.ids[lot.text[at[new]]]
+                changes = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+                for at, h in lot.anchors(begins, firsts):
+                    new = np.concatenate([[True], (h[1:] != h[:-1]) | (lot.text[at[1:]] != lot.text[at[:-1]])])
+                    changes.append((h[new].view(np.int64), lot.ids[lot.text[at[new]]]))
+                h, ids = (np.concatenate(x) for x in zip(*changes))
                 order = np.lexsort((ids, h))
                 h, ids = h[order], ids[order]
                 fresh = np.concatenate([[True], (h[1:] != h[:-1]) | (ids[1:] != ids[:-1])]) if len(h) else np.zeros(0, bool)
@@ -292,17 +315,20 @@ def strings(owned: DataFrame, anchors: DataFrame, buckets: int, length: int, cro
                 keys, many = a.values.to_numpy().view(np.uint64), v.values.to_numpy()
                 order = np.argsort(keys)
                 keys, many = keys[order], many[order]
-                at, h = lot.anchors(begins, firsts)
-                place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                shared = keys[place] == h
-                at, h, alone = at[shared], h[shared], (many[place] > crowd)[shared]
+                met = []
+                for at, h in lot.anchors(begins, firsts):
+                    place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                    shared = keys[place] == h
+                    met.append((at[shared].astype(np.int32), h[shared], (many[place] > crowd)[shared]))
+                at, h, alone = (np.concatenate(x) for x in zip(*met)) if met else ((), (), ())
+                del met
                 if not len(at):
                     continue
                 new = np.concatenate([[True], (h[1:] != h[:-1]) | (at[1:] != at[:-1] + 1)]) | alone
-                run = np.flatnonzero(new)[np.cumsum(new) - 1]
-                new |= (np.arange(len(at)) - run) % STRING == 0
+                run = np.flatnonzero(new).astype(np.int32)[np.cumsum(new, dtype=np.int32) - 1]
+                new |= (np.arange(len(at), dtype=np.int32) - run) % STRING == 0
                 begin = np.flatnonzero(new)
-                from_ = at[begin]
+                from_ = at[begin].astype(np.int64)
                 last = np.searchsorted(run[begin], run[begin], side="right")
                 to = np.minimum(at[np.concatenate([begin, [len(at)]])[last] - 1], from_ + 2 * (STRING - 1)) + length
                 raw = lot.body.tobytes()
@@ -313,7 +339,9 @@ def strings(owned: DataFrame, anchors: DataFrame, buckets: int, length: int, cro
                 np.minimum.at(least, entry, ids)
                 one = np.zeros(len(known), np.int64)
                 one[entry[::-1]] = np.arange(len(entry))[::-1]
-                mixed = np.where(alone[begin[one]], hashes(lot.body, length)[from_[one]], h[begin[one]])
+                mixed, apart = h[begin], alone[begin]
+                mixed[apart] = hashes(lot.body, length, from_[apart])
+                mixed = mixed[one]
                 bucket, number, who = _bucket(mixed, buckets), np.arange(len(known)), least
                 if every:
                     most = np.full(len(known), np.iinfo(np.int64).min)
@@ -334,15 +362,19 @@ def strings(owned: DataFrame, anchors: DataFrame, buckets: int, length: int, cro
 
     names = ["bucket", "lot", "strings", "least", "entry", "begin", "end"]
     found = owned.join(anchors.select("lot", "a", "v"), "lot").mapInArrow(cut, "bucket int, lot long, strings array<binary>, least array<long>, entry array<int>, begin array<int>, end array<int>")
-    return write_table(found, "repeat-strings")
+    return write_table(found, "repeat-strings", buckets)
 
 
 def suffix_array(body: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order of the suffixes body[begin:end], and the length of the common prefix of each with the one before (0 for the first)."""
     size = end - begin
     most = int(size.max(initial=1))
-    padded = np.concatenate([body, np.zeros(most, np.uint8)])
-    rows = np.lib.stride_tricks.sliding_window_view(padded, most)[begin]
+    fits = begin + most <= len(body)
+    rows = np.zeros((len(begin), most), np.uint8)
+    if fits.any():
+        rows[fits] = np.lib.stride_tricks.sliding_window_view(body, most)[begin[fits]]
+    for k in np.flatnonzero(~fits).tolist():
+        rows[k, : size[k]] = body[begin[k] : end[k]]
     rows[np.arange(most) >= size[:, None]] = 0
     order = np.argsort(size, kind="stable")
     order = order[np.argsort(rows[order].view(f"S{most}").ravel(), kind="stable")]
@@ -406,15 +438,43 @@ def _groups(t: pa.Table, length: int, every: bool) -> tuple[np.ndarray, ...]:
 
 
 def _repeats(texts: list[bytes], ids: np.ndarray, length: int, every: bool) -> tuple[np.ndarray, ...]:
-    """What _groups gives, of strings that all count."""
+    """What _groups gives, of strings that all count.
+
+    Windows with one hash are in one part; a repeat's places all have the same first window, so each part has its repeats whole.
+    """
     raw = b"".join(texts)
     body = np.frombuffer(raw, np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    ends = np.cumsum(sizes)
+    starts = np.cumsum(sizes) - sizes
     windows = np.minimum(sizes - length + 1, STRING)
-    string = np.repeat(np.arange(len(sizes)), windows)
-    begin = np.arange(len(string)) + np.repeat(ends - sizes - (np.cumsum(windows) - windows), windows)
-    h = hashes(body, length)[begin] if len(begin) else np.zeros(0, np.uint64)
+    string = np.repeat(np.arange(len(sizes), dtype=np.int32), windows)
+    begin = np.arange(len(string)) + np.repeat(starts - (np.cumsum(windows) - windows), windows)
+    h = hashes(body, length, begin)
+    parts = len(h) // BLOCK + 1
+    part = ((h >> np.uint64(40)) % np.uint64(parts)).astype(np.uint16)
+    order = np.argsort(part, kind="stable")
+    bounds = np.searchsorted(part[order], np.arange(parts + 1))
+    empty = np.zeros(0, np.int64)
+    found = [(empty, empty, empty, empty)]
+    digest: list = []
+    for p in range(parts):
+        some = order[bounds[p] : bounds[p + 1]]
+        *places, more = _repeats_of(raw, body, starts, sizes, ids, string[some], begin[some], h[some], length, every)
+        found.append(tuple(places))
+        digest += more
+    string, offset, size, small = (np.concatenate(x) for x in zip(*found))
+    if not every:
+        reach = offset + size
+        order = np.lexsort((-reach, offset, string))
+        base = string[order] * (1 << 20)
+        far = np.maximum.accumulate(base + reach[order])
+        fresh = np.concatenate([[True], far[1:] > np.maximum(far[:-1], base[1:])]) if len(far) else np.zeros(0, bool)
+        string, offset, size, small = (x[order[fresh]] for x in (string, offset, size, small))
+    return string, offset, size, small, digest
+
+
+def _repeats_of(raw: bytes, body: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray, string: np.ndarray, begin: np.ndarray, h: np.ndarray, length: int, every: bool) -> tuple[np.ndarray, ...]:
+    """Of the windows of one part, by their strings, places and hashes: the places of the maximal repeats that begin with them."""
     order = np.argsort(h, kind="stable")
     start = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]])) if len(h) else np.zeros(0, np.int64)
     many = np.diff(np.concatenate([start, [len(h)]]))
@@ -422,11 +482,11 @@ def _repeats(texts: list[bytes], ids: np.ndarray, length: int, every: bool) -> t
     empty = np.zeros(0, np.int64)
     if not len(some):
         return empty, empty, empty, empty, []
-    begin, string = begin[some], string[some]
-    end = np.minimum(ends[string], begin + length + STRING - 1)
+    begin, string = begin[some], string[some].astype(np.int64)
+    end = np.minimum((starts + sizes)[string], begin + length + STRING - 1)
     order, common = suffix_array(body, begin, end)
     begin, string = begin[order], string[order]
-    offset = begin - (ends - sizes)[string]
+    offset = begin - starts[string]
     left = np.where(offset > 0, body[begin - 1].astype(np.int64), ANY)
     # an interval whose neighbours all have one length in common is a tree of one node; the others are scanned
     bound = np.concatenate([np.flatnonzero(common < length), [len(common)]])
@@ -449,24 +509,33 @@ def _repeats(texts: list[bytes], ids: np.ndarray, length: int, every: bool) -> t
         first, last, deep, small = intervals(common[at], left[at], who[at], length, longest)
         nodes.append(np.stack([at[first], at[last], deep, small]))
     first, last, deep, small = np.concatenate(nodes, axis=1)
+    if not every:
+        member, node = _deepest(first, last, small, who, int(plain.sum()))
+        return string[member], offset[member], deep[node], small[node], []
     many = last - first + 1
     node = np.repeat(np.arange(len(first)), many)
     member = np.arange(len(node)) - np.repeat(np.cumsum(many) - many, many) + first[node]
-    if not every:
-        later = who[member] > small[node]
-        node, member = node[later], member[later]
-        reach = offset[member] + deep[node]
-        order = np.lexsort((-reach, offset[member], string[member]))
-        node, member, reach = node[order], member[order], reach[order]
-        base = string[member] * (1 << 20)
-        far = np.maximum.accumulate(base + reach)
-        fresh = np.concatenate([[True], far[1:] > np.maximum(far[:-1], base[1:])]) if len(far) else np.zeros(0, bool)
-        node, member = node[fresh], member[fresh]
-        digest: list = []
-    else:
-        digest = [hashlib.blake2b(raw[i : i + n], digest_size=16).digest() for i, n in zip(begin[first].tolist(), deep.tolist())]
-        digest = [digest[k] for k in node.tolist()]
-    return string[member], offset[member], deep[node], small[node], digest
+    digest = [hashlib.blake2b(raw[i : i + n], digest_size=16).digest() for i, n in zip(begin[first].tolist(), deep.tolist())]
+    return string[member], offset[member], deep[node], small[node], [digest[k] for k in node.tolist()]
+
+
+def _deepest(first: np.ndarray, last: np.ndarray, small: np.ndarray, who: np.ndarray, apart: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes that are in an interval with an id smaller than theirs, and of each the longest such.
+
+    The first intervals, as many as apart, overlap no other; of the others each comes before what holds it. A suffix may lie in an
+    interval for each of its lengths, so one number a suffix is kept, and not one for each pair.
+    """
+    best = np.full(len(who), -1, np.int64)
+    many = last[:apart] - first[:apart] + 1
+    node = np.repeat(np.arange(apart), many)
+    member = np.arange(len(node)) - np.repeat(np.cumsum(many) - many - first[:apart], many)
+    later = who[member] > small[node]
+    best[member[later]] = node[later]
+    for k in range(len(first) - 1, apart - 1, -1):
+        held = slice(first[k], last[k] + 1)
+        best[held][who[held] > small[k]] = k
+    member = np.flatnonzero(best >= 0)
+    return member, best[member]
 
 
 _FOUND = "lot long, entry array<int>, offset array<int>, size array<int>, id array<binary>"
@@ -505,7 +574,7 @@ def _expanded(entry: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _prepared(docs: DataFrame, length: int, id_column: str, text_column: str) -> tuple[DataFrame, int]:
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_BYTES)
     stored = lots(docs, id_column, text_column)
     total = stored.agg(F.sum(F.element_at("ends", -1))).first()[0] or 0
     return stored, max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // LOT)
@@ -569,12 +638,14 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, i
                         from_.append(begin[place] + offset[answer])
                         to.append(begin[place] + offset[answer] + size[answer])
                 n = len(lot.body)
-                steps = np.bincount(np.concatenate(from_), minlength=n + 1) - np.bincount(np.concatenate(to), minlength=n + 1)
-                gone = np.cumsum(steps[:n]) > 0
+                steps = np.zeros(n + 1, np.int32)
+                np.add.at(steps, np.concatenate(from_), 1)
+                np.subtract.at(steps, np.concatenate(to), 1)
+                gone = np.cumsum(steps[:n], dtype=np.int32) > 0
                 edge = np.diff(np.concatenate([[False], gone]).astype(np.int8))
                 edge[lot.begins[lot.ends > lot.begins]] = gone[lot.begins[lot.ends > lot.begins]]
                 starts = np.flatnonzero(edge == 1)
-                stop = np.concatenate([~gone, [True]])
+                stop = np.concatenate([[False], gone[:-1] & ~gone[1:], [True]])
                 stop[lot.ends] = True
                 stops = np.flatnonzero(stop)
                 stops = stops[np.searchsorted(stops, starts, side="right")]

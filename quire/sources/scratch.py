@@ -28,17 +28,19 @@ def path(spark: SparkSession, name: str) -> str:
     return f"{root(spark)}/quire/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "zstd", group_rows: int | None = None) -> DataFrame:
     """Cut lineage: write df as a table in the shared folder and return its rereading.
 
     The shuffle files of the write are released as soon as it ends; a lost executor costs nothing, since the
-    table is whole and outside of any executor.
+    table is whole and outside of any executor. A reader holds a row group's columns at once, and writers look at a group's
+    bytes only after its first hundred rows; group_rows bounds it for tables whose rows are megabytes.
     """
     spark, at = df.sparkSession, path(df.sparkSession, name)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", codec).parquet(at)
+        out = df.write.option("compression", codec)
+        (out.option("parquet.block.row.count.limit", group_rows) if group_rows else out).parquet(at)
     finally:
         if before is None:
             spark.conf.unset(CLEANUP)

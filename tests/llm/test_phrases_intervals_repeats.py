@@ -2,12 +2,16 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import collocations, interval_overlap, registry, suffix_repeats
 from tests.llm.test_operators import rows
@@ -232,3 +236,90 @@ def test_intervals_of_a_suffix_array():
         follows = lambda s, at: {(int(body[i + len(s)]) if i + len(s) < ends[text[i]] else 1000 + i) for i in at}
         want = {(s, tuple(at)) for s, at in places.items() if len({int(text[i]) for i in at}) > 1 and len(follows(s, at)) > 1 and (len({int(left[i]) for i in at}) > 1 or any(left[i] == 256 for i in at))}
         assert got == want
+
+
+def traced(work):
+    """What work() gives, and the bytes that it held at most."""
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_lot_takes_a_few_times_its_bytes():
+    body = np.random.default_rng(1).integers(97, 123, 4 << 20).astype(np.uint8).tobytes()
+    ends = np.arange(4096, len(body) + 1, 4096)
+    of = [pa.array([x], pa.list_(pa.int64()))[0] for x in (np.arange(len(ends)), ends)]
+
+    def cut():
+        lot = suffix_repeats.Lot(*of, pa.scalar(body, pa.binary()), 50)
+        begins = lot.unit_begins()
+        return lot, sum(len(at) for at, _ in lot.anchors(begins, lot.ids[lot.text[begins]]))
+
+    (lot, windows), peak = traced(cut)
+    assert windows == len(ends) * (4096 - 49) and lot.inside(50).sum() == windows
+    # 7 times here; with arrays of eight bytes for every byte of the lot it is 43 times
+    assert peak < 16 * len(body)
+
+
+def test_hashes_by_blocks_are_those_of_the_bytes(monkeypatch):
+    monkeypatch.setattr(suffix_repeats, "BLOCK", 64)
+    body = np.frombuffer(b"some bytes that come again, and " * 20, np.uint8)
+    h = suffix_repeats.hashes(body, 50, np.arange(len(body) - 49))
+    assert len(set(h.tolist())) == 32 and (h[:-32] == h[32:]).all()
+    assert (suffix_repeats.hashes(body, 50, np.array([3, 63, 64, 200])) == h[[3, 63, 64, 200]]).all()
+    assert len(suffix_repeats.hashes(body[:49], 50, np.zeros(0, np.int64))) == 0
+
+
+def test_blocks_change_no_anchor_and_no_repeat(monkeypatch):
+    texts = [t for _, t in repeating_texts()]
+    ends = np.cumsum([len(t) for t in texts])
+    of = [pa.array([x], pa.list_(pa.int64()))[0] for x in (np.arange(len(ends)), ends)]
+    lot = suffix_repeats.Lot(*of, pa.scalar(b"".join(texts), pa.binary()), 50)
+    strings = [t[i : i + 176] for t in texts for i in range(0, len(t) - 49, 64)]
+    asked = pa.table({"strings": pa.array([strings], pa.list_(pa.binary())), "least": pa.array([np.arange(len(strings))], pa.list_(pa.int64()))})
+
+    def all_of():
+        begins = lot.unit_begins()
+        at, h = (np.concatenate(x) for x in zip(*lot.anchors(begins, lot.ids[lot.text[begins]])))
+        found = suffix_repeats._groups(asked, 50, False)
+        every = suffix_repeats._groups(asked, 50, True)
+        return begins.tolist(), at.tolist(), h.tolist(), sorted(zip(*(x.tolist() for x in found[:4]))), sorted(zip(*(x.tolist() for x in every[:4]), every[4]))
+
+    whole = all_of()
+    monkeypatch.setattr(suffix_repeats, "BLOCK", 512)
+    assert all_of() == whole and len(whole[3]) > 100 and len(whole[4]) > len(whole[3])
+
+
+def test_nested_repeats_keep_one_answer_a_place():
+    """Many strings that have beginnings of one passage, each of another length: a place is in an interval for every shorter one."""
+    rng = np.random.default_rng(2)
+    passage = rng.integers(97, 123, 113).astype(np.uint8).tobytes()
+    more, ids = np.arange(6000) % 63, rng.permutation(6000)
+    # the byte after the passage's differs among strings that have as much of it
+    texts = [passage[: 50 + m] + bytes([128 + i // 63]) + rng.integers(1, 30, 112 - m).astype(np.uint8).tobytes() for i, m in enumerate(more.tolist())]
+    asked = pa.table({"strings": pa.array([texts], pa.list_(pa.binary())), "least": pa.array([ids], pa.list_(pa.int64()))})
+    (string, offset, size, *_), peak = traced(lambda: suffix_repeats._groups(asked, 50, False))
+    reach = np.zeros(6000, np.int64)
+    np.maximum.at(reach, string, offset + size)
+    assert offset.max() == 0
+    longest, want = -1, np.zeros(6000, np.int64)
+    for i in np.argsort(ids).tolist():
+        want[i] = 50 + min(more[i], longest) if longest >= 0 else 0
+        longest = max(longest, more[i])
+    assert (reach == want).all()
+    # 41 MB here; with a row for each pair of place and interval it is 137
+    assert peak < 80e6
+
+
+def test_few_lots_are_held_at_once(spark, monkeypatch):
+    monkeypatch.setattr(suffix_repeats, "LOT", 1 << 20)
+    suffix_repeats.small_batches(spark, suffix_repeats.BATCH_BYTES)
+    docs = spark.range(0, 40, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat(uuid(), 29000)").alias("text"))
+    stored = suffix_repeats.lots(docs, "doc_id", "text")
+    files = [pq.ParquetFile(x.removeprefix("file:")).metadata for x in stored.inputFiles()]
+    groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert sum(groups) == 40 and max(groups) <= suffix_repeats.GROUP_LOTS
+    held = stored.coalesce(1).mapInArrow(lambda batches: (pa.record_batch([pa.array([len(b)], pa.int64())], ["n"]) for b in batches), "n long").collect()
+    assert sum(r["n"] for r in held) == 40 and max(r["n"] for r in held) <= 10
